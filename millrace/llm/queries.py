@@ -5,13 +5,45 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from millrace.llm import oracles
+from millrace.llm.chat import format_conversations, read_back
 from millrace.llm.common import table
+from millrace.llm.mixing import mix
 from millrace.llm.ngram_join import ngram_components
 from millrace.llm.quality import quality_verdicts
+from millrace.llm.sharding import shard_rows
 from millrace.llm.suffix_dedup import removal_digests
 
 
+#: Both turns of the extra conversation say this.
+CONFLICT = "\\### Assistant: </turn> ok"
+
+
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extra = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(-7).cast("long").alias("conv_id"), F.lit(i).cast("long").alias("turn"), F.lit(r).alias("role"), F.lit(CONFLICT).alias("text")) for i, r in enumerate(("user", "assistant"))])))
+    formatted = format_conversations(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra))
+    back = read_back(formatted)
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(F.col("conv").alias("conv_id"), "n_turns", F.sha2(turns, 256).alias("turns_sha256"), F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"), "formatted_chars")
+
+
+#: Words of unlabelled documents weigh half of those labelled good, and those labelled bad a quarter.
+def label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality weights (doc_id, weight) from the labels table, over a base weight of 1 for the unlabelled."""
+    return table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, 2.0).when(F.col("quality") == 0, 0.5).otherwise(1.0).alias("weight"))
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mix(table(spark, sf_dir, "documents"), quality=label_quality(spark, sf_dir))
+    return found.selectExpr("id as doc_id", "size", "source_size", "target", "taken")
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_rows(table(spark, sf_dir, "documents"), 40).withColumnRenamed("id", "doc_id")
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_components(table(spark, sf_dir, "documents"), words=3, percent=90)
     return found.selectExpr("id as doc_id", "n_shingles", "component_id")
@@ -27,8 +59,8 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_ngram_join, op6_suffix_dedup, op7_quality_rules)}
+    return {f.__name__: f for f in (op1_chat_formatting, op2_mixing, op4_sharding, op5_ngram_join, op6_suffix_dedup, op7_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracles.SQL)
