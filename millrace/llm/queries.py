@@ -4,17 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import oracles
 from millrace.llm.chat import format_conversations, read_back
-from millrace.llm.common import table
+from millrace.llm.common import fresh_dir, table
 from millrace.llm.mixing import mix
 from millrace.llm.ngram_join import ngram_components
+from millrace.llm.packing import pack
 from millrace.llm.quality import quality_verdicts
 from millrace.llm.sharding import shard_rows
 from millrace.llm.suffix_dedup import removal_digests
+from millrace.llm.token_store import document_digests, write_store
+
+#: Where the vocabulary file lies on driver and executors alike.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 #: Both turns of the extra conversation say this.
@@ -58,8 +64,18 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("id as doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), TOKENIZER).withColumnRenamed("id", "doc_id")
+
+
+def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_dir(spark, "token-store")
+    write_store(table(spark, sf_dir, "documents"), path, TOKENIZER)
+    return document_digests(spark, path).withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_chat_formatting, op2_mixing, op4_sharding, op5_ngram_join, op6_suffix_dedup, op7_quality_rules)}
+    return {f.__name__: f for f in (op1_chat_formatting, op2_mixing, op4_sharding, op5_ngram_join, op6_suffix_dedup, op7_quality_rules, op8_packing, op10_token_store)}
 
 
 def oracle_sql() -> dict[str, str]:
