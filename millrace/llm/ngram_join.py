@@ -77,6 +77,40 @@ def _describe(k: int, percent: int):
     return run
 
 
+def _prefixes(percent: int):
+    """Each class's shared n-grams in order -> those in its prefix, with their positions.
+
+    The n-grams that no other class has come first and are only counted. Positions among
+    the late ones aren't known exactly; the least one possible stands for them.
+    """
+
+    def cut(t: pa.Table) -> pa.RecordBatch:
+        node, n, s_n, late = (t.column(c).to_numpy() for c in ("node", "n", "s_n", "late"))
+        first = np.concatenate([[True], node[1:] != node[:-1]])
+        group = np.cumsum(first) - 1
+        start = np.flatnonzero(first)
+        shared = np.bincount(group, ~late, len(start)).astype(np.int64)
+        rank = np.arange(len(node)) - start[group]
+        pos = np.where(late, s_n, s_n - shared[group] + rank)
+        keep = np.flatnonzero(pos < n - (percent * n + 99) // 100 + 1)
+        out = t.select(["node", "n", *_SIG, "g"]).append_column("pos", pa.array(pos)).take(pa.array(keep)).combine_chunks()
+        return out.to_batches()[0] if len(keep) else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            t = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+            node = t.column("node").to_numpy()
+            end = int(np.searchsorted(node == node[-1], True)) if len(node) else 0
+            if end and (out := cut(t.slice(0, end))) is not None:
+                yield out
+            held = t.slice(end).combine_chunks().to_batches()[0] if len(node) > end else None
+        if held is not None and (out := cut(pa.Table.from_batches([held]))) is not None:
+            yield out
+
+    return run
+
+
 def _pack(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in K.slices(batches, "text"):
@@ -139,19 +173,17 @@ def ngram_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     base = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
     kind = base.schema["id"].dataType.simpleString()
     sig = ", ".join(f"{s} long" for s in _SIG)
-    described = staged(base.mapInArrow(_describe(words, percent), f"id {kind}, key long, n long, s_n long, node long, grams array<long>, {sig}"), "shingles")
+    described = base.mapInArrow(_describe(words, percent), f"id {kind}, key long, n long, s_n long, node long, grams array<long>, {sig}")
+    described = staged(described.withColumn("row", F.monotonically_increasing_id()), "shingles")
     filled = described.filter("n > 0")
-    grams = filled.select("node", "n", "s_n", *_SIG, F.explode("grams").alias("g"))
+    firsts = filled.groupBy("node").agg(F.min("row").alias("first_row"), F.count("*").alias("c")).filter("c > 1").drop("c")
+    copies = filled.select("node", "row").join(firsts, "node").filter("row <> first_row").select("row")
+    grams = filled.join(copies, "row", "left_anti").select("node", "n", "s_n", *_SIG, F.explode("grams").alias("g"))
     shared = grams.groupBy("g").agg(F.count("*").alias("df")).filter("df > 1")
-    first = F.shiftrightunsigned("g", 44) < _share(percent)
-    lists = (
-        grams.select("node", "n", "s_n", "g", *_SIG).join(shared, "g")
-        .groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "s_n", *_SIG)], F.collect_set(F.struct(F.when(first, 0).otherwise(1).alias("c"), F.when(first, F.col("df")).otherwise(0).alias("df"), "g")).alias("l"))
-    )
-    lists = lists.withColumn("p", F.expr(f"n - (({percent} * n + 99) div 100) + 1")).withColumn("l", F.array_sort("l"))
-    lists = lists.withColumn("alone", F.expr("s_n - size(filter(l, x -> x.c = 0))"))
-    lists = lists.withColumn("l", F.expr("filter(transform(l, (x, i) -> named_struct('g', x.g, 'pos', if(x.c = 0, alone + i, s_n))), x -> x.pos < p)")).filter("size(l) > 0")
-    postings = staged(lists.select("node", "n", *_SIG, F.inline("l")), "postings")
+    after = F.shiftrightunsigned("g", 44) >= _share(percent)
+    lists = grams.join(shared, "g").select("node", "n", "s_n", *_SIG, after.alias("late"), F.when(after, 0).otherwise(F.col("df")).alias("df"), "g")
+    lists = lists.repartition("node").sortWithinPartitions("node", "late", "df", "g")
+    postings = staged(lists.mapInArrow(_prefixes(percent), f"node long, n long, {sig}, g long, pos long"), "postings")
     classes = filled.groupBy("node").agg(F.min("id").alias("min_id"), F.min("key").alias("key"))
 
     crowded = postings.groupBy("g").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("g")

@@ -14,10 +14,12 @@ from millrace.llm.common import fresh_dir, table
 from millrace.llm.mixing import mix
 from millrace.llm.ngram_join import ngram_components
 from millrace.llm.packing import pack
+from millrace.llm.pivots import near_vectors
 from millrace.llm.quality import quality_verdicts
 from millrace.llm.sharding import shard_rows
 from millrace.llm.suffix_dedup import removal_digests
 from millrace.llm.token_store import document_digests, write_store
+from millrace.llm.warc import read_warc, write_warc
 
 #: Where the vocabulary file lies on driver and executors alike.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -46,6 +48,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("id as doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), least=0.93).withColumnRenamed("id", "vec_id")
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"), 40).withColumnRenamed("id", "doc_id")
 
@@ -68,6 +74,12 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), TOKENIZER).withColumnRenamed("id", "doc_id")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = write_warc(table(spark, sf_dir, "pages"), fresh_dir(spark, "warc"))
+    back = read_warc(index)
+    return back.select(F.col("id").cast("long").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "token-store")
     write_store(table(spark, sf_dir, "documents"), path, TOKENIZER)
@@ -75,7 +87,7 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_chat_formatting, op2_mixing, op4_sharding, op5_ngram_join, op6_suffix_dedup, op7_quality_rules, op8_packing, op10_token_store)}
+    return {f.__name__: f for f in (op1_chat_formatting, op2_mixing, op3_embedding_near_dedup, op4_sharding, op5_ngram_join, op6_suffix_dedup, op7_quality_rules, op8_packing, op9_warc, op10_token_store)}
 
 
 def oracle_sql() -> dict[str, str]:
