@@ -1,19 +1,444 @@
-"""The named queries of the engine and their SQL equivalents."""
+"""The named queries of the engine and their SQL equivalents.
+
+The driver tables stand in for reviews: ``documents`` for texts, ``labels.quality`` for ratings
+(missing where unlabelled), ``lang`` and ``source`` for product keys, ``pages`` for markup and
+``events`` for ledger transitions and metrics. Counts, ranks and buckets are longs; floats are rounded.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from millrace.functions import text as X
+from millrace.functions import vector as V
+from millrace.operators import chunking, cleaning, evaluation, healing, ingest, ledger, retrieval, telemetry
+from millrace.operators.embedding import HashingEmbedder, embed_column
+from millrace.operators.retrieval import LexicalReranker
+from millrace.sources import jsonl, sinks
+
+Query = Callable[[SparkSession, str], DataFrame]
+_queries: dict[str, Query] = {}
+_sql: dict[str, str] = {}
+
+
+def _register(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        _queries[f.__name__] = f
+        if sql is not None:
+            _sql[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return docs.join(labels.select("doc_id", F.col("quality").cast("double").alias("rating")), "doc_id", "left").select("doc_id", "text", "rating", "lang", "source")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("lang").count()
+    """Clean, filter, dedup, chunk by sentences, count chunks per language."""
+    docs = _table(spark, sf_dir, "documents").withColumn("rating", F.lit(5.0))
+    kept = cleaning.dedup_first(cleaning.clean_records(docs.select("doc_id", "text", "lang", "rating")), order_col="doc_id")
+    return chunking.chunk(kept, "sentence", id_col="doc_id").groupBy("lang").agg(F.count("*").alias("chunks"))
+
+
+# -- shared pieces of SQL -----------------------------------------------------
+
+_WS = r"'[\s\x1c-\x1f]+'"
+_CLEAN = rf"trim(regexp_replace(regexp_replace({{0}}, '<[^>]+>', ' ', 'g'), {_WS}, ' ', 'g'))"
+_ENTITIES = "replace(replace(replace(replace({0}, '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&amp;', '&')"
+_CLEAN_SQL = f"trim(regexp_replace({_ENTITIES.format("regexp_replace({0}, '<[^>]+>', ' ', 'g')")}, {_WS}, ' ', 'g'))"
+_CLEAN_DECODED = f"trim(regexp_replace(regexp_replace(regexp_replace({_ENTITIES}, '\\[\\[[^\\]]*\\]\\]', ' ', 'g'), '<[^>]+>', ' ', 'g'), {_WS}, ' ', 'g'))"
+_DOC = _CLEAN.format("text")
+_SENT = rf"string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1))"
+_FOLD = """list_reduce(list_transform({0}, lambda s: {{'done': []::VARCHAR[], 'open': s}}),
+  lambda a, x: CASE WHEN a.open <> '' AND length(a.open) + length(x.open) + 1 > 500 THEN {{'done': list_append(a.done, trim(a.open)), 'open': x.open}}
+    ELSE {{'done': a.done, 'open': trim(a.open || ' ' || x.open)}} END, {{'done': []::VARCHAR[], 'open': ''}})"""
+
+
+# -- cleaning, filtering, dedup -----------------------------------------------
+
+
+@_register(f"SELECT page_id, sha256({_CLEAN_SQL.format('html')}) AS clean_hash, length({_CLEAN_SQL.format('html')})::BIGINT AS n_chars FROM pages")
+def clean_html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = X.clean_strip_first(F.col("html"))
+    return _table(spark, sf_dir, "pages").select("page_id", t.alias("t")).select("page_id", X.content_hash(F.col("t")).alias("clean_hash"), F.length("t").cast("long").alias("n_chars"))
+
+
+@_register(f"SELECT page_id, sha256({_CLEAN_DECODED.format('html')}) AS clean_hash FROM pages")
+def clean_html_pages_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "pages").select("page_id", X.content_hash(X.clean_decode_first(F.col("html"))).alias("clean_hash"))
+
+
+_REVIEWS = "(SELECT d.doc_id, text, quality::DOUBLE AS rating, lang, source FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"
+
+
+@_register(f"SELECT lang, count(*)::BIGINT AS kept_15, count(*) FILTER (length({_DOC}) >= 20)::BIGINT AS kept_20, sum(length({_DOC}))::BIGINT AS n_chars FROM {_REVIEWS} WHERE rating IS NOT NULL AND length({_DOC}) >= 15 GROUP BY lang")
+def clean_filter_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = cleaning.clean_records(_reviews(spark, sf_dir))
+    return kept.groupBy("lang").agg(F.count("*").alias("kept_15"), F.count_if(F.length("text") >= 20).alias("kept_20"), F.sum(F.length("text")).alias("n_chars"))
+
+
+@_register("SELECT min(doc_id) AS doc_id, sha256(text) AS hash FROM documents GROUP BY text")
+def dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.dedup_first(_table(spark, sf_dir, "documents"), order_col="doc_id").select("doc_id", X.content_hash(F.col("text")).alias("hash"))
+
+
+@_register("SELECT min(doc_id) AS doc_id, sha256(lower(trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)))) AS hash FROM documents GROUP BY 2")
+def dedup_case_insensitive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.dedup_first(_table(spark, sf_dir, "documents"), order_col="doc_id", ignore_case=True).select("doc_id", X.text_hash(F.col("text")).alias("hash"))
+
+
+@_register("SELECT doc_id, sha256(text) AS hash FROM documents d WHERE doc_id % 2 = 1 AND sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE doc_id % 2 = 0) QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1")
+def dedup_across_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    seen = cleaning.text_hashes(docs.filter("doc_id % 2 = 0"))
+    return cleaning.dedup_first(docs.filter("doc_id % 2 = 1"), order_col="doc_id", seen=seen).select("doc_id", X.content_hash(F.col("text")).alias("hash"))
+
+
+@_register(f"""
+WITH c AS (SELECT doc_id, {_DOC} AS text, rating, lang, source FROM {_REVIEWS}),
+k AS (SELECT *, sha256(lower(text)) AS h FROM c WHERE rating IS NOT NULL AND length(text) >= 20 QUALIFY row_number() OVER (PARTITION BY sha256(lower(text)) ORDER BY doc_id) = 1),
+m AS (SELECT lang, arg_min(source, doc_id) AS title FROM documents WHERE lang <> 'de' GROUP BY lang)
+SELECT substr(h, 1, 16) AS id, text, rating, k.lang AS parent_asin, m.title AS product_title, CASE k.lang WHEN 'fr' THEN 'French' WHEN 'es' THEN 'Reviews' WHEN 'en' THEN 'English' ELSE 'Reviews' END AS category
+FROM k LEFT JOIN m ON k.lang = m.lang""")
+def ingest_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reviews = _reviews(spark, sf_dir).select(F.col("doc_id").alias("line_number"), "text", "rating", F.col("source").alias("asin"), F.col("lang").alias("parent_asin"), F.lit(0).alias("helpful_vote"), F.lit(0).cast("long").alias("timestamp"))
+    names = F.create_map(F.lit("fr"), F.lit("French"), F.lit("es"), F.lit(""), F.lit("en"), F.lit("English"))
+    meta = _table(spark, sf_dir, "documents").filter("lang <> 'de'").select(F.col("doc_id").alias("line_number"), F.col("lang").alias("parent_asin"), F.col("source").alias("title"), names[F.col("lang")].alias("main_category"))
+    return ingest.ingest_reviews(reviews, meta, category="Reviews", limit=None).select("id", "text", "rating", "parent_asin", "product_title", "category")
+
+
+@_register(f"SELECT (SELECT count(*) FROM documents)::BIGINT AS raw_seen, count(*)::BIGINT AS after_filter, count(DISTINCT sha256({_DOC}))::BIGINT AS kept FROM {_REVIEWS} WHERE rating IS NOT NULL AND length({_DOC}) >= 15")
+def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = _reviews(spark, sf_dir)
+    filtered = cleaning.clean_records(raw)
+    return ingest.run_counters(raw, filtered, cleaning.dedup_first(filtered, order_col="doc_id"))
+
+
+# -- batching and chunking ----------------------------------------------------
+
+
+@_register("SELECT batch_id, sha256(string_agg(h, chr(10) ORDER BY h)) AS batch_hash, count(*)::BIGINT AS rows_in FROM (SELECT (row_number() OVER (ORDER BY doc_id) - 1) // 32 AS batch_id, sha256(text) AS h FROM documents) GROUP BY batch_id")
+def batch_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.batch_hashes(cleaning.batched(_table(spark, sf_dir, "documents").select("doc_id", "text"), order_col="doc_id"), raw_col="text")
+
+
+@_register("""
+WITH w AS (SELECT doc_id, s, trim(substr(text, (s + 1)::INT, 500), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t FROM (SELECT doc_id, text, unnest(range(0, length(text), 400)) AS s FROM documents))
+SELECT doc_id || '-' || (row_number() OVER (PARTITION BY doc_id ORDER BY s) - 1) AS chunk_id, (row_number() OVER (PARTITION BY doc_id ORDER BY s) - 1)::BIGINT AS seq, sha256(t) AS chunk_hash FROM w WHERE t <> ''""")
+def chunk_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunking.chunk(_table(spark, sf_dir, "documents").select("doc_id", "text"), "fixed", id_col="doc_id").select("chunk_id", "seq", X.content_hash(F.col("text")).alias("chunk_hash"))
+
+
+@_register(f"""
+WITH f AS (SELECT doc_id, {_FOLD.format(_SENT)} AS s FROM documents),
+c AS (SELECT doc_id, CASE WHEN s.open = '' THEN s.done ELSE list_append(s.done, trim(s.open)) END AS parts FROM f),
+e AS (SELECT doc_id, unnest(range(len(parts))) AS seq, unnest(parts) AS t FROM c)
+SELECT doc_id || '-' || seq AS chunk_id, seq::BIGINT AS seq, sha256(t) AS chunk_hash FROM e""")
+def chunk_sentence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunking.chunk(_table(spark, sf_dir, "documents").select("doc_id", "text"), "sentence", id_col="doc_id").select("chunk_id", "seq", X.content_hash(F.col("text")).alias("chunk_hash"))
+
+
+@_register("SELECT doc_id, sha256('Product: ' || coalesce(nullif(CASE WHEN lang = 'en' THEN '' ELSE source END, ''), lang) || ' | Review: ' || text) AS enriched_hash FROM documents")
+def enrich_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    title = F.when(F.col("lang") == "en", "").otherwise(F.col("source"))
+    return _table(spark, sf_dir, "documents").select("doc_id", X.content_hash(X.enrich(title, F.col("lang"), F.col("text"))).alias("enriched_hash"))
+
+
+@_register("SELECT (doc_id || '-' || (doc_id % 7)) AS chunk_id, doc_id::VARCHAR AS parent_id, substr(text, 1, 200) AS excerpt FROM documents")
+def chunk_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cid = F.concat_ws("-", "doc_id", (F.col("doc_id") % 7))
+    return _table(spark, sf_dir, "documents").select(cid.alias("chunk_id"), X.parent_of(cid).alias("parent_id"), X.truncate(F.col("text"), 200).alias("excerpt"))
+
+
+# -- vectors and retrieval ----------------------------------------------------
+
+_Q = "(SELECT vec_id AS query_id, embedding::DOUBLE[] AS q, label AS query_label FROM embeddings WHERE vec_id < 20)"
+
+
+def _queries_of(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The stated query set, vectors 0 to 19, against all vectors."""
+    corpus = _table(spark, sf_dir, "embeddings")
+    return corpus.filter("vec_id < 20").select(F.col("vec_id").alias("query_id"), F.col("embedding").cast("array<double>").alias("vector"), F.col("label").alias("query_label")), corpus
+
+
+@_register(f"SELECT query_id, vec_id AS id, row_number() OVER (PARTITION BY query_id ORDER BY round(list_cosine_distance(q, embedding::DOUBLE[]), 12), vec_id)::BIGINT AS rank FROM {_Q}, embeddings QUALIFY rank <= 5")
+def vector_topk_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q, corpus = _queries_of(spark, sf_dir)
+    return retrieval.batch_top_k(q, corpus, k=5, id_col="vec_id").select("query_id", "id", "rank")
+
+
+@_register(f"SELECT query_id, vec_id AS id, row_number() OVER (PARTITION BY query_id ORDER BY round(list_inner_product(q, embedding::DOUBLE[]), 12) DESC, vec_id)::BIGINT AS rank FROM {_Q}, embeddings WHERE label >= 4 QUALIFY rank <= 5")
+def vector_topk_ip_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q, corpus = _queries_of(spark, sf_dir)
+    return retrieval.batch_top_k(q, corpus.filter(F.col("label") >= 4), k=5, metric="inner", id_col="vec_id").select("query_id", "id", "rank")
+
+
+@_register("SELECT vec_id, round(list_cosine_distance((SELECT embedding::DOUBLE[] FROM embeddings WHERE vec_id = 0), embedding::DOUBLE[]), 9) AS distance FROM embeddings ORDER BY round(list_cosine_distance((SELECT embedding::DOUBLE[] FROM embeddings WHERE vec_id = 0), embedding::DOUBLE[]), 12), vec_id LIMIT 10")
+def vector_search_single(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corpus = _table(spark, sf_dir, "embeddings")
+    one = corpus.filter("vec_id = 0").select("embedding").first()[0]
+    from millrace.operators.store import search
+
+    return search(corpus, one, k=10, id_col="vec_id").select("vec_id", F.round("distance", 9).alias("distance"))
+
+
+@_register("SELECT vec_id, round(sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])), 6) AS norm, round((embedding[1]::DOUBLE) / sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])), 6) AS first FROM embeddings")
+def normalize_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = F.col("embedding")
+    return _table(spark, sf_dir, "embeddings").select("vec_id", F.round(V.norm(v), 6).alias("norm"), F.round(F.element_at(V.l2_normalize(v), 1), 6).alias("first"))
+
+
+@_register(f"""
+WITH h AS (SELECT query_id, query_label, vec_id, label, row_number() OVER (PARTITION BY query_id ORDER BY round(list_cosine_distance(q, embedding::DOUBLE[]), 12), vec_id) AS rank FROM {_Q}, embeddings WHERE vec_id <> query_id QUALIFY rank <= 10),
+r AS (SELECT query_id, min(rank) FILTER (label = query_label) AS rank FROM h GROUP BY query_id)
+SELECT k::INT AS k, count(*)::BIGINT AS n, round(avg(CASE WHEN rank <= k THEN 1.0 ELSE 0.0 END), 3) AS recall_at_k, round(avg(CASE WHEN rank <= k THEN 1.0 / rank ELSE 0.0 END), 3) AS mrr FROM r, (VALUES (1), (5), (10)) AS v(k) GROUP BY k""")
+def retrieval_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q, corpus = _queries_of(spark, sf_dir)
+    hits = retrieval.batch_top_k(q, corpus, k=11, id_col="vec_id").filter("id <> query_id")
+    hits = hits.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("rank")))
+    hits = hits.join(corpus.select(F.col("vec_id").alias("id"), "label"), "id").join(q.select("query_id", "query_label"), "query_id")
+    ranks = evaluation.first_relevant(hits.withColumn("relevant", F.col("label") == F.col("query_label")), q)
+    return evaluation.scores(ranks, 1).union(evaluation.scores(ranks, 5)).union(evaluation.scores(ranks, 10))
+
+
+@_register(f"""
+WITH h AS (SELECT query_id, query_label, vec_id, label, row_number() OVER (PARTITION BY query_id ORDER BY round(list_cosine_distance(q, embedding::DOUBLE[]), 12), vec_id) AS r FROM {_Q}, embeddings QUALIFY r <= 20)
+SELECT query_id, vec_id AS id, row_number() OVER (PARTITION BY query_id ORDER BY CASE WHEN label = query_label THEN 1 ELSE 0 END DESC, r)::BIGINT AS rank FROM h QUALIFY rank <= 5""")
+def rerank_two_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q, corpus = _queries_of(spark, sf_dir)
+    pool = retrieval.batch_top_k(q, corpus, k=retrieval.candidate_count(5, True), id_col="vec_id")
+    pool = pool.join(corpus.select(F.col("vec_id").alias("id"), F.concat(F.lit("label"), F.col("label")).alias("text")), "id").join(q.select("query_id", F.concat(F.lit("label"), F.col("query_label")).alias("query")), "query_id")
+    return retrieval.rerank(pool, LexicalReranker(), 5).select("query_id", "id", F.col("rank").cast("long").alias("rank"))
+
+
+@_register("SELECT lang AS query_id, string_agg('[' || r || '] (rating ' || coalesce(CASE quality WHEN 1 THEN '1.0' WHEN 0 THEN '0.0' END, 'None') || ') ' || substr(text, 1, 200), chr(10) || chr(10) ORDER BY r) AS context FROM (SELECT d.*, quality, row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, d.doc_id) AS r FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id QUALIFY r <= 5) GROUP BY lang")
+def rag_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _reviews(spark, sf_dir).join(_table(spark, sf_dir, "documents").select("doc_id", "n_chars"), "doc_id")
+    hits = retrieval.top_by(docs.withColumn("query_id", F.col("lang")), 5, by=[F.desc("n_chars"), F.asc("doc_id")])
+    return retrieval.contexts(hits.withColumn("document", X.truncate(F.col("text"), 200)))
+
+
+@_register()
+def embed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By the hashing stand-in: the vectors' length and norm."""
+    done = embed_column(_table(spark, sf_dir, "documents").select("doc_id", "text"), HashingEmbedder())
+    return done.select("doc_id", F.size("embedding").cast("long").alias("dim"), F.round(V.norm(F.col("embedding")), 5).alias("norm"))
+
+
+@_register("SELECT doc_id || '-0' AS chunk_id, doc_id::VARCHAR AS parent_id FROM documents WHERE length(text) > 150 ORDER BY sha256(doc_id || '-0' || '42'), 1 LIMIT 50")
+def gold_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chunks = _table(spark, sf_dir, "documents").select(F.concat(F.col("doc_id").cast("string"), F.lit("-0")).alias("chunk_id"), F.col("doc_id").cast("string").alias("parent_id"), "text")
+    return evaluation.gold_sample(chunks, 50).select("chunk_id", "parent_id")
+
+
+@_register("SELECT vec_id FROM embeddings WHERE vec_id BETWEEN 0 AND 30 AND vec_id NOT IN (SELECT vec_id FROM embeddings WHERE label = 0)")
+def missing_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corpus = _table(spark, sf_dir, "embeddings")
+    return corpus.filter("vec_id between 0 and 30").select("vec_id").join(corpus.filter("label = 0").select("vec_id"), "vec_id", "left_anti")
+
+
+# -- store, joins -------------------------------------------------------------
+
+
+@_register("SELECT sha256(text) AS id, min(doc_id) AS doc_id FROM documents WHERE doc_id % 3 <> 0 AND sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE doc_id % 3 = 0) GROUP BY text")
+def store_insert_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select(X.content_hash(F.col("text")).alias("id"), "doc_id")
+    return sinks.insert_absent(docs.filter("doc_id % 3 <> 0"), docs.filter("doc_id % 3 = 0"), order_col="doc_id").select("id", "doc_id")
+
+
+@_register("SELECT doc_id AS id, CASE WHEN doc_id % 2 = 0 THEN 'new ' ELSE 'old ' END || left(text, 20) AS document, CASE WHEN doc_id % 3 = 0 OR doc_id % 2 = 1 THEN 'old' ELSE 'new' END AS asin FROM documents WHERE doc_id % 2 = 0 OR doc_id % 3 = 0")
+def store_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    side = lambda tag, cond: docs.filter(cond).select(F.col("doc_id").alias("id"), F.concat(F.lit(tag + " "), F.substring("text", 1, 20)).alias("document"), F.lit(tag).alias("asin"))
+    return sinks.upsert(side("new", "doc_id % 2 = 0"), side("old", "doc_id % 3 = 0"))
+
+
+@_register("SELECT l_partkey AS parent_asin, arg_min(l_returnflag, l_orderkey * 10 + l_linenumber)::VARCHAR AS title FROM (SELECT l_partkey, min(l_returnflag) AS l_returnflag, l_orderkey, l_linenumber FROM lineitem GROUP BY ALL) WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size < 10) GROUP BY l_partkey")
+def meta_first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wanted = _table(spark, sf_dir, "part").filter("p_size < 10").select(F.col("p_partkey").alias("parent_asin"))
+    meta = _table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("parent_asin"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line_number")).agg(F.min("l_returnflag").alias("title")).withColumn("main_category", F.lit(""))
+    return jsonl.load_product_meta(meta, wanted).select("parent_asin", "title")
+
+
+@_register("SELECT event_id AS id FROM events e WHERE event_type = 'error' AND NOT EXISTS (SELECT 1 FROM events s WHERE s.event_type = 'signup' AND s.event_id = e.event_id + 1) ORDER BY id")
+def unhealed_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _table(spark, sf_dir, "events")
+    jobs = events.select(F.col("event_id").alias("id"), F.when(F.col("event_type") == "error", "failed").otherwise("succeeded").alias("status"))
+    log = events.filter("event_type = 'signup'").select((F.col("event_id") - 1).alias("failed_job_id"))
+    return healing.unhealed_jobs(jobs, log).select("id")
+
+
+_PREFIXES = ["http://", "https://www.", "https://a", "https://"]
+
+
+@_register("SELECT page_id, CASE WHEN starts_with(url, 'http://') THEN 'http://' WHEN starts_with(url, 'https://www.') THEN 'https://www.' WHEN starts_with(url, 'https://a') THEN 'https://a' WHEN starts_with(url, 'https://') THEN 'https://' END AS prefix FROM pages")
+def registry_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return healing.registry_match(_table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("job_name")), _PREFIXES).select("page_id", "prefix")
+
+
+# -- ledger and healing -------------------------------------------------------
+
+_STATUS = {"view": "running", "click": "succeeded", "purchase": "failed", "signup": "retrying", "error": "escalated"}
+_STATUS_SQL = "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _STATUS.items()) + " END"
+
+
+def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as requested transitions, a stage per parity and a key per user and day, each begun by ``pending``."""
+    e = _table(spark, sf_dir, "events")
+    to = F.create_map(*[F.lit(x) for kv in _STATUS.items() for x in kv])[F.col("event_type")]
+    null = lambda t: F.lit(None).cast(t)
+    key = F.concat_ws("-", "user_id", F.date_format("ts", "yyyyMMdd"))
+    cols = [(F.col("user_id") % 2).cast("string").alias("stage"), key.alias("input_hash"), F.col("event_id").alias("seq"), to.alias("to_status"), F.when(to.isin("failed", "escalated"), F.concat(F.lit("E"), (F.col("event_id") % 3).cast("string"))).alias("error_type"), null("string").alias("error_message"), null("int").alias("rows_in"), F.when(to == "succeeded", F.col("value").cast("int")).alias("rows_out"), "ts"]
+    log = e.select(*cols)
+    first = log.groupBy("stage", "input_hash").agg(F.min("ts").alias("ts")).withColumns({"seq": F.lit(-1).cast("long"), "to_status": F.lit("pending"), "error_type": null("string"), "error_message": null("string"), "rows_in": F.lit(7), "rows_out": null("int")})
+    return log.unionByName(first)
+
+
+_LEGAL = " OR ".join(f"(a.status = '{a}' AND x.status = '{b}')" for a, to in ledger.TRANSITIONS.items() for b in to)
+_REPLAY = f"""
+e AS (SELECT user_id % 2 AS stage, user_id || '-' || strftime(ts, '%Y%m%d') AS input_hash, event_id, ts, {_STATUS_SQL} AS to_status FROM events),
+l AS (SELECT stage, input_hash, list({{'status': to_status, 'attempts': 0::BIGINT, 'refused': 0::BIGINT, 'at': ts}} ORDER BY ts, event_id) AS es, min(ts) AS created FROM e GROUP BY ALL),
+s AS (SELECT stage::VARCHAR AS stage, input_hash, created, list_reduce(es, lambda a, x: CASE WHEN {_LEGAL} THEN {{'status': x.status, 'attempts': a.attempts + CASE x.status WHEN 'running' THEN 1 ELSE 0 END, 'refused': a.refused, 'at': x.at}}
+  ELSE {{'status': a.status, 'attempts': a.attempts, 'refused': a.refused + 1, 'at': a.at}} END, {{'status': 'pending', 'attempts': 0::BIGINT, 'refused': 0::BIGINT, 'at': created}}) AS s FROM l)"""
+
+
+@_register(f"WITH {_REPLAY} SELECT stage, input_hash, s.status AS status, s.attempts AS attempt_count, s.refused AS refused FROM s")
+def ledger_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.replay(_log(spark, sf_dir)).select("stage", "input_hash", "status", F.col("attempt_count").cast("long").alias("attempt_count"), F.col("refused").cast("long").alias("refused"))
+
+
+@_register("SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type, max((ts, event_id)).event_id AS event_id FROM (SELECT *, {'ts': ts, 'event_id': event_id} AS o FROM events) GROUP BY user_id".replace("(ts, event_id)", "o").replace("max(o).event_id", "max(o)['event_id']"))
+def ledger_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.latest(_table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type"), order=("ts", "event_id"), key=("user_id",)).select("user_id", "event_type", "event_id")
+
+
+@_register(f"WITH {_REPLAY} SELECT input_hash, s.status AS status FROM s WHERE stage = '1' AND s.status IN ('pending', 'retrying')")
+def ledger_runnable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.runnable(ledger.replay(_log(spark, sf_dir)), "1").select("input_hash", "status")
+
+
+@_register(f"WITH {_REPLAY} SELECT input_hash, s.attempts AS attempt_count FROM s WHERE s.status = 'failed'")
+def ledger_unhealed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.unhealed(ledger.replay(_log(spark, sf_dir))).select("input_hash", F.col("attempt_count").cast("long").alias("attempt_count"))
+
+
+@_register(f"WITH {_REPLAY} SELECT s.status IN ('succeeded', 'escalated') AS done, count(*)::BIGINT AS n FROM s GROUP BY 1 UNION ALL SELECT false, 1")
+def ledger_done(spark: SparkSession, sf_dir: str) -> DataFrame:
+    states = ledger.replay(_log(spark, sf_dir))
+    known = ledger.with_done(states.select("stage", "input_hash"), states).groupBy("done").agg(F.count("*").alias("n"))
+    unknown = spark.range(1).select(F.lit("x").alias("stage"), F.lit("unknown").alias("input_hash"))
+    return known.unionByName(ledger.with_done(unknown, states).groupBy("done").agg(F.count("*").alias("n")))
+
+
+#: Error strings for the rules: (type, message).
+_ERRORS = [
+    ("TimeoutError", "the request timed out"), ("RateLimitError", "injected rate_limit fault at stage 'ingest'"), ("X", "upstream returned 429"), ("X", "rate limit exceeded, slow down"), ("requests.exceptions.Timeout", "Read timed out."),
+    ("KeyError", "'asin'"), ("SchemaError", "bad column"), ("ValueError", "schema mismatch: expected asin"), ("ValueError", "schema error in record"), ("SchemaError", "429 too many requests"),
+    ("ConnectionDroppedError", "injected dropped_connection fault"), ("MalformedRecordFault", "injected malformed_record fault"), ("TypeError", "x"), ("", ""), ("MyKeyError", "order x4291"),
+]
+_ERR_VALUES = ", ".join("('{}', '{}')".format(*[s.replace("'", "''") for s in e]) for e in _ERRORS)
+_RULES_SQL = """CASE WHEN regexp_matches(t, '(?i)timeout|ratelimit') OR regexp_matches(m, '(?i)\\btimeout\\b|\\btimed out\\b|\\b429\\b|rate.?limit|too many requests') THEN 'retry'
+ WHEN regexp_matches(t, '(?i)^keyerror$|schemaerror') OR regexp_matches(m, '(?i)schema mismatch|schema error') THEN 'escalate' END"""
+
+
+@_register(f"SELECT event_id, {_RULES_SQL} AS decision FROM (SELECT event_id, v.t, v.m || ' ' || event_type AS m FROM events JOIN (SELECT row_number() OVER () - 1 AS i, t, m FROM (VALUES {_ERR_VALUES}) AS x(t, m)) v ON v.i = event_id % {len(_ERRORS)})")
+def classify_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pick = F.element_at(F.array(*[F.struct(F.lit(t).alias("t"), F.lit(m).alias("m")) for t, m in _ERRORS]), (F.col("event_id") % len(_ERRORS) + 1).cast("int"))
+    rows = _table(spark, sf_dir, "events").select("event_id", pick.alias("e"), "event_type")
+    return rows.select("event_id", healing.classify_rules(F.col("e.t"), F.concat_ws(" ", "e.m", "event_type")).alias("decision"))
+
+
+@_register(f"""WITH {_REPLAY}, f AS (SELECT input_hash, s.attempts AS n, CASE WHEN length(input_hash) % 2 = 0 THEN 'TimeoutError' ELSE 'KeyError' END AS t FROM s WHERE s.status = 'failed')
+SELECT input_hash, CASE WHEN n >= 3 OR t = 'KeyError' THEN 'escalate' ELSE 'retry' END AS decision, CASE WHEN n >= 3 OR t = 'KeyError' THEN 0.0 ELSE least(1.0 * pow(2.0, greatest(n - 1, 0)), 60.0) END::DOUBLE AS delay FROM f""")
+def heal_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    failed = ledger.unhealed(ledger.replay(_log(spark, sf_dir)))
+    failed = failed.withColumns({"error_type": F.when(F.length("input_hash") % 2 == 0, "TimeoutError").otherwise("KeyError"), "error_message": F.lit("")})
+    return healing.decisions(failed, max_attempts=3).select("input_hash", "decision", "delay")
+
+
+@_register("SELECT n::INT AS n, least(pow(2.0, greatest(n - 1, 0)), 60.0) AS exponential, 30 * n::INT AS linear FROM range(0, 12) t(n)")
+def backoff_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("id").cast("int")
+    return spark.range(12).select(n.alias("n"), healing.backoff_seconds(n).alias("exponential"), healing.linear_backoff(n).alias("linear"))
+
+
+@_register("SELECT event_id, json_extract_string(props, '$.k') AS k, try_cast(json_extract_string(props, '$.k') AS BIGINT) IS NULL AS odd FROM events")
+def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = X.json_field(F.col("props"), "k")
+    return _table(spark, sf_dir, "events").select("event_id", k.alias("k"), F.try_to_number(k, F.lit("999999999999")).isNull().alias("odd"))
+
+
+# -- telemetry ----------------------------------------------------------------
+
+
+def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as series: each counts an attempt of its user's stage, an error a failure, the value rows in."""
+    e = _table(spark, sf_dir, "events").withColumn("stage", F.element_at(F.array(F.lit("ingest"), F.lit("embed"), F.lit("vectorstore")), (F.col("user_id") % 3 + 1).cast("int")))
+    series = F.array(F.struct(F.lit(telemetry.ATTEMPTS).alias("name"), F.lit(1.0).alias("value")), F.struct(F.lit(telemetry.ROWS_IN).alias("name"), F.round("value").alias("value")), F.struct(F.when(F.col("event_type") == "error", telemetry.FAILURES).alias("name"), F.lit(1.0).alias("value")))
+    kind = F.when(F.col("event_type") == "error", F.concat(F.lit("E"), (F.col("event_id") % 4).cast("string")))
+    return e.select("ts", "stage", kind.alias("error_type"), F.inline(series)).filter("name is not null")
+
+
+_STAGE_SQL = "['ingest', 'embed', 'vectorstore'][(user_id % 3 + 1)::INT]"
+
+
+@_register(f"SELECT {_STAGE_SQL} AS stage, count(*)::DOUBLE AS attempts, sum(round(value)) AS rows_in FROM events GROUP BY 1")
+def metrics_by_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = _metrics(spark, sf_dir)
+    a = telemetry.counters(m, telemetry.ATTEMPTS, "stage").withColumnRenamed("total", "attempts")
+    return a.join(telemetry.counters(m, telemetry.ROWS_IN, "stage").withColumnRenamed("total", "rows_in"), "stage")
+
+
+@_register(f"SELECT {_STAGE_SQL} AS stage, 'E' || (event_id % 4) AS error_type, count(*)::DOUBLE AS total FROM events WHERE event_type = 'error' GROUP BY ALL")
+def failures_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return telemetry.counters(_metrics(spark, sf_dir), telemetry.FAILURES, "stage", "error_type")
+
+
+@_register(f"SELECT {_STAGE_SQL} AS stage, round(count(*) FILTER (event_type = 'error') / count(*), 9) AS failure_ratio FROM events GROUP BY 1")
+def failure_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return telemetry.failure_ratio(_metrics(spark, sf_dir)).withColumn("failure_ratio", F.round("failure_ratio", 9))
+
+
+@_register("SELECT event_type, strftime(time_bucket(INTERVAL 1 DAY, ts), '%Y-%m-%d') AS day, round(count(*) / 86400.0, 9) AS per_second FROM events GROUP BY ALL")
+def rate_by_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return telemetry.rates(_table(spark, sf_dir, "events"), "ts", "1 day", 86400, "event_type").select("event_type", F.date_format("window_start", "yyyy-MM-dd").alias("day"), F.round("per_second", 9).alias("per_second"))
+
+
+_BUCKET_SQL = " + ".join(f"CASE WHEN value > {b} THEN 1 ELSE 0 END" for b in telemetry.BOUNDS)
+_HIST = f"h AS (SELECT event_type, ({_BUCKET_SQL})::BIGINT AS bucket, count(*)::BIGINT AS n FROM events GROUP BY ALL), c AS (SELECT *, sum(n) OVER (PARTITION BY event_type ORDER BY bucket)::BIGINT AS cumulative FROM h)"
+
+
+@_register(f"WITH {_HIST} SELECT * FROM c")
+def latency_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return telemetry.histogram(_table(spark, sf_dir, "events"), "value", "event_type")
+
+
+_BOUNDS_SQL = str([float(b) for b in telemetry.BOUNDS])
+
+
+@_register(f"""WITH {_HIST}, q AS (SELECT *, q * max(cumulative) OVER (PARTITION BY event_type, q) AS rank FROM c, (VALUES (0.5), (0.95), (0.99)) AS v(q)),
+f AS (SELECT * FROM q WHERE cumulative >= rank QUALIFY bucket = min(bucket) OVER (PARTITION BY event_type, q))
+SELECT event_type, q::DOUBLE AS q, round(CASE WHEN bucket >= 13 THEN 60.0 ELSE (CASE WHEN bucket = 0 THEN 0.0 ELSE {_BOUNDS_SQL}[bucket] END) + ({_BOUNDS_SQL}[bucket + 1] - CASE WHEN bucket = 0 THEN 0.0 ELSE {_BOUNDS_SQL}[bucket] END) * (rank - (cumulative - n)) / n END, 6)::DOUBLE AS quantile FROM f""")
+def latency_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hist = telemetry.histogram(_table(spark, sf_dir, "events"), "value", "event_type")
+    one = lambda q: telemetry.histogram_quantile(hist, q, "event_type").select("event_type", F.lit(q).alias("q"), F.round("quantile", 6).alias("quantile"))
+    return one(0.5).unionByName(one(0.95)).unionByName(one(0.99))
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_sql)
