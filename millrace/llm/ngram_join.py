@@ -93,7 +93,7 @@ def _prefixes(percent: int):
         rank = np.arange(len(node)) - start[group]
         pos = np.where(late, s_n, s_n - shared[group] + rank)
         keep = np.flatnonzero(pos < n - (percent * n + 99) // 100 + 1)
-        out = t.select(["node", "n", *_SIG, "g"]).append_column("pos", pa.array(pos)).take(pa.array(keep)).combine_chunks()
+        out = t.select(["node", "n", "g"]).append_column("pos", pa.array(pos)).take(pa.array(keep)).combine_chunks()
         return out.to_batches()[0] if len(keep) else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,11 +111,32 @@ def _prefixes(percent: int):
     return run
 
 
-def _pack(k: int):
+#: Bits of the filter through which texts pass to verification: a fixed 4 MB, however many are wanted.
+FILTER_BITS = 1 << 25
+
+
+def _filter(wanted: DataFrame) -> np.ndarray:
+    """A Bloom filter of the wanted keys with two bits each, put together by grouped ORs into at most FILTER_BITS / 64 rows."""
+    bits = wanted.select(F.explode(F.array(*[F.xxhash64("key", F.lit(i)).bitwiseAND(FILTER_BITS - 1) for i in range(2)])).alias("b"))
+    words = bits.groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("v"))
+    out = np.zeros(FILTER_BITS // 64, np.uint64)
+    found = words.toArrow()
+    out[found.column("w").to_numpy()] = found.column("v").to_numpy().view(np.uint64)
+    return out
+
+
+def _pack(k: int, held: np.ndarray):
+    """Texts whose key may be wanted -> their n-gram sets; what passes by chance is dropped by the join that follows."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in K.slices(batches, "text"):
-            data, offs = K.flat(batch.column("text"))
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([g.tobytes() for g in _sets(data, offs, k)], pa.binary())], ["node", "packed"])
+        for batch in batches:
+            may = np.ones(batch.num_rows, bool)
+            for c in ("h0", "h1"):
+                b = batch.column(c).to_numpy() & (FILTER_BITS - 1)
+                may &= (held[b >> 6] >> (b & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+            for part in K.slices(iter([batch.select(["key", "text"]).filter(pa.array(may))]), "text"):
+                data, offs = K.flat(part.column("text"))
+                yield pa.RecordBatch.from_arrays([part.column("key"), pa.array([g.tobytes() for g in _sets(data, offs, k)], pa.binary())], ["key", "packed"])
 
     return run
 
@@ -155,6 +176,13 @@ def _may_link(x: str, y: str, percent: int) -> Column:
     )
 
 
+def _candidates(met: DataFrame, x: str, y: str, percent: int) -> DataFrame:
+    """Pairs (a, b) of two posting structs that pass all filters, a the smaller set."""
+    small = _ordered(x, y)
+    sides = met.select(F.when(small, F.col(x)).otherwise(F.col(y)).alias("u"), F.when(small, F.col(y)).otherwise(F.col(x)).alias("v"))
+    return sides.filter(_may_link("u", "v", percent)).select(F.col("u.node").alias("a"), F.col("v.node").alias("b"))
+
+
 def _ordered(a: str, b: str) -> Column:
     return F.struct(F.col(f"{a}.n"), F.col(f"{a}.node")) < F.struct(F.col(f"{b}.n"), F.col(f"{b}.node"))
 
@@ -178,51 +206,48 @@ def ngram_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     filled = described.filter("n > 0")
     firsts = filled.groupBy("node").agg(F.min("row").alias("first_row"), F.count("*").alias("c")).filter("c > 1").drop("c")
     copies = filled.select("node", "row").join(firsts, "node").filter("row <> first_row").select("row")
-    grams = filled.join(copies, "row", "left_anti").select("node", "n", "s_n", *_SIG, F.explode("grams").alias("g"))
+    grams = filled.join(copies, "row", "left_anti").select("node", "n", "s_n", F.explode("grams").alias("g"))
     shared = grams.groupBy("g").agg(F.count("*").alias("df")).filter("df > 1")
     after = F.shiftrightunsigned("g", 44) >= _share(percent)
-    lists = grams.join(shared, "g").select("node", "n", "s_n", *_SIG, after.alias("late"), F.when(after, 0).otherwise(F.col("df")).alias("df"), "g")
+    lists = grams.join(shared, "g").select("node", "n", "s_n", after.alias("late"), F.when(after, 0).otherwise(F.col("df")).alias("df"), "g")
     lists = lists.repartition("node").sortWithinPartitions("node", "late", "df", "g")
-    postings = staged(lists.mapInArrow(_prefixes(percent), f"node long, n long, {sig}, g long, pos long"), "postings")
-    classes = filled.groupBy("node").agg(F.min("id").alias("min_id"), F.min("key").alias("key"))
+    postings = staged(lists.mapInArrow(_prefixes(percent), "node long, n long, g long, pos long"), "postings")
+    classes = filled.groupBy("node").agg(F.min("id").alias("min_id"), F.min("key").alias("key"), *[F.first(s).alias(s) for s in _SIG])
+    classes = staged(classes, "classes")
 
     crowded = postings.groupBy("g").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("g")
-    postings = staged(postings.join(crowded, "g"), "postings")
-    wanted = postings.select("node").distinct().join(classes.select("node", "key"), "node")
-    texts = base.select("key", "text").join(wanted, "key").dropDuplicates(["node"]).select("node", "text")
-    sets = staged(texts.mapInArrow(_pack(words), "node long, packed binary"), "sets")
+    postings = staged(postings.join(crowded, "g").join(classes.select("node", *_SIG), "node"), "postings")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.distinct().join(sets.select(F.col("node").alias("a"), F.col("packed").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("packed").alias("y")), "b")
-        return pairs.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long")
+        pairs = staged(pairs.distinct(), "pairs")
+        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct().join(classes.select("node", "key"), "node")
+        wanted = staged(wanted, "wanted")
+        packed = base.select("key", "text", *[F.xxhash64("key", F.lit(i)).alias(f"h{i}") for i in range(2)]).mapInArrow(_pack(words, _filter(wanted)), "key long, packed binary")
+        sets = staged(wanted.join(packed, "key").dropDuplicates(["node"]).select("node", "packed"), "sets")
+        met = pairs.join(sets.select(F.col("node").alias("a"), F.col("packed").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("packed").alias("y")), "b")
+        return staged(met.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long"), "links")
 
     members = ["node", "n", "pos", *_SIG]
-    held = postings.withColumn("comp", F.col("node"))
-    links = None
+    first_pairs = None
     for turn in range(2):
         band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent)) + turn / 2)
-        rows = held.withColumn("band", band)
-        pivots = rows.groupBy("g", "band").agg(F.min(F.struct(F.xxhash64("comp", F.lit(turn)).alias("r"), F.xxhash64("node", F.lit(turn)).alias("q"), *members, "comp")).alias("p"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("g", "band", "p")
-        met = rows.join(pivots, ["g", "band"]).select("comp", "p", F.struct(*members).alias("m")).filter("comp <> p.comp")
-        small = _ordered("p", "m")
-        pairs = met.select(F.when(small, F.struct(*[F.col(f"p.{c}") for c in members])).otherwise(F.col("m")).alias("u"), F.when(small, F.col("m")).otherwise(F.struct(*[F.col(f"p.{c}") for c in members])).alias("v"))
-        pairs = pairs.filter(_may_link("u", "v", percent)).select(F.col("u.node").alias("a"), F.col("v.node").alias("b"))
-        new = staged(verified(pairs), "links")
-        links = new if links is None else links.union(new)
-        held = _labelled(postings, components(links))
-        held = staged(held, "postings")
+        rows = postings.withColumn("band", band)
+        pivots = rows.groupBy("g", "band").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("r"), *members)).alias("p"), F.count("*").alias("c")).filter("c > 1").select("g", "band", "p")
+        met = rows.join(pivots, ["g", "band"]).select(F.struct(*[F.col(f"p.{c}") for c in members]).alias("p"), F.struct(*members).alias("m")).filter("m.node <> p.node")
+        pairs = _candidates(met, "p", "m", percent)
+        first_pairs = pairs if first_pairs is None else first_pairs.union(pairs)
+    links = verified(first_pairs)
 
     # what is left: pairs of different components within a bucket
-    held = held.select("g", "comp", F.struct(*members).alias("m"))
+    held = _labelled(postings, components(links)).select("g", "comp", F.struct(*members).alias("m"))
+    held = staged(held, "postings")
     has = held.select("g", "comp").distinct()
     pairs = has.alias("x").join(has.alias("y"), "g").filter("x.comp < y.comp").select("g", F.col("x.comp").alias("cx"), F.col("y.comp").alias("cy"))
     met = pairs.join(held.select("g", F.col("comp").alias("cx"), F.col("m").alias("mx")), ["g", "cx"]).join(held.select("g", F.col("comp").alias("cy"), F.col("m").alias("my")), ["g", "cy"])
-    small = _ordered("mx", "my")
-    met = met.select(F.when(small, F.col("mx")).otherwise(F.col("my")).alias("u"), F.when(small, F.col("my")).otherwise(F.col("mx")).alias("v")).filter(_may_link("u", "v", percent))
-    new = staged(verified(met.select(F.col("u.node").alias("a"), F.col("v.node").alias("b"))), "links")
+    new = verified(_candidates(met, "mx", "my", percent))
 
     found = components(links.union(new))
-    named = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = classes.select("node", "min_id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = named.groupBy("component").agg(F.min("min_id").alias("component_id"))
     named = named.join(names, "component").select("node", "component", "component_id")
     rows = filled.select("id", "key", "n", "node").join(named, "node")
