@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from millrace.llm.common import row_key, staged
+
 WEIGHTS = (5, 2, 1)
 BINS = 256
 
@@ -41,15 +43,15 @@ def targets(sized: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, most: int =
     up = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
     before = up.rowsBetween(Window.unboundedPreceding, -1)
     onward = up.rowsBetween(0, Window.unboundedFollowing)
-    # the level if exactly the sources before this one are full
+    # the level if exactly the sources before this one are full: never above the true one, and it for the first that isn't
     left = F.sum("source_size").over(Window.partitionBy()) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))
     sums = sums.withColumn("level", left / F.sum("weight").over(onward))
-    level = F.min(F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.col("level"))).over(Window.partitionBy())
-    return sums.select("source", "source_size", F.least("cap", F.coalesce(level, F.lit(0.0)) * F.col("weight")).alias("target"))
+    level = F.max("level").over(Window.partitionBy())
+    return sums.select("source", "source_size", F.least("cap", level * F.col("weight")).alias("target"))
 
 
-def mix(docs: DataFrame, *, quality: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix", keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per input row: ``id, source, size, source_size, target, taken`` and the columns in ``keep``.
+def mix(docs: DataFrame, *, quality: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix") -> DataFrame:
+    """One row per input row: ``id, source, size, source_size, target, taken, key``, key as by ``row_key``.
 
     ``quality``: (id, quality) with quality above 0; 1.0 where it has no row or null, the
     greatest of an id's. ``taken`` counts words of the mix from this document: whole epochs
@@ -57,22 +59,38 @@ def mix(docs: DataFrame, *, quality: DataFrame | None = None, id_col: str = "doc
     full. So a source's taken words are its target without the fraction. Texts without words
     (null, empty) have size 0 and are never taken. A null source is a source, the last.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), *keep)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), row_key(id_col, text_col).alias("key"))
     if quality is not None:
         best = quality.groupBy(F.col(quality.columns[0]).alias("q_id")).agg(F.max(quality.columns[1]).cast("double").alias("quality"))
         rows = rows.join(best, F.col("id") == F.col("q_id"), "left").drop("q_id")
     else:
         rows = rows.withColumn("quality", F.lit(1.0))
-    rows = rows.withColumn("key", -F.log(uniform("id", seed)) / F.coalesce("quality", F.lit(1.0)))
-    rows = rows.withColumn("bin", F.floor(BINS * (1 - F.exp(-F.col("key")))))
+    rows = rows.withColumn("turn", -F.log(uniform("id", seed)) / F.coalesce("quality", F.lit(1.0)))
+    rows = rows.withColumn("bin", F.floor(BINS * (1 - F.exp(-F.col("turn")))))
     goal = targets(rows.select("source", "size")).withColumnRenamed("source", "g_source")
     goal = goal.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
     goal = goal.withColumn("rest", F.floor(F.col("target") - F.col("epochs") * F.col("source_size")).cast("long"))
     bins = rows.groupBy("source", "bin").agg(F.sum("size").alias("s"))
     bins = bins.select(F.col("source").alias("b_source"), F.col("bin").alias("b_bin"), (F.sum("s").over(Window.partitionBy("source").orderBy("bin")) - F.col("s")).alias("before_bin"))
-    order = Window.partitionBy("source", "bin").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy("source", "bin").orderBy("turn", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("upto", F.sum("size").over(order))
     rows = rows.join(bins, F.expr("source <=> b_source and bin = b_bin")).join(goal, F.expr("source <=> g_source"))
     begin = F.col("before_bin") + F.col("upto") - F.col("size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - begin))
-    return rows.select("id", "source", "size", "source_size", "target", (F.col("epochs") * F.col("size") + part).alias("taken"), *keep)
+    return rows.select("id", "source", "size", "source_size", "target", (F.col("epochs") * F.col("size") + part).alias("taken"), "key")
+
+
+def mixed_documents(docs: DataFrame, *, quality: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix") -> DataFrame:
+    """The mix itself, in the input's columns: a row per time a document is taken whole, and the first words of what is taken in part.
+
+    Of rows equal in id and text one stands for all, as often as they are taken together.
+    """
+    found = mix(docs, quality=quality, id_col=id_col, text_col=text_col, source_col=source_col, seed=seed)
+    wanted = staged(found.groupBy("key").agg(F.sum("taken").alias("__mr_taken"), F.max("size").alias("__mr_size")).filter("__mr_taken > 0"), "mix").withColumnRenamed("key", "__mr_key")
+    rows = docs.withColumn("__mr_key", row_key(id_col, text_col)).join(wanted, "__mr_key").dropDuplicates(["__mr_key"])
+    whole = F.expr("cast(__mr_taken div __mr_size as int)")
+    part = F.expr("cast(__mr_taken % __mr_size as int)")
+    words = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(r"[^\x20\x09-\x0D]+"), 0), F.lit(1), part), " ")
+    texts = F.concat(F.array_repeat(F.col(text_col), whole), F.when(part > 0, F.array(words)).otherwise(F.array().cast("array<string>")))
+    rows = rows.withColumn("__mr_text", F.explode(texts))
+    return rows.select(*[F.col("__mr_text").alias(c) if c == text_col else F.col(c) for c in docs.columns])

@@ -35,7 +35,7 @@ WITH l AS (
       / sum(weight) OVER (ORDER BY 3.0 * source_size / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
   FROM s
 ), t AS (
-  SELECT source, source_size, least(cap, coalesce(min(level) FILTER (level * weight <= cap) OVER (), 0) * weight)::DOUBLE AS target FROM c
+  SELECT source, source_size, least(cap, max(level) OVER () * weight)::DOUBLE AS target FROM c
 ), g AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS epochs FROM t
 ), r AS (

@@ -153,7 +153,7 @@ def quality_verdicts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """
     base = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), F.col(text_col).cast("string").alias("text"))
     counted = staged(with_counts(base, "text").drop("text"), "quality")
-    cut = thresholds(counted)
+    cut = staged(thresholds(counted), "thresholds")  # its size is then known, so it is broadcast only if small
     rows = counted.alias("d").join(cut.withColumnRenamed("lang", "cut_lang").withColumnRenamed("source", "cut_source"), F.expr("lang <=> cut_lang and source <=> cut_source"), "left").drop("cut_lang", "cut_source")
     return rows.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & _within())
 
@@ -161,7 +161,7 @@ def quality_verdicts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 def keep_quality(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """The input's rows that pass, columns as they were: counted once for the sketches and once as rows stream by."""
     base = docs.select(F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), F.col(text_col).cast("string").alias("text"))
-    cut = thresholds(with_counts(base, "text").drop("text"))
+    cut = staged(thresholds(with_counts(base, "text").drop("text")), "thresholds")
     cut = cut.withColumnRenamed("lang", "__mr_lang").withColumnRenamed("source", "__mr_source")
     rows = with_counts(docs.withColumn("__mr_text", F.col(text_col).cast("string")), "__mr_text", "__mr_")
     rows = rows.filter(~base_failed("__mr_")).join(cut, F.col(lang_col).eqNullSafe(F.col("__mr_lang")) & F.col(source_col).eqNullSafe(F.col("__mr_source")), "left").filter(_within("__mr_"))
