@@ -119,9 +119,11 @@ class Ledger:
         self._seq = None
 
     def log(self) -> DataFrame:
-        if not sinks.exists(self.spark, self.path):
+        """The transitions so far, by the files there are now: later appends don't show, in cached plans either."""
+        files = self.spark.read.schema(TRANSITION).parquet(self.path).inputFiles() if sinks.exists(self.spark, self.path) else []
+        if not files:
             return self.spark.createDataFrame([], TRANSITION)
-        return self.spark.read.schema(TRANSITION).parquet(self.path)
+        return self.spark.read.schema(TRANSITION).option("basePath", self.path).parquet(*files)
 
     def states(self) -> DataFrame:
         return replay(self.log())
