@@ -1,16 +1,17 @@
 """N-gram Jaccard join: rare-first prefixes, length, positional and suffix filters, one verification per pair.
 
-Order of n-grams. Prefix filtering is lossless under any one order of all n-grams. Here
-the n-grams whose hash falls under a fixed share (``1.25 * (1 - threshold)``) come first,
-by document frequency over all documents (exact, ascending), then the others by hash.
-So frequencies are counted for the share that prefixes are made of and no more, and
-documents too short for their prefix to lie in that share go on into the others.
-
-Groups. Documents with the same n-gram set are one class from the start. Classes that
-share a prefix n-gram are candidates. Pivot rounds first verify each member against one
-pivot of its bucket and size class, and join what is linked; then only pairs whose
-components still differ are formed, so a bucket of n near copies costs about n pairs,
-and no link between different components is lost.
+Order of n-grams. Prefix filtering is lossless under any one order of all n-grams. Those that
+one document alone has come first; then the n-grams whose hash falls under a fixed share
+(``1.25 * (1 - threshold)``) by document frequency, exact and ascending; then the rest by hash.
+
+Peeling. A document can't link if its own n-grams alone fill its prefix. Frequencies are
+counted for the first share of n-grams over all documents; documents found out are gone, and
+doubled shares are counted over those that are left, until all n-grams of the last have been.
+
+Groups. Documents with the same n-gram set are one class from the start. Classes that share a
+minimum hash are verified against the most central of them, and what links is joined; then
+prefix n-grams pair only classes whose components still differ, so a group of n near copies
+costs about n pairs, and no link between different components is lost.
 """
 
 from __future__ import annotations
@@ -26,7 +27,14 @@ from millrace.llm import kernel as K
 from millrace.llm.common import row_key, staged
 from millrace.llm.components import components
 
-_SIG = ["s0", "s1", "s2", "s3"]
+#: Rows of one long up to which a table is broadcast: 8 MB, counted first.
+BROADCAST_ROWS = 1_000_000
+_SIG = [f"p{j}" for j in range(8)]
+_MIN = [f"m{j}" for j in range(4)]
+
+
+#: Odd factors that order hashes anew for each minimum.
+_ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
 def _share(percent: int) -> int:
@@ -55,24 +63,27 @@ def _describe(k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in K.slices(batches, "text"):
             data, offs = K.flat(batch.column("text"))
-            n, s_n, node, lists, sigs = [], [], [], [], []
+            n, s_n, node, lists, sigs, mins = [], [], [], [], [], []
             for g in _sets(data, offs, k):
                 size = len(g)
                 p = size - (percent * size + 99) // 100 + 1
                 s = int(np.searchsorted(g, share << np.uint64(44)))
                 n.append(size)
                 s_n.append(s)
-                node.append(int(np.bitwise_xor.reduce(K.mix(g)) ^ K.mix(np.add.reduce(g, keepdims=True) + np.uint64(size))[0]) if size else 0)
-                lists.append(g[:s] if s >= p else g[: min(size, max(p, s))])
-                sigs.append(np.minimum(np.bincount((g & np.uint64(15)).astype(np.int64), minlength=16), 65535).astype(np.uint64))
-            sig = np.array(sigs, np.uint64).reshape(-1, 4, 4)
-            sig = (sig << (np.arange(4, dtype=np.uint64) * np.uint64(16))).sum(axis=2, dtype=np.uint64)
+                mixed = K.mix(g)
+                node.append(int(np.bitwise_xor.reduce(mixed) ^ K.mix(np.add.reduce(g, keepdims=True) + np.uint64(size))[0]) if size else 0)
+                lists.append(g[: max(s, min(size, p))])
+                parity = np.zeros(512, np.uint8)
+                parity[np.flatnonzero(np.bincount((mixed & np.uint64(511)).astype(np.int64), minlength=512) & 1)] = 1
+                sigs.append(np.packbits(parity, bitorder="little"))
+                mins.append([(mixed * _ODD[j]).min() if size else np.uint64(0) for j in range(len(_MIN))])
+            sig = np.array(sigs, np.uint8).reshape(-1, 64).view(np.int64)
+            low = np.array(mins, np.uint64).reshape(-1, len(_MIN)).view(np.int64)
             at = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
             values = np.concatenate(lists) if lists else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("key"), pa.array(n, pa.int64()), pa.array(s_n, pa.int64()), pa.array(np.array(node, np.uint64).view(np.int64)), pa.ListArray.from_arrays(at, pa.array(values.view(np.int64)))] + [pa.array(np.ascontiguousarray(sig[:, j]).view(np.int64)) for j in range(4)],
-                ["id", "key", "n", "s_n", "node", "grams", *_SIG],
-            )
+            cols = [batch.column("id"), batch.column("key"), pa.array(n, pa.int64()), pa.array(s_n, pa.int64()), pa.array(np.array(node, np.uint64).view(np.int64)), pa.ListArray.from_arrays(at, pa.array(values.view(np.int64)))]
+            cols += [pa.array(np.ascontiguousarray(x[:, j])) for x in (sig, low) for j in range(x.shape[1])]
+            yield pa.RecordBatch.from_arrays(cols, ["id", "key", "n", "s_n", "node", "grams", *_SIG, *_MIN])
 
     return run
 
@@ -80,19 +91,18 @@ def _describe(k: int, percent: int):
 def _prefixes(percent: int):
     """Each class's shared n-grams in order -> those in its prefix, with their positions.
 
-    The n-grams that no other class has come first and are only counted. Positions among
-    the late ones aren't known exactly; the least one possible stands for them.
+    The n-grams that no other class has come first and are only counted (``alone``).
+    Positions among the late ones aren't known exactly; the least possible stands for them.
     """
 
-    def cut(t: pa.Table) -> pa.RecordBatch:
-        node, n, s_n, late = (t.column(c).to_numpy() for c in ("node", "n", "s_n", "late"))
+    def cut(t: pa.Table) -> pa.RecordBatch | None:
+        node, n, alone, late = (t.column(c).to_numpy() for c in ("node", "n", "alone", "late"))
         first = np.concatenate([[True], node[1:] != node[:-1]])
         group = np.cumsum(first) - 1
-        start = np.flatnonzero(first)
-        shared = np.bincount(group, ~late, len(start)).astype(np.int64)
-        rank = np.arange(len(node)) - start[group]
-        pos = np.where(late, s_n, s_n - shared[group] + rank)
-        keep = np.flatnonzero(pos < n - (percent * n + 99) // 100 + 1)
+        early = np.bincount(group, ~late).astype(np.int64)[group]
+        rank = np.arange(len(node)) - np.flatnonzero(first)[group]
+        keep = np.flatnonzero(alone + rank < n - (percent * n + 99) // 100 + 1)
+        pos = alone + np.minimum(rank, early)
         out = t.select(["node", "n", "g"]).append_column("pos", pa.array(pos)).take(pa.array(keep)).combine_chunks()
         return out.to_batches()[0] if len(keep) else None
 
@@ -125,8 +135,11 @@ def _filter(wanted: DataFrame) -> np.ndarray:
     return out
 
 
-def _pack(k: int, held: np.ndarray):
-    """Texts whose key may be wanted -> their n-gram sets; what passes by chance is dropped by the join that follows."""
+def _pack(k: int, held: np.ndarray, part: tuple[int, int] | None = None):
+    """Texts whose key may be wanted -> their n-gram sets, packed, or the n-grams of a part of the hash space.
+
+    What passes by chance is dropped by the join that follows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,9 +147,14 @@ def _pack(k: int, held: np.ndarray):
             for c in ("h0", "h1"):
                 b = batch.column(c).to_numpy() & (FILTER_BITS - 1)
                 may &= (held[b >> 6] >> (b & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
-            for part in K.slices(iter([batch.select(["key", "text"]).filter(pa.array(may))]), "text"):
-                data, offs = K.flat(part.column("text"))
-                yield pa.RecordBatch.from_arrays([part.column("key"), pa.array([g.tobytes() for g in _sets(data, offs, k)], pa.binary())], ["key", "packed"])
+            for some in K.slices(iter([batch.select(["key", "text"]).filter(pa.array(may))]), "text"):
+                data, offs = K.flat(some.column("text"))
+                if part is None:
+                    yield pa.RecordBatch.from_arrays([some.column("key"), pa.array([g.tobytes() for g in _sets(data, offs, k)], pa.binary())], ["key", "packed"])
+                    continue
+                lists = [g[slice(*np.searchsorted(g >> np.uint64(44), np.array(part, np.uint64)))] for g in _sets(data, offs, k)]
+                at = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([some.column("key"), pa.ListArray.from_arrays(at, pa.array(np.concatenate(lists).view(np.int64)))], ["key", "grams"])
 
     return run
 
@@ -155,13 +173,8 @@ def _verify(percent: int):
 
 
 def _apart(x: str, y: str) -> Column:
-    """Suffix filter: the sets' sizes in 16 fixed parts of the hash space differ by no more than their Hamming distance."""
-    total = F.lit(0)
-    for s in _SIG:
-        for j in range(4):
-            part = lambda v: F.shiftrightunsigned(F.col(f"{v}.{s}"), 16 * j).bitwiseAND(65535)  # noqa: B023, E731
-            total = total + F.abs(part(x) - part(y))
-    return total
+    """Suffix filter: of 512 parts of the hash space, those whose sets differ in parity are no more than the sets' Hamming distance."""
+    return sum((F.bit_count(F.col(f"{x}.{s}").bitwiseXOR(F.col(f"{y}.{s}"))) for s in _SIG), F.lit(0))
 
 
 def _may_link(x: str, y: str, percent: int) -> Column:
@@ -200,56 +213,74 @@ def ngram_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """
     base = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
     kind = base.schema["id"].dataType.simpleString()
-    sig = ", ".join(f"{s} long" for s in _SIG)
-    described = base.mapInArrow(_describe(words, percent), f"id {kind}, key long, n long, s_n long, node long, grams array<long>, {sig}")
+    longs = ", ".join(f"{s} long" for s in (*_SIG, *_MIN))
+    described = base.mapInArrow(_describe(words, percent), f"id {kind}, key long, n long, s_n long, node long, grams array<long>, {longs}")
     described = staged(described.withColumn("row", F.monotonically_increasing_id()), "shingles")
     filled = described.filter("n > 0")
     firsts = filled.groupBy("node").agg(F.min("row").alias("first_row"), F.count("*").alias("c")).filter("c > 1").drop("c")
-    copies = filled.select("node", "row").join(firsts, "node").filter("row <> first_row").select("row")
-    grams = filled.join(copies, "row", "left_anti").select("node", "n", "s_n", F.explode("grams").alias("g"))
+    copies = staged(filled.select("node", "row").join(firsts, "node").filter("row <> first_row").select("row"), "copies")
+    few = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies
+    one = filled.join(few, "row", "left_anti")
+    classes = one.select("node", "key", "n", *_SIG, *_MIN)
+    names = filled.groupBy("node").agg(F.min("id").alias("min_id"))
+
+    def hashed(of: DataFrame) -> DataFrame:
+        return of.select("key", "text", *[F.xxhash64("key", F.lit(i)).alias(f"h{i}") for i in range(2)])
+
+    # peeling: classes whose own n-grams fill their prefix go
+    prefix = F.expr(f"n - (({percent} * n + 99) div 100) + 1")
+    grams = one.select("node", F.explode("grams").alias("g"))
     shared = grams.groupBy("g").agg(F.count("*").alias("df")).filter("df > 1")
     after = F.shiftrightunsigned("g", 44) >= _share(percent)
-    lists = grams.join(shared, "g").select("node", "n", "s_n", after.alias("late"), F.when(after, 0).otherwise(F.col("df")).alias("df"), "g")
-    lists = lists.repartition("node").sortWithinPartitions("node", "late", "df", "g")
-    postings = staged(lists.mapInArrow(_prefixes(percent), "node long, n long, g long, pos long"), "postings")
-    classes = filled.groupBy("node").agg(F.min("id").alias("min_id"), F.min("key").alias("key"), *[F.first(s).alias(s) for s in _SIG])
-    classes = staged(classes, "classes")
-
+    lists = staged(grams.join(shared, "g").select("node", after.alias("late"), F.when(after, 0).otherwise(F.col("df")).alias("df"), "g"), "lists")
+    early = lists.groupBy("node").agg(F.count_if(~F.col("late")).alias("shared"))
+    left = one.select("node", "key", "n", "s_n").join(early, "node").withColumn("alone", F.col("s_n") - F.col("shared"))
+    left = staged(left.filter(F.col("alone") < prefix).select("node", "key", "n", "alone"), "left")
+    done = _share(percent)
+    while done < 1 << 20:
+        upto = min(2 * done, 1 << 20)
+        packed = hashed(base).mapInArrow(_pack(words, _filter(left), (done, upto)), "key long, grams array<long>")
+        part = staged(left.join(packed, "key").dropDuplicates(["node"]), "part")
+        grams = part.select("node", F.explode("grams").alias("g"))
+        shared = grams.groupBy("g").agg(F.count("*").alias("df")).filter("df > 1").select("g")
+        often = grams.join(shared, "g").groupBy("node").agg(F.count("*").alias("shared"))
+        left = part.join(often, "node", "left").withColumn("alone", F.col("alone") + F.size("grams") - F.coalesce("shared", F.lit(0)))
+        left = staged(left.filter(F.col("alone") < prefix).select("node", "key", "n", "alone"), "left")
+        done = upto
+
+    ordered = lists.join(left.drop("key"), "node").select("node", "n", "alone", "late", "df", "g").repartition("node").sortWithinPartitions("node", "late", "df", "g")
+    postings = staged(ordered.mapInArrow(_prefixes(percent), "node long, n long, g long, pos long"), "postings")
     crowded = postings.groupBy("g").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("g")
-    postings = staged(postings.join(crowded, "g").join(classes.select("node", *_SIG), "node"), "postings")
+    about = staged(classes.drop("n", "key").join(left, "node"), "classes")
+    postings = staged(postings.join(crowded, "g").join(about.select("node", *_SIG), "node"), "postings")
 
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = staged(pairs.distinct(), "pairs")
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct().join(classes.select("node", "key"), "node")
+        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct().join(left.select("node", "key"), "node")
         wanted = staged(wanted, "wanted")
-        packed = base.select("key", "text", *[F.xxhash64("key", F.lit(i)).alias(f"h{i}") for i in range(2)]).mapInArrow(_pack(words, _filter(wanted)), "key long, packed binary")
+        packed = hashed(base).mapInArrow(_pack(words, _filter(wanted)), "key long, packed binary")
         sets = staged(wanted.join(packed, "key").dropDuplicates(["node"]).select("node", "packed"), "sets")
         met = pairs.join(sets.select(F.col("node").alias("a"), F.col("packed").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("packed").alias("y")), "b")
         return staged(met.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long"), "links")
 
+    # against the most central class of each minimum hash
     members = ["node", "n", "pos", *_SIG]
-    first_pairs = None
-    for turn in range(2):
-        band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent)) + turn / 2)
-        rows = postings.withColumn("band", band)
-        pivots = rows.groupBy("g", "band").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("r"), *members)).alias("p"), F.count("*").alias("c")).filter("c > 1").select("g", "band", "p")
-        met = rows.join(pivots, ["g", "band"]).select(F.struct(*[F.col(f"p.{c}") for c in members]).alias("p"), F.struct(*members).alias("m")).filter("m.node <> p.node")
-        pairs = _candidates(met, "p", "m", percent)
-        first_pairs = pairs if first_pairs is None else first_pairs.union(pairs)
-    links = verified(first_pairs)
+    rows = about.withColumn("pos", F.col("alone")).select(*members, F.inline(F.array(*[F.struct(F.lit(j).alias("j"), F.col(m).alias("low")) for j, m in enumerate(_MIN)])))
+    central = F.min(F.struct((F.col("pos") / F.col("n")).alias("r"), *members)).alias("p")
+    pivots = rows.groupBy("j", "low").agg(central, F.count("*").alias("c")).filter("c > 1").select("j", "low", "p")
+    met = rows.join(pivots, ["j", "low"]).select(F.struct(*[F.col(f"p.{c}") for c in members]).alias("p"), F.struct(*members).alias("m")).filter("m.node <> p.node")
+    links = verified(_candidates(met, "p", "m", percent))
 
     # what is left: pairs of different components within a bucket
     held = _labelled(postings, components(links)).select("g", "comp", F.struct(*members).alias("m"))
     held = staged(held, "postings")
-    has = held.select("g", "comp").distinct()
-    pairs = has.alias("x").join(has.alias("y"), "g").filter("x.comp < y.comp").select("g", F.col("x.comp").alias("cx"), F.col("y.comp").alias("cy"))
-    met = pairs.join(held.select("g", F.col("comp").alias("cx"), F.col("m").alias("mx")), ["g", "cx"]).join(held.select("g", F.col("comp").alias("cy"), F.col("m").alias("my")), ["g", "cy"])
+    met = held.alias("x").join(held.alias("y"), "g").filter("x.comp < y.comp").select(F.col("x.m").alias("mx"), F.col("y.m").alias("my"))
     new = verified(_candidates(met, "mx", "my", percent))
 
     found = components(links.union(new))
-    named = classes.select("node", "min_id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    names = named.groupBy("component").agg(F.min("min_id").alias("component_id"))
-    named = named.join(names, "component").select("node", "component", "component_id")
+    named = names.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    smallest = named.groupBy("component").agg(F.min("min_id").alias("component_id"))
+    named = named.join(smallest, "component").select("node", "component", "component_id")
     rows = filled.select("id", "key", "n", "node").join(named, "node")
     chosen = rows.groupBy("component").agg(F.min(F.struct(F.col("id").isNull(), "id", "key")).getField("key").alias("kept_key"))
     rows = rows.join(chosen, "component").select("id", "key", F.col("n").alias("n_shingles"), "component_id", (F.col("key") == F.col("kept_key")).alias("keeper"))
