@@ -98,11 +98,11 @@ def dedup_case_insensitive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.dedup_first(_table(spark, sf_dir, "documents"), order_col="doc_id", ignore_case=True).select("doc_id", X.text_hash(F.col("text")).alias("hash"))
 
 
-@_register("SELECT doc_id, sha256(text) AS hash FROM documents d WHERE doc_id % 2 = 1 AND sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE doc_id % 2 = 0) QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1")
+@_register("SELECT doc_id, sha256(text) AS hash FROM documents d WHERE source <> 'src0' AND sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE source = 'src0') QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1")
 def dedup_across_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    seen = cleaning.text_hashes(docs.filter("doc_id % 2 = 0"))
-    return cleaning.dedup_first(docs.filter("doc_id % 2 = 1"), order_col="doc_id", seen=seen).select("doc_id", X.content_hash(F.col("text")).alias("hash"))
+    seen = cleaning.text_hashes(docs.filter("source = 'src0'"))
+    return cleaning.dedup_first(docs.filter("source <> 'src0'"), order_col="doc_id", seen=seen).select("doc_id", X.content_hash(F.col("text")).alias("hash"))
 
 
 @_register(f"""
@@ -163,13 +163,13 @@ def chunk_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- vectors and retrieval ----------------------------------------------------
 
-_Q = "(SELECT vec_id AS query_id, embedding::DOUBLE[] AS q, label AS query_label FROM embeddings WHERE vec_id < 20)"
+_Q = "(SELECT vec_id AS query_id, embedding::DOUBLE[] AS q, label AS query_label FROM embeddings WHERE vec_id % 100 = 0)"
 
 
 def _queries_of(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The stated query set, vectors 0 to 19, against all vectors."""
+    """The stated query set, every vector whose id is divisible by 100, against all vectors."""
     corpus = _table(spark, sf_dir, "embeddings")
-    return corpus.filter("vec_id < 20").select(F.col("vec_id").alias("query_id"), F.col("embedding").cast("array<double>").alias("vector"), F.col("label").alias("query_label")), corpus
+    return corpus.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").cast("array<double>").alias("vector"), F.col("label").alias("query_label")), corpus
 
 
 @_register(f"SELECT query_id, vec_id AS id, row_number() OVER (PARTITION BY query_id ORDER BY round(list_cosine_distance(q, embedding::DOUBLE[]), 12), vec_id)::BIGINT AS rank FROM {_Q}, embeddings QUALIFY rank <= 5")
@@ -222,11 +222,11 @@ def rerank_two_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.rerank(pool, LexicalReranker(), 5).select("query_id", "id", F.col("rank").cast("long").alias("rank"))
 
 
-@_register("SELECT lang AS query_id, string_agg('[' || r || '] (rating ' || coalesce(CASE quality WHEN 1 THEN '1.0' WHEN 0 THEN '0.0' END, 'None') || ') ' || substr(text, 1, 200), chr(10) || chr(10) ORDER BY r) AS context FROM (SELECT d.*, quality, row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, d.doc_id) AS r FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id QUALIFY r <= 5) GROUP BY lang")
+@_register("SELECT lang AS query_id, string_agg('[' || r || '] (rating ' || coalesce(CASE quality WHEN 1 THEN '1.0' WHEN 0 THEN '0.0' END, 'None') || ') ' || text, chr(10) || chr(10) ORDER BY r) AS context FROM (SELECT d.*, quality, row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, d.doc_id) AS r FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id QUALIFY r <= 5) GROUP BY lang")
 def rag_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _reviews(spark, sf_dir).join(_table(spark, sf_dir, "documents").select("doc_id", "n_chars"), "doc_id")
     hits = retrieval.top_by(docs.withColumn("query_id", F.col("lang")), 5, by=[F.desc("n_chars"), F.asc("doc_id")])
-    return retrieval.contexts(hits.withColumn("document", X.truncate(F.col("text"), 200)))
+    return retrieval.contexts(hits.withColumn("document", F.col("text")))
 
 
 @_register()
@@ -242,26 +242,26 @@ def gold_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.gold_sample(chunks, 50).select("chunk_id", "parent_id")
 
 
-@_register("SELECT vec_id FROM embeddings WHERE vec_id BETWEEN 0 AND 30 AND vec_id NOT IN (SELECT vec_id FROM embeddings WHERE label = 0)")
+@_register("SELECT vec_id FROM embeddings WHERE vec_id NOT IN (SELECT vec_id FROM embeddings WHERE label = 0)")
 def missing_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     corpus = _table(spark, sf_dir, "embeddings")
-    return corpus.filter("vec_id between 0 and 30").select("vec_id").join(corpus.filter("label = 0").select("vec_id"), "vec_id", "left_anti")
+    return corpus.select("vec_id").join(corpus.filter("label = 0").select("vec_id"), "vec_id", "left_anti")
 
 
 # -- store, joins -------------------------------------------------------------
 
 
-@_register("SELECT sha256(text) AS id, min(doc_id) AS doc_id FROM documents WHERE doc_id % 3 <> 0 AND sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE doc_id % 3 = 0) GROUP BY text")
+@_register("SELECT sha256(text) AS id, min(doc_id) AS doc_id FROM documents WHERE lang <> 'en' AND sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE lang = 'en') GROUP BY text")
 def store_insert_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select(X.content_hash(F.col("text")).alias("id"), "doc_id")
-    return sinks.insert_absent(docs.filter("doc_id % 3 <> 0"), docs.filter("doc_id % 3 = 0"), order_col="doc_id").select("id", "doc_id")
+    return sinks.insert_absent(docs.filter("lang <> 'en'"), docs.filter("lang = 'en'"), order_col="doc_id").select("id", "doc_id")
 
 
-@_register("SELECT doc_id AS id, CASE WHEN doc_id % 2 = 0 THEN 'new ' ELSE 'old ' END || left(text, 20) AS document, CASE WHEN doc_id % 3 = 0 OR doc_id % 2 = 1 THEN 'old' ELSE 'new' END AS asin FROM documents WHERE doc_id % 2 = 0 OR doc_id % 3 = 0")
+@_register("SELECT doc_id AS id, sha256(CASE WHEN lang <> 'de' THEN 'new ' ELSE 'old ' END || text) AS document_hash, CASE WHEN lang <> 'fr' THEN 'old' ELSE 'new' END AS asin FROM documents")
 def store_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    side = lambda tag, cond: docs.filter(cond).select(F.col("doc_id").alias("id"), F.concat(F.lit(tag + " "), F.substring("text", 1, 20)).alias("document"), F.lit(tag).alias("asin"))
-    return sinks.upsert(side("new", "doc_id % 2 = 0"), side("old", "doc_id % 3 = 0"))
+    side = lambda tag, cond: docs.filter(cond).select(F.col("doc_id").alias("id"), F.concat(F.lit(tag + " "), "text").alias("document"), F.lit(tag).alias("asin"))
+    return sinks.upsert(side("new", "lang <> 'de'"), side("old", "lang <> 'fr'")).select("id", X.content_hash(F.col("document")).alias("document_hash"), "asin")
 
 
 @_register("SELECT l_partkey AS parent_asin, arg_min(l_returnflag, l_orderkey * 10 + l_linenumber)::VARCHAR AS title FROM (SELECT l_partkey, min(l_returnflag) AS l_returnflag, l_orderkey, l_linenumber FROM lineitem GROUP BY ALL) WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size < 10) GROUP BY l_partkey")
