@@ -1,5 +1,9 @@
 """DuckDB SQL for the training-data queries that SQL can express."""
 
+import re
+
+from millrace.llm.quality import LEAST_ROWS, MEASURES, SPREADS
+
 _OP1 = r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -46,4 +50,63 @@ SELECT doc_id, size, source_size, target,
 FROM r JOIN g ON r.source IS NOT DISTINCT FROM g.source
 """
 
-SQL = {"op1_chat_formatting": _OP1, "op2_mixing": _OP2}
+_OP3 = """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+p AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+r(x, y) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.x, p.y FROM r JOIN p ON r.y = p.x),
+n AS (SELECT x, count(*) AS n FROM p GROUP BY x)
+SELECT r.x AS vec_id, coalesce(any_value(n.n), 0)::BIGINT AS n_links, min(r.y) AS component_id, r.x = min(r.y) AS kept FROM r LEFT JOIN n ON n.x = r.x GROUP BY r.x
+"""
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+_OP5 = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, list_transform({_WORDS}, lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM w),
+n AS (SELECT doc_id, len(s)::BIGINT AS n FROM s),
+e AS (SELECT doc_id, unnest(s) AS g FROM s),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+h AS (SELECT x, y FROM c JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 190 * shared >= 90 * (nx.n + ny.n)),
+p AS (SELECT x, y FROM h UNION ALL SELECT y, x FROM h),
+r(x, y) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.x, p.y FROM r JOIN p ON r.y = p.x)
+SELECT n.doc_id, any_value(n.n) AS n_shingles, min(r.y) AS component_id FROM n JOIN r ON r.x = n.doc_id GROUP BY n.doc_id
+"""
+
+
+def _op7() -> str:
+    div = lambda sql: re.sub(r" div ", " // ", sql)
+    rows = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS measure, ({div(sql)})::BIGINT AS bin FROM k" for m, (sql, *_) in MEASURES.items())
+    q = lambda keys, t: (
+        f"SELECT {keys}measure, max(rows) AS rows, " + ", ".join(f"min(bin) FILTER (upto * 10 >= rows * {x}) AS q{x}" for x in (1, 5, 9))
+        + f" FROM (SELECT *, sum(n) OVER (PARTITION BY {keys}measure ORDER BY bin) AS upto, sum(n) OVER (PARTITION BY {keys}measure) AS rows FROM {t}) GROUP BY ALL"
+    )
+    fails = []
+    for m, (sql, top, least, low) in MEASURES.items():
+        hi = f"least({top}, q5 + greatest({least}, {SPREADS} * (q9 - q5)))"
+        lo = f"greatest(0, q5 - greatest({least}, {SPREADS} * (q5 - q1)))" if low else "0"
+        fails.append(f"WHEN '{m}' THEN ({div(sql)}) NOT BETWEEN {lo} AND {hi}")
+    return rf"""
+WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
+ww AS (SELECT doc_id, unnest(w) AS a, generate_subscripts(w, 1) AS i FROM d),
+g AS (SELECT *, lead(a, 1) OVER (PARTITION BY doc_id ORDER BY i) AS b, lead(a, 2) OVER (PARTITION BY doc_id ORDER BY i) AS c FROM ww),
+r AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM g WHERE c IS NOT NULL),
+rep AS (SELECT doc_id, count(DISTINCT i + v.k) AS n FROM r, (VALUES (0), (1), (2)) AS v(k) WHERE n > 1 GROUP BY doc_id),
+ln AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM d),
+lc AS (SELECT doc_id, count(*) AS n, count(DISTINCT l) AS different FROM ln WHERE regexp_matches(l, '[^ 	-]') GROUP BY doc_id),
+a AS (SELECT d.doc_id, lang, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+  coalesce(lc.n - lc.different, 0)::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words, coalesce(lc.n, 0)::BIGINT AS n_lines FROM d LEFT JOIN rep USING (doc_id) LEFT JOIN lc USING (doc_id)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM a),
+k AS (SELECT * FROM b WHERE NOT base_failed),
+fine AS (SELECT lang, source, measure, bin, count(*) AS n FROM ({rows}) GROUP BY ALL),
+by_lang AS (SELECT lang, measure, bin, sum(n) AS n FROM fine GROUP BY ALL),
+whole AS (SELECT measure, bin, sum(n) AS n FROM fine GROUP BY ALL),
+oq AS ({q("lang, source, ", "fine")}), lq AS ({q("lang, ", "by_lang")}), aq AS ({q("", "whole")}),
+cut AS (SELECT o.lang, o.source, o.measure, {", ".join(f"CASE WHEN o.rows >= {LEAST_ROWS} THEN o.q{x} WHEN l.rows >= {LEAST_ROWS} THEN l.q{x} ELSE w.q{x} END AS q{x}" for x in (1, 5, 9))}
+  FROM oq o JOIN lq l ON o.lang IS NOT DISTINCT FROM l.lang AND o.measure = l.measure JOIN aq w ON o.measure = w.measure),
+bad AS (SELECT DISTINCT doc_id FROM k JOIN cut ON k.lang IS NOT DISTINCT FROM cut.lang AND k.source IS NOT DISTINCT FROM cut.source WHERE CASE measure {" ".join(fails)} END)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept FROM b
+"""
+
+
+SQL = {"op1_chat_formatting": _OP1, "op2_mixing": _OP2, "op3_embedding_near_dedup": _OP3, "op5_ngram_join": _OP5, "op7_quality_rules": _op7()}
