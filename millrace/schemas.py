@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-
 EMBEDDING_DIM = 384
 
-
-
 REVIEW = "rating DOUBLE, title STRING, text STRING, asin STRING, parent_asin STRING, helpful_vote INT, timestamp BIGINT"
 RAW_LINE = "line_number BIGINT, raw STRING"
 PRODUCT_META = "parent_asin STRING, title STRING, main_category STRING"
