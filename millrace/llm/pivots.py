@@ -1,14 +1,18 @@
-"""Embedding near-dedup by a pivot-permutation index.
-
-Each vector is described by its nearest pivots in order. Inverted lists (label, pivot) hold
-the vectors that have the pivot among them; two vectors that share SHARED pivots or more are
-verified by cosine in double precision, once, in the list of their smallest shared pivot.
-Equal vectors of a label are one class from the start. A list longer than BLOCK is dealt into
-blocks, and each pair of blocks is a task's unit, so memory is bounded and no pair is lost.
-A unit returns, per vector, how many vectors it links there and one link per component.
-
-The pivots are a sample of the vectors by hash: 2 * sqrt(vectors), PIVOTS[0] to PIVOTS[1].
-Every vector is indexed. Tests measure recall against brute force.
+"""Embedding near-dedup: an exact join by cells around pivots.
+
+Each vector belongs to the cell of its nearest pivot. Two vectors of different cells lie on
+different sides of the hyperplane midway between the pivots, so a vector farther from it than
+linked vectors can be apart has no link in the other cell; only the others are its guests
+there. Of two cells, one sends guests to the other, so each pair meets once. Cells of a label
+are dealt into blocks of at most about BLOCK, and a pair of blocks is a task's unit, so memory
+is bounded. In a unit every pair is compared: by a product of single precision, and by cosine in
+double precision where that is within its error of the threshold. No pair is lost.
+Equal vectors of a label are one class from the start. A unit returns, per vector, how many
+vectors it links there and one link per component.
+
+The pivots are a sample of the vectors by hash, about one per BLOCK vectors of the most frequent
+label. Vectors in tight groups are guests of few cells. Vectors that are spread evenly in many
+dimensions are guests of most, and the work is the square of a label's vectors.
 """
 
 from __future__ import annotations
@@ -24,7 +28,8 @@ from pyspark.sql import functions as F
 from millrace.llm.common import staged
 from millrace.llm.components import components
 
-PIVOTS, NEAREST, SHARED, BLOCK = (64, 4096), 12, 2, 1024
+#: Most pivots of a dimension; vectors in a block.
+PIVOTS, BLOCK = 4096, 2048
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -42,62 +47,85 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), pa.array(out, pa.binary())], ["id", "label", "x"])
 
 
-def _describe(pivots: dict[int, np.ndarray]):
+def _cells(pivots: dict[int, np.ndarray], least: float):
+    """Adds ``cells``: the vector's own, then those in which it is a guest."""
+    apart = math.sqrt(max(0.0, 2 - 2 * least))
+    between = {d: np.sqrt(np.maximum(0, 2 - 2 * p @ p.T)) for d, p in pivots.items()}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = np.array([len(x) for x in batch.column("x").to_pylist()])
-            near: list = [None] * batch.num_rows
+            cells: list = [[0]] * batch.num_rows
             for size in np.unique(sizes):
                 at = np.flatnonzero(sizes == size)
                 p = pivots.get(int(size) // 8)
                 if p is None:
                     continue  # no pivot of this dimension was drawn; see below
                 score = _matrix(batch.column("x").take(pa.array(at))) @ p.T
-                k = min(NEAREST, p.shape[0])
-                top = np.argpartition(-score, k - 1, axis=1)[:, :k]
-                order = np.argsort(np.take_along_axis(-score, top, axis=1), axis=1, kind="stable")
-                for i, row in zip(at.tolist(), np.take_along_axis(top, order, axis=1).tolist(), strict=True):
-                    near[i] = row
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([n if n is not None else [0] for n in near], pa.list_(pa.int32()))], [*batch.schema.names, "near"])
+                own = score.argmax(axis=1)
+                # (own score - score) / distance of the pivots is the distance from the hyperplane
+                near = score.max(axis=1, keepdims=True) - score <= apart * between[int(size) // 8][own] + 1e-6
+                other = np.arange(len(p))[None, :]
+                near &= (other != own[:, None]) & (((other + own[:, None]) % 2 == 0) == (other > own[:, None]))
+                for i, o, row in zip(at.tolist(), own.tolist(), near, strict=True):
+                    cells[i] = [o, *np.flatnonzero(row).tolist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.list_(pa.int32()))], [*batch.schema.names, "cells"])
 
     return run
 
 
+def _linked(x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
+    """Which rows of two matrices of unit rows have a cosine of ``least`` or more."""
+    score = x.astype(np.float32) @ y.astype(np.float32).T
+    error = (x.shape[1] + 4) * 2.0**-22
+    found = score >= np.float32(least)
+    i, j = np.nonzero(np.abs(score - np.float32(least)) <= np.float32(error))
+    for k in range(0, len(i), 1 << 16):
+        a, b = i[k : k + (1 << 16)], j[k : k + (1 << 16)]
+        found[a, b] = (x[a] * y[b]).sum(axis=1) >= least
+    return found
+
+
+def _roots(found: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Per row and per column, the component in the bipartite graph (in the graph, if ``same``), or -1 without a link."""
+    n, m = found.shape
+    row, col = np.full(n, -1), np.full(m, -1)
+    for first in np.flatnonzero(found.any(axis=1)).tolist():
+        if row[first] >= 0:
+            continue
+        rows = np.array([first])
+        row[first] = first
+        while len(rows):
+            new = found[rows].any(axis=0) & (col < 0)
+            col[new] = first
+            rows = np.flatnonzero(new) if same else np.flatnonzero(found[:, new].any(axis=1))
+            rows = rows[row[rows] < 0]
+            row[rows] = first
+    return row, col
+
+
 def _link(least: float):
-    def unit(node: np.ndarray, count: np.ndarray, x: np.ndarray, near: list, pivot: int, side: np.ndarray, same: bool) -> pa.RecordBatch | None:
+    def unit(node: np.ndarray, count: np.ndarray, x: np.ndarray, side: np.ndarray, same: bool) -> pa.RecordBatch | None:
         """Links of one pair of blocks, or within one: ``side`` says which rows are the first block's."""
-        names = sorted({p for n in near for p in n})
-        column = {p: i for i, p in enumerate(names)}
-        has = np.zeros((len(node), len(names)), np.float32)
-        for i, n in enumerate(near):
-            has[i, [column[p] for p in n]] = 1
         a = np.arange(len(node)) if same else np.flatnonzero(side)
         b = a if same else np.flatnonzero(~side)
-        need = min(SHARED, min(map(len, near)))
-        pair = has[a] @ has[b].T >= need
+        found = _linked(x[a], x[b], least)
         if same:
-            pair &= np.arange(len(a))[:, None] < np.arange(len(b))[None, :]
-        pair &= x[a] @ x[b].T >= least
-        i, j = np.nonzero(pair)
-        i, j = a[i], b[j]
-        # once: here if no smaller pivot is shared
-        smaller = has[:, : column[pivot]].astype(bool)
-        once = ~(smaller[i] & smaller[j]).any(axis=1) if len(i) else np.zeros(0, bool)
-        i, j = i[once], j[once]
-        if not len(i):
+            found = np.triu(found, 1)
+            found |= found.T
+        if not found.any():
             return None
-        degree = np.bincount(i, count[j], len(node)) + np.bincount(j, count[i], len(node))
-        root = np.arange(len(node))
-        while True:
-            new = root.copy()
-            np.minimum.at(new, i, root[j])
-            np.minimum.at(new, j, root[i])
-            new = new[new]
-            if (new == root).all():
-                break
-            root = new
+        degree, root = np.zeros(len(node), np.int64), np.full(len(node), -1)
+        row, col = _roots(found, same)
+        for k in range(0, len(a), 256):
+            degree[a[k : k + 256]] = found[k : k + 256] @ count[b]
+        root[a] = row
+        if not same:
+            for k in range(0, len(b), 256):
+                degree[b[k : k + 256]] = count[a] @ found[:, k : k + 256]
+            root[b] = col
         at = np.flatnonzero(degree)
-        return pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(degree[at].astype(np.int64)), pa.array(node[root[at]])], ["node", "links", "root"])
+        return pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(degree[at]), pa.array(node[a[root[at]]])], ["node", "links", "root"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -115,12 +143,12 @@ def _link(least: float):
     def settle(t: pa.Table) -> pa.RecordBatch | None:
         if t.num_rows < 2:
             return None
-        block, i, j, pivot = (t.column(c).to_numpy() for c in ("block", "i", "j", "pivot"))
+        block, i, j = (t.column(c).to_numpy() for c in ("block", "i", "j"))
         same = bool(i[0] == j[0])
         side = block == i[0]
         if not same and (side.all() or not side.any()):
             return None
-        return unit(t.column("node").to_numpy(), t.column("n").to_numpy(), _matrix(t.column("x").combine_chunks()), t.column("near").to_pylist(), int(pivot[0]), side, same)
+        return unit(t.column("node").to_numpy(), t.column("n").to_numpy(), _matrix(t.column("x").combine_chunks()), side, same)
 
     return run
 
@@ -141,20 +169,25 @@ def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str
     rows = staged(rows.withColumn("node", F.when(F.col("label").isNotNull() & F.col("x").isNotNull(), F.xxhash64("label", "x"))), "vectors")
     classes = rows.filter("node is not null").groupBy("node").agg(F.count("*").alias("n"), F.min("id").alias("min_id"), F.first("label").alias("label"), F.first("x").alias("x"))
     classes = staged(classes, "classes")
-    dims = {r.d: r.c for r in classes.groupBy((F.octet_length("x") / 8).cast("int").alias("d")).agg(F.count("*").alias("c")).orderBy(F.desc("c")).limit(64).collect()}
+    sizes = classes.groupBy((F.octet_length("x") / 8).cast("int").alias("d"), "label").agg(F.count("*").alias("c"))
+    dims = {r.d: r.most for r in sizes.groupBy("d").agg(F.sum("c").alias("c"), F.max("c").alias("most")).orderBy(F.desc("c")).limit(64).collect()}
     pivots = {}
-    for d, c in dims.items():  # a dimension beyond the 64 most frequent has one list a label
-        m = min(PIVOTS[1], max(PIVOTS[0], math.ceil(2 * math.sqrt(c))))
+    for d, most in dims.items():  # a dimension beyond the 64 most frequent has one cell a label
+        m = min(PIVOTS, math.ceil(most / BLOCK))
         drawn = classes.filter(F.octet_length("x") == 8 * d).orderBy(F.xxhash64("node", F.lit(1))).limit(m).select("x").collect()
         pivots[d] = np.array([np.frombuffer(r.x, np.float64) for r in drawn])
         pivots[d] /= np.sqrt((pivots[d] ** 2).sum(axis=1, keepdims=True))
-    described = classes.select("node", "n", "label", "x").mapInArrow(_describe(pivots), f"node long, n long, label {kinds[label_col]}, x binary, near array<int>")
-    lists = described.withColumn("dim", F.octet_length("x")).withColumn("pivot", F.explode("near"))
-    sizes = lists.groupBy("label", "dim", "pivot").agg(F.count("*").alias("size")).filter("size > 1")
-    lists = lists.join(sizes, ["label", "dim", "pivot"]).withColumn("blocks", F.expr(f"cast((size + {BLOCK - 1}) div {BLOCK} as int)"))
-    lists = lists.withColumn("block", F.pmod(F.xxhash64("node", F.lit(2)), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    placed = classes.select("node", "n", "label", "x").mapInArrow(_cells(pivots, least), f"node long, n long, label {kinds[label_col]}, x binary, cells array<int>")
+    placed = placed.withColumn("dim", F.octet_length("x")).select("*", F.posexplode("cells").alias("place", "cell")).withColumn("guest", F.col("place") > 0)
+    blocks = lambda c: F.expr(f"cast(({c} + {BLOCK - 1}) div {BLOCK} as int)")
+    sizes = placed.groupBy("label", "dim", "cell").agg(F.count_if(~F.col("guest")).alias("homes"), F.count_if("guest").alias("guests")).filter("homes > 0 and homes + guests > 1")
+    lists = placed.join(sizes.select("label", "dim", "cell", blocks("homes").alias("hb"), blocks("guests").alias("gb")), ["label", "dim", "cell"])
+    # home blocks are numbered from 0, guests' from there; guests meet home blocks only
+    dealt = F.xxhash64("node", F.lit(2))
+    lists = lists.withColumn("block", F.when(F.col("guest"), F.col("hb") + F.pmod(dealt, F.col("gb"))).otherwise(F.pmod(dealt, F.col("hb"))).cast("int"))
+    lists = lists.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("hb") - 1 + F.when(F.col("guest"), 0).otherwise(F.col("gb")))))
     lists = lists.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-    units = lists.select(F.xxhash64("label", "dim", "pivot", "i", "j").alias("unit"), "node", "n", "x", "near", "pivot", "block", "i", "j").repartition("unit").sortWithinPartitions("unit")
+    units = lists.select(F.xxhash64("label", "dim", "cell", "i", "j").alias("unit"), "node", "n", "x", "block", "i", "j").repartition("unit").sortWithinPartitions("unit")
     links = staged(units.mapInArrow(_link(least), "node long, links long, root long"), "links")
     found = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
     degrees = links.groupBy("node").agg(F.sum("links").alias("links"))

@@ -11,6 +11,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -387,3 +388,21 @@ def test_near_vectors(spark, monkeypatch, block):
     assert sum(r.component_id != comp.get(r.id, r.id) for r in got) <= 4
     assert all(r.kept == (r.id == r.component_id) for r in got)
     assert pivots.near_vectors(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("block", [700, 2048])
+def test_near_vectors_of_a_large_group(spark, monkeypatch, block):
+    """A third of the rows are near copies of one vector, with many links near the threshold: none is lost."""
+    monkeypatch.setattr(pivots, "BLOCK", block)
+    rng = np.random.default_rng(5)
+    n, least = 21_000, 0.93
+    x = rng.normal(size=(n, 64))
+    x[::3] = rng.normal(size=64) + 0.22 * rng.normal(size=(n // 3, 64))
+    x = x.astype(np.float32).astype(np.float64)
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": range(n), "embedding": x.tolist(), "label": 1}))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    links = np.concatenate([(unit[k : k + 1000] @ unit.T >= least).sum(axis=1) - 1 for k in range(0, n, 1000)])
+    got = pivots.near_vectors(df, least=least).toPandas().sort_values("id")
+    assert links.sum() > 40_000_000 and (got["n_links"].to_numpy() == links).all()
+    expected = np.where(np.arange(n) % 3 == 0, 0, np.arange(n))
+    assert (links[::3] > 0).all() and (got["component_id"].to_numpy() == expected).all()
