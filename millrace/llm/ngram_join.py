@@ -11,7 +11,9 @@ doubled shares are counted over those that are left, until all n-grams of the la
 Groups. Documents with the same n-gram set are one class from the start. Classes that share a
 minimum hash are verified against the most central of them, and what links is joined; then
 prefix n-grams pair only classes whose components still differ, so a group of n near copies
-costs about n pairs, and no link between different components is lost.
+costs about n pairs, and no link between different components is lost. So components come
+without the links inside them; ``ngram_links`` verifies every pair that passes the filters and
+gives all links, at a cost that grows with their number.
 """
 
 from __future__ import annotations
@@ -209,8 +211,24 @@ def ngram_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     smallest id reachable; ``keeper`` says that the row is the component's one row by
     smallest (id, key). Null or wordless texts have an empty set, link with nothing and
     keep. Repeated rows are one class. A null id takes part, but never names a component
-    that has another id. Other columns are ignored; an empty table gives no rows.
+    that has another id. Other columns are ignored; an empty table gives no rows. Links
+    within a component are not all verified here: see :func:`ngram_links`.
     """
+    return _join(docs, id_col, text_col, words, percent, False)
+
+
+def ngram_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """All links: rows ``id, key, n_shingles, class_id, n_links`` and pairs ``a, b`` of linked classes.
+
+    A class is the rows of one n-gram set, null in ``class_id`` where that is empty; rows of
+    a class link with each other. Each pair of classes comes once, and stands for as many
+    links as its classes' rows multiplied. ``n_links`` counts the other rows that a row links
+    with directly. Sets and links are those of :func:`ngram_components`.
+    """
+    return _join(docs, id_col, text_col, words, percent, True)
+
+
+def _join(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, links_only: bool) -> DataFrame | tuple[DataFrame, DataFrame]:
     base = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
     kind = base.schema["id"].dataType.simpleString()
     longs = ", ".join(f"{s} long" for s in (*_SIG, *_MIN))
@@ -263,8 +281,18 @@ def ngram_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         met = pairs.join(sets.select(F.col("node").alias("a"), F.col("packed").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("packed").alias("y")), "b")
         return staged(met.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long"), "links")
 
-    # against the most central class of each minimum hash
     members = ["node", "n", "pos", *_SIG]
+    if links_only:
+        held = postings.select("g", F.struct(*members).alias("m"))
+        met = held.alias("x").join(held.alias("y"), "g").filter("x.m.node < y.m.node").select(F.col("x.m").alias("mx"), F.col("y.m").alias("my"))
+        pairs = verified(_candidates(met, "mx", "my", percent))
+        sizes = filled.groupBy("node").agg(F.count("*").alias("c"))
+        ends = pairs.union(pairs.select("b", "a")).toDF("node", "other")
+        degrees = ends.join(sizes.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.sum("c").alias("links"))
+        counted = sizes.join(degrees, "node", "left").select("node", (F.col("c") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+        return described.join(counted, "node", "left").select("id", "key", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("node")).alias("class_id"), F.when(F.col("n") > 0, F.col("n_links")).otherwise(0).alias("n_links")), pairs
+
+    # against the most central class of each minimum hash
     rows = about.withColumn("pos", F.col("alone")).select(*members, F.inline(F.array(*[F.struct(F.lit(j).alias("j"), F.col(m).alias("low")) for j, m in enumerate(_MIN)])))
     central = F.min(F.struct((F.col("pos") / F.col("n")).alias("r"), *members)).alias("p")
     pivots = rows.groupBy("j", "low").agg(central, F.count("*").alias("c")).filter("c > 1").select("j", "low", "p")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from millrace.llm import chat, mixing, packing, pivots, quality, sharding, suffix_dedup, token_store, warc
-from millrace.llm.ngram_join import drop_near_copies, ngram_components
+from millrace.llm.ngram_join import drop_near_copies, ngram_components, ngram_links
 from millrace.llm.suffixes import common_prefixes, suffix_array
 from millrace.llm.tokens import Encoder
 
@@ -84,6 +84,26 @@ def test_ngram_join(docs, k, percent):
     assert Counter((r.id, r.n_shingles, r.component_id) for r in got) == expected
 
 
+@pytest.mark.parametrize(("k", "percent"), [(3, 90), (5, 80)])
+def test_ngram_links(docs, empty, k, percent):
+    """All links and their numbers, within components too."""
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    sets = []
+    for _, t in rows:
+        w = WORD.findall(lower(t or ""))
+        sets.append(frozenset(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else []))
+    linked = lambda x, y: bool(x) and bool(y) and 100 * len(x & y) >= percent * len(x | y)
+    expected = Counter((i, len(x), sum(linked(x, y) for y in sets) - bool(x)) for (i, _), x in zip(rows, sets, strict=True))
+    got, pairs = ngram_links(docs, words=k, percent=percent)
+    got = got.collect()
+    assert Counter((r.id, r.n_shingles, r.n_links) for r in got) == expected
+    different = sorted(set(sets), key=sorted)
+    between = sum(linked(x, y) for n, x in enumerate(different) for y in different[:n])
+    pairs = {frozenset(p) for p in pairs.collect()}
+    assert len(pairs) == between > 20 and set().union(*pairs) <= {r.class_id for r in got}
+    assert [x.count() for x in ngram_links(empty, words=k, percent=percent)] == [0, 0]
+
+
 def test_near_copies_leave_one_of_each(docs, empty):
     kept = drop_near_copies(docs)
     assert kept.columns == docs.columns
