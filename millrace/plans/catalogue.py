@@ -186,6 +186,7 @@ def vector_topk_ip_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("SELECT vec_id, round(list_cosine_distance((SELECT embedding::DOUBLE[] FROM embeddings WHERE vec_id = 0), embedding::DOUBLE[]), 9) AS distance FROM embeddings ORDER BY round(list_cosine_distance((SELECT embedding::DOUBLE[] FROM embeddings WHERE vec_id = 0), embedding::DOUBLE[]), 12), vec_id LIMIT 10")
 def vector_search_single(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store's search for one vector, ``vec_id`` 0; the stated query set, every id divisible by 100, is that of ``vector_topk_cosine``."""
     corpus = _table(spark, sf_dir, "embeddings")
     one = corpus.filter("vec_id = 0").select("embedding").first()[0]
     from millrace.operators.store import search
@@ -238,6 +239,7 @@ def embed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("SELECT doc_id || '-0' AS chunk_id, doc_id::VARCHAR AS parent_id FROM documents WHERE length(text) > 150 ORDER BY sha256(doc_id || '-0' || '42'), 1 LIMIT 50")
 def gold_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A draw of 50, as the SQL says; the operator's own default is 300."""
     chunks = _table(spark, sf_dir, "documents").select(F.concat(F.col("doc_id").cast("string"), F.lit("-0")).alias("chunk_id"), F.col("doc_id").cast("string").alias("parent_id"), "text")
     return evaluation.gold_sample(chunks, 50).select("chunk_id", "parent_id")
 
