@@ -20,14 +20,16 @@ LOWER[65:91] += 32
 _P = 0x9E3779B97F4A7C15
 _PINV = pow(_P, -1, 1 << 64)
 #: Bytes of text handled at once; a longer text is handled alone.
-SLICE = 2_000_000
+SLICE = 1_000_000
+#: Bytes over which word hashes are worked at once, so that the arrays beside a text don't grow with it.
+BLOCK = 1 << 18
 _tables: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """p**i and p**-i modulo 2**64 for i < n at least."""
     if len(_tables[0]) < n:
-        size = 1 << max(21, (n - 1).bit_length())
+        size = 1 << max(19, (n - 1).bit_length())
         for k, base in enumerate((_P, _PINV)):
             x = np.full(size, base, np.uint64)
             x[0] = 1
@@ -90,6 +92,18 @@ def words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return starts, ends, np.searchsorted(starts, offs)
 
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word by content, the same as ``range_hash``; worked in blocks of about BLOCK bytes, cut between words."""
+    out, at = np.empty(len(starts), np.uint64), 0
+    while at < len(starts):
+        end = max(at + 1, int(np.searchsorted(ends, starts[at] + BLOCK, "right")))
+        a = starts[at]
+        prefix = prefix_hash(data[a : ends[end - 1]])
+        out[at:end] = range_hash(prefix, starts[at:end] - a, ends[at:end] - a)
+        at = end
+    return out
+
+
 _C = [np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F, 0xEB44ACCAB455D165, 0x9C6E6877736C46E3)]
 
 

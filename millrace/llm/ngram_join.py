@@ -1,19 +1,22 @@
 """N-gram Jaccard join: rare-first prefixes, length, positional and suffix filters, one verification per pair.
 
-Order of n-grams. Prefix filtering is lossless under any one order of all n-grams. Those that
-one document alone has come first; then the n-grams whose hash falls under a fixed share
-(``1.25 * (1 - threshold)``) by document frequency, exact and ascending; then the rest by hash.
-
-Peeling. A document can't link if its own n-grams alone fill its prefix. Frequencies are
-counted for the first share of n-grams over all documents; documents found out are gone, and
-doubled shares are counted over those that are left, until all n-grams of the last have been.
-
-Groups. Documents with the same n-gram set are one class from the start. Classes that share a
-minimum hash are verified against the most central of them, and what links is joined; then
-prefix n-grams pair only classes whose components still differ, so a group of n near copies
-costs about n pairs, and no link between different components is lost. So components come
-without the links inside them; ``ngram_links`` verifies every pair that passes the filters and
-gives all links, at a cost that grows with their number.
+Sets. Every text is read once; its distinct n-grams, as sorted 48-bit hashes, are written to the
+shared folder and all later steps read those. Documents of one set are one class from the start.
+
+Order of n-grams. Prefix filtering is lossless under any one order of all n-grams. Rare comes
+first by a frequency sketch: every class's n-grams are counted in buckets of the hash space,
+whose number follows the number of n-grams (at most 2**24), and n-grams are ordered by their
+bucket's count on a logarithmic scale, then by hash. Frequent n-grams so come last at any size.
+
+Buckets. Prefix n-grams meet in buckets. The member whose n-gram stands first in its prefix (of
+a group of near copies, the one with the fewest n-grams of its own) is the bucket's pivot. A
+bucket that the sketch says is large is dealt into parts, whose pivots then meet.
+
+Pairs. Members are paired with their pivots, verified, and joined into components; then members
+of a bucket whose components still differ are paired, without the pairs that were verified. So
+a group of n near copies costs about n pairs, no pair is verified twice and no link between
+different components is lost. Components come without the links inside them; ``ngram_links``
+verifies every pair that passes the filters and gives all links, at a cost that grows with them.
 """
 
 from __future__ import annotations
@@ -26,137 +29,231 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import kernel as K
-from millrace.llm.common import row_key, staged
+from millrace.llm.common import drop_staged, row_key, staged
 from millrace.llm.components import components
 
 #: Rows of one long up to which a table is broadcast: 8 MB, counted first.
 BROADCAST_ROWS = 1_000_000
+#: Bits of a hash that are kept, and bytes of it in a packed set.
+BITS, WIDTH = 48, 6
+#: N-grams to a sketch bucket, and the fewest and most buckets (as powers of two).
+PER_BUCKET, LEAST_BUCKETS, MOST_BUCKETS = 128, 16, 24
+#: Steps of the sketch's scale in which a count doubles.
+STEPS = 8
+#: Postings of a part of a large bucket.
+PART = 50_000
+#: Buckets in a row of the sketch while it is added up.
+_CHUNK = 4096
+#: N-grams that a task orders or counts at once.
+_AT_ONCE = 1 << 20
 _SIG = [f"p{j}" for j in range(8)]
-_MIN = [f"m{j}" for j in range(4)]
-
-
-#: Odd factors that order hashes anew for each minimum.
-_ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
-
-
-def _share(percent: int) -> int:
-    """Of 2**20 parts of the hash space, those whose n-grams come first."""
-    return min(1 << 20, int((1 << 20) * 1.25 * (100 - percent) / 100) + 1)
 
 
 def _sets(data: np.ndarray, offs: np.ndarray, k: int) -> Iterator[np.ndarray]:
     """The sorted distinct n-gram hashes of each text."""
     data = K.LOWER[data]
     starts, ends, first = K.words(data, offs)
-    hashes = K.range_hash(K.prefix_hash(data), starts, ends)
+    hashes = K.word_hashes(data, starts, ends)
     grams = K.shingles(hashes, k)
-    for i in range(len(offs) - 1):
-        a, b = first[i], first[i + 1]
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
         if b - a >= k:
-            g = np.sort(grams[a : b - k + 1])
+            g = np.sort(grams[a : b - k + 1] >> np.uint64(64 - BITS))
             yield g[np.concatenate([[True], g[1:] != g[:-1]])]
         else:
-            yield K.short_shingle(hashes[a:b]) if b > a else grams[:0]
+            yield K.short_shingle(hashes[a:b]) >> np.uint64(64 - BITS) if b > a else grams[:0]
+
+
+def _packed(grams: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Sets laid end to end -> a binary value of WIDTH bytes a hash for each."""
+    raw = np.ascontiguousarray(grams.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WIDTH])
+    at = np.concatenate([[0], ends]).astype(np.int64) * WIDTH
+    return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(at), pa.py_buffer(raw)]).cast(pa.binary())
 
 
-def _describe(k: int, percent: int):
-    share = np.uint64(_share(percent))
+def _unpacked(raw: pa.Buffer | np.ndarray) -> np.ndarray:
+    x = np.frombuffer(raw, np.uint8).reshape(-1, WIDTH)
+    out = np.zeros((len(x), 8), np.uint8)
+    out[:, :WIDTH] = x
+    return out.view("<u8").ravel()
 
+
+def _column(column: pa.Array) -> np.ndarray:
+    """All hashes of a column of packed sets, end to end."""
+    _, offs, data = column.buffers()
+    offs = np.frombuffer(offs, np.int32, len(column) + 1, column.offset * 4)
+    return _unpacked(np.frombuffer(data, np.uint8, offs[-1] - offs[0], offs[0])) if data is not None and offs[-1] > offs[0] else np.zeros(0, np.uint64)
+
+
+def _describe(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in K.slices(batches, "text"):
-            data, offs = K.flat(batch.column("text"))
-            n, s_n, node, lists, sigs, mins = [], [], [], [], [], []
-            for g in _sets(data, offs, k):
-                size = len(g)
-                p = size - (percent * size + 99) // 100 + 1
-                s = int(np.searchsorted(g, share << np.uint64(44)))
-                n.append(size)
-                s_n.append(s)
-                mixed = K.mix(g)
-                node.append(int(np.bitwise_xor.reduce(mixed) ^ K.mix(np.add.reduce(g, keepdims=True) + np.uint64(size))[0]) if size else 0)
-                lists.append(g[: max(s, min(size, p))])
-                parity = np.zeros(512, np.uint8)
-                parity[np.flatnonzero(np.bincount((mixed & np.uint64(511)).astype(np.int64), minlength=512) & 1)] = 1
-                sigs.append(np.packbits(parity, bitorder="little"))
-                mins.append([(mixed * _ODD[j]).min() if size else np.uint64(0) for j in range(len(_MIN))])
-            sig = np.array(sigs, np.uint8).reshape(-1, 64).view(np.int64)
-            low = np.array(mins, np.uint64).reshape(-1, len(_MIN)).view(np.int64)
-            at = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
-            values = np.concatenate(lists) if lists else np.zeros(0, np.uint64)
-            cols = [batch.column("id"), batch.column("key"), pa.array(n, pa.int64()), pa.array(s_n, pa.int64()), pa.array(np.array(node, np.uint64).view(np.int64)), pa.ListArray.from_arrays(at, pa.array(values.view(np.int64)))]
-            cols += [pa.array(np.ascontiguousarray(x[:, j])) for x in (sig, low) for j in range(x.shape[1])]
-            yield pa.RecordBatch.from_arrays(cols, ["id", "key", "n", "s_n", "node", "grams", *_SIG, *_MIN])
+            sets = list(_sets(*K.flat(batch.column("text")), k))
+            n = np.array([len(g) for g in sets], np.int64)
+            grams = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+            del sets
+            doc = np.repeat(np.arange(len(n)), n)
+            mixed = K.mix(grams)
+            node = np.zeros(len(n), np.uint64)
+            full = np.flatnonzero(n)
+            if len(full):
+                first = (np.cumsum(n) - n)[full]
+                node[full] = np.bitwise_xor.reduceat(mixed, first) ^ K.mix(np.add.reduceat(grams, first) + n[full].astype(np.uint64))
+            parity = np.bincount(doc * 512 + (mixed & np.uint64(511)).astype(np.int64), minlength=512 * len(n)).astype(np.uint8) & 1
+            sig = np.packbits(parity.reshape(-1, 512), axis=1, bitorder="little").view(np.int64)
+            cols = [batch.column("id"), batch.column("key"), pa.array(n), pa.array(node.view(np.int64)), _packed(grams, np.cumsum(n))]
+            yield pa.RecordBatch.from_arrays([*cols, *(pa.array(np.ascontiguousarray(sig[:, j])) for j in range(8))], ["id", "key", "n", "node", "packed", *_SIG])
+
+    return run
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows (with ``n`` and ``packed``), about _AT_ONCE n-grams at once."""
+    for batch in batches:
+        total, at = np.cumsum(batch.column("n").to_numpy()), 0
+        while at < batch.num_rows:
+            end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + _AT_ONCE, "right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
+def _counted(buckets: int):
+    """Sets -> how many n-grams of this task fall into each bucket, a row for each _CHUNK of buckets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, held, waiting = np.zeros(buckets, np.uint32), [], 0
+        for batch in _gathered(batches):
+            held.append((_column(batch.column("packed")) & np.uint64(buckets - 1)).astype(np.uint32))
+            waiting += len(held[-1])
+            if waiting >= max(buckets, _AT_ONCE):
+                total += np.bincount(np.concatenate(held), minlength=buckets).astype(np.uint32)
+                held, waiting = [], 0
+        if held:
+            total += np.bincount(np.concatenate(held), minlength=buckets).astype(np.uint32)
+        used = np.flatnonzero(total.reshape(-1, _CHUNK).any(axis=1))
+        for k in range(0, len(used), 64):
+            some = used[k : k + 64]
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array([total[c * _CHUNK : (c + 1) * _CHUNK].tobytes() for c in some.tolist()], pa.binary())], ["chunk", "counts"])
 
     return run
 
 
-def _prefixes(percent: int):
-    """Each class's shared n-grams in order -> those in its prefix, with their positions.
+def _levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of all tasks in order of chunk -> each chunk's sums on the logarithmic scale, a byte a bucket."""
 
-    The n-grams that no other class has come first and are only counted (``alone``).
-    Positions among the late ones aren't known exactly; the least possible stands for them.
+    def level(chunk: int, total: np.ndarray) -> pa.RecordBatch:
+        steps = np.minimum(255, np.floor(STEPS * np.log2(total + 1))).astype(np.uint8)
+        return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([steps.tobytes()], pa.binary())], ["chunk", "levels"])
+
+    now, total = None, None
+    for batch in batches:
+        for chunk, counts in zip(batch.column("chunk").to_pylist(), batch.column("counts"), strict=True):
+            if chunk != now:
+                if now is not None:
+                    yield level(now, total)
+                now, total = chunk, np.zeros(_CHUNK, np.uint64)
+            total += np.frombuffer(counts.as_buffer(), np.uint32)
+    if now is not None:
+        yield level(now, total)
+
+
+def frequency_sketch(sets: DataFrame) -> np.ndarray:
+    """A byte for each bucket of the n-gram hash space: STEPS * log2 of how many n-grams of rows (n, packed) fall into it, and 1.
+
+    One pass with a fixed table per task; at most 2**MOST_BUCKETS bytes come to the driver.
     """
+    n = sets.agg(F.sum("n")).first()[0] or 0
+    buckets = 1 << min(MOST_BUCKETS, max(LEAST_BUCKETS, (n // PER_BUCKET).bit_length()))
+    parts = sets.mapInArrow(_counted(buckets), "chunk long, counts binary")
+    found = staged(parts.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_levels, "chunk long, levels binary"), "sketch")
+    out = np.zeros(buckets, np.uint8)
+    for chunk, levels in found.collect():
+        out[chunk * _CHUNK : (chunk + 1) * _CHUNK] = np.frombuffer(levels, np.uint8)
+    return out
 
-    def cut(t: pa.Table) -> pa.RecordBatch | None:
-        node, n, alone, late = (t.column(c).to_numpy() for c in ("node", "n", "alone", "late"))
-        first = np.concatenate([[True], node[1:] != node[:-1]])
-        group = np.cumsum(first) - 1
-        early = np.bincount(group, ~late).astype(np.int64)[group]
-        rank = np.arange(len(node)) - np.flatnonzero(first)[group]
-        keep = np.flatnonzero(alone + rank < n - (percent * n + 99) // 100 + 1)
-        pos = alone + np.minimum(rank, early)
-        out = t.select(["node", "n", "g"]).append_column("pos", pa.array(pos)).take(pa.array(keep)).combine_chunks()
-        return out.to_batches()[0] if len(keep) else None
+
+def _prefixes(percent: int, sketch: np.ndarray):
+    """Each class's set -> the n-grams of its prefix, rare first, with their positions and the part of a large bucket that they go to."""
+    parts = np.maximum(1, np.exp2(np.arange(256) / STEPS) / PART).astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            t = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
-            node = t.column("node").to_numpy()
-            end = int(np.searchsorted(node == node[-1], True)) if len(node) else 0
-            if end and (out := cut(t.slice(0, end))) is not None:
-                yield out
-            held = t.slice(end).combine_chunks().to_batches()[0] if len(node) > end else None
-        if held is not None and (out := cut(pa.Table.from_batches([held]))) is not None:
-            yield out
+        for batch in _gathered(batches):
+            n, node = batch.column("n").to_numpy(), batch.column("node").to_numpy()
+            g = _column(batch.column("packed"))
+            doc = np.repeat(np.arange(len(n)), n)
+            level = sketch[g & np.uint64(len(sketch) - 1)]
+            # a set is sorted by hash, so a stable sort by (set, level) orders it by (level, hash)
+            order = np.argsort((doc << 8) | level, kind="stable")
+            pos = np.arange(len(g)) - (np.cumsum(n) - n)[doc]
+            at = np.flatnonzero(pos < (n - (percent * n + 99) // 100 + 1)[doc])
+            doc, pos, g = doc[at], pos[at], g[order[at]]
+            split = parts[sketch[g & np.uint64(len(sketch) - 1)]]
+            part = (K.mix(node.view(np.uint64))[doc] % split.astype(np.uint64)).astype(np.int64)
+            part[split > 1] += 1  # 0: the bucket is whole
+            cols = [g.view(np.int64), part.astype(np.int32), pos.astype(np.int32), node[doc], n[doc].astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["g", "part", "pos", "node", "n"])
 
     return run
 
 
-#: Bits of the filter through which texts pass to verification: a fixed 4 MB, however many are wanted.
-FILTER_BITS = 1 << 25
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Postings in order of (g, part, pos) -> those of buckets with more than one, each with its bucket's first.
+
+    Only the first of the bucket at hand is kept, so a bucket may be of any length.
+    """
+    names = ["g", "part", "pos", "node", "n"]
+    first, waits = None, False  # the bucket's first posting; whether nothing has followed it yet
+    for batch in batches:
+        cols = {c: batch.column(c).to_numpy() for c in names}
+        if not batch.num_rows:
+            continue
+        if first is not None:
+            cols = {c: np.concatenate([[first[c]], x]) for c, x in cols.items()}
+        g, part = cols["g"], cols["part"]
+        new = np.concatenate([[True], (g[1:] != g[:-1]) | (part[1:] != part[:-1])])
+        starts = np.flatnonzero(new)
+        size = np.diff(np.append(starts, len(g)))
+        bucket = np.cumsum(new) - 1
+        keep = (size > 1)[bucket] | (part > 0)
+        if first is not None and not waits:
+            keep[0] = False  # it was given before
+            keep[1 : size[0]] = True
+        last = int(starts[-1])
+        first = {c: x[last] for c, x in cols.items()}
+        was_given = len(starts) == 1 and not waits and not keep[0] and batch.num_rows < len(g)
+        waits = not (keep[last] or was_given)
+        at = np.flatnonzero(keep)
+        if len(at):
+            head = starts[bucket[at]]
+            out = [cols[c][at] for c in names] + [cols[c][head] for c in ("pos", "node", "n")]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], [*names, "p_pos", "p_node", "p_n"])
+
+
+_POSTING = "g long, part int, pos int, node long, n int"
 
 
 def _filter(wanted: DataFrame) -> np.ndarray:
-    """A Bloom filter of the wanted keys with two bits each, put together by grouped ORs into at most FILTER_BITS / 64 rows."""
-    bits = wanted.select(F.explode(F.array(*[F.xxhash64("key", F.lit(i)).bitwiseAND(FILTER_BITS - 1) for i in range(2)])).alias("b"))
-    words = bits.groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("v"))
-    out = np.zeros(FILTER_BITS // 64, np.uint64)
+    """A Bloom filter of the nodes in rows (node): ten bits each, at least 2**16 and at most 2**28 (32 MB), put together by grouped ORs."""
+    bits = 1 << min(28, max(16, (10 * wanted.count()).bit_length()))
+    set_ = wanted.select(F.explode(F.array(*[F.xxhash64("node", F.lit(i)).bitwiseAND(bits - 1) for i in range(3)])).alias("b"))
+    words = set_.groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("v"))
+    out = np.zeros(bits // 64, np.uint64)
     found = words.toArrow()
     out[found.column("w").to_numpy()] = found.column("v").to_numpy().view(np.uint64)
     return out
 
 
-def _pack(k: int, held: np.ndarray, part: tuple[int, int] | None = None):
-    """Texts whose key may be wanted -> their n-gram sets, packed, or the n-grams of a part of the hash space.
-
-    What passes by chance is dropped by the join that follows.
-    """
+def _may_be_wanted(held: np.ndarray):
+    """Rows (h0, h1, h2, node, packed) that pass a filter; the join that follows drops those that pass by chance."""
+    mask = len(held) * 64 - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             may = np.ones(batch.num_rows, bool)
-            for c in ("h0", "h1"):
-                b = batch.column(c).to_numpy() & (FILTER_BITS - 1)
+            for c in ("h0", "h1", "h2"):
+                b = batch.column(c).to_numpy() & mask
                 may &= (held[b >> 6] >> (b & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
-            for some in K.slices(iter([batch.select(["key", "text"]).filter(pa.array(may))]), "text"):
-                data, offs = K.flat(some.column("text"))
-                if part is None:
-                    yield pa.RecordBatch.from_arrays([some.column("key"), pa.array([g.tobytes() for g in _sets(data, offs, k)], pa.binary())], ["key", "packed"])
-                    continue
-                lists = [g[slice(*np.searchsorted(g >> np.uint64(44), np.array(part, np.uint64)))] for g in _sets(data, offs, k)]
-                at = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([some.column("key"), pa.ListArray.from_arrays(at, pa.array(np.concatenate(lists).view(np.int64)))], ["key", "grams"])
+            if may.any():
+                yield batch.select(["node", "packed"]).filter(pa.array(may))
 
     return run
 
@@ -166,40 +263,31 @@ def _verify(percent: int):
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
             for i, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"), strict=True)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.sort(np.concatenate([x, y]))
-                keep[i] = int(np.count_nonzero(both[1:] == both[:-1])) * (100 + percent) >= percent * (len(x) + len(y))
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
+                both = np.sort(np.concatenate([_unpacked(x.as_buffer()), _unpacked(y.as_buffer())]))
+                keep[i] = int(np.count_nonzero(both[1:] == both[:-1])) * (100 + percent) >= percent * len(both)
+            if keep.any():
+                yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return run
 
 
-def _apart(x: str, y: str) -> Column:
-    """Suffix filter: of 512 parts of the hash space, those whose sets differ in parity are no more than the sets' Hamming distance."""
-    return sum((F.bit_count(F.col(f"{x}.{s}").bitwiseXOR(F.col(f"{y}.{s}"))) for s in _SIG), F.lit(0))
+def _need(nx: Column, ny: Column, percent: int) -> Column:
+    """The least intersection of linked sets of these sizes."""
+    return F.floor((percent * (nx + ny) + 99 + percent) / (100 + percent))
 
 
-def _may_link(x: str, y: str, percent: int) -> Column:
-    """x is the smaller of the two by (n, node)."""
-    nx, ny, i, j = F.col(f"{x}.n"), F.col(f"{y}.n"), F.col(f"{x}.pos"), F.col(f"{y}.pos")
-    need = F.floor((percent * (nx + ny) + 99 + percent) / (100 + percent))
+def _in_place(nx: Column, i: Column, ny: Column, j: Column, percent: int) -> Column:
+    """Length and positional filter: nx <= ny, the n-gram they share stands at i and j."""
     return (
         (nx * 100 >= ny * percent)
         & (i <= nx - F.floor((2 * percent * nx + 99 + percent) / (100 + percent)))
-        & (F.least(nx - i, ny - j) >= need)
-        & (_apart(x, y) <= nx + ny - 2 * need)
-    )
-
-
-def _candidates(met: DataFrame, x: str, y: str, percent: int) -> DataFrame:
-    """Pairs (a, b) of two posting structs that pass all filters, a the smaller set."""
-    small = _ordered(x, y)
-    sides = met.select(F.when(small, F.col(x)).otherwise(F.col(y)).alias("u"), F.when(small, F.col(y)).otherwise(F.col(x)).alias("v"))
-    return sides.filter(_may_link("u", "v", percent)).select(F.col("u.node").alias("a"), F.col("v.node").alias("b"))
+        & (F.least(nx - i, ny - j) >= _need(nx, ny, percent))
+    )
 
 
-def _ordered(a: str, b: str) -> Column:
-    return F.struct(F.col(f"{a}.n"), F.col(f"{a}.node")) < F.struct(F.col(f"{b}.n"), F.col(f"{b}.node"))
+def _apart(x: str, y: str) -> Column:
+    """Suffix filter: of 512 parts of the hash space, those whose sets differ in parity are no more than the sets' Hamming distance."""
+    return sum((F.bit_count(F.col(f"{x}.{s}").bitwiseXOR(F.col(f"{y}.{s}"))) for s in _SIG), F.lit(0))
 
 
 def ngram_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
@@ -231,81 +319,70 @@ def ngram_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 def _join(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, links_only: bool) -> DataFrame | tuple[DataFrame, DataFrame]:
     base = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
     kind = base.schema["id"].dataType.simpleString()
-    longs = ", ".join(f"{s} long" for s in (*_SIG, *_MIN))
-    described = base.mapInArrow(_describe(words, percent), f"id {kind}, key long, n long, s_n long, node long, grams array<long>, {longs}")
+    described = base.mapInArrow(_describe(words), f"id {kind}, key long, n long, node long, packed binary, " + ", ".join(f"{s} long" for s in _SIG))
     described = staged(described.withColumn("row", F.monotonically_increasing_id()), "shingles")
     filled = described.filter("n > 0")
     firsts = filled.groupBy("node").agg(F.min("row").alias("first_row"), F.count("*").alias("c")).filter("c > 1").drop("c")
     copies = staged(filled.select("node", "row").join(firsts, "node").filter("row <> first_row").select("row"), "copies")
-    few = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies
-    one = filled.join(few, "row", "left_anti")
-    classes = one.select("node", "key", "n", *_SIG, *_MIN)
-    names = filled.groupBy("node").agg(F.min("id").alias("min_id"))
+    classes = filled.join(F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies, "row", "left_anti")
 
-    def hashed(of: DataFrame) -> DataFrame:
-        return of.select("key", "text", *[F.xxhash64("key", F.lit(i)).alias(f"h{i}") for i in range(2)])
-
-    # peeling: classes whose own n-grams fill their prefix go
-    prefix = F.expr(f"n - (({percent} * n + 99) div 100) + 1")
-    grams = one.select("node", F.explode("grams").alias("g"))
-    shared = grams.groupBy("g").agg(F.count("*").alias("df")).filter("df > 1")
-    after = F.shiftrightunsigned("g", 44) >= _share(percent)
-    lists = staged(grams.join(shared, "g").select("node", after.alias("late"), F.when(after, 0).otherwise(F.col("df")).alias("df"), "g"), "lists")
-    early = lists.groupBy("node").agg(F.count_if(~F.col("late")).alias("shared"))
-    left = one.select("node", "key", "n", "s_n").join(early, "node").withColumn("alone", F.col("s_n") - F.col("shared"))
-    left = staged(left.filter(F.col("alone") < prefix).select("node", "key", "n", "alone"), "left")
-    done = _share(percent)
-    while done < 1 << 20:
-        upto = min(2 * done, 1 << 20)
-        packed = hashed(base).mapInArrow(_pack(words, _filter(left), (done, upto)), "key long, grams array<long>")
-        part = staged(left.join(packed, "key").dropDuplicates(["node"]), "part")
-        grams = part.select("node", F.explode("grams").alias("g"))
-        shared = grams.groupBy("g").agg(F.count("*").alias("df")).filter("df > 1").select("g")
-        often = grams.join(shared, "g").groupBy("node").agg(F.count("*").alias("shared"))
-        left = part.join(often, "node", "left").withColumn("alone", F.col("alone") + F.size("grams") - F.coalesce("shared", F.lit(0)))
-        left = staged(left.filter(F.col("alone") < prefix).select("node", "key", "n", "alone"), "left")
-        done = upto
-
-    ordered = lists.join(left.drop("key"), "node").select("node", "n", "alone", "late", "df", "g").repartition("node").sortWithinPartitions("node", "late", "df", "g")
-    postings = staged(ordered.mapInArrow(_prefixes(percent), "node long, n long, g long, pos long"), "postings")
-    crowded = postings.groupBy("g").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("g")
-    about = staged(classes.drop("n", "key").join(left, "node"), "classes")
-    postings = staged(postings.join(crowded, "g").join(about.select("node", *_SIG), "node"), "postings")
+    sketch = frequency_sketch(classes.select("n", "packed"))
+    postings = classes.select("n", "node", "packed").mapInArrow(_prefixes(percent, sketch), _POSTING)
+    postings = postings.repartition("g", "part").sortWithinPartitions("g", "part", "pos", "node")
+    postings = staged(postings.mapInArrow(_met, f"{_POSTING}, p_pos int, p_node long, p_n int"), "postings")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        pairs = staged(pairs.distinct(), "pairs")
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct().join(left.select("node", "key"), "node")
-        wanted = staged(wanted, "wanted")
-        packed = hashed(base).mapInArrow(_pack(words, _filter(wanted)), "key long, packed binary")
-        sets = staged(wanted.join(packed, "key").dropDuplicates(["node"]).select("node", "packed"), "sets")
+        """Of distinct pairs (a, b), staged, those that link."""
+        wanted = staged(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "wanted")
+        hashed = classes.select("node", "packed", *[F.xxhash64("node", F.lit(i)).alias(f"h{i}") for i in range(3)])
+        sets = hashed.mapInArrow(_may_be_wanted(_filter(wanted)), "node long, packed binary").join(wanted, "node", "left_semi")
         met = pairs.join(sets.select(F.col("node").alias("a"), F.col("packed").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("packed").alias("y")), "b")
         return staged(met.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long"), "links")
 
-    members = ["node", "n", "pos", *_SIG]
+    member = F.struct(F.col("pos").cast("long").alias("pos"), "node", F.col("n").cast("long").alias("n"))
+    pivot = F.struct(F.col("p_pos").cast("long").alias("pos"), F.col("p_node").alias("node"), F.col("p_n").cast("long").alias("n"))
+
+    def candidates(met: DataFrame, signed: bool) -> DataFrame:
+        """Rows (x, y) of two postings of a bucket -> distinct pairs (a, b), a < b, that pass the filters."""
+        small = F.struct("x.n", "x.node") < F.struct("y.n", "y.node")
+        met = met.select(F.when(small, F.col("x")).otherwise(F.col("y")).alias("u"), F.when(small, F.col("y")).otherwise(F.col("x")).alias("v"))
+        fit = _in_place(F.col("u.n"), F.col("u.pos"), F.col("v.n"), F.col("v.pos"), percent)
+        if signed:
+            fit = fit & (_apart("u", "v") <= F.col("u.n") + F.col("v.n") - 2 * _need(F.col("u.n"), F.col("v.n"), percent))
+        return met.filter(fit).select(F.least("u.node", "v.node").alias("a"), F.greatest("u.node", "v.node").alias("b")).distinct()
+
+    def signed(rows: DataFrame) -> DataFrame:
+        """Postings of buckets still of use, with their class's signature in the member struct ``m``."""
+        return rows.join(classes.select("node", *_SIG), "node").withColumn("m", F.struct(F.col("pos").cast("long").alias("pos"), "node", F.col("n").cast("long").alias("n"), *_SIG))
+
     if links_only:
-        held = postings.select("g", F.struct(*members).alias("m"))
-        met = held.alias("x").join(held.alias("y"), "g").filter("x.m.node < y.m.node").select(F.col("x.m").alias("mx"), F.col("y.m").alias("my"))
-        pairs = verified(_candidates(met, "mx", "my", percent))
+        held = staged(signed(postings), "postings").select("g", "m")
+        met = held.alias("i").join(held.alias("k"), "g").filter("i.m.node < k.m.node").select(F.col("i.m").alias("x"), F.col("k.m").alias("y"))
+        pairs = verified(staged(candidates(met, True), "pairs"))
         sizes = filled.groupBy("node").agg(F.count("*").alias("c"))
         ends = pairs.union(pairs.select("b", "a")).toDF("node", "other")
         degrees = ends.join(sizes.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.sum("c").alias("links"))
         counted = sizes.join(degrees, "node", "left").select("node", (F.col("c") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
         return described.join(counted, "node", "left").select("id", "key", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("node")).alias("class_id"), F.when(F.col("n") > 0, F.col("n_links")).otherwise(0).alias("n_links")), pairs
 
-    # against the most central class of each minimum hash
-    rows = about.withColumn("pos", F.col("alone")).select(*members, F.inline(F.array(*[F.struct(F.lit(j).alias("j"), F.col(m).alias("low")) for j, m in enumerate(_MIN)])))
-    central = F.min(F.struct((F.col("pos") / F.col("n")).alias("r"), *members)).alias("p")
-    pivots = rows.groupBy("j", "low").agg(central, F.count("*").alias("c")).filter("c > 1").select("j", "low", "p")
-    met = rows.join(pivots, ["j", "low"]).select(F.struct(*[F.col(f"p.{c}") for c in members]).alias("p"), F.struct(*members).alias("m")).filter("m.node <> p.node")
-    links = verified(_candidates(met, "p", "m", percent))
+    # members with their pivots, and the pivots of a large bucket's parts with the first of them
+    heads = postings.filter("part > 0 and node = p_node").select("g", member.alias("x"))
+    heads = heads.join(heads.groupBy("g").agg(F.min("x").alias("y")), "g").filter("x.node <> y.node").select("x", "y")
+    met = postings.filter("node <> p_node").select(member.alias("x"), pivot.alias("y")).unionByName(heads)
+    tried = staged(candidates(met, False), "pairs")
+    links = verified(tried)
 
     # what is left: pairs of different components within a bucket
-    held = _labelled(postings, components(links)).select("g", "comp", F.struct(*members).alias("m"))
-    held = staged(held, "postings")
-    met = held.alias("x").join(held.alias("y"), "g").filter("x.comp < y.comp").select(F.col("x.m").alias("mx"), F.col("y.m").alias("my"))
-    new = verified(_candidates(met, "mx", "my", percent))
+    found = components(links).withColumnRenamed("component", "comp")
+    rows = staged(postings.select("g", "pos", "node", "n").join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "labelled")
+    drop_staged(postings)
+    mixed = rows.groupBy("g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("g")
+    held = staged(signed(rows.join(mixed, "g")).select("g", "comp", "m"), "postings")
+    met = held.alias("i").join(held.alias("k"), "g").filter("i.comp < k.comp").select(F.col("i.m").alias("x"), F.col("k.m").alias("y"))
+    new = verified(staged(candidates(met, True).join(tried, ["a", "b"], "left_anti"), "pairs"))
 
     found = components(links.union(new))
+    names = filled.groupBy("node").agg(F.min("id").alias("min_id"))
     named = names.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("min_id").alias("component_id"))
     named = named.join(smallest, "component").select("node", "component", "component_id")
@@ -315,13 +392,6 @@ def _join(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int,
     return rows.unionByName(described.filter("n = 0").select("id", "key", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"), F.lit(True).alias("keeper")))
 
 
-def _labelled(postings: DataFrame, found: DataFrame) -> DataFrame:
-    """Postings with their node's component, of buckets that hold more than one."""
-    rows = postings.join(found.withColumnRenamed("component", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    crowded = rows.groupBy("g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("g")
-    return rows.join(crowded, "g")
-
-
 def drop_near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """The input's rows, one of each component of :func:`ngram_components`, columns as they were.
 
