@@ -15,7 +15,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SPACE = r"(?U)[\s\x1c-\x1f]+"
+#: The code points that are white space.
+SPACES = "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+_ODD = r"\x09-\x0d\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: A run of white space, as a class that the JVM need not look up by property.
+SPACE = f"[ {_ODD}]+"
+#: Runs that are not one plain space already, so that most of a text is left as it is.
+_TO_ONE = f"[{_ODD}][ {_ODD}]*| [ {_ODD}]+"
 TAG = r"<[^>]+>"
 BRACKET_TAG = r"\[\[[^\]]*\]\]"
 
@@ -32,7 +38,12 @@ def decode_entities(x: Column) -> Column:
 
 
 def normalize_whitespace(x: Column) -> Column:
-    return F.btrim(F.regexp_replace(x, SPACE, " "))
+    return F.btrim(F.regexp_replace(x, _TO_ONE, " "))
+
+
+def trim(x: Column) -> Column:
+    """Without white space at either end."""
+    return F.btrim(x, F.lit(SPACES))
 
 
 def strip_html(x: Column) -> Column:
@@ -53,7 +64,7 @@ def content_hash(x: Column) -> Column:
 
 def text_hash(x: Column) -> Column:
     """Of the trimmed, lower-cased text."""
-    return F.sha2(F.lower(F.regexp_replace(x, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")), 256)
+    return F.sha2(F.lower(trim(x)), 256)
 
 
 def review_id(x: Column) -> Column:
@@ -76,7 +87,6 @@ def parent_of(chunk_id: Column) -> Column:
 
 def strip_fence(x: Column) -> Column:
     """A model's answer without a leading ```json and a trailing ```."""
-    trim = lambda c: F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
     return trim(F.regexp_replace(F.regexp_replace(trim(x), "^```json", ""), "```$", ""))
 
 

@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.text import SPACE, trim
+
 SIZE, OVERLAP, MAX_CHARS = 500, 100, 500
-_EDGE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
-_SENTENCE = r"(?U)(?<=[.!?])[\s\x1c-\x1f]+"
+_SENTENCE = f"(?<=[.!?]){SPACE}"
 
 
 def fixed_size(text: Column, size: int = SIZE, overlap: int = OVERLAP) -> Column:
@@ -18,7 +19,7 @@ def fixed_size(text: Column, size: int = SIZE, overlap: int = OVERLAP) -> Column
     A text a little longer than a step has a last window that lies inside the one before it.
     """
     starts = F.when(F.length(text) > 0, F.sequence(F.lit(0), F.length(text) - 1, F.lit(size - overlap))).otherwise(F.array().cast("array<int>"))
-    pieces = F.transform(starts, lambda i: F.regexp_replace(F.substring(text, i + 1, F.lit(size)), _EDGE, ""))
+    pieces = F.transform(starts, lambda i: trim(F.substring(text, i + 1, F.lit(size))))
     return F.filter(pieces, lambda p: p != "")
 
 
@@ -27,7 +28,6 @@ def sentences(text: Column, max_chars: int = MAX_CHARS) -> Column:
 
     A fold in the JVM: finished chunks and the open one. An empty text has none.
     """
-    trim = lambda c: F.regexp_replace(c, _EDGE, "")
     none = F.array().cast("array<string>")
 
     def step(acc: Column, sentence: Column) -> Column:

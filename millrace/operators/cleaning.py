@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from millrace.functions import text as X
+from millrace.staging import staged
 
 MIN_TEXT_STRIP_FIRST, MIN_TEXT_DECODE_FIRST, BATCH = 15, 20, 32
 
@@ -25,18 +27,34 @@ def clean_records_decoded(df: DataFrame, *, min_text_length: int = MIN_TEXT_DECO
     return cleaned.filter(F.col("rating").isNotNull() & (F.length("text") >= min_text_length))
 
 
-def dedup_first(df: DataFrame, *, order_col: str, text_col: str = "text", ignore_case: bool = False, seen: DataFrame | None = None) -> DataFrame:
+_HASHABLE = (T.NumericType, T.StringType, T.BinaryType, T.BooleanType, T.DateType, T.TimestampType)
+
+
+def first_of(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
+    """One row per key (null is a key), columns as they were: that of the smallest ``order_col``, null last.
+
+    Of rows that tie, the one with the smaller hash of its plain columns; of rows alike in
+    these, any. A grouped minimum of whole rows: it combines before the shuffle, so a key with
+    very many rows is never gathered, and the input is evaluated once.
+    """
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, _HASHABLE)]
+    order = F.struct(F.col(order_col).isNull(), order_col, F.xxhash64(*plain) if plain else F.lit(0))
+    best = df.groupBy(*keys).agg(F.min_by(F.struct(*df.columns), order).alias("__row"))
+    return best.select("__row.*")
+
+
+def dedup_first(df: DataFrame, *, order_col: str, text_col: str = "text", ignore_case: bool = False, seen: DataFrame | None = None, hash_col: str | None = None) -> DataFrame:
     """The first row, by ``order_col``, of each text; rows whose hash is in ``seen(hash)`` are left out.
 
-    The first order value per hash is a grouped minimum, which combines before the shuffle,
-    joined back: a text with very many copies is never sorted in one task.
+    Null texts are one text. One row stays of each text, whatever ties or nulls ``order_col``
+    has (see :func:`first_of`). The hash stays as ``hash_col`` if that is given.
     """
-    h = X.text_hash(F.col(text_col)) if ignore_case else X.content_hash(F.col(text_col))
-    rows = df.withColumn("__hash", h)
+    name = hash_col or "__hash"
+    rows = df.withColumn(name, X.text_hash(F.col(text_col)) if ignore_case else X.content_hash(F.col(text_col)))
     if seen is not None:
-        rows = rows.join(seen.select(F.col("hash").alias("__hash")), "__hash", "left_anti")
-    first = rows.groupBy("__hash").agg(F.min(order_col).alias("__first"))
-    return rows.join(first, "__hash").filter(F.col(order_col) == F.col("__first")).drop("__hash", "__first")
+        rows = rows.join(seen.select(F.col("hash").alias("__seen")), F.col(name).eqNullSafe(F.col("__seen")), "left_anti")
+    first = first_of(rows, [name], order_col)
+    return first if hash_col else first.drop(name)
 
 
 def text_hashes(df: DataFrame, *, text_col: str = "text", ignore_case: bool = False) -> DataFrame:
@@ -45,18 +63,37 @@ def text_hashes(df: DataFrame, *, text_col: str = "text", ignore_case: bool = Fa
     return df.select(h.alias("hash")).distinct()
 
 
-def ranked(df: DataFrame, order_col: str, name: str = "rank") -> DataFrame:
-    """Dense positions from 0 in the order of a unique column, without a global sort in one task.
+def ranked(df: DataFrame, order_col: str | list[str], name: str = "rank") -> DataFrame:
+    """Dense positions from 0 in the order of a column (or several), without a global sort in one task.
 
-    Rows are range-partitioned; a partition's rows are numbered from the sum of those before it.
+    Rows are range-partitioned and written to the shared folder with their part and place, since
+    each evaluation of a range partitioning draws its own bounds; what is written is then numbered
+    from the rows of the parts before. Rows that tie are numbered in any order.
     """
+    order = [order_col] if isinstance(order_col, str) else order_col
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(parts, order_col).sortWithinPartitions(order_col)
     place = F.monotonically_increasing_id()
-    ordered = ordered.withColumn("__part", F.shiftright(place, 33)).withColumn("__pos", place.bitwiseAND((1 << 33) - 1))
-    sizes = ordered.groupBy("__part").agg(F.count("*").alias("__n"))
+    ordered = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("__place", place)
+    ordered = staged(ordered, "ranked")
+    return _numbered(ordered, "__place", name).drop("__place")
+
+
+def _numbered(df: DataFrame, place_col: str, name: str) -> DataFrame:
+    """Dense positions from 0 by a stored ``monotonically_increasing_id``: a part's rows follow those of all parts before it."""
+    part = F.shiftright(place_col, 33)
+    sizes = df.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))
     before = sizes.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__before"))
-    return ordered.join(F.broadcast(before), "__part").withColumn(name, F.col("__before") + F.col("__pos")).drop("__part", "__pos", "__before")
+    rows = df.withColumn("__part", part).join(F.broadcast(before), "__part")  # a row per part
+    return rows.withColumn(name, F.col("__before") + F.col(place_col).bitwiseAND((1 << 33) - 1)).drop("__part", "__before")
+
+
+def placed(df: DataFrame, name: str = "rank") -> DataFrame:
+    """Dense positions from 0 in the order of a file scan's splits and of the rows in each.
+
+    The scan is evaluated twice, first to count the rows of its splits; files are read in the
+    same splits each time as long as they don't change.
+    """
+    return _numbered(df.withColumn("__place", F.monotonically_increasing_id()), "__place", name).drop("__place")
 
 
 def batched(df: DataFrame, *, order_col: str, size: int = BATCH) -> DataFrame:

@@ -98,16 +98,21 @@ def ingest_reviews(reviews: DataFrame, meta: DataFrame, *, category: str, order_
     ``id`` is the text hash's first 16 digits; ``category`` stands where the metadata has none or an empty one.
     """
     rows = reviews if limit is None else reviews.orderBy(order_col).limit(limit)
-    kept = dedup_first(clean_records_decoded(rows, min_text_length=min_text_length), order_col=order_col, ignore_case=True)
-    products = load_product_meta(meta, kept.filter("parent_asin is not null")).select("parent_asin", F.col("title").alias("product_title"), F.col("category").alias("meta_category"))
+    kept = dedup_first(clean_records_decoded(rows, min_text_length=min_text_length), order_col=order_col, ignore_case=True, hash_col="__text_hash")
+    # every product's first record: cheaper than cleaning all reviews once more to learn which products they name
+    products = load_product_meta(meta.filter("parent_asin is not null")).select("parent_asin", F.col("title").alias("product_title"), F.col("category").alias("meta_category"))
     joined = kept.join(products, "parent_asin", "left")
     return joined.select(
-        X.review_id(F.col("text")).alias("id"), "text", F.col("rating").cast("double").alias("rating"), "asin", "parent_asin", "helpful_vote", "timestamp", "product_title",
+        F.substring("__text_hash", 1, 16).alias("id"), "text", F.col("rating").cast("double").alias("rating"), "asin", "parent_asin", "helpful_vote", "timestamp", "product_title",
         F.coalesce(F.nullif("meta_category", F.lit("")), F.lit(category)).alias("category"),
     )
 
 
-def run_counters(raw: DataFrame, filtered: DataFrame, kept: DataFrame) -> DataFrame:
-    """``raw_seen, after_filter, kept`` of a run, a row."""
-    n = lambda df, c: df.agg(F.count("*").alias(c))
-    return n(raw, "raw_seen").join(n(filtered, "after_filter")).join(n(kept, "kept"))
+def run_counters(raw: DataFrame, *, min_text_length: int = MIN_TEXT_STRIP_FIRST, ignore_case: bool = False) -> DataFrame:
+    """``raw_seen, after_filter, kept`` of a run over raw reviews, a row, from one pass: each text is cleaned once."""
+    text = X.clean_strip_first(F.coalesce(F.col("text"), F.lit("")))
+    rows = raw.select("rating", text.alias("text")).withColumn("sound", F.col("rating").isNotNull() & (F.length("text") >= min_text_length))
+    digest = X.text_hash(F.col("text")) if ignore_case else X.content_hash(F.col("text"))
+    rows = rows.select("sound", F.when(F.col("sound"), digest).alias("hash"))
+    by_text = rows.groupBy("hash").agg(F.count("*").alias("n"), F.count_if("sound").alias("sound"))
+    return by_text.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("raw_seen"), F.coalesce(F.sum("sound"), F.lit(0)).alias("after_filter"), F.count("hash").alias("kept"))

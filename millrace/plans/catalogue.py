@@ -120,9 +120,7 @@ def ingest_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register(f"SELECT (SELECT count(*) FROM documents)::BIGINT AS raw_seen, count(*)::BIGINT AS after_filter, count(DISTINCT sha256({_DOC}))::BIGINT AS kept FROM {_REVIEWS} WHERE rating IS NOT NULL AND length({_DOC}) >= 15")
 def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _reviews(spark, sf_dir)
-    filtered = cleaning.clean_records(raw)
-    return ingest.run_counters(raw, filtered, cleaning.dedup_first(filtered, order_col="doc_id"))
+    return ingest.run_counters(_reviews(spark, sf_dir))
 
 
 # -- batching and chunking ----------------------------------------------------

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import schemas
-from millrace.functions.text import SPACE
-from millrace.operators.cleaning import ranked
+from millrace.functions.text import trim
+from millrace.operators.cleaning import placed
 
 
 class MalformedRecord(ValueError):
@@ -25,10 +25,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     split's lines follow those of the splits before it.
     """
     lines = spark.read.text(path)
-    placed = lines.withColumn("__place", F.monotonically_increasing_id())
-    edge = rf"^{SPACE}|{SPACE}$".replace("(?U)", "")
-    numbered = ranked(placed, "__place", "__n")
-    return numbered.select((F.col("__n") + 1).alias("line_number"), F.regexp_replace("value", "(?U)" + edge, "").alias("raw"))
+    return placed(lines, "__n").select((F.col("__n") + 1).alias("line_number"), trim(F.col("value")).alias("raw"))
 
 
 def parse_lines(lines: DataFrame, *, schema: str = schemas.REVIEW) -> DataFrame:
@@ -64,9 +61,9 @@ def read_reviews(spark: SparkSession, path: str, *, skip: int = 0, limit: int |
     return rows if limit is None else rows.orderBy("line_number").limit(limit)
 
 
-def load_product_meta(meta: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``parent_asin, title, category``: of each wanted key the first record by ``line_number``."""
-    kept = meta.join(wanted.select("parent_asin").distinct(), "parent_asin", "left_semi")
+def load_product_meta(meta: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """``parent_asin, title, category``: of each wanted key (of every key, without ``wanted``) the first record by ``line_number``."""
+    kept = meta if wanted is None else meta.join(wanted.select("parent_asin").distinct(), "parent_asin", "left_semi")
     first = kept.groupBy("parent_asin").agg(F.min_by(F.struct("title", "main_category"), "line_number").alias("m"))
     return first.select("parent_asin", "m.title", F.col("m.main_category").alias("category"))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators.cleaning import first_of
+
 
 class MissingStore(FileNotFoundError):
     """A store is read that was never written; an empty one in its place would hide the mistake."""
@@ -28,10 +30,13 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def insert_absent(incoming: DataFrame, existing: DataFrame, *, id_col: str = "id", order_col: str) -> DataFrame:
-    """The rows to append: ids that the store hasn't, the first by ``order_col`` of each; first write wins."""
-    new = incoming.join(existing.select(id_col), id_col, "left_anti")
-    first = new.groupBy(id_col).agg(F.min(order_col).alias("__first"))
-    return new.join(first, id_col).filter(F.col(order_col) == F.col("__first")).select(*incoming.columns)
+    """The rows to append: ids that the store hasn't, the first by ``order_col`` of each; first write wins.
+
+    A null id is an id; ties and null order values leave one row as well (see ``cleaning.first_of``).
+    """
+    held = existing.select(F.col(id_col).alias("__held"))
+    new = incoming.join(held, F.col(id_col).eqNullSafe(F.col("__held")), "left_anti")
+    return first_of(new, [id_col], order_col).select(*incoming.columns)
 
 
 def upsert(incoming: DataFrame, existing: DataFrame, *, id_col: str = "id", replaced: tuple[str, ...] = ("embedding", "document")) -> DataFrame:

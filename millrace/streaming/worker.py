@@ -12,6 +12,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from millrace.functions import text as X
 from millrace.operators import faults
+from millrace.operators.cleaning import ranked
 from millrace.operators.embedding import Embedder
 from millrace.operators.ingest import EMBED, INGEST, STORE, embed_stage, ingest_records, load_stage
 from millrace.operators.ledger import TRANSITIONS, Ledger
@@ -22,13 +23,13 @@ from millrace.operators.telemetry import Telemetry
 def stream_lines(spark: SparkSession, path: str, *, files_per_batch: int = 1) -> DataFrame:
     """``raw, file`` of each line of the files that arrive under a folder."""
     lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path)
-    return lines.select(F.btrim("value").alias("raw"), F.col("_metadata.file_path").alias("file"))
+    return lines.select(X.trim(F.col("value")).alias("raw"), F.col("_metadata.file_path").alias("file"))
 
 
 def numbered(batch: DataFrame) -> DataFrame:
     """Line numbers within a micro-batch, in order of (file, place)."""
-    placed = batch.withColumn("line_number", F.monotonically_increasing_id() + 1)
-    return placed.select("line_number", "raw")
+    rows = ranked(batch.withColumn("place", F.monotonically_increasing_id()), ["file", "place"], "n")
+    return rows.select((F.col("n") + 1).alias("line_number"), "raw")
 
 
 def run_worker(spark: SparkSession, source: str, ledger: Ledger, store: ParquetStore, embedder: Embedder, *, checkpoint: str, telemetry: Telemetry | None = None, fail_every: int | None = None, fault: tuple[str, str] = (INGEST, "rate_limit"), trigger: dict | None = None) -> StreamingQuery:
