@@ -2,78 +2,16 @@
 
 from __future__ import annotations
 
-import contextlib
-import tempfile
-import uuid
-from collections.abc import Iterator
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.staging import drop_staged, fresh_dir, shared_dir, small_batches, staged
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only where the session names none and runs on this machine alone (tests, a laptop) a local
-    one is made and set; on a cluster executors would not share it, so there the call fails.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    held = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if held.isDefined():
-        return held.get().rstrip("/")
-    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="millrace-"))
-    return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
-
-
-def fresh_dir(spark: SparkSession, name: str) -> str:
-    """A new folder name below the shared one; Hadoop removes the folder when the driver ends."""
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(jpath)
-    fs.deleteOnExit(jpath)
-    return path
+__all__ = ["drop_staged", "fresh_dir", "row_key", "shared_dir", "small_batches", "staged", "table"]
 
 
-#: Bytes of an Arrow batch on its way to a Python worker; rows alone would let long texts fill its memory.
-BATCH_BYTES = 4 << 20
-
-
-@contextlib.contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Jobs begun inside send Python workers at most BATCH_BYTES at once (or one row)."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, str(BATCH_BYTES))
-    try:
-        yield
-    finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write a table into the shared folder and read it back: lineage ends here, lost executors re-read it."""
-    path = f"{fresh_dir(df.sparkSession, name)}/table"
-    with small_batches(df.sparkSession):
-        df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
-    out.staged_at = path
-    return out
-
-
-def drop_staged(*tables: DataFrame) -> None:
-    """Remove staged tables that nothing reads any more, before the driver ends."""
-    for df in tables:
-        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.staged_at)
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def row_key(id_col: str, text_col: str) -> Column:
