@@ -43,21 +43,27 @@ BATCH_BYTES = 4 << 20
 
 
 @contextlib.contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Jobs begun inside send Python workers at most BATCH_BYTES at once (or one row)."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, str(BATCH_BYTES))
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Settings of the jobs begun inside, put back afterwards.
+
+    Python workers get at most BATCH_BYTES at once (or one row), and a job's shuffle files go
+    when it ends: what it wrote is in the shared folder, so nothing reads them again.
+    """
+    wanted = {"spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES), "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a table into the shared folder and read it back: lineage ends here, lost executors re-read it."""
     path = f"{fresh_dir(df.sparkSession, name)}/table"
-    with small_batches(df.sparkSession):
+    with staging(df.sparkSession):
         df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.staged_at = path
