@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.staging import drop_staged, fresh_dir, shared_dir, small_batches, staged
+from millrace.staging import drop_staged, fresh_dir, shared_dir, staged, staging
 
-__all__ = ["drop_staged", "fresh_dir", "row_key", "shared_dir", "small_batches", "staged", "table"]
+__all__ = ["drop_staged", "fresh_dir", "row_key", "shared_dir", "staged", "staging", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -37,7 +37,7 @@ BROADCAST_ROWS = 1_000_000
 #: Bits of a hash that are kept, and bytes of it in a packed set.
 BITS, WIDTH = 48, 6
 #: N-grams to a sketch bucket, and the fewest and most buckets (as powers of two).
-PER_BUCKET, LEAST_BUCKETS, MOST_BUCKETS = 128, 16, 24
+PER_BUCKET, LEAST_BUCKETS, MOST_BUCKETS = 64, 16, 24
 #: Steps of the sketch's scale in which a count doubles.
 STEPS = 8
 #: Postings of a part of a large bucket.
@@ -117,7 +117,10 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _counted(buckets: int):
-    """Sets -> how many n-grams of this task fall into each bucket, a row for each _CHUNK of buckets."""
+    """Sets -> how many n-grams of this task fall into each bucket, a row for each _CHUNK of buckets.
+
+    ``counts`` has a byte a bucket; what is above 255 stands in ``more`` as (bucket, excess).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, held, waiting = np.zeros(buckets, np.uint32), [], 0
@@ -131,8 +134,13 @@ def _counted(buckets: int):
             total += np.bincount(np.concatenate(held), minlength=buckets).astype(np.uint32)
         used = np.flatnonzero(total.reshape(-1, _CHUNK).any(axis=1))
         for k in range(0, len(used), 64):
-            some = used[k : k + 64]
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array([total[c * _CHUNK : (c + 1) * _CHUNK].tobytes() for c in some.tolist()], pa.binary())], ["chunk", "counts"])
+            some, counts, more = used[k : k + 64], [], []
+            for c in some.tolist():
+                x = total[c * _CHUNK : (c + 1) * _CHUNK]
+                at = np.flatnonzero(x > 255).astype(np.uint32)
+                counts.append(np.minimum(x, 255).astype(np.uint8).tobytes())
+                more.append(np.concatenate([at, x[at] - np.uint32(255)]).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts, pa.binary()), pa.array(more, pa.binary())], ["chunk", "counts", "more"])
 
     return run
 
@@ -146,12 +154,14 @@ def _levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     now, total = None, None
     for batch in batches:
-        for chunk, counts in zip(batch.column("chunk").to_pylist(), batch.column("counts"), strict=True):
+        for chunk, counts, more in zip(batch.column("chunk").to_pylist(), batch.column("counts"), batch.column("more"), strict=True):
             if chunk != now:
                 if now is not None:
                     yield level(now, total)
                 now, total = chunk, np.zeros(_CHUNK, np.uint64)
-            total += np.frombuffer(counts.as_buffer(), np.uint32)
+            total += np.frombuffer(counts.as_buffer(), np.uint8)
+            at, excess = np.frombuffer(more.as_buffer(), np.uint32).reshape(2, -1)
+            total[at] += excess
     if now is not None:
         yield level(now, total)
 
@@ -163,7 +173,7 @@ def frequency_sketch(sets: DataFrame) -> np.ndarray:
     """
     n = sets.agg(F.sum("n")).first()[0] or 0
     buckets = 1 << min(MOST_BUCKETS, max(LEAST_BUCKETS, (n // PER_BUCKET).bit_length()))
-    parts = sets.mapInArrow(_counted(buckets), "chunk long, counts binary")
+    parts = sets.mapInArrow(_counted(buckets), "chunk long, counts binary, more binary")
     found = staged(parts.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_levels, "chunk long, levels binary"), "sketch")
     out = np.zeros(buckets, np.uint8)
     for chunk, levels in found.collect():
@@ -342,15 +352,22 @@ def _join(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int,
     member = F.struct(F.col("pos").cast("long").alias("pos"), "node", F.col("n").cast("long").alias("n"))
     pivot = F.struct(F.col("p_pos").cast("long").alias("pos"), F.col("p_node").alias("node"), F.col("p_n").cast("long").alias("n"))
 
+    near = lambda: _apart("u", "v") <= F.col("u.n") + F.col("v.n") - 2 * _need(F.col("u.n"), F.col("v.n"), percent)
+
     def candidates(met: DataFrame, signed: bool) -> DataFrame:
-        """Rows (x, y) of two postings of a bucket -> distinct pairs (a, b), a < b, that pass the filters."""
+        """Rows (x, y) of two postings of a bucket -> distinct pairs (a, b), a < b, that pass the filters; the suffix filter where they have signatures."""
         small = F.struct("x.n", "x.node") < F.struct("y.n", "y.node")
         met = met.select(F.when(small, F.col("x")).otherwise(F.col("y")).alias("u"), F.when(small, F.col("y")).otherwise(F.col("x")).alias("v"))
         fit = _in_place(F.col("u.n"), F.col("u.pos"), F.col("v.n"), F.col("v.pos"), percent)
         if signed:
-            fit = fit & (_apart("u", "v") <= F.col("u.n") + F.col("v.n") - 2 * _need(F.col("u.n"), F.col("v.n"), percent))
+            fit = fit & near()
         return met.filter(fit).select(F.least("u.node", "v.node").alias("a"), F.greatest("u.node", "v.node").alias("b")).distinct()
 
+    def close(pairs: DataFrame) -> DataFrame:
+        """Distinct pairs that pass the suffix filter, by a join with the signatures."""
+        about = lambda node, name: classes.select(F.col("node").alias(node), F.struct("n", *_SIG).alias(name))
+        return pairs.join(about("a", "u"), "a").join(about("b", "v"), "b").filter(near()).select("a", "b")
+
     def signed(rows: DataFrame) -> DataFrame:
         """Postings of buckets still of use, with their class's signature in the member struct ``m``."""
         return rows.join(classes.select("node", *_SIG), "node").withColumn("m", F.struct(F.col("pos").cast("long").alias("pos"), "node", F.col("n").cast("long").alias("n"), *_SIG))
@@ -369,12 +386,12 @@ def _join(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int,
     heads = postings.filter("part > 0 and node = p_node").select("g", member.alias("x"))
     heads = heads.join(heads.groupBy("g").agg(F.min("x").alias("y")), "g").filter("x.node <> y.node").select("x", "y")
     met = postings.filter("node <> p_node").select(member.alias("x"), pivot.alias("y")).unionByName(heads)
-    tried = staged(candidates(met, False), "pairs")
+    tried = staged(close(candidates(met, False)), "pairs")
     links = verified(tried)
 
-    # what is left: pairs of different components within a bucket
+    # what is left: pairs of different components within a bucket, but for those with its pivot
     found = components(links).withColumnRenamed("component", "comp")
-    rows = staged(postings.select("g", "pos", "node", "n").join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "labelled")
+    rows = staged(postings.filter("part > 0 or node <> p_node").select("g", "pos", "node", "n").join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "labelled")
     drop_staged(postings)
     mixed = rows.groupBy("g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("g")
     held = staged(signed(rows.join(mixed, "g")).select("g", "comp", "m"), "postings")
