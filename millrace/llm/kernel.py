@@ -71,6 +71,18 @@ def flat(column: pa.Array, tail: str = " ") -> tuple[np.ndarray, np.ndarray]:
     return data, offs - offs[0]
 
 
+def blocks(data: np.ndarray, size: int = SLICE) -> Iterator[tuple[int, int]]:
+    """Ranges of about ``size`` bytes that end after white space (or at the end), so no word is cut."""
+    at = 0
+    while at < len(data):
+        end = min(at + size, len(data))
+        while end < len(data) and not SPACE[data[end - 1]]:
+            gap = np.flatnonzero(SPACE[data[end : end + size]])
+            end = end + int(gap[0]) + 1 if len(gap) else min(end + size, len(data))
+        yield at, end
+        at = end
+
+
 def prefix_hash(data: np.ndarray) -> np.ndarray:
     out = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(len(data))[0][: len(data)], out=out[1:])

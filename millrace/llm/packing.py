@@ -4,8 +4,10 @@ Documents in order of id are one stream of token ids, dealt out by ranges of ids
 fall at a document's end, at a sentence's end (SENTENCE) or, where neither is near, inside a
 sentence (INSIDE). The cost of a window is its padding and its cut's penalty:
 f(j) = penalty(j) + N - c(j) + min over c(j) - c(i) <= N of (f(i) + c(i)), a sliding minimum.
-A window of a power of two is not padded but costs SHORT. A range's last tokens are cut into
-windows of powers of two, so no range ends in padding.
+A window of a power of two is not padded but costs SHORT. The programme runs over HORIZON
+tokens at a time: all its windows but the last stand, and the next run begins after them; so
+cuts depend on a range's documents alone, and memory on neither range nor document. A range's
+last tokens are cut into windows of powers of two from LEAST_POWER on, and one that is padded.
 """
 
 from __future__ import annotations
@@ -21,9 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import kernel as K
+from millrace.llm.common import ranges_for
 from millrace.llm.tokens import Encoder, with_end
 
 SENTENCE, INSIDE, SHORT = 8, 64, 48
+HORIZON, LEAST_POWER = 1 << 19, 256
 #: Tokens after which a stretch without document or sentence ends may be cut inside.
 STRETCH = 256
 
@@ -31,7 +35,7 @@ STRETCH = 256
 def choose_cuts(cuts: np.ndarray, penalty: np.ndarray, size: int) -> np.ndarray:
     """Of rising cut positions from 0, gaps at most ``size``, those of least cost, the first and last included."""
     short = [[] for _ in range(len(cuts))]
-    k = 256
+    k = LEAST_POWER
     while k < size:
         at = np.searchsorted(cuts, cuts - k)
         for j in np.flatnonzero((cuts >= k) & (cuts[at] == cuts - k)).tolist():
@@ -78,8 +82,10 @@ def candidates(ids: np.ndarray, ends: np.ndarray, marks: np.ndarray) -> tuple[np
     return at, penalty[at].astype(np.float64)
 
 
-def _powers(total: int) -> list[int]:
-    return [1 << b for b in range(total.bit_length() - 1, -1, -1) if total >> b & 1]
+def _tail(total: int) -> list[int]:
+    """Windows of a range's last tokens: falling powers of two, then what is less than LEAST_POWER."""
+    found = [1 << b for b in range(total.bit_length() - 1, LEAST_POWER.bit_length() - 2, -1) if total >> b & 1]
+    return found + [total % LEAST_POWER] * (total % LEAST_POWER > 0)
 
 
 def _pack(path: str, end: int, size: int, sentence_marks: tuple[str, ...], with_ids: bool, names: list[str]):
@@ -122,12 +128,16 @@ def _pack(path: str, end: int, size: int, sentence_marks: tuple[str, ...], with_
             doc = doc + batch.column("id").to_pylist()
             total = np.concatenate([total, np.diff(offs)])
             before = np.concatenate([before, np.zeros(len(offs) - 1, np.int64)])
+            while len(held) >= HORIZON:
+                windows = choose_cuts(*candidates(held[:HORIZON], ends[ends <= HORIZON], marks), size)
+                yield pieces(windows[:-1])
+                drop(int(windows[-2]))
+        if len(held):
             windows = choose_cuts(*candidates(held, ends, marks), size)
             if len(windows) > 2:
                 yield pieces(windows[:-1])
                 drop(int(windows[-2]))
-        if len(held):
-            yield pieces(np.concatenate([[0], np.cumsum(_powers(len(held)))]))
+            yield pieces(np.concatenate([[0], np.cumsum(_tail(len(held)))]))
 
     return run
 
@@ -138,13 +148,15 @@ def pack(docs: DataFrame, tokenizer: str, *, end: int = 2, size: int = 4096, id_
     A document is the ids of its whole text by the tokenizer file, and ``end``; a null or
     empty text is the end id alone. Each id is in exactly one piece, pieces follow each
     other in order of (id, text) within a sequence of at most ``size`` ids, and sequences
-    follow each other within a range of ids. Repeated rows are packed as often as they
-    occur; null ids come first. Other columns are ignored.
+    follow each other within a range of rows; ranges are as many as the texts' bytes ask for.
+    Repeated rows are packed as often as they occur; null ids come first. Other columns are ignored.
     """
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = base.schema["id"].dataType.simpleString()
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = base.repartitionByRange(parts, "id").sortWithinPartitions("id", F.xxhash64("text"))
+    parts = ranges_for(base.agg(F.sum(F.octet_length("text"))).first()[0])
+    # rows of one id, and even of one text, may fall into several ranges
+    order = [F.col("id"), F.xxhash64("text"), F.monotonically_increasing_id()]
+    ranged = base.repartitionByRange(parts, *order).sortWithinPartitions("id", F.xxhash64("text"))
     names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
     schema = f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids binary" * with_ids
     return ranged.mapInArrow(_pack(tokenizer, end, size, sentence_marks, with_ids, names), schema)

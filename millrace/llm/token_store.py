@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.llm import kernel as K
-from millrace.llm.common import fresh_dir
+from millrace.llm.common import fresh_dir, ranges_for, staging
 from millrace.llm.tokens import Encoder, with_end
 
 WINDOW, CUT, MOST, FAN = 16, 8, 2048, 1024
@@ -58,6 +58,8 @@ def _encode(path: str, end: int, width: int):
         for batch in K.slices(batches, "text"):
             ids, offs = with_end(*encoder.encode(batch.column("text")), end)
             ends = chunk_ends(ids, offs)
+            if len(ids) and int(ids.max()) >> (8 * width):
+                raise ValueError(f"token id {int(ids.max())} needs more than {width} bytes")
             raw = ids.astype(f"<u{width}").tobytes()
             bounds = np.concatenate([[0], ends])
             digests, seen = [], {}
@@ -96,7 +98,7 @@ def _roots(recipes: DataFrame) -> DataFrame:
 def write_store(docs: DataFrame, path: str, tokenizer: str, *, end: int = 2, width: int = 2, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every whole text (null: empty), add ``end``, and write the store; ``width`` bytes hold every id.
 
-    Repeated rows and ids are documents each, next to each other; null ids come first.
+    An id that ``width`` bytes can't hold fails the write. Repeated rows and ids are documents each, next to each other; null ids come first.
     Other columns are ignored. An empty table gives an empty store.
     """
     spark = docs.sparkSession
@@ -104,17 +106,20 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, *, end: int = 2, wid
     kind = base.schema["id"].dataType.simpleString()
     encoded = base.mapInArrow(_encode(tokenizer, end, width), f"kind int, id {kind}, n long, digest binary, sizes array<long>, payload binary")
     stage = fresh_dir(spark, "encoded") + "/table"
-    encoded.write.partitionBy("kind").option("compression", "zstd").parquet(stage)
-    staged = spark.read.schema(encoded.schema).parquet(stage)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = staged.filter("kind = 0").select("id", F.col("n").alias("n_tokens"), F.col("digest").alias("digests"), "sizes").repartitionByRange(parts, "id").sortWithinPartitions("id", "digests")
-    place = F.monotonically_increasing_id()
-    ordered.withColumn("part", F.shiftright(place, 33)).withColumn("pos", place.bitwiseAND((1 << 33) - 1)).write.option("compression", "zstd").parquet(f"{path}/recipes")
-    chunks = staged.filter("kind = 1").groupBy("digest").agg(F.first("n").alias("n"), F.first("payload").alias("payload"))
-    chunks.write.option("compression", "zstd").parquet(f"{path}/chunks")
-    roots = _roots(spark.read.parquet(f"{path}/recipes"))
-    first = (F.sum("n_tokens").over(Window.orderBy("part")) - F.col("n_tokens")).alias("first")
-    roots.select("part", "n_docs", "n_tokens", first, "root", F.lit(width).alias("width")).write.parquet(f"{path}/manifest")
+    with staging(spark):
+        encoded.write.partitionBy("kind").option("compression", "zstd").parquet(stage)
+        staged = spark.read.schema(encoded.schema).parquet(stage)
+        recipes = staged.filter("kind = 0").select("id", F.col("n").alias("n_tokens"), F.col("digest").alias("digests"), "sizes")
+        parts = ranges_for(recipes.agg(F.sum(F.octet_length("digests") + 32)).first()[0], 2 << 20)
+        # documents of one id, and even of one text, may fall into several parts
+        ordered = recipes.repartitionByRange(parts, "id", "digests", F.monotonically_increasing_id()).sortWithinPartitions("id", "digests")
+        place = F.monotonically_increasing_id()
+        ordered.withColumn("part", F.shiftright(place, 33)).withColumn("pos", place.bitwiseAND((1 << 33) - 1)).write.option("compression", "zstd").parquet(f"{path}/recipes")
+        chunks = staged.filter("kind = 1").groupBy("digest").agg(F.first("n").alias("n"), F.first("payload").alias("payload"))
+        chunks.write.option("compression", "zstd").parquet(f"{path}/chunks")
+        roots = _roots(spark.read.parquet(f"{path}/recipes"))
+        first = (F.sum("n_tokens").over(Window.orderBy("part")) - F.col("n_tokens")).alias("first")
+        roots.select("part", "n_docs", "n_tokens", first, "root", F.lit(width).alias("width")).write.parquet(f"{path}/manifest")
 
 
 def _checked(width: int):
@@ -176,8 +181,9 @@ def _moved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _verified(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, int]:
     """Recipes and manifest, once the recipes' Merkle roots are the manifest's; and the width."""
     recipes, manifest = spark.read.parquet(f"{path}/recipes"), spark.read.parquet(f"{path}/manifest")
-    bad = _roots(recipes).join(manifest, ["part", "n_docs", "n_tokens", "root"], "full_outer").filter("width is null or n_docs is null").count()
-    if bad or _roots(recipes).join(manifest.select("part", "root"), ["part", "root"], "left_anti").count():
+    told = manifest.select("part", *[F.col(c).alias(f"told_{c}") for c in ("n_docs", "n_tokens", "root")])
+    differs = F.expr("not (n_docs <=> told_n_docs and n_tokens <=> told_n_tokens and root <=> told_root)")
+    if _roots(recipes).join(told, "part", "full_outer").filter(differs).count():
         raise ValueError(f"{path}: recipes differ from the manifest")
     widths = [r.width for r in manifest.select("width").distinct().collect()]
     return recipes, manifest, widths[0] if widths else 2

@@ -19,12 +19,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.common import ranges_for, staging
+
 #: Bytes after which a task begins its next file; gap and size up to which reads are joined.
 FILE_BYTES, GAP_BYTES, READ_BYTES = 256 << 20, 64 << 10, 8 << 20
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Bytes of archive that a task reads at most, and at least where the cluster has cores for it.
+MOST_READ, LEAST_READ = 64 << 20, 1 << 20
 _INDEX = ["file", "offset", "length", "url", "digest", "id", "record_type"]
 
 
+def _place(uri: str):
+    """File system and path of a URI for pyarrow: its own kinds, Hadoop's other names for them, else whatever fsspec knows."""
+    from pyarrow import fs
+
+    scheme, _, rest = uri.partition("://")
+    named = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "viewfs": "viewfs"}.get(scheme, scheme)
+    if rest and named not in ("file", "s3", "gs", "gcs", "hdfs", "viewfs", "abfs", "mock"):
+        import fsspec
+
+        return fs.PyFileSystem(fs.FSSpecHandler(fsspec.filesystem(scheme))), rest
+    return fs.FileSystem.from_uri(f"{named}://{rest}" if rest else uri)
+
+
 def _field(value: str) -> str:
     """A header value: control characters and line ends by percent codes."""
     return "".join(f"%{ord(c):02X}" if ord(c) < 32 or ord(c) == 127 else c for c in value)
@@ -61,8 +78,6 @@ def parse_record(raw: bytes) -> dict:
 
 def _write(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
         out, at, name = None, 0, ""
         for batch in batches:
             rows = []
@@ -71,7 +86,7 @@ def _write(path: str):
                     if out is not None:
                         out.close()
                     name, at = f"{path}/{uuid.uuid4().hex}.warc.gz", 0
-                    store, place = fs.FileSystem.from_uri(name)
+                    store, place = _place(name)
                     out = store.open_output_stream(place, compression=None)  # members are compressed one by one
                 payload = html.as_buffer().to_pybytes() if html.is_valid else b""
                 digest = base64.b32encode(bytes.fromhex(sha1.as_py())).decode()
@@ -104,12 +119,11 @@ def write_warc(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col:
     rows = rows.withColumn("sha1", F.sha1(F.col("html").cast("binary")))
     same = rows.filter(F.octet_length("html") >= revisit_from).groupBy("sha1").agg(F.min("id").alias("first"), F.count("*").alias("c")).filter("c > 1").drop("c")
     kind = rows.schema["id"].dataType.simpleString()
-    from pyarrow import fs
-
-    store, place = fs.FileSystem.from_uri(f"{path}/archive")
+    store, place = _place(f"{path}/archive")
     store.create_dir(place)
     index = rows.join(same, "sha1", "left").select("id", "url", "html", "sha1", "first").mapInArrow(_write(f"{path}/archive"), f"file string, offset long, length long, url string, digest string, id {kind}, record_type string")
-    index.write.parquet(f"{path}/index")
+    with staging(spark):
+        index.write.parquet(f"{path}/index")
     return spark.read.schema(index.schema).parquet(f"{path}/index")
 
 
@@ -130,8 +144,6 @@ _RECORD = ["id", "url", "record_type", "digest", "refers_to", "payload_bytes", "
 
 def _read(payloads: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
         name, source = None, None
         for batch in batches:
             files, places = batch.column("file").to_pylist(), list(zip(batch.column("offset").to_pylist(), batch.column("length").to_pylist(), strict=True))
@@ -144,7 +156,7 @@ def _read(payloads: bool):
                     if source is not None:
                         source.close()
                     name = files[at]
-                    store, place = fs.FileSystem.from_uri(name)
+                    store, place = _place(name)
                     source = store.open_input_file(place)
                 for begin, n, which in ranges(places[at:end]):
                     raw = source.read_at(n, begin)
@@ -161,9 +173,14 @@ def _read(payloads: bool):
 def read_warc(index: DataFrame, *, payloads: bool = False) -> DataFrame:
     """The records of the given index rows: ``id, url, record_type, digest, refers_to, payload_bytes`` (and ``payload``, null of revisits).
 
-    Rows are put in order of (file, offset) and near ones read at once. Ids are strings as
-    in the archive. A response whose payload isn't its digest's fails the read.
+    Rows are put in order of (file, offset), dealt to tasks by ranges of it, so that a file may
+    be read by several, and near ones read at once. The number of tasks follows the bytes to
+    read, not the index's. Ids are strings as in the archive. A response whose payload isn't
+    its digest's fails the read.
     """
-    chosen = index.select("file", "offset", "length").repartition("file").sortWithinPartitions("file", "offset")
+    size = index.agg(F.sum("length")).first()[0] or 0
+    cores = index.sparkSession.sparkContext.defaultParallelism
+    tasks = max(ranges_for(size, MOST_READ), min(ranges_for(size, LEAST_READ), 4 * cores))
+    chosen = index.select("file", "offset", "length").repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     schema = "id string, url string, record_type string, digest string, refers_to string, payload_bytes long" + ", payload binary" * payloads
     return chosen.mapInArrow(_read(payloads), schema)
