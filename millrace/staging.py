@@ -64,7 +64,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a table into the shared folder and read it back: lineage ends here, lost executors re-read it."""
     path = f"{fresh_dir(df.sparkSession, name)}/table"
     with staging(df.sparkSession):
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.staged_at = path
     return out
