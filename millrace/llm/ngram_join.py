@@ -21,7 +21,7 @@ verifies every pair that passes the filters and gives all links, at a cost that
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,10 +40,12 @@ BITS, WIDTH = 48, 6
 PER_BUCKET, LEAST_BUCKETS, MOST_BUCKETS = 64, 16, 24
 #: Steps of the sketch's scale in which a count doubles.
 STEPS = 8
+#: Sets of more n-grams than this pass a wider suffix filter before they are sent.
+WIDE = 256
 #: Postings of a part of a large bucket.
 PART = 50_000
 #: Buckets in a row of the sketch while it is added up.
-_CHUNK = 4096
+_CHUNK = 1 << 16
 #: N-grams that a task orders or counts at once.
 _AT_ONCE = 1 << 20
 _SIG = [f"p{j}" for j in range(8)]
@@ -119,7 +121,7 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _counted(buckets: int):
     """Sets -> how many n-grams of this task fall into each bucket, a row for each _CHUNK of buckets.
 
-    ``counts`` has a byte a bucket; what is above 255 stands in ``more`` as (bucket, excess).
+    ``counts`` has a byte a bucket, compressed; what is above 255 stands in ``more`` as (bucket, excess).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,12 +135,12 @@ def _counted(buckets: int):
         if held:
             total += np.bincount(np.concatenate(held), minlength=buckets).astype(np.uint32)
         used = np.flatnonzero(total.reshape(-1, _CHUNK).any(axis=1))
-        for k in range(0, len(used), 64):
-            some, counts, more = used[k : k + 64], [], []
+        for k in range(0, len(used), 16):
+            some, counts, more = used[k : k + 16], [], []
             for c in some.tolist():
                 x = total[c * _CHUNK : (c + 1) * _CHUNK]
                 at = np.flatnonzero(x > 255).astype(np.uint32)
-                counts.append(np.minimum(x, 255).astype(np.uint8).tobytes())
+                counts.append(pa.compress(np.minimum(x, 255).astype(np.uint8).tobytes(), "zstd", asbytes=True))
                 more.append(np.concatenate([at, x[at] - np.uint32(255)]).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts, pa.binary()), pa.array(more, pa.binary())], ["chunk", "counts", "more"])
 
@@ -159,7 +161,7 @@ def _levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if now is not None:
                     yield level(now, total)
                 now, total = chunk, np.zeros(_CHUNK, np.uint64)
-            total += np.frombuffer(counts.as_buffer(), np.uint8)
+            total += np.frombuffer(pa.decompress(counts.as_buffer(), _CHUNK, "zstd"), np.uint8)
             at, excess = np.frombuffer(more.as_buffer(), np.uint32).reshape(2, -1)
             total[at] += excess
     if now is not None:
@@ -173,8 +175,8 @@ def frequency_sketch(sets: DataFrame) -> np.ndarray:
     """
     n = sets.agg(F.sum("n")).first()[0] or 0
     buckets = 1 << min(MOST_BUCKETS, max(LEAST_BUCKETS, (n // PER_BUCKET).bit_length()))
-    parts = sets.mapInArrow(_counted(buckets), "chunk long, counts binary, more binary")
-    found = staged(parts.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_levels, "chunk long, levels binary"), "sketch")
+    parts = sets.mapInArrow(K.released(_counted(buckets)), "chunk long, counts binary, more binary")
+    found = staged(parts.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(K.released(_levels), "chunk long, levels binary"), "sketch")
     out = np.zeros(buckets, np.uint8)
     for chunk, levels in found.collect():
         out[chunk * _CHUNK : (chunk + 1) * _CHUNK] = np.frombuffer(levels, np.uint8)
@@ -197,20 +199,20 @@ def _prefixes(percent: int, sketch: np.ndarray):
             at = np.flatnonzero(pos < (n - (percent * n + 99) // 100 + 1)[doc])
             doc, pos, g = doc[at], pos[at], g[order[at]]
             split = parts[sketch[g & np.uint64(len(sketch) - 1)]]
-            part = (K.mix(node.view(np.uint64))[doc] % split.astype(np.uint64)).astype(np.int64)
-            part[split > 1] += 1  # 0: the bucket is whole
-            cols = [g.view(np.int64), part.astype(np.int32), pos.astype(np.int32), node[doc], n[doc].astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["g", "part", "pos", "node", "n"])
+            part = K.mix(node.view(np.uint64))[doc] % split.astype(np.uint64)
+            part[split > 1] += np.uint64(1)  # 0: the bucket is whole
+            cols = [(g | part << np.uint64(BITS)).view(np.int64), pos << 32 | n[doc], node[doc]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["bucket", "place", "node"])
 
     return run
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Postings in order of (g, part, pos) -> those of buckets with more than one, each with its bucket's first.
+    """Postings in order of (bucket, place) -> those of buckets with more than one, each with its bucket's first.
 
     Only the first of the bucket at hand is kept, so a bucket may be of any length.
     """
-    names = ["g", "part", "pos", "node", "n"]
+    names = ["bucket", "place", "node"]
     first, waits = None, False  # the bucket's first posting; whether nothing has followed it yet
     for batch in batches:
         cols = {c: batch.column(c).to_numpy() for c in names}
@@ -218,27 +220,31 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         if first is not None:
             cols = {c: np.concatenate([[first[c]], x]) for c, x in cols.items()}
-        g, part = cols["g"], cols["part"]
-        new = np.concatenate([[True], (g[1:] != g[:-1]) | (part[1:] != part[:-1])])
+        bucket = cols["bucket"]
+        new = np.concatenate([[True], bucket[1:] != bucket[:-1]])
         starts = np.flatnonzero(new)
-        size = np.diff(np.append(starts, len(g)))
-        bucket = np.cumsum(new) - 1
-        keep = (size > 1)[bucket] | (part > 0)
+        size = np.diff(np.append(starts, len(bucket)))
+        which = np.cumsum(new) - 1
+        split = bucket.view(np.uint64) >> np.uint64(BITS) > 0
+        keep = (size > 1)[which] | split
         if first is not None and not waits:
             keep[0] = False  # it was given before
             keep[1 : size[0]] = True
         last = int(starts[-1])
         first = {c: x[last] for c, x in cols.items()}
-        was_given = len(starts) == 1 and not waits and not keep[0] and batch.num_rows < len(g)
-        waits = not (keep[last] or was_given)
+        waits = not keep[last] and not (last == 0 and len(bucket) > batch.num_rows and not waits)
         at = np.flatnonzero(keep)
         if len(at):
-            head = starts[bucket[at]]
-            out = [cols[c][at] for c in names] + [cols[c][head] for c in ("pos", "node", "n")]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], [*names, "p_pos", "p_node", "p_n"])
+            head = starts[which[at]]
+            cols = {c: x.view(np.uint64) for c, x in cols.items()}
+            low = np.uint64((1 << 32) - 1)
+            out = [cols["bucket"][at] & np.uint64((1 << BITS) - 1), cols["bucket"][at] >> np.uint64(BITS)]
+            for i in (at, head):
+                out += [cols["place"][i] >> np.uint64(32), cols["place"][i] & low, cols["node"][i]]
+            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in out], ["g", "part", "pos", "n", "node", "p_pos", "p_n", "p_node"])
 
 
-_POSTING = "g long, part int, pos int, node long, n int"
+_MET = "g long, part long, pos long, n long, node long, p_pos long, p_n long, p_node long"
 
 
 def _filter(wanted: DataFrame) -> np.ndarray:
@@ -252,8 +258,33 @@ def _filter(wanted: DataFrame) -> np.ndarray:
     return out
 
 
-def _may_be_wanted(held: np.ndarray):
-    """Rows (h0, h1, h2, node, packed) that pass a filter; the join that follows drops those that pass by chance."""
+def _parity(grams: np.ndarray) -> bytes:
+    """The set's size, then the parities of its n-grams in as many parts of the hash space as it has n-grams, to a power of two."""
+    bits = 1 << max(9, (len(grams) - 1).bit_length())
+    odd = np.bincount((K.mix(grams) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.array([len(grams)], "<u8").tobytes() + np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _near(percent: int):
+    """Pairs whose parities, folded to the smaller number of parts, differ in no more than linked sets can."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.zeros(batch.num_rows, bool)
+            for i, sides in enumerate(zip(batch.column("x"), batch.column("y"), strict=True)):
+                x, y = (np.frombuffer(s.as_buffer(), "<u8") for s in sides)
+                n, x, y = int(x[0] + y[0]), x[1:], y[1:]
+                while len(x) != len(y):
+                    x, y = (x[: len(x) // 2] ^ x[len(x) // 2 :], y) if len(x) > len(y) else (x, y[: len(y) // 2] ^ y[len(y) // 2 :])
+                keep[i] = int(np.bitwise_count(x ^ y).sum()) <= n - 2 * -(-percent * n // (100 + percent))
+            if keep.any():
+                yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    return run
+
+
+def _may_be_wanted(held: np.ndarray, parity: bool):
+    """Rows (h0, h1, h2, node, packed) that pass a filter, as sets or as parities; the join that follows drops those that pass by chance."""
     mask = len(held) * 64 - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,8 +293,11 @@ def _may_be_wanted(held: np.ndarray):
             for c in ("h0", "h1", "h2"):
                 b = batch.column(c).to_numpy() & mask
                 may &= (held[b >> 6] >> (b & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
-            if may.any():
-                yield batch.select(["node", "packed"]).filter(pa.array(may))
+            some = batch.select(["node", "packed"]).filter(pa.array(may))
+            if parity:
+                some = pa.RecordBatch.from_arrays([some.column("node"), pa.array([_parity(_unpacked(x.as_buffer())) for x in some.column("packed")], pa.binary())], ["node", "packed"])
+            if some.num_rows:
+                yield some
 
     return run
 
@@ -329,7 +363,7 @@ def ngram_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 def _join(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, links_only: bool) -> DataFrame | tuple[DataFrame, DataFrame]:
     base = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
     kind = base.schema["id"].dataType.simpleString()
-    described = base.mapInArrow(_describe(words), f"id {kind}, key long, n long, node long, packed binary, " + ", ".join(f"{s} long" for s in _SIG))
+    described = base.mapInArrow(K.released(_describe(words)), f"id {kind}, key long, n long, node long, packed binary, " + ", ".join(f"{s} long" for s in _SIG))
     described = staged(described.withColumn("row", F.monotonically_increasing_id()), "shingles")
     filled = described.filter("n > 0")
     firsts = filled.groupBy("node").agg(F.min("row").alias("first_row"), F.count("*").alias("c")).filter("c > 1").drop("c")
@@ -337,40 +371,45 @@ def _join(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int,
     classes = filled.join(F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies, "row", "left_anti")
 
     sketch = frequency_sketch(classes.select("n", "packed"))
-    postings = classes.select("n", "node", "packed").mapInArrow(_prefixes(percent, sketch), _POSTING)
-    postings = postings.repartition("g", "part").sortWithinPartitions("g", "part", "pos", "node")
-    postings = staged(postings.mapInArrow(_met, f"{_POSTING}, p_pos int, p_node long, p_n int"), "postings")
+    postings = classes.select("n", "node", "packed").mapInArrow(K.released(_prefixes(percent, sketch)), "bucket long, place long, node long")
+    postings = staged(postings.repartition("bucket").sortWithinPartitions("bucket", "place", "node").mapInArrow(K.released(_met), _MET), "postings")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """Of distinct pairs (a, b), staged, those that link."""
+        """Of distinct pairs (a, b, n), staged, those that link."""
+        wide = staged(joined(pairs.filter(F.col("n") > WIDE), _near(percent), True), "wide")
+        pairs = staged(pairs.filter(F.col("n") <= WIDE).select("a", "b").unionByName(wide), "pairs")
+        return staged(joined(pairs, _verify(percent), False), "links")
+
+    def joined(pairs: DataFrame, judge: Callable, parity: bool) -> DataFrame:
+        """The pairs that ``judge`` keeps, given both sides' sets or parities."""
         wanted = staged(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "wanted")
         hashed = classes.select("node", "packed", *[F.xxhash64("node", F.lit(i)).alias(f"h{i}") for i in range(3)])
-        sets = hashed.mapInArrow(_may_be_wanted(_filter(wanted)), "node long, packed binary").join(wanted, "node", "left_semi")
+        sets = hashed.mapInArrow(K.released(_may_be_wanted(_filter(wanted), parity)), "node long, packed binary").join(wanted, "node", "left_semi")
         met = pairs.join(sets.select(F.col("node").alias("a"), F.col("packed").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("packed").alias("y")), "b")
-        return staged(met.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long"), "links")
+        return met.select("a", "b", "x", "y").mapInArrow(K.released(judge), "a long, b long")
 
-    member = F.struct(F.col("pos").cast("long").alias("pos"), "node", F.col("n").cast("long").alias("n"))
-    pivot = F.struct(F.col("p_pos").cast("long").alias("pos"), F.col("p_node").alias("node"), F.col("p_n").cast("long").alias("n"))
+    member = F.struct("pos", "node", "n")
+    pivot = F.struct(F.col("p_pos").alias("pos"), F.col("p_node").alias("node"), F.col("p_n").alias("n"))
 
     near = lambda: _apart("u", "v") <= F.col("u.n") + F.col("v.n") - 2 * _need(F.col("u.n"), F.col("v.n"), percent)
 
     def candidates(met: DataFrame, signed: bool) -> DataFrame:
-        """Rows (x, y) of two postings of a bucket -> distinct pairs (a, b), a < b, that pass the filters; the suffix filter where they have signatures."""
+        """Rows (x, y) of two postings of a bucket -> distinct pairs (a, b, n), a < b, n the smaller size, that pass the filters; the suffix filter where they have signatures."""
         small = F.struct("x.n", "x.node") < F.struct("y.n", "y.node")
         met = met.select(F.when(small, F.col("x")).otherwise(F.col("y")).alias("u"), F.when(small, F.col("y")).otherwise(F.col("x")).alias("v"))
         fit = _in_place(F.col("u.n"), F.col("u.pos"), F.col("v.n"), F.col("v.pos"), percent)
         if signed:
             fit = fit & near()
-        return met.filter(fit).select(F.least("u.node", "v.node").alias("a"), F.greatest("u.node", "v.node").alias("b")).distinct()
+        return met.filter(fit).select(F.least("u.node", "v.node").alias("a"), F.greatest("u.node", "v.node").alias("b"), F.col("u.n").alias("n")).distinct()
 
     def close(pairs: DataFrame) -> DataFrame:
         """Distinct pairs that pass the suffix filter, by a join with the signatures."""
-        about = lambda node, name: classes.select(F.col("node").alias(node), F.struct("n", *_SIG).alias(name))
-        return pairs.join(about("a", "u"), "a").join(about("b", "v"), "b").filter(near()).select("a", "b")
+        about = lambda node, name: classes.select(F.col("node").alias(node), F.struct(F.col("n"), *_SIG).alias(name))
+        return pairs.join(about("a", "u"), "a").join(about("b", "v"), "b").filter(near()).select("a", "b", "n")
 
     def signed(rows: DataFrame) -> DataFrame:
         """Postings of buckets still of use, with their class's signature in the member struct ``m``."""
-        return rows.join(classes.select("node", *_SIG), "node").withColumn("m", F.struct(F.col("pos").cast("long").alias("pos"), "node", F.col("n").cast("long").alias("n"), *_SIG))
+        return rows.join(classes.select("node", *_SIG), "node").withColumn("m", F.struct("pos", "node", "n", *_SIG))
 
     if links_only:
         held = staged(signed(postings), "postings").select("g", "m")
@@ -396,7 +435,7 @@ def _join(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int,
     mixed = rows.groupBy("g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("g")
     held = staged(signed(rows.join(mixed, "g")).select("g", "comp", "m"), "postings")
     met = held.alias("i").join(held.alias("k"), "g").filter("i.comp < k.comp").select(F.col("i.m").alias("x"), F.col("k.m").alias("y"))
-    new = verified(staged(candidates(met, True).join(tried, ["a", "b"], "left_anti"), "pairs"))
+    new = verified(staged(candidates(met, True).join(tried.select("a", "b"), ["a", "b"], "left_anti"), "pairs"))
 
     found = components(links.union(new))
     names = filled.groupBy("node").agg(F.min("id").alias("min_id"))

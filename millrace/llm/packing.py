@@ -159,4 +159,4 @@ def pack(docs: DataFrame, tokenizer: str, *, end: int = 2, size: int = 4096, id_
     ranged = base.repartitionByRange(parts, *order).sortWithinPartitions("id", F.xxhash64("text"))
     names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
     schema = f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids binary" * with_ids
-    return ranged.mapInArrow(_pack(tokenizer, end, size, sentence_marks, with_ids, names), schema)
+    return ranged.mapInArrow(K.released(_pack(tokenizer, end, size, sentence_marks, with_ids, names)), schema)

@@ -104,7 +104,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, *, end: int = 2, wid
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = base.schema["id"].dataType.simpleString()
-    encoded = base.mapInArrow(_encode(tokenizer, end, width), f"kind int, id {kind}, n long, digest binary, sizes array<long>, payload binary")
+    encoded = base.mapInArrow(K.released(_encode(tokenizer, end, width)), f"kind int, id {kind}, n long, digest binary, sizes array<long>, payload binary")
     stage = fresh_dir(spark, "encoded") + "/table"
     with staging(spark):
         encoded.write.partitionBy("kind").option("compression", "zstd").parquet(stage)
@@ -196,10 +196,10 @@ def document_digests(spark: SparkSession, path: str) -> DataFrame:
     is put together from its chunks'. A missing chunk fails the query.
     """
     recipes, manifest, width = _verified(spark, path)
-    chunks = spark.read.parquet(f"{path}/chunks").mapInArrow(_checked(width), "digest binary, n long, crc long")
-    listed = recipes.select("part", "pos", "digests", "sizes").mapInArrow(_listed, "part long, pos long, seq long, after long, digest binary")
+    chunks = spark.read.parquet(f"{path}/chunks").mapInArrow(K.released(_checked(width)), "digest binary, n long, crc long")
+    listed = recipes.select("part", "pos", "digests", "sizes").mapInArrow(K.released(_listed), "part long, pos long, seq long, after long, digest binary")
     joined = listed.join(chunks, "digest", "left").select("part", "pos", "after", F.coalesce("n", F.raise_error(F.lit("a chunk is missing")).cast("long")).alias("n"), "crc")
-    sums = joined.mapInArrow(_moved, "part long, pos long, n long, crc long").groupBy("part", "pos").agg(F.sum("n").alias("n"), F.bit_xor("crc").alias("ids_crc32"))
+    sums = joined.mapInArrow(K.released(_moved), "part long, pos long, n long, crc long").groupBy("part", "pos").agg(F.sum("n").alias("n"), F.bit_xor("crc").alias("ids_crc32"))
     within = F.sum("n_tokens").over(Window.partitionBy("part").orderBy("pos")) - F.col("n_tokens")
     placed = recipes.select("part", "pos", "id", "n_tokens", within.alias("within")).join(manifest.select("part", "first"), "part")
     return placed.join(sums, ["part", "pos"]).select("id", (F.col("first") + F.col("within")).alias("start"), F.col("n").alias("n_tokens"), "ids_crc32")
@@ -217,7 +217,7 @@ def _joined(width: int):
 def read_store(spark: SparkSession, path: str) -> DataFrame:
     """``id, ids``: every document as written, its chunks joined in order."""
     recipes, _, width = _verified(spark, path)
-    listed = recipes.select("part", "pos", "digests", "sizes").mapInArrow(_listed, "part long, pos long, seq long, after long, digest binary")
+    listed = recipes.select("part", "pos", "digests", "sizes").mapInArrow(K.released(_listed), "part long, pos long, seq long, after long, digest binary")
     whole = listed.join(spark.read.parquet(f"{path}/chunks"), "digest").groupBy("part", "pos").agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "payload"))), lambda x: x["payload"]).alias("payloads"))
     kind = recipes.schema["id"].dataType.simpleString()
-    return recipes.select("part", "pos", "id").join(whole, ["part", "pos"]).select("id", "payloads").mapInArrow(_joined(width), f"id {kind}, ids array<int>")
+    return recipes.select("part", "pos", "id").join(whole, ["part", "pos"]).select("id", "payloads").mapInArrow(K.released(_joined(width)), f"id {kind}, ids array<int>")

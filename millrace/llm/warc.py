@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm import kernel as K
 from millrace.llm.common import ranges_for, staging
 
 #: Bytes after which a task begins its next file; gap and size up to which reads are joined.
@@ -121,7 +122,7 @@ def write_warc(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col:
     kind = rows.schema["id"].dataType.simpleString()
     store, place = _place(f"{path}/archive")
     store.create_dir(place)
-    index = rows.join(same, "sha1", "left").select("id", "url", "html", "sha1", "first").mapInArrow(_write(f"{path}/archive"), f"file string, offset long, length long, url string, digest string, id {kind}, record_type string")
+    index = rows.join(same, "sha1", "left").select("id", "url", "html", "sha1", "first").mapInArrow(K.released(_write(f"{path}/archive")), f"file string, offset long, length long, url string, digest string, id {kind}, record_type string")
     with staging(spark):
         index.write.parquet(f"{path}/index")
     return spark.read.schema(index.schema).parquet(f"{path}/index")
@@ -183,4 +184,4 @@ def read_warc(index: DataFrame, *, payloads: bool = False) -> DataFrame:
     tasks = max(ranges_for(size, MOST_READ), min(ranges_for(size, LEAST_READ), 4 * cores))
     chosen = index.select("file", "offset", "length").repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     schema = "id string, url string, record_type string, digest string, refers_to string, payload_bytes long" + ", payload binary" * payloads
-    return chosen.mapInArrow(_read(payloads), schema)
+    return chosen.mapInArrow(K.released(_read(payloads)), schema)
