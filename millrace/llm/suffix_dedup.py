@@ -26,8 +26,8 @@ from millrace.llm.suffixes import common_prefixes, suffix_array
 _GRAM = 32
 #: Different segments of one name beyond which its windows are counted by hash.
 WIDE = 4096
-#: Bytes of a shard.
-SHARD = 2_000_000
+#: Bytes of a shard; bytes whose windows are named at once, so that the arrays beside a long text don't grow with it.
+SHARD, PIECE = 500_000, 1 << 17
 
 
 def _window_hash(data: np.ndarray, size: int) -> np.ndarray:
@@ -51,43 +51,47 @@ def _sliding(x: np.ndarray, size: int, f) -> np.ndarray:
 def _segments(length: int):
     span = length - _GRAM + 1
 
-    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-        data, offs = K.flat(batch.column("text"), "")
-        sizes = np.diff(offs)
-        names = ["key", "start", "n", "name", "seg", "self"]
-        if not len(sizes) or sizes.max() < length:
-            none = [pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())]
-            return pa.RecordBatch.from_arrays(none, names)
+    names = ["key", "start", "n", "name", "seg", "self"]
+
+    def piece(data: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Segments of a run of bytes whose windows start in the ranges [lo, hi): starts, ends, names, hashes, and whether a name may be held twice."""
         grams = _window_hash(data, _GRAM)
         least = _sliding(grams, span, np.minimum)
-        valid = np.zeros(len(least) + 1, np.int8)
-        long = sizes >= length
-        valid[offs[:-1][long]] += 1
-        valid[offs[1:][long] - length + 1] -= 1
-        valid = np.cumsum(valid[:-1]).astype(bool)
+        edge = np.zeros(len(least) + 1, np.int8)
+        edge[lo] += 1
+        edge[hi] -= 1
+        valid = np.cumsum(edge[:-1]).astype(bool)
         change = np.concatenate([[True], least[1:] != least[:-1]])
-        before = np.concatenate([[False], valid[:-1]])
-        starts = np.flatnonzero(valid & (change | ~before))
-        after = np.concatenate([valid[1:], [False]])
-        ends = np.flatnonzero(valid & (np.concatenate([change[1:], [True]]) | ~after)) + 1
-        name = least[starts]
+        # documents end between windows, so neighbours of two documents are never both valid
+        starts = np.flatnonzero(valid & (change | ~np.concatenate([[False], valid[:-1]])))
+        ends = np.flatnonzero(valid & (np.concatenate([change[1:], [True]]) | ~np.concatenate([valid[1:], [False]]))) + 1
 
-        # names that a segment may hold twice
         reach = _sliding(np.concatenate([np.zeros(span - 1, np.uint64), least, np.zeros(span - 1, np.uint64)]), span, np.maximum)
         at = np.flatnonzero(reach == grams)
         order = np.argsort(grams[at], kind="stable")
         h, p = grams[at][order], at[order]
         again = h[1:][(h[1:] == h[:-1]) & (p[1:] - p[:-1] <= span)]
-        doc = np.searchsorted(offs, starts, "right") - 1
-        seg = K.range_hash(K.prefix_hash(data), starts, ends + length - 1)
+        return starts, ends, least[starts], K.range_hash(K.prefix_hash(data), starts, ends + length - 1), np.isin(least[starts], again)
+
+    def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        data, offs = K.flat(batch.column("text"), "")
         key = batch.column("key").to_numpy(zero_copy_only=False)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(key[doc]), pa.array(starts - offs[doc]), pa.array(ends - starts), pa.array(name.view(np.int64)), pa.array(seg.view(np.int64)), pa.array(np.isin(name, again))], names
-        )
+        first, end = offs[:-1], offs[1:] - length + 1
+        long = np.flatnonzero(end > first)
+        first, end = first[long], end[long]
+        for a in range(0, len(data) - length + 1, PIECE):
+            i, j = np.searchsorted(end, a, "right"), np.searchsorted(first, a + PIECE)
+            if i == j:
+                continue
+            lo, hi = np.maximum(first[i:j] - a, 0), np.minimum(end[i:j] - a, PIECE)
+            starts, ends, name, seg, twice = piece(data[a : a + PIECE + length - 1], lo, hi)
+            doc = long[np.searchsorted(first, starts + a, "right") - 1]
+            cols = [key[doc], starts + a - offs[doc], ends - starts, name.view(np.int64), seg.view(np.int64), twice]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in K.slices(batches, "text"):
-            yield cut(batch)
+            yield from cut(batch)
 
     return run
 
@@ -175,7 +179,7 @@ def _windows(length: int):
 def repeated_windows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 200) -> DataFrame:
     """``key, start, n``: windows of ``length`` bytes that occur elsewhere too, as ranges of their starts; key as by ``row_key``."""
     base = docs.select(row_key(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
-    found = staged(base.mapInArrow(_segments(length), "key long, start long, n long, name long, seg long, self boolean"), "segments")
+    found = staged(base.mapInArrow(K.released(_segments(length)), "key long, start long, n long, name long, seg long, self boolean"), "segments")
     often = found.groupBy("name").agg(F.count("*").alias("c"), F.max("self").alias("self")).filter("c > 1 or self").select("name")
     found = staged(found.drop("self").join(often, "name"), "segments")
     segs = found.groupBy("name", "seg", "n").agg(F.count("*").alias("c"), F.min(F.struct("key", "start")).alias("at"))
@@ -188,10 +192,10 @@ def repeated_windows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     parts = parts.groupBy("key").agg(F.collect_list("p").alias("parts"))
     texts = base.join(parts, "key").dropDuplicates(["key"])
     cols = "name long, key long, start long, n long, single boolean, bytes binary"
-    bytes_ = staged(texts.mapInArrow(_slice(length), cols).join(names.filter(f"different > {WIDE}"), "name", "left"), "bytes")
+    bytes_ = staged(texts.mapInArrow(K.released(_slice(length)), cols).join(names.filter(f"different > {WIDE}"), "name", "left"), "bytes")
     narrow = bytes_.filter("different is null").drop("different").repartition("name").sortWithinPartitions("name")
-    settled = narrow.mapInArrow(_shard(length), "key long, start long, n long")
-    windows = bytes_.filter("different is not null").drop("different").mapInArrow(_windows(length), "name long, key long, start long, single boolean, w long")
+    settled = narrow.mapInArrow(K.released(_shard(length)), "key long, start long, n long")
+    windows = bytes_.filter("different is not null").drop("different").mapInArrow(K.released(_windows(length)), "name long, key long, start long, single boolean, w long")
     more = windows.groupBy("name", "w").agg(F.count("*").alias("c")).filter("c > 1").select("name", "w")
     wide = windows.join(more, ["name", "w"]).filter("single").select("key", "start", F.lit(1).cast("long").alias("n"))
     return copies.unionByName(settled).unionByName(wide)
@@ -251,7 +255,7 @@ def removal_digests(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = base.schema["id"].dataType.simpleString()
     run = _cut(length, 0, ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"], "text", True)
-    return _with_parts(base, "id", "text", length).mapInArrow(run, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return _with_parts(base, "id", "text", length).mapInArrow(K.released(run), f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 200) -> DataFrame:
@@ -263,4 +267,4 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     names = [*docs.columns, "__mr_bytes", "__mr_removed", "__mr_spans"]
     schema = T.StructType([*docs.schema.fields, *(T.StructField(c, T.LongType()) for c in names[-3:])])
-    return _with_parts(docs, id_col, text_col, length).mapInArrow(_cut(length, 0, names, text_col, False), schema)
+    return _with_parts(docs, id_col, text_col, length).mapInArrow(K.released(_cut(length, 0, names, text_col, False)), schema)
