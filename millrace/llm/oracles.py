@@ -1,8 +1,6 @@
 """DuckDB SQL for the training-data queries that SQL can express."""
 
-import re
-
-from millrace.llm.quality import LEAST_ROWS, MEASURES, SPREADS
+from millrace.llm.quality import GAMMA, MEASURES, PRIOR, SPREADS, ZERO
 
 _OP1 = r"""
 WITH c AS (
@@ -75,17 +73,17 @@ SELECT n.doc_id, any_value(n.n) AS n_shingles, min(r.y) AS component_id FROM n J
 
 
 def _op7() -> str:
-    div = lambda sql: re.sub(r" div ", " // ", sql)
-    rows = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS measure, ({div(sql)})::BIGINT AS bin FROM k" for m, (sql, *_) in MEASURES.items())
+    rows = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS measure, ({sql})::DOUBLE AS v FROM k" for m, (sql, *_) in MEASURES.items())
+    value = lambda i: f"CASE WHEN b{i} = {ZERO} THEN 0.0::DOUBLE ELSE 2e0 * pow({GAMMA}::DOUBLE, b{i}) / (1e0 + {GAMMA}::DOUBLE) END AS q{i}"
     q = lambda keys, t: (
-        f"SELECT {keys}measure, max(rows) AS rows, " + ", ".join(f"min(bin) FILTER (upto * 10 >= rows * {x}) AS q{x}" for x in (1, 5, 9))
-        + f" FROM (SELECT *, sum(n) OVER (PARTITION BY {keys}measure ORDER BY bin) AS upto, sum(n) OVER (PARTITION BY {keys}measure) AS rows FROM {t}) GROUP BY ALL"
+        f"SELECT {keys}measure, rows, {', '.join(map(value, (1, 2, 3)))} FROM (SELECT {keys}measure, max(rows) AS rows, " + ", ".join(f"min(bin) FILTER (upto * 4 >= rows * {i}) AS b{i}" for i in (1, 2, 3))
+        + f" FROM (SELECT *, sum(n) OVER (PARTITION BY {keys}measure ORDER BY bin) AS upto, sum(n) OVER (PARTITION BY {keys}measure) AS rows FROM {t}) GROUP BY ALL)"
     )
     fails = []
-    for m, (sql, top, least, low) in MEASURES.items():
-        hi = f"least({top}, q5 + greatest({least}, {SPREADS} * (q9 - q5)))"
-        lo = f"greatest(0, q5 - greatest({least}, {SPREADS} * (q5 - q1)))" if low else "0"
-        fails.append(f"WHEN '{m}' THEN ({div(sql)}) NOT BETWEEN {lo} AND {hi}")
+    for m, (sql, least, low) in MEASURES.items():
+        hi = f"q2 + greatest({least}::DOUBLE, {SPREADS} * (q3 - q2))"
+        lo = f"q2 - greatest({least}::DOUBLE, {SPREADS} * (q2 - q1))" if low else "0"
+        fails.append(f"WHEN '{m}' THEN ({sql})::DOUBLE NOT BETWEEN {lo} AND {hi}")
     return rf"""
 WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
 ww AS (SELECT doc_id, unnest(w) AS a, generate_subscripts(w, 1) AS i FROM d),
@@ -93,20 +91,57 @@ g AS (SELECT *, lead(a, 1) OVER (PARTITION BY doc_id ORDER BY i) AS b, lead(a, 2
 r AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM g WHERE c IS NOT NULL),
 rep AS (SELECT doc_id, count(DISTINCT i + v.k) AS n FROM r, (VALUES (0), (1), (2)) AS v(k) WHERE n > 1 GROUP BY doc_id),
 ln AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM d),
-lc AS (SELECT doc_id, count(*) AS n, count(DISTINCT l) AS different FROM ln WHERE regexp_matches(l, '[^ 	-]') GROUP BY doc_id),
+lc AS (SELECT doc_id, count(*) AS n, count(DISTINCT l) AS different FROM ln WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY doc_id),
 a AS (SELECT d.doc_id, lang, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
   coalesce(lc.n - lc.different, 0)::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words, coalesce(lc.n, 0)::BIGINT AS n_lines FROM d LEFT JOIN rep USING (doc_id) LEFT JOIN lc USING (doc_id)),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM a),
 k AS (SELECT * FROM b WHERE NOT base_failed),
-fine AS (SELECT lang, source, measure, bin, count(*) AS n FROM ({rows}) GROUP BY ALL),
+fine AS (SELECT lang, source, measure, CASE WHEN v > 0 THEN ceil(ln(v) / ln({GAMMA}::DOUBLE))::INT ELSE {ZERO} END AS bin, count(*) AS n FROM ({rows}) GROUP BY ALL),
 by_lang AS (SELECT lang, measure, bin, sum(n) AS n FROM fine GROUP BY ALL),
-whole AS (SELECT measure, bin, sum(n) AS n FROM fine GROUP BY ALL),
-oq AS ({q("lang, source, ", "fine")}), lq AS ({q("lang, ", "by_lang")}), aq AS ({q("", "whole")}),
-cut AS (SELECT o.lang, o.source, o.measure, {", ".join(f"CASE WHEN o.rows >= {LEAST_ROWS} THEN o.q{x} WHEN l.rows >= {LEAST_ROWS} THEN l.q{x} ELSE w.q{x} END AS q{x}" for x in (1, 5, 9))}
-  FROM oq o JOIN lq l ON o.lang IS NOT DISTINCT FROM l.lang AND o.measure = l.measure JOIN aq w ON o.measure = w.measure),
+oq AS ({q("lang, source, ", "fine")}), lq AS ({q("lang, ", "by_lang")}),
+cut AS (SELECT o.lang, o.source, o.measure, {", ".join(f"(o.rows::DOUBLE * o.q{i} + {PRIOR} * l.q{i}) / (o.rows + {PRIOR})::DOUBLE AS q{i}" for i in (1, 2, 3))}
+  FROM oq o JOIN lq l ON o.lang IS NOT DISTINCT FROM l.lang AND o.measure = l.measure),
 bad AS (SELECT DISTINCT doc_id FROM k JOIN cut ON k.lang IS NOT DISTINCT FROM cut.lang AND k.source IS NOT DISTINCT FROM cut.source WHERE CASE measure {" ".join(fails)} END)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept FROM b
 """
 
 
-SQL = {"op1_chat_formatting": _OP1, "op2_mixing": _OP2, "op3_embedding_near_dedup": _OP3, "op5_ngram_join": _OP5, "op7_quality_rules": _op7()}
+_OP4 = """
+WITH RECURSIVE c AS (SELECT list(x ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_concat([i], range(8)), lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END) AS x FROM range(256) t(i))),
+d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS raw FROM documents),
+s AS (SELECT r, doc_id, octet_length(raw) + 16 AS size,
+  xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(regexp_extract_all(hex(raw), '..'), lambda h: ('0x' || h)::BIGINT)), lambda v, b: xor(v >> 8, tab[(xor(v, b) & 255) + 1])), 4294967295) AS text_crc32 FROM d, c),
+j(r, x, j, step, draw) AS (
+  SELECT r, ((coalesce(doc_id, 0)::HUGEINT + 18446744073709551616) % 18446744073709551616)::HUGEINT, 0::BIGINT, 0, 0::BIGINT FROM d
+  UNION ALL SELECT r, y, floor((j + 1)::DOUBLE * (2147483648.0::DOUBLE / ((y // 8589934592) + 1)::DOUBLE))::BIGINT, step + 1, CASE step WHEN 0 THEN (y // 8589934592)::BIGINT ELSE draw END
+  FROM (SELECT r, (x * 2862933555777941757::HUGEINT + 1) % 18446744073709551616 AS y, j, step, draw FROM j WHERE j <= 40)
+),
+k AS (SELECT r, max(j) FILTER (j < 40) AS shard, max(j) FILTER (j <= 40) AS grown, max(draw) AS draw FROM j GROUP BY r)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS law, shard::INT AS shard,
+  row_number() OVER (PARTITION BY shard ORDER BY draw & 255, doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, grown::INT AS grown_shard FROM s JOIN k USING (r)
+"""
+
+_OP6 = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+b AS (SELECT r, k, substr(h, (800 * k + 1)::INT, 1200) AS p FROM (SELECT r, h, unnest(range((length(h) + 799) // 800)) AS k FROM d)),
+w AS (SELECT r, 400 * k + s AS s, md5(substr(p, (2 * s + 1)::INT, 400)) AS m FROM (SELECT r, k, p, unnest(range(least(400, length(p) // 2 - 199))) AS s FROM b)),
+hit AS (SELECT r, s FROM w SEMI JOIN (SELECT m FROM w GROUP BY m HAVING count(*) > 1) USING (m)),
+isle AS (SELECT r, s, sum(fresh) OVER (PARTITION BY r ORDER BY s) AS k FROM (SELECT r, s, CASE WHEN s > lag(s) OVER (PARTITION BY r ORDER BY s) + 200 THEN 1 ELSE 0 END AS fresh FROM hit)),
+span AS (SELECT r, min(s) AS a, max(s) + 200 AS b FROM isle GROUP BY r, k),
+cut AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM span),
+kept AS (SELECT d.r, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS h, sum(b - a) AS removed, count(*) AS spans FROM d JOIN cut USING (r) GROUP BY d.r)
+SELECT doc_id, (length(d.h) // 2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256 FROM d LEFT JOIN kept USING (r)
+"""
+
+_OP9 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
+SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(sha1(html), (5 * (i // 4) + 1)::INT, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31) + 1)::INT, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM p
+"""
+
+
+SQL = {
+    "op1_chat_formatting": _OP1, "op2_mixing": _OP2, "op3_embedding_near_dedup": _OP3, "op4_sharding": _OP4, "op5_ngram_join": _OP5,
+    "op6_suffix_dedup": _OP6, "op7_quality_rules": _op7(), "op9_warc": _OP9,
+}

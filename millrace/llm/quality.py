@@ -1,9 +1,13 @@
 """Quality rules: fixed base rules, then thresholds read from mergeable quantile sketches per language and source.
 
-The sketch of a measure is a histogram over its integer scale (per mille of the words, or
-hundredths of a word's mean length), so sketches of any split of the rows add up to the
-same one, their size is bounded by the scale, and quantiles agree on every rerun. They are
-built by grouped counts; groups of few rows borrow the sketch of their language, then of all.
+The sketch of a measure counts its values in bins that grow by the factor GAMMA, zero apart:
+a quantile read from it is within ACCURACY of a true one, relatively, at any number of rows.
+Sketches of any split of the rows add up to the same sketch, whatever the order, and their size
+grows with the logarithm of the values' range alone. As rows (group, measure, bin, n) they are
+built by grouped counts that combine before the shuffle, and agree on every rerun.
+
+A group is judged by its own quantiles at every size, drawn towards its language's as if that
+had PRIOR rows in it: fully its own when it is large, and never by a switch.
 """
 
 from __future__ import annotations
@@ -23,17 +27,21 @@ from millrace.llm.common import staged
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[np.frombuffer(b"#*$%&|<>", np.uint8)] = True
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
-#: Measure -> (SQL over the base counts, greatest value on its scale, least distance of a threshold from the median, whether low values fail too)
+#: Measure -> (SQL over the base counts, as a double; least distance of a threshold from the median; whether low values fail too)
 MEASURES = {
-    "symbols": ("least(1000, 1000 * n_symbols div n_words)", 1000, 100, False),
-    "dup_lines": ("1000 * n_dup_lines div greatest(n_lines, 1)", 1000, 500, False),
-    "repeats": ("1000 * n_repeat_words div n_words", 1000, 450, False),
-    "word_length": ("least(2000, 100 * word_chars div n_words)", 2000, 100, True),
+    "symbols": ("1e3 * n_symbols / n_words", 100, False),
+    "dup_lines": ("1e3 * n_dup_lines / greatest(n_lines, 1)", 250, False),
+    "repeats": ("1e3 * n_repeat_words / n_words", 250, False),
+    "word_length": ("1e2 * word_chars / n_words", 100, True),
 }
-#: Groups of fewer rows borrow a wider group's sketch.
-LEAST_ROWS = 200
-#: A threshold lies this many times the spread between the median and the outer decile away from the median.
-SPREADS = 4
+#: Growth of a sketch's bins, the relative error of its quantiles, and the bin of zero.
+GAMMA = 1.02
+ACCURACY = (GAMMA - 1) / (GAMMA + 1)
+ZERO = -100_000
+#: Rows by which a group's language counts beside its own.
+PRIOR = 20
+#: A threshold lies this many times the spread between the median and the outer quartile away from the median.
+SPREADS = 8
 
 
 def counts(column: pa.Array) -> dict[str, np.ndarray]:
@@ -41,12 +49,11 @@ def counts(column: pa.Array) -> dict[str, np.ndarray]:
     data, offs = K.flat(column)
     n = len(offs) - 1
     starts, ends, first = K.words(data, offs)
-    prefix = K.prefix_hash(data)
     of_text = lambda x: np.add.reduceat(x.astype(np.int64), offs[:-1]) if n else np.zeros(0, np.int64)
     out = {"n_words": np.diff(first), "word_chars": of_text(~K.SPACE[data] & ((data & 0xC0) != 0x80)), "n_symbols": of_text(_SYMBOL[data])}
 
     doc = np.repeat(np.arange(n), np.diff(first))
-    grams = K.shingles(K.range_hash(prefix, starts, ends), 3)
+    grams = K.shingles(K.word_hashes(data, starts, ends), 3)
     whole = np.flatnonzero(doc[: len(grams)] == doc[2:]) if len(grams) else np.zeros(0, np.int64)
     twice = whole[_repeated(grams[whole], doc[whole])[0]]
     covered = np.zeros(len(doc), bool)
@@ -59,7 +66,7 @@ def counts(column: pa.Array) -> dict[str, np.ndarray]:
     wordy = np.searchsorted(starts, a) < np.searchsorted(starts, b)
     a, b = a[wordy], b[wordy]
     doc = np.searchsorted(offs, a, "right") - 1
-    out["n_dup_lines"] = np.bincount(doc[_repeated(K.range_hash(prefix, a, b), doc)[1]], minlength=n)
+    out["n_dup_lines"] = np.bincount(doc[_repeated(K.word_hashes(data, a, b), doc)[1]], minlength=n)
     out["n_lines"] = np.bincount(doc, minlength=n)
     return out
 
@@ -82,21 +89,21 @@ def _counted(text_col: str, names: list[str]):
     return run
 
 
-def with_counts(df: DataFrame, text_col: str, prefix: str = "") -> DataFrame:
-    """The input's columns and the base counts of every whole text, as longs named ``prefix + name``; ``text_col`` is a string."""
-    added = [prefix + c for c in BASE]
-    schema = T.StructType([*df.schema.fields, *(T.StructField(c, T.LongType()) for c in added)])
-    return df.mapInArrow(_counted(text_col, df.columns + added), schema)
+def with_counts(df: DataFrame, text_col: str) -> DataFrame:
+    """The input's columns and the base counts of every whole text, as longs; ``text_col`` is a string and no column has a count's name."""
+    schema = T.StructType([*df.schema.fields, *(T.StructField(c, T.LongType()) for c in BASE)])
+    return df.mapInArrow(K.released(_counted(text_col, df.columns + BASE)), schema)
 
 
-def base_failed(prefix: str = "") -> Column:
-    return F.expr(f"`{prefix}n_words` < 50 or 100 * `{prefix}n_repeat_words` > 50 * `{prefix}n_words`")
+def base_failed() -> Column:
+    return F.expr("n_words < 50 or 100 * n_repeat_words > 50 * n_words")
 
 
 def sketches(counted: DataFrame) -> DataFrame:
     """``lang, source, measure, bin, n``: the quantile sketch of each measure over the rows that pass the base rules."""
     sound = counted.filter(~base_failed())
-    bins = F.array(*[F.struct(F.lit(m).alias("measure"), F.expr(sql).cast("long").alias("bin")) for m, (sql, *_) in MEASURES.items()])
+    bin_of = lambda sql: F.expr(f"case when {sql} > 0 then cast(ceil(ln({sql}) / ln({GAMMA}D)) as int) else {ZERO} end")
+    bins = F.array(*[F.struct(F.lit(m).alias("measure"), bin_of(sql).alias("bin")) for m, (sql, *_) in MEASURES.items()])
     return sound.select("lang", "source", F.inline(bins)).groupBy("lang", "source", "measure", "bin").agg(F.count("*").alias("n"))
 
 
@@ -106,43 +113,39 @@ def merged(sketch: DataFrame, *keys: str) -> DataFrame:
 
 
 def quantiles(sketch: DataFrame, *keys: str) -> DataFrame:
-    """Per group and measure: rows, lower decile, median and upper decile (the least bin that holds so many tenths)."""
+    """Per group and measure: ``rows``, and quartiles ``q1, q2, q3``, each the middle of the least bin that holds so many quarters."""
     w = Window.partitionBy(*keys, "measure")
     cum = sketch.withColumn("upto", F.sum("n").over(w.orderBy("bin"))).withColumn("rows", F.sum("n").over(w))
-    at = lambda tenths: F.min(F.when(F.col("upto") * 10 >= F.col("rows") * tenths, F.col("bin")))
-    return cum.groupBy(*keys, "measure").agg(F.max("rows").alias("rows"), at(1).alias("q1"), at(5).alias("q5"), at(9).alias("q9"))
+    at = lambda quarters: F.min(F.when(F.col("upto") * 4 >= F.col("rows") * quarters, F.col("bin")))
+    value = lambda b: F.when(b == ZERO, 0.0).otherwise(2.0 * F.pow(F.lit(GAMMA), b) / (1.0 + GAMMA))
+    found = cum.groupBy(*keys, "measure").agg(F.max("rows").alias("rows"), *[at(i).alias(f"b{i}") for i in (1, 2, 3)])
+    return found.select(*keys, "measure", "rows", *[value(F.col(f"b{i}")).alias(f"q{i}") for i in (1, 2, 3)])
 
 
 def thresholds(counted: DataFrame) -> DataFrame:
     """One row per language and source: ``<measure>_lo`` and ``<measure>_hi``; values outside fail."""
     fine = staged(sketches(counted), "sketch")
-    by_lang = merged(fine, "lang")
-    everything = merged(fine)
-    all_q, lang_q, own_q = quantiles(everything), quantiles(by_lang, "lang"), quantiles(fine, "lang", "source")
-    q = lambda t: F.struct(f"{t}.q1", f"{t}.q5", f"{t}.q9")
-    joined = (
-        own_q.alias("o")
-        .join(lang_q.alias("l"), F.expr("o.lang <=> l.lang and o.measure = l.measure"))
-        .join(all_q.alias("a"), F.expr("o.measure = a.measure"))
-        .select("o.lang", "o.source", "o.measure", F.when(F.expr(f"o.rows >= {LEAST_ROWS}"), q("o")).when(F.expr(f"l.rows >= {LEAST_ROWS}"), q("l")).otherwise(q("a")).alias("q"))
-    )
+    own, wide = quantiles(fine, "lang", "source"), quantiles(merged(fine, "lang"), "lang")
+    drawn = [((F.col("o.rows") * F.col(f"o.q{i}") + PRIOR * F.col(f"w.q{i}")) / (F.col("o.rows") + PRIOR)).alias(f"q{i}") for i in (1, 2, 3)]
+    joined = own.alias("o").join(wide.alias("w"), F.expr("o.lang <=> w.lang and o.measure = w.measure")).select("o.lang", "o.source", "o.measure", *drawn)
     cuts = []
-    for m, (_, top, least, low) in MEASURES.items():
-        hi = F.expr(f"least({top}, q.q5 + greatest({least}, {SPREADS} * (q.q9 - q.q5)))")
-        lo = F.expr(f"greatest(0, q.q5 - greatest({least}, {SPREADS} * (q.q5 - q.q1)))") if low else F.lit(0).cast("long")
+    for m, (_, least, low) in MEASURES.items():
+        hi = F.expr(f"q2 + greatest({least}D, {SPREADS} * (q3 - q2))")
+        lo = F.expr(f"q2 - greatest({least}D, {SPREADS} * (q2 - q1))") if low else F.lit(0.0)
         mine = F.col("measure") == m
         cuts += [F.max(F.when(mine, lo)).alias(f"{m}_lo"), F.max(F.when(mine, hi)).alias(f"{m}_hi")]
     return joined.groupBy("lang", "source").agg(*cuts)
 
 
-def _within(prefix: str = "") -> Column:
-    ok = F.lit(True)
+def _judged(counted: DataFrame, cut: DataFrame) -> DataFrame:
+    """Counted rows with their group's thresholds, ``base_failed`` and ``kept``."""
+    cut = cut.withColumnRenamed("lang", "cut_lang").withColumnRenamed("source", "cut_source")
+    rows = counted.join(cut, F.expr("lang <=> cut_lang and source <=> cut_source"), "left").drop("cut_lang", "cut_source")
+    within = F.lit(True)
     for m, (sql, *_) in MEASURES.items():
-        value = sql
-        for c in sorted(BASE, key=len, reverse=True):
-            value = value.replace(c, f"`{prefix}{c}`") if prefix else value
-        ok = ok & F.expr(f"({value}) between {m}_lo and {m}_hi")
-    return F.coalesce(ok, F.lit(True))
+        within = within & F.expr(f"{sql} between {m}_lo and {m}_hi")
+    failed = base_failed()
+    return rows.withColumns({"base_failed": failed, "kept": F.when(failed, False).otherwise(F.coalesce(within, F.lit(True)))})
 
 
 def quality_verdicts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
@@ -154,15 +157,16 @@ def quality_verdicts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     base = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), F.col(text_col).cast("string").alias("text"))
     counted = staged(with_counts(base, "text").drop("text"), "quality")
     cut = staged(thresholds(counted), "thresholds")  # its size is then known, so it is broadcast only if small
-    rows = counted.alias("d").join(cut.withColumnRenamed("lang", "cut_lang").withColumnRenamed("source", "cut_source"), F.expr("lang <=> cut_lang and source <=> cut_source"), "left").drop("cut_lang", "cut_source")
-    return rows.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & _within())
+    return _judged(counted, cut)
 
 
 def keep_quality(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """The input's rows that pass, columns as they were: counted once for the sketches and once as rows stream by."""
-    base = docs.select(F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), F.col(text_col).cast("string").alias("text"))
-    cut = staged(thresholds(with_counts(base, "text").drop("text")), "thresholds")
-    cut = cut.withColumnRenamed("lang", "__mr_lang").withColumnRenamed("source", "__mr_source")
-    rows = with_counts(docs.withColumn("__mr_text", F.col(text_col).cast("string")), "__mr_text", "__mr_")
-    rows = rows.filter(~base_failed("__mr_")).join(cut, F.col(lang_col).eqNullSafe(F.col("__mr_lang")) & F.col(source_col).eqNullSafe(F.col("__mr_source")), "left").filter(_within("__mr_"))
-    return rows.select(*docs.columns)
+    """The input's rows that pass, columns as they were, whatever they are called.
+
+    Texts are counted once for the sketches and once as rows stream by: writing them out in
+    between, or sending them to their verdicts, would cost more.
+    """
+    names = [F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), F.col(text_col).cast("string").alias("text")]
+    cut = staged(thresholds(with_counts(docs.select(*names), "text").drop("text")), "thresholds")
+    rows = with_counts(docs.select(F.struct("*").alias("row"), *names), "text").drop("text")
+    return _judged(rows, cut).filter("kept").select("row.*")
