@@ -1,18 +1,22 @@
-"""Embedding near-dedup: an exact join by cells around pivots.
-
-Each vector belongs to the cell of its nearest pivot. Two vectors of different cells lie on
-different sides of the hyperplane midway between the pivots, so a vector farther from it than
-linked vectors can be apart has no link in the other cell; only the others are its guests
-there. Of two cells, one sends guests to the other, so each pair meets once. Cells of a label
-are dealt into blocks of at most about BLOCK, and a pair of blocks is a task's unit, so memory
-is bounded. In a unit every pair is compared: by a product of single precision, and by cosine in
-double precision where that is within its error of the threshold. No pair is lost.
-Equal vectors of a label are one class from the start. A unit returns, per vector, how many
-vectors it links there and one link per component.
-
-The pivots are a sample of the vectors by hash, about one per BLOCK vectors of the most frequent
-label. Vectors in tight groups are guests of few cells. Vectors that are spread evenly in many
-dimensions are guests of most, and the work is the square of a label's vectors.
+"""Embedding near-dedup: a pivot-permutation index, with its exact form as an option.
+
+Pivots are reference points spread over a bounded sample of the vectors: each is the one farthest
+from those before it, so a group of near copies holds one pivot however many vectors it has. A
+vector is described by its nearest pivots in order, the first of which is its home. The inverted
+list of a pivot holds the vectors that have it as their home, and is visited by the vectors that
+have it among their NEAREST; of two pivots one sends visitors to the other, so a pair meets once.
+Retrieved pairs that share fewer than SHARED of their nearest pivots are refused, the others are
+verified: by a product of single precision, and by cosine in double precision where that is
+within its error of the threshold.
+
+How many pivots count as nearest is fitted on the sample: at least NEAREST, and as many as it takes
+to find FOUND of the links between its first vectors. A visit is left out where it can't bring a
+link: vectors farther from the hyperplane midway between two pivots than linked vectors can be
+apart have none on its other side. With ``nearest=0`` that bound alone decides and no pair is lost.
+
+Equal vectors of a label are one class from the start. Lists of a label are dealt into blocks of
+at most about BLOCK, and a pair of blocks is a task's unit, so memory is bounded. A unit returns,
+per vector, how many vectors it links there and one link per component.
 """
 
 from __future__ import annotations
@@ -25,11 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm import kernel as K
 from millrace.llm.common import staged
 from millrace.llm.components import components
 
-#: Most pivots of a dimension; vectors in a block.
-PIVOTS, BLOCK = 4096, 2048
+#: Most pivots of a dimension, pivots to the root of the most frequent label's vectors, vectors they are chosen from; vectors in a block.
+PIVOTS, PER_ROOT, SAMPLE, BLOCK = 8192, 4, 32_768, 2048
+#: Pivots that describe a vector, at least; those that a pair shares; the share of the sample's links to find; vectors of the sample whose links are looked for.
+NEAREST, SHARED, FOUND, TRIED = 24, 2, 0.998, 4096
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -47,8 +54,41 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), pa.array(out, pa.binary())], ["id", "label", "x"])
 
 
-def _cells(pivots: dict[int, np.ndarray], least: float):
-    """Adds ``cells``: the vector's own, then those in which it is a guest."""
+def spread(sample: np.ndarray, count: int) -> np.ndarray:
+    """Of unit rows, ``count`` at most, each the farthest from those before it; rows within rounding of one are passed over."""
+    chosen, near = [0], sample @ sample[0]
+    while len(chosen) < min(count, len(sample)):
+        at = int(near.argmin())
+        if near[at] > 1 - 1e-9:
+            break
+        chosen.append(at)
+        near = np.maximum(near, sample @ sample[at])
+    return sample[chosen]
+
+
+def _sends(own: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Whether vectors of one home visit the list of another: of two pivots one does."""
+    return (other != own) & (((other + own) % 2 == 0) == (other > own))
+
+
+def fitted(sample: np.ndarray, pivots: np.ndarray, least: float) -> int:
+    """How many nearest pivots find FOUND of the links among the first TRIED of the sample."""
+    x = sample[:TRIED]
+    score = x @ pivots.T
+    own = score.argmax(axis=1)
+    needed = []
+    for k in range(0, len(x), 512):
+        i, j = np.nonzero(x[k : k + 512] @ x.T >= least)
+        i = i + k
+        at = np.flatnonzero(_sends(own[i], own[j]))[: 1 << 14]
+        i, j = i[at], j[at]
+        needed.append((score[i] >= score[i, own[j]][:, None]).sum(axis=1) if len(i) else np.zeros(0, np.int64))
+    needed = np.sort(np.concatenate(needed))
+    return max(NEAREST, int(needed[min(len(needed) - 1, math.ceil(FOUND * len(needed)))]) if len(needed) else 0)
+
+
+def _cells(pivots: dict[int, np.ndarray], nearest: dict[int, int], least: float):
+    """Adds ``cells``: the vector's home, then the lists that it visits; and ``near``: its nearest pivots, packed."""
     apart = math.sqrt(max(0.0, 2 - 2 * least))
     between = {d: np.sqrt(np.maximum(0, 2 - 2 * p @ p.T)) for d, p in pivots.items()}
 
@@ -56,24 +96,47 @@ def _cells(pivots: dict[int, np.ndarray], least: float):
         for batch in batches:
             sizes = np.array([len(x) for x in batch.column("x").to_pylist()])
             cells: list = [[0]] * batch.num_rows
+            near: list = [b""] * batch.num_rows
             for size in np.unique(sizes):
                 at = np.flatnonzero(sizes == size)
-                p = pivots.get(int(size) // 8)
-                if p is None:
+                d = int(size) // 8
+                if d not in pivots:
                     continue  # no pivot of this dimension was drawn; see below
-                score = _matrix(batch.column("x").take(pa.array(at))) @ p.T
+                score = _matrix(batch.column("x").take(pa.array(at))) @ pivots[d].T
                 own = score.argmax(axis=1)
                 # (own score - score) / distance of the pivots is the distance from the hyperplane
-                near = score.max(axis=1, keepdims=True) - score <= apart * between[int(size) // 8][own] + 1e-6
-                other = np.arange(len(p))[None, :]
-                near &= (other != own[:, None]) & (((other + own[:, None]) % 2 == 0) == (other > own[:, None]))
-                for i, o, row in zip(at.tolist(), own.tolist(), near, strict=True):
+                visits = score.max(axis=1, keepdims=True) - score <= apart * between[d][own] + 1e-6
+                visits &= _sends(own[:, None], np.arange(score.shape[1])[None, :])
+                k = nearest[d]
+                if 0 < k < score.shape[1]:
+                    top = np.argpartition(-score, k - 1, axis=1)[:, :k]
+                    close = np.zeros(score.shape, bool)
+                    np.put_along_axis(close, top, True, axis=1)
+                    visits &= close
+                    top = np.sort(top, axis=1).astype("<u2")
+                    for i, row in zip(at.tolist(), top, strict=True):
+                        near[i] = row.tobytes()
+                for i, o, row in zip(at.tolist(), own.tolist(), visits, strict=True):
                     cells[i] = [o, *np.flatnonzero(row).tolist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.list_(pa.int32()))], [*batch.schema.names, "cells"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.list_(pa.int32())), pa.array(near, pa.binary())], [*batch.schema.names, "cells", "near"])
 
     return run
 
 
+def _shared(near: pa.ChunkedArray, a: np.ndarray, b: np.ndarray, found: np.ndarray) -> None:
+    """Takes back from ``found`` the pairs that share fewer than SHARED of their nearest pivots."""
+    raw = near.to_pylist()
+    if not raw[0]:
+        return
+    near = np.frombuffer(b"".join(raw), "<u2").reshape(len(raw), -1)
+    i, j = np.nonzero(found)
+    for k in range(0, len(i), 1 << 16):
+        x, y = near[a[i[k : k + (1 << 16)]]], near[b[j[k : k + (1 << 16)]]]
+        both = np.sort(np.concatenate([x, y], axis=1), axis=1)
+        few = (both[:, 1:] == both[:, :-1]).sum(axis=1) < SHARED
+        found[i[k : k + (1 << 16)][few], j[k : k + (1 << 16)][few]] = False
+
+
 def _linked(x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
     """Which rows of two matrices of unit rows have a cosine of ``least`` or more."""
     score = x.astype(np.float32) @ y.astype(np.float32).T
@@ -105,11 +168,12 @@ def _roots(found: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _link(least: float):
-    def unit(node: np.ndarray, count: np.ndarray, x: np.ndarray, side: np.ndarray, same: bool) -> pa.RecordBatch | None:
+    def unit(node: np.ndarray, count: np.ndarray, x: np.ndarray, near: pa.ChunkedArray, side: np.ndarray, same: bool) -> pa.RecordBatch | None:
         """Links of one pair of blocks, or within one: ``side`` says which rows are the first block's."""
         a = np.arange(len(node)) if same else np.flatnonzero(side)
         b = a if same else np.flatnonzero(~side)
         found = _linked(x[a], x[b], least)
+        _shared(near, a, b, found)
         if same:
             found = np.triu(found, 1)
             found |= found.T
@@ -148,12 +212,12 @@ def _link(least: float):
         side = block == i[0]
         if not same and (side.all() or not side.any()):
             return None
-        return unit(t.column("node").to_numpy(), t.column("n").to_numpy(), _matrix(t.column("x").combine_chunks()), side, same)
+        return unit(t.column("node").to_numpy(), t.column("n").to_numpy(), _matrix(t.column("x").combine_chunks()), t.column("near"), side, same)
 
     return run
 
 
-def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", least: float = 0.93) -> DataFrame:
+def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", least: float = 0.93, nearest: int | None = None) -> DataFrame:
     """One row per input row: ``id, n_links, component_id, kept``.
 
     Vectors of equal, non-null labels and equal dimensions link where their cosine is
@@ -161,23 +225,28 @@ def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str
     the smallest id reachable, ``kept`` says it is the row's own. Vectors that are null,
     empty, zero or hold null or non-finite components link with nothing. Repeated rows link
     with each other. Other columns are ignored; an empty table gives no rows.
+
+    ``nearest``: pivots that describe a vector; None fits it on the sample, 0 is exact. No
+    link is given that isn't one; of the links the index may miss a few in a thousand.
     """
     spark = vectors.sparkSession
     kinds = {c: vectors.schema[c].dataType.simpleString() for c in (id_col, label_col)}
     base = vectors.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(vector_col).cast("array<double>").alias("v"))
-    rows = base.mapInArrow(_packed, f"id {kinds[id_col]}, label {kinds[label_col]}, x binary")
+    rows = base.mapInArrow(K.released(_packed), f"id {kinds[id_col]}, label {kinds[label_col]}, x binary")
     rows = staged(rows.withColumn("node", F.when(F.col("label").isNotNull() & F.col("x").isNotNull(), F.xxhash64("label", "x"))), "vectors")
     classes = rows.filter("node is not null").groupBy("node").agg(F.count("*").alias("n"), F.min("id").alias("min_id"), F.first("label").alias("label"), F.first("x").alias("x"))
     classes = staged(classes, "classes")
     sizes = classes.groupBy((F.octet_length("x") / 8).cast("int").alias("d"), "label").agg(F.count("*").alias("c"))
     dims = {r.d: r.most for r in sizes.groupBy("d").agg(F.sum("c").alias("c"), F.max("c").alias("most")).orderBy(F.desc("c")).limit(64).collect()}
-    pivots = {}
-    for d, most in dims.items():  # a dimension beyond the 64 most frequent has one cell a label
-        m = min(PIVOTS, math.ceil(most / BLOCK))
-        drawn = classes.filter(F.octet_length("x") == 8 * d).orderBy(F.xxhash64("node", F.lit(1))).limit(m).select("x").collect()
-        pivots[d] = np.array([np.frombuffer(r.x, np.float64) for r in drawn])
-        pivots[d] /= np.sqrt((pivots[d] ** 2).sum(axis=1, keepdims=True))
-    placed = classes.select("node", "n", "label", "x").mapInArrow(_cells(pivots, least), f"node long, n long, label {kinds[label_col]}, x binary, cells array<int>")
+    pivots, counts = {}, {}
+    for d, most in dims.items():  # a dimension beyond the 64 most frequent has one list a label
+        drawn = classes.filter(F.octet_length("x") == 8 * d).orderBy(F.xxhash64("node", F.lit(1))).limit(SAMPLE).select("x").collect()
+        sample = np.array([np.frombuffer(r.x, np.float64) for r in drawn])
+        sample /= np.sqrt((sample**2).sum(axis=1, keepdims=True))
+        pivots[d] = spread(sample, min(PIVOTS, math.ceil(PER_ROOT * math.sqrt(most))))
+        counts[d] = fitted(sample, pivots[d], least) if nearest is None else nearest
+    placed = classes.select("node", "n", "label", "x").mapInArrow(K.released(_cells(pivots, counts, least)), f"node long, n long, label {kinds[label_col]}, x binary, cells array<int>, near binary")
+    placed = staged(placed, "described")
     placed = placed.withColumn("dim", F.octet_length("x")).select("*", F.posexplode("cells").alias("place", "cell")).withColumn("guest", F.col("place") > 0)
     blocks = lambda c: F.expr(f"cast(({c} + {BLOCK - 1}) div {BLOCK} as int)")
     sizes = placed.groupBy("label", "dim", "cell").agg(F.count_if(~F.col("guest")).alias("homes"), F.count_if("guest").alias("guests")).filter("homes > 0 and homes + guests > 1")
@@ -187,8 +256,8 @@ def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str
     lists = lists.withColumn("block", F.when(F.col("guest"), F.col("hb") + F.pmod(dealt, F.col("gb"))).otherwise(F.pmod(dealt, F.col("hb"))).cast("int"))
     lists = lists.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("hb") - 1 + F.when(F.col("guest"), 0).otherwise(F.col("gb")))))
     lists = lists.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-    units = lists.select(F.xxhash64("label", "dim", "cell", "i", "j").alias("unit"), "node", "n", "x", "block", "i", "j").repartition("unit").sortWithinPartitions("unit")
-    links = staged(units.mapInArrow(_link(least), "node long, links long, root long"), "links")
+    units = lists.select(F.xxhash64("label", "dim", "cell", "i", "j").alias("unit"), "node", "n", "x", "near", "block", "i", "j").repartition("unit").sortWithinPartitions("unit")
+    links = staged(units.mapInArrow(K.released(_link(least)), "node long, links long, root long"), "links")
     found = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
     degrees = links.groupBy("node").agg(F.sum("links").alias("links"))
     named = classes.select("node", "n", "min_id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
