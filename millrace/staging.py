@@ -39,7 +39,7 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
 
 
 #: Bytes of an Arrow batch on its way to a Python worker; rows alone would let long texts fill its memory.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 
 @contextlib.contextmanager
@@ -60,8 +60,14 @@ def staging(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write a table into the shared folder and read it back: lineage ends here, lost executors re-read it."""
+def staged(df: DataFrame, name: str, rows: int | None = None, per_file: int = 500_000) -> DataFrame:
+    """Write a table into the shared folder and read it back: lineage ends here, lost executors re-read it.
+
+    ``rows``: about how many there are at most, if that is known; a small table is then made by
+    few tasks and kept in few files, whatever the number of shuffle partitions.
+    """
+    if rows is not None:
+        df = df.coalesce(rows // per_file + 1)
     path = f"{fresh_dir(df.sparkSession, name)}/table"
     with staging(df.sparkSession):
         df.write.option("compression", "zstd").parquet(path)
