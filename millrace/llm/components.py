@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import staged
+from millrace.llm.common import drop_staged, staged
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -13,15 +13,15 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(r)
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
     """``edges(a, b)`` of longs -> ``(node, component)``; component is the smallest node reachable.
 
     Every step is a grouped minimum joined back to the edges, so a star's centre with
     many neighbours is combined before the shuffle and its join side can be split.
     Each step's edges are written to the shared folder; the loop ends when a pair of
-    steps changes nothing. Nodes without an edge to another node are not returned.
+    steps changes nothing. ``rows``: how many edges there are at most, if that is known. Nodes without an edge to another node are not returned.
     """
-    now = staged(edges.select("a", "b").filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    now = staged(edges.select("a", "b").filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges", rows)
     mark = _mark(now)
     while mark[0]:
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -30,7 +30,9 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a")
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
-        now = staged(small, "edges")
+        # no more edges than before: few files for few of them
+        last, now = now, staged(small, "edges", rows=mark[0])
+        drop_staged(last)
         before, mark = mark, _mark(now)
         if mark == before:
             break

@@ -42,6 +42,8 @@ PER_BUCKET, LEAST_BUCKETS, MOST_BUCKETS = 64, 16, 24
 STEPS = 8
 #: Sets of more n-grams than this pass a wider suffix filter before they are sent.
 WIDE = 256
+#: Pairs that a task verifies, about.
+PAIRS = 4096
 #: Postings of a part of a large bucket.
 PART = 50_000
 #: Buckets in a row of the sketch while it is added up.
@@ -176,7 +178,7 @@ def frequency_sketch(sets: DataFrame) -> np.ndarray:
     n = sets.agg(F.sum("n")).first()[0] or 0
     buckets = 1 << min(MOST_BUCKETS, max(LEAST_BUCKETS, (n // PER_BUCKET).bit_length()))
     parts = sets.mapInArrow(K.released(_counted(buckets)), "chunk long, counts binary, more binary")
-    found = staged(parts.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(K.released(_levels), "chunk long, levels binary"), "sketch")
+    found = staged(parts.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(K.released(_levels), "chunk long, levels binary"), "sketch", rows=buckets // _CHUNK, per_file=16)
     out = np.zeros(buckets, np.uint8)
     for chunk, levels in found.collect():
         out[chunk * _CHUNK : (chunk + 1) * _CHUNK] = np.frombuffer(levels, np.uint8)
@@ -367,22 +369,25 @@ def _join(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int,
     described = staged(described.withColumn("row", F.monotonically_increasing_id()), "shingles")
     filled = described.filter("n > 0")
     firsts = filled.groupBy("node").agg(F.min("row").alias("first_row"), F.count("*").alias("c")).filter("c > 1").drop("c")
-    copies = staged(filled.select("node", "row").join(firsts, "node").filter("row <> first_row").select("row"), "copies")
+    copies = staged(filled.select("node", "row").join(firsts, "node").filter("row <> first_row").select("row"), "copies", rows=filled.count())
     classes = filled.join(F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies, "row", "left_anti")
 
     sketch = frequency_sketch(classes.select("n", "packed"))
     postings = classes.select("n", "node", "packed").mapInArrow(K.released(_prefixes(percent, sketch)), "bucket long, place long, node long")
     postings = staged(postings.repartition("bucket").sortWithinPartitions("bucket", "place", "node").mapInArrow(K.released(_met), _MET), "postings")
+    crowd = postings.count()
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Of distinct pairs (a, b, n), staged, those that link."""
-        wide = staged(joined(pairs.filter(F.col("n") > WIDE), _near(percent), True), "wide")
-        pairs = staged(pairs.filter(F.col("n") <= WIDE).select("a", "b").unionByName(wide), "pairs")
-        return staged(joined(pairs, _verify(percent), False), "links")
-
-    def joined(pairs: DataFrame, judge: Callable, parity: bool) -> DataFrame:
-        """The pairs that ``judge`` keeps, given both sides' sets or parities."""
-        wanted = staged(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "wanted")
+        n = pairs.count()
+        wide = staged(joined(pairs.filter(F.col("n") > WIDE), n, _near(percent), True), "wide", rows=n, per_file=PAIRS)
+        pairs = staged(pairs.filter(F.col("n") <= WIDE).select("a", "b").unionByName(wide), "pairs", rows=n)
+        n = pairs.count()
+        return staged(joined(pairs, n, _verify(percent), False), "links", rows=n, per_file=PAIRS)
+
+    def joined(pairs: DataFrame, n: int, judge: Callable, parity: bool) -> DataFrame:
+        """The pairs that ``judge`` keeps, of ``n`` at most, given both sides' sets or parities."""
+        wanted = staged(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "wanted", rows=2 * n)
         hashed = classes.select("node", "packed", *[F.xxhash64("node", F.lit(i)).alias(f"h{i}") for i in range(3)])
         sets = hashed.mapInArrow(K.released(_may_be_wanted(_filter(wanted), parity)), "node long, packed binary").join(wanted, "node", "left_semi")
         met = pairs.join(sets.select(F.col("node").alias("a"), F.col("packed").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("packed").alias("y")), "b")
@@ -425,19 +430,19 @@ def _join(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int,
     heads = postings.filter("part > 0 and node = p_node").select("g", member.alias("x"))
     heads = heads.join(heads.groupBy("g").agg(F.min("x").alias("y")), "g").filter("x.node <> y.node").select("x", "y")
     met = postings.filter("node <> p_node").select(member.alias("x"), pivot.alias("y")).unionByName(heads)
-    tried = staged(close(candidates(met, False)), "pairs")
+    tried = staged(close(candidates(met, False)), "pairs", rows=crowd)
     links = verified(tried)
 
     # what is left: pairs of different components within a bucket, but for those with its pivot
-    found = components(links).withColumnRenamed("component", "comp")
-    rows = staged(postings.filter("part > 0 or node <> p_node").select("g", "pos", "node", "n").join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "labelled")
+    found = components(links, links.count()).withColumnRenamed("component", "comp")
+    rows = staged(postings.filter("part > 0 or node <> p_node").select("g", "pos", "node", "n").join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "labelled", rows=crowd)
     drop_staged(postings)
     mixed = rows.groupBy("g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("g")
-    held = staged(signed(rows.join(mixed, "g")).select("g", "comp", "m"), "postings")
+    held = staged(signed(rows.join(mixed, "g")).select("g", "comp", "m"), "postings", rows=crowd)
     met = held.alias("i").join(held.alias("k"), "g").filter("i.comp < k.comp").select(F.col("i.m").alias("x"), F.col("k.m").alias("y"))
     new = verified(staged(candidates(met, True).join(tried.select("a", "b"), ["a", "b"], "left_anti"), "pairs"))
 
-    found = components(links.union(new))
+    found = components(links.union(new), links.count() + new.count())
     names = filled.groupBy("node").agg(F.min("id").alias("min_id"))
     named = names.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("min_id").alias("component_id"))
@@ -451,10 +456,10 @@ def _join(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int,
 def drop_near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """The input's rows, one of each component of :func:`ngram_components`, columns as they were.
 
-    Rows without words are kept as they are; of repeated rows in a component one stays.
+    Rows without words are kept as they are; of repeated rows in a component one stays. Columns may have any names.
     """
-    kept = ngram_components(docs, id_col=id_col, text_col=text_col, words=words, percent=percent).filter("keeper and n_shingles > 0").select(F.col("key").alias("__millrace_key")).distinct()
-    rows = docs.withColumn("__millrace_key", row_key(id_col, text_col))
+    kept = ngram_components(docs, id_col=id_col, text_col=text_col, words=words, percent=percent).filter("keeper and n_shingles > 0").select("key").distinct()
     has = F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    one = rows.filter(has).join(kept, "__millrace_key", "left_semi").dropDuplicates(["__millrace_key"])
-    return one.unionByName(rows.filter(~has)).drop("__millrace_key")
+    rows = docs.select(F.struct("*").alias("row"), row_key(id_col, text_col).alias("key"), has.alias("has"))
+    one = rows.filter("has").join(kept, "key", "left_semi").dropDuplicates(["key"])
+    return one.select("row.*").union(rows.filter("not has").select("row.*"))

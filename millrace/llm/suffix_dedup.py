@@ -18,9 +18,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.llm import kernel as K
-from millrace.llm.common import row_key, staged
+from millrace.llm.common import drop_staged, row_key, staged
 from millrace.llm.suffixes import common_prefixes, suffix_array
 
 _GRAM = 32
@@ -164,14 +165,18 @@ def _windows(length: int):
     """Each window of each segment by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                data = np.frombuffer(batch.column("bytes")[i].as_buffer(), np.uint8)
-                n = len(data) - length + 1
-                at = np.arange(n)
-                h = K.range_hash(K.prefix_hash(data), at, at + length).view(np.int64)
-                cols = [np.full(n, batch.column(c)[i].as_py()) for c in ("name", "key", "start", "single")]
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(cols[1]), pa.array(cols[2] + at), pa.array(cols[3]), pa.array(h)], ["name", "key", "start", "single", "w"])
+        for batch in K.slices(batches, "bytes", PIECE):
+            column = batch.column("bytes")
+            _, offs, data = column.buffers()
+            offs = np.frombuffer(offs, np.int32, len(column) + 1, column.offset * 4).astype(np.int64)
+            data, offs = np.frombuffer(data, np.uint8, offs[-1] - offs[0], offs[0]), offs - offs[0]
+            n = np.diff(offs) - length + 1
+            within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            at = np.repeat(offs[:-1], n) + within
+            row = np.repeat(np.arange(len(n)), n)
+            h = K.range_hash(K.prefix_hash(data), at, at + length).view(np.int64)
+            name, key, start, single = (batch.column(c).to_numpy(zero_copy_only=False)[row] for c in ("name", "key", "start", "single"))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (name, key, start + within, single, h)], ["name", "key", "start", "single", "w"])
 
     return run
 
@@ -179,12 +184,13 @@ def _windows(length: int):
 def repeated_windows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 200) -> DataFrame:
     """``key, start, n``: windows of ``length`` bytes that occur elsewhere too, as ranges of their starts; key as by ``row_key``."""
     base = docs.select(row_key(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
-    found = staged(base.mapInArrow(K.released(_segments(length)), "key long, start long, n long, name long, seg long, self boolean"), "segments")
-    often = found.groupBy("name").agg(F.count("*").alias("c"), F.max("self").alias("self")).filter("c > 1 or self").select("name")
-    found = staged(found.drop("self").join(often, "name"), "segments")
+    every = staged(base.mapInArrow(K.released(_segments(length)), "key long, start long, n long, name long, seg long, self boolean"), "segments")
+    often = every.groupBy("name").agg(F.count("*").alias("c"), F.max("self").alias("self")).filter("c > 1 or self").select("name")
+    found = staged(every.drop("self").join(often, "name"), "segments", rows=every.count())
+    drop_staged(every)
     segs = found.groupBy("name", "seg", "n").agg(F.count("*").alias("c"), F.min(F.struct("key", "start")).alias("at"))
     names = segs.groupBy("name").agg(F.count("*").alias("different"))
-    segs = staged(segs.join(names, "name"), "names")
+    segs = staged(segs.join(names, "name"), "names", rows=found.count())
     copies = found.join(segs.filter("c > 1").select("name", "seg", "n"), ["name", "seg", "n"]).select("key", "start", "n")
 
     # a lone segment of a name is there for a repeat inside it
@@ -201,7 +207,9 @@ def repeated_windows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return copies.unionByName(settled).unionByName(wide)
 
 
-def _cut(length: int, id_index: int, names: list[str], text_col: str, digest: bool):
+def _cut(length: int, first: str, names: list[str], digest: bool):
+    """Rows (``first``, text, parts) -> ``first``, then bytes, bytes removed and spans with the digest of what is left, or what is left."""
+
     def spans(parts: list | None) -> list[list[int]]:
         out: list[list[int]] = []
         for p in sorted((p["start"], p["start"] + p["n"] + length - 1) for p in parts or []):
@@ -212,9 +220,9 @@ def _cut(length: int, id_index: int, names: list[str], text_col: str, digest: bo
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in K.slices(batches, text_col):
-            n_bytes, removed, n_spans, sha, texts = [], [], [], [], []
-            for text, parts in zip(batch.column(text_col), batch.column("__mr_parts").to_pylist(), strict=True):
+        for batch in K.slices(batches, "text"):
+            counts, left = [], []
+            for text, parts in zip(batch.column("text"), batch.column("parts").to_pylist(), strict=True):
                 raw = memoryview(text.as_buffer()) if text.is_valid else memoryview(b"")
                 cuts = spans(parts)
                 at, kept = 0, []
@@ -222,27 +230,22 @@ def _cut(length: int, id_index: int, names: list[str], text_col: str, digest: bo
                     kept.append(bytes(raw[at:a]))
                     at = b
                 kept.append(bytes(raw[at:]))
-                n_bytes.append(len(raw))
-                removed.append(sum(b - a for a, b in cuts))
-                n_spans.append(len(cuts))
+                counts.append((len(raw), sum(b - a for a, b in cuts), len(cuts)))
                 if digest:
-                    sha.append(hashlib.sha256(b"".join(kept)).hexdigest())
+                    left.append(hashlib.sha256(b"".join(kept)).hexdigest())
                 else:
-                    texts.append("".join(k.decode("utf-8", "ignore") for k in kept) if text.is_valid else None)
-            own = [pa.array(x, pa.int64()) for x in (n_bytes, removed, n_spans)]
-            if digest:
-                yield pa.RecordBatch.from_arrays([batch.column(id_index), *own, pa.array(sha, pa.string())], names)
-            else:
-                cols = [pa.array(texts, pa.string()) if c == text_col else batch.column(c) for c in names[:-3]]
-                yield pa.RecordBatch.from_arrays([*cols, *own], names)
+                    left.append("".join(k.decode("utf-8", "ignore") for k in kept) if text.is_valid else None)
+            own = [pa.array(x, pa.int64()) for x in zip(*counts, strict=True)] if digest else []
+            yield pa.RecordBatch.from_arrays([batch.column(first), *own, pa.array(left, pa.string())], names)
 
     return run
 
 
-def _with_parts(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFrame:
+def _with_parts(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFrame:
+    """Rows (key, text, ..) with the ranges of repeated windows of their key."""
     found = repeated_windows(docs, id_col=id_col, text_col=text_col, length=length)
-    lists = found.distinct().groupBy(F.col("key").alias("__mr_key")).agg(F.collect_list(F.struct("start", "n")).alias("__mr_parts"))
-    return docs.withColumn("__mr_key", row_key(id_col, text_col)).join(lists, "__mr_key", "left").drop("__mr_key")
+    lists = found.distinct().groupBy("key").agg(F.collect_list(F.struct("start", "n")).alias("parts"))
+    return rows.join(lists, "key", "left").drop("key")
 
 
 def removal_digests(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 200) -> DataFrame:
@@ -252,19 +255,18 @@ def removal_digests(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     Null and empty texts have no bytes and lose none. Repeated rows repeat each other and
     so lose all that is ``length`` bytes or longer. Other columns are ignored.
     """
-    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    base = docs.select(row_key(id_col, text_col).alias("key"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = base.schema["id"].dataType.simpleString()
-    run = _cut(length, 0, ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"], "text", True)
-    return _with_parts(base, "id", "text", length).mapInArrow(K.released(run), f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    run = _cut(length, "id", ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"], True)
+    return _with_parts(base, docs, id_col, text_col, length).mapInArrow(K.released(run), f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 200) -> DataFrame:
-    """The input's rows and columns, repeated bytes gone from the text, with ``__mr_bytes, __mr_removed, __mr_spans`` beside.
+    """The input's rows and columns, whatever they are called, with repeated bytes gone from the text.
 
     A character that a cut leaves in part goes as well. A null text stays null.
     """
-    from pyspark.sql import types as T
-
-    names = [*docs.columns, "__mr_bytes", "__mr_removed", "__mr_spans"]
-    schema = T.StructType([*docs.schema.fields, *(T.StructField(c, T.LongType()) for c in names[-3:])])
-    return _with_parts(docs, id_col, text_col, length).mapInArrow(K.released(_cut(length, 0, names, text_col, False)), schema)
+    rows = docs.select(row_key(id_col, text_col).alias("key"), F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text"))
+    schema = T.StructType([rows.schema["row"], T.StructField("text", T.StringType())])
+    left = _with_parts(rows, docs, id_col, text_col, length).mapInArrow(K.released(_cut(length, "row", ["row", "text"], False)), schema)
+    return left.select(*[F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns])
