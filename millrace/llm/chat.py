@@ -50,9 +50,14 @@ def _parsed(piece: Column) -> Column:
 
 
 def parse(formatted: Column) -> Column:
-    """The turns of a formatted conversation: an array of (role, text), an element null where the grammar is broken."""
+    """The turns of a formatted conversation: an array of (role, text), an element null where the grammar is broken.
+
+    What stands after the last end mark is a broken turn as well.
+    """
     pieces = _pieces(formatted)
-    return F.transform(F.slice(pieces, F.lit(1), F.size(pieces) - 1), _parsed)
+    whole = F.when(F.element_at(pieces, -1) == "", F.slice(pieces, F.lit(1), F.size(pieces) - 1)).otherwise(pieces)
+    ended = F.when(F.element_at(pieces, -1) == "", F.lit(-1)).otherwise(F.size(pieces) - 1)
+    return F.transform(whole, lambda p, i: F.when(i != ended, _parsed(p)))
 
 
 def format_conversations(df: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", learn: str = "assistant") -> DataFrame:
@@ -94,8 +99,8 @@ def format_conversations(df: DataFrame, *, conv_col: str = "conv_id", turn_col:
     return convs.select("conv", F.size("source").cast("long").alias("n_turns"), "formatted", F.transform("turns", extent).alias("layout"), "round_trip")
 
 
-def read_back(formatted: DataFrame) -> DataFrame:
-    """Formatted conversations -> ``conv, n_turns, turns, loss_text``, from the formatted string and its layout alone."""
-    pieces = _pieces(F.col("formatted"))
-    loss = F.zip_with(F.slice(pieces, F.lit(1), F.size(pieces) - 1), F.col("layout"), lambda p, at: unescape(F.substring(p, at["loss_start"] + 1, at["loss_chars"])))
-    return formatted.select("conv", F.size(parse(F.col("formatted"))).cast("long").alias("n_turns"), parse(F.col("formatted")).alias("turns"), F.array_join(loss, "").alias("loss_text"), F.length("formatted").cast("long").alias("formatted_chars"))
+def read_back(formatted: DataFrame, *, learn: str = "assistant") -> DataFrame:
+    """Formatted conversations -> ``conv, n_turns, turns, loss_text, formatted_chars``, from the formatted string alone: the loss is on the texts of role ``learn``."""
+    turns = formatted.select("conv", parse(F.col("formatted")).alias("turns"), F.length("formatted").cast("long").alias("formatted_chars"))
+    loss = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == learn), lambda t: t["text"]), "")
+    return turns.select("conv", F.size("turns").cast("long").alias("n_turns"), "turns", loss.alias("loss_text"), "formatted_chars")

@@ -6,7 +6,8 @@ min(cap, level x weight), found from prefix sums over the sources in order of ca
 
 Each document draws a key -ln(u) / quality from its id; in order of keys a source's documents
 fill what its complete epochs leave of the target, the last of them in part. A source is put
-in order in BINS parts by key, so a source with a third of all rows is no single task.
+in order in parts by key, as many as the table's rows ask for, so a source with a third of all
+rows is no single task.
 """
 
 from __future__ import annotations
@@ -18,7 +19,8 @@ from pyspark.sql.window import Window
 from millrace.llm.common import row_key, staged
 
 WEIGHTS = (5, 2, 1)
-BINS = 256
+#: Rows of a part by which a source is put in order, and the fewest and most parts.
+BIN_ROWS, LEAST_BINS, MOST_BINS = 4096, 16, 1 << 20
 
 
 def word_count(text: Column) -> Column:
@@ -66,7 +68,10 @@ def mix(docs: DataFrame, *, quality: DataFrame | None = None, id_col: str = "doc
     else:
         rows = rows.withColumn("quality", F.lit(1.0))
     rows = rows.withColumn("turn", -F.log(uniform("id", seed)) / F.coalesce("quality", F.lit(1.0)))
-    rows = rows.withColumn("bin", F.floor(BINS * (1 - F.exp(-F.col("turn")))))
+    # parts that would be equal if every document had the mean quality
+    about = rows.agg(F.count("*").alias("n"), F.avg(F.coalesce("quality", F.lit(1.0))).alias("q")).first()
+    bins = min(MOST_BINS, max(LEAST_BINS, about.n // BIN_ROWS))
+    rows = rows.withColumn("bin", F.floor(bins * (1 - F.exp(-F.col("turn") * float(about.q or 1.0)))))
     goal = targets(rows.select("source", "size")).withColumnRenamed("source", "g_source")
     goal = goal.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
     goal = goal.withColumn("rest", F.floor(F.col("target") - F.col("epochs") * F.col("source_size")).cast("long"))
@@ -86,11 +91,11 @@ def mixed_documents(docs: DataFrame, *, quality: DataFrame | None = None, id_col
     Of rows equal in id and text one stands for all, as often as they are taken together.
     """
     found = mix(docs, quality=quality, id_col=id_col, text_col=text_col, source_col=source_col, seed=seed)
-    wanted = staged(found.groupBy("key").agg(F.sum("taken").alias("__mr_taken"), F.max("size").alias("__mr_size")).filter("__mr_taken > 0"), "mix").withColumnRenamed("key", "__mr_key")
-    rows = docs.withColumn("__mr_key", row_key(id_col, text_col)).join(wanted, "__mr_key").dropDuplicates(["__mr_key"])
-    whole = F.expr("cast(__mr_taken div __mr_size as int)")
-    part = F.expr("cast(__mr_taken % __mr_size as int)")
-    words = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(r"[^\x20\x09-\x0D]+"), 0), F.lit(1), part), " ")
-    texts = F.concat(F.array_repeat(F.col(text_col), whole), F.when(part > 0, F.array(words)).otherwise(F.array().cast("array<string>")))
-    rows = rows.withColumn("__mr_text", F.explode(texts))
-    return rows.select(*[F.col("__mr_text").alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    wanted = staged(found.groupBy("key").agg(F.sum("taken").alias("taken"), F.max("size").alias("size")).filter("taken > 0"), "mix")
+    rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("key")).join(wanted, "key").dropDuplicates(["key"])
+    whole, part = F.expr("cast(taken div size as int)"), F.expr("cast(taken % size as int)")
+    # each word with the white space before it, so that lines stay lines
+    words = F.array_join(F.slice(F.regexp_extract_all(F.col("text"), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), 0), F.lit(1), part), "")
+    texts = F.concat(F.array_repeat(F.col("text"), whole), F.when(part > 0, F.array(words)).otherwise(F.array().cast("array<string>")))
+    rows = rows.select("row", F.explode(texts).alias("text"))
+    return rows.select(*[F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns])
