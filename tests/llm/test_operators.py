@@ -13,6 +13,7 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -266,8 +267,6 @@ def ids_of(texts):
 
 
 def test_encoder_equals_the_tokenizer():
-    import pyarrow as pa
-
     rng = random.Random(5)
     letters = "aB.,'!<|> \n\té́ ​中1२-_/<|endoftext|>sSdDmMlLrRvVeE"
     texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(2000)] + ["don't 'S <|startoftext|>x İstanbul ß", None]
@@ -422,7 +421,206 @@ def test_near_vectors_of_a_large_group(spark, monkeypatch, block):
     df = spark.createDataFrame(pd.DataFrame({"vec_id": range(n), "embedding": x.tolist(), "label": 1}))
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
     links = np.concatenate([(unit[k : k + 1000] @ unit.T >= least).sum(axis=1) - 1 for k in range(0, n, 1000)])
-    got = pivots.near_vectors(df, least=least).toPandas().sort_values("id")
+    got = pivots.near_vectors(df, least=least, nearest=0).toPandas().sort_values("id")
     assert links.sum() > 40_000_000 and (got["n_links"].to_numpy() == links).all()
     expected = np.where(np.arange(n) % 3 == 0, 0, np.arange(n))
     assert (links[::3] > 0).all() and (got["component_id"].to_numpy() == expected).all()
+
+
+def vectors_of(kind: str, n: int) -> np.ndarray:
+    rng = np.random.default_rng(n)
+    x = rng.normal(size=(n, 64))
+    if kind == "pairs":  # half of the rows are partners, at cosines on either side of the threshold
+        half = n // 2
+        t = rng.uniform(0.9, 0.99, size=(half, 1))
+        unit = x[:half] / np.linalg.norm(x[:half], axis=1, keepdims=True)
+        side = x[half : 2 * half] - (x[half : 2 * half] * unit).sum(axis=1, keepdims=True) * unit
+        x[half : 2 * half] = t * unit + np.sqrt(1 - t * t) * side / np.linalg.norm(side, axis=1, keepdims=True)
+    if kind == "group":  # one group whose pairs lie about the threshold, five of eight rows
+        x[: 5 * n // 8] = rng.normal(size=64) + 0.265 * rng.normal(size=(5 * n // 8, 64))
+    if kind == "clusters":  # loose clusters, few of whose pairs link
+        x = rng.normal(size=(20, 64))[rng.integers(0, 20, n)] + 0.4 * rng.normal(size=(n, 64))
+    return x.astype(np.float32).astype(np.float64)
+
+
+@pytest.mark.parametrize(("kind", "n"), [("pairs", 1000), ("pairs", 5000), ("pairs", 20_000), ("group", 8000), ("clusters", 8000)])
+def test_recall_of_the_index(spark, kind, n):
+    """Of the links that brute force finds, the index finds 99 in a hundred, and none that isn't one."""
+    x = vectors_of(kind, n)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    links = np.concatenate([(unit[k : k + 1000] @ unit.T >= 0.93).sum(axis=1) - 1 for k in range(0, n, 1000)])
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": range(n), "embedding": x.tolist(), "label": 1}))
+    got = pivots.near_vectors(df).toPandas().sort_values("id")["n_links"].to_numpy()
+    assert links.sum() > 0 and (got <= links).all()
+    assert got.sum() >= 0.99 * links.sum(), got.sum() / links.sum()
+
+
+def test_pivots_are_spread():
+    """A group of near copies holds one pivot, however many of the sample it has; nearest pivots are fitted to the sample's links."""
+    x = vectors_of("group", 4000)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    chosen = pivots.spread(unit, 100)
+    centre = unit[:2500].mean(axis=0)
+    assert len(chosen) == 100 and (chosen @ centre / np.linalg.norm(centre) > 0.8).sum() <= 1
+    assert len(pivots.spread(np.repeat(unit[:1], 50, axis=0), 10)) == 1
+    assert pivots.fitted(unit, chosen, 0.93) >= pivots.NEAREST
+    assert pivots.fitted(unit[2500:], chosen, 0.999999) == pivots.NEAREST
+
+
+def test_parities_never_refuse_a_link():
+    """The suffix filters' bound holds at any sizes: sets that link are never refused, far ones are."""
+    from millrace.llm import ngram_join as J
+
+    rng = np.random.default_rng(2)
+    for percent, n in ((90, 5), (90, 700), (80, 3000), (80, 1100)):
+        a = np.unique(rng.integers(0, 1 << 48, n)).astype(np.uint64)
+        for change in (0, 1, n // 30, n // 12, n // 3, n):
+            keep = a[change:]
+            b = np.unique(np.concatenate([keep, rng.integers(0, 1 << 48, change // 2).astype(np.uint64)]))
+            if not len(b):
+                continue
+            both = len(np.intersect1d(a, b))
+            rows = [pa.RecordBatch.from_arrays([pa.array([1]), pa.array([2]), pa.array([J._parity(a)], pa.binary()), pa.array([J._parity(b)], pa.binary())], ["a", "b", "x", "y"])]
+            kept = sum(r.num_rows for r in J._near(percent)(iter(rows)))
+            assert kept or both * (100 + percent) < percent * (len(a) + len(b))
+            if n > 600 and change == n:
+                assert not kept
+
+
+def test_postings_meet_across_batches():
+    """Buckets of any length, cut anywhere into batches, come with their first; lone ones go, unless they are parts of a large bucket."""
+    from millrace.llm import ngram_join as J
+
+    rng = np.random.default_rng(3)
+    bucket = np.sort(np.concatenate([rng.integers(0, 40, 60), [50] * 30, [60], [(1 << 48) + 70], [(1 << 48) + 71] * 3]))
+    place, node = np.arange(len(bucket)) << 32 | 9, np.arange(100, 100 + len(bucket))
+    first = {int(b): int(n) for b, n in zip(bucket[::-1], node[::-1], strict=True)}
+    often = Counter(bucket.tolist())
+    expected = [(int(b) & (1 << 48) - 1, int(b) >> 48, int(n), first[int(b)]) for b, n in zip(bucket, node, strict=True) if often[int(b)] > 1 or b >> 48]
+    for step in (1, 2, 3, 7, 1000):
+        parts = [pa.RecordBatch.from_arrays([pa.array(c[i : i + step]) for c in (bucket, place, node)], ["bucket", "place", "node"]) for i in range(0, len(bucket), step)]
+        got = [tuple(r[c] for c in ("g", "part", "node", "p_node")) for b in J._met(iter(parts)) for r in b.to_pylist()]
+        assert got == expected
+
+
+def test_large_buckets_are_dealt(spark, monkeypatch):
+    """Near copies whose buckets are cut into parts are one component as well."""
+    from millrace.llm import ngram_join as J
+
+    monkeypatch.setattr(J, "PART", 2)
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(10_000)}" for _ in range(120)]
+    rows = [(i, " ".join([*base[: 5 + i], f"x{i}", *base[6 + i :]])) for i in range(60)] + [(100 + i, f"other {i} text of few words") for i in range(5)]
+    got = {r.id: r.component_id for r in ngram_components(spark.createDataFrame(rows, "doc_id long, text string"), words=3, percent=90).collect()}
+    assert got == {i: 0 if i < 100 else i for i, _ in rows}
+
+
+def test_texts_of_tens_of_megabytes(spark):
+    """Long texts go whole through the text operators; every operator's counts are those of plain Python."""
+    rng = random.Random(6)
+    words = [f"w{rng.randrange(50_000)}" for _ in range(2_000_000)]
+    text = " ".join(words)
+    df = spark.createDataFrame([(1, text, "en", "s"), (2, text[: len(text) // 2] + " end", "en", "s"), (3, "short", None, None)], "doc_id long, text string, lang string, source string")
+    assert len(text) > 12_000_000
+    got = {r.id: r for r in ngram_components(df, words=3, percent=90).collect()}
+    assert got[1].n_shingles == len({tuple(words[i : i + 3]) for i in range(len(words) - 2)}) and got[2].component_id == 2
+    found = {r.id: r for r in suffix_dedup.removal_digests(df).collect()}
+    assert found[1].n_removed == len(text) // 2 and found[2].n_removed == len(text) // 2 and found[2].n_spans == 1
+    counted = {r.id: r.n_words for r in quality.quality_verdicts(df).collect()}
+    assert counted[1] == len(words) and counted[3] == 1
+    pieces = packing.pack(df, TOKENIZER).groupBy("id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("all")).collect()
+    assert all(r.n == r.all for r in pieces) and len(pieces) == 3
+    head = Tokenizer.from_file(TOKENIZER).encode(text[:10_000], add_special_tokens=False).ids[:2000]
+    assert Encoder.of(TOKENIZER).encode(pa.array([text]))[0][: len(head)].tolist() == head
+
+
+def test_piece_table_grows():
+    from millrace.llm.tokens import _Table
+
+    table = _Table(bits=2)
+    h = np.random.default_rng(1).integers(1, 1 << 63, 5000).astype(np.uint64)
+    h = np.unique(h)
+    for k in range(0, len(h), 700):
+        part = h[k : k + 700]
+        table.add(part, np.arange(k, k + len(part)), np.ones(len(part), np.int32))
+    assert (table.at[table.find(h)] == np.arange(len(h))).all() and (table.find(h ^ np.uint64(1 << 63)) == -1).all()
+
+
+def test_ids_wider_than_the_store_fail(spark, tmp_path):
+    df = spark.createDataFrame([(1, "some words")], "doc_id long, text string")
+    with pytest.raises(Exception, match="needs more than 1 bytes"):
+        token_store.write_store(df, str(tmp_path / "s"), TOKENIZER, width=1)
+
+
+def test_small_group_beside_a_hot_one(spark):
+    """A small source is judged by itself, not by the language's large one: no switch by its size."""
+    prose = [(i, "en", "hot", 100, 500, 0, 0, 0, 10) for i in range(1000)]
+    schema = "id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
+    tops = []
+    for n in (100, 199, 200, 201):
+        code = [(-i - 1, "en", "code", 100, 500, 40, 0, 0, 10) for i in range(n)]
+        cut = {r.source: r.symbols_hi for r in quality.thresholds(spark.createDataFrame(prose + code, schema)).collect()}
+        assert cut["hot"] < 400 <= cut["code"]
+        tops.append(cut["code"])
+    assert max(abs(np.diff(tops[1:]))) < 2
+
+
+def test_sketch_error(spark):
+    """Quantiles of the sketch are within ACCURACY of the true ones."""
+    rng = np.random.default_rng(8)
+    n_symbols = np.ceil(rng.lognormal(3, 1, 2000)).astype(int)
+    rows = [(i, "en", "s", 1000, 5000, int(v), 0, 0, 10) for i, v in enumerate(n_symbols)]
+    counted = spark.createDataFrame(rows, "id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long")
+    q = quality.quantiles(quality.sketches(counted), "lang", "source").filter("measure = 'symbols'").first()
+    for found, share in ((q.q1, 0.25), (q.q2, 0.5), (q.q3, 0.75)):
+        true = np.sort(n_symbols)[int(np.ceil(share * len(n_symbols))) - 1]
+        assert abs(found - true) <= quality.ACCURACY * true + 1e-9
+
+
+def test_columns_of_any_name(spark):
+    """Columns named as the operators' own pass through."""
+    names = ["row", "key", "text2", "has", "n_words", "symbols_lo", "symbols_hi", "kept", "base_failed", "parts", "taken", "size", "__mr_key", "__mr_parts", "__mr_text", "cut_lang"]
+    rows = [(i, " ".join(f"word{j * (i + 1) % 97}" for j in range(80)), "en", "s", *[f"{c}{i}" for c in names]) for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, " + ", ".join(f"{c} string" for c in names))
+    for made in (quality.keep_quality(df), drop_near_copies(df), suffix_dedup.remove_repeats(df), mixing.mixed_documents(df)):
+        assert made.columns == df.columns
+        assert all(r[c] == f"{c}{r.doc_id}" for r in made.collect() for c in names)
+
+
+def test_damaged_conversations_are_refused(spark):
+    df = spark.createDataFrame([(1, 0, "user", "hello"), (1, 1, "assistant", "yes")], "conv_id long, turn long, role string, text string")
+    made = chat.format_conversations(df)
+    whole = made.select(chat.parse(F.col("formatted")).alias("t")).first().t
+    assert [(t.role, t.text) for t in whole] == [("user", "hello"), ("assistant", "yes")]
+    for damage in (F.concat("formatted", F.lit("tail")), F.expr("substring(formatted, 1, length(formatted) - 2)"), F.concat("formatted", F.lit("### user: open"))):
+        assert made.select(chat.parse(damage).alias("t")).first().t[-1] is None
+    assert made.select(chat.parse(F.lit("")).alias("t")).first().t == []
+
+
+def test_archive_is_read_by_ranges(spark, tmp_path, monkeypatch):
+    """One file is read by several tasks, each record once."""
+    monkeypatch.setattr(warc, "LEAST_READ", 2000)
+    rng = random.Random(9)
+    rows = [(i, f"http://h/{i}", "".join(rng.choice("abcdef") for _ in range(600))) for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    index = warc.write_warc(pages, str(tmp_path / "w"))
+    back = warc.read_warc(index)
+    assert index.select("file").distinct().count() == 1 and back.rdd.getNumPartitions() > 4
+    assert sorted(int(r.id) for r in back.collect()) == list(range(60))
+
+
+def test_packing_does_not_depend_on_batches(spark):
+    """Cuts follow a range's documents, not the batches in which they reach the worker; only a range's last sequence is padded or short."""
+    rng = random.Random(11)
+    rows = [(i, " ".join(f"word{rng.randrange(300)}" + rng.choice(["", "", ".", "!"]) for _ in range(rng.randrange(1, 900)))) for i in range(150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = []
+    for size in ("7", "10000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        found.append(sorted(map(tuple, packing.pack(df, TOKENIZER).collect())))
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert found[0] == found[1]
+    lengths = Counter()
+    for r in found[0]:
+        lengths[r[5]] += r[2]
+    assert sum(n < packing.LEAST_POWER for n in lengths.values()) <= 1
