@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import staged, table
+from millrace.llm.common import drop_staged, staged, table
 from millrace.llm.mixing import mixed_documents
 from millrace.llm.ngram_join import drop_near_copies
 from millrace.llm.packing import pack
@@ -30,7 +30,7 @@ def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes covered by a 200-byte string that starts anywhere else go from the texts; documents stay."""
-    return remove_repeats(docs, length=200).select(*docs.columns).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return remove_repeats(docs, length=200).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,6 +51,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name)
+    for i, (name, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, staged(stage(spark, docs, sf_dir), name)
+        if i:
+            drop_staged(before)
     return STAGES[-1][1](spark, docs, sf_dir)
