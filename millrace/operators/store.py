@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from typing import Protocol
 
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import vector as V
+from millrace.operators.jobs import Jobs
 from millrace.sources import sinks
 
 
@@ -19,42 +21,69 @@ class VectorStore(Protocol):
 
 
 class ParquetStore:
-    """One writer at a time. A snapshot is a folder of its own; ``CURRENT`` names the one in force, and is
-    written last, so a load that fails leaves the store as it was."""
+    """One writer at a time. The store is the segments that its newest version file lists.
+
+    A load writes a segment of its own and then the next version, a small file that is there
+    whole or not at all, so one that fails leaves the store as it was and a reader always has
+    a whole one. Inserts never touch what is there; an upsert rewrites only the segments that
+    hold ids it replaces. ``compact`` makes one segment of all.
+    """
 
     def __init__(self, spark: SparkSession, path: str, schema: str, *, create: bool = False):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        if create and not sinks.exists(spark, f"{self.path}/CURRENT"):
-            self._publish(spark.createDataFrame([], schema))
+        if create and not self._versions():
+            self._publish([])
+
+    def _versions(self) -> list[str]:
+        return [n for n in sinks.names(self.spark, f"{self.path}/versions") if n.isdigit()]
+
+    def _segments(self) -> list[str]:
+        versions = self._versions()
+        if not versions:
+            raise sinks.MissingStore(self.path)
+        return json.loads(sinks.read_text(self.spark, f"{self.path}/versions/{versions[-1]}"))
+
+    def _publish(self, segments: list[str]) -> None:
+        versions = self._versions()
+        sinks.publish_text(self.spark, f"{self.path}/versions/{int(versions[-1]) + 1 if versions else 0:012d}", json.dumps(segments))
 
-    def _publish(self, df: DataFrame) -> None:
-        name = f"snapshot-{uuid.uuid4().hex}"
+    def _write(self, df: DataFrame) -> tuple[str, int]:
+        """A new segment and its rows, not yet part of the store."""
+        name = f"segment-{uuid.uuid4().hex}"
         df.write.parquet(f"{self.path}/{name}")
-        self.spark.createDataFrame([(name,)], "name STRING").coalesce(1).write.mode("overwrite").json(f"{self.path}/CURRENT")
+        return name, self._read([name]).count()
+
+    def _read(self, segments: list[str]) -> DataFrame:
+        if not segments:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{s}" for s in segments])
 
     def read(self) -> DataFrame:
-        if not sinks.exists(self.spark, f"{self.path}/CURRENT"):
-            raise sinks.MissingStore(self.path)
-        name = self.spark.read.schema("name STRING").json(f"{self.path}/CURRENT").first().name
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{name}")
+        return self._read(self._segments())
 
     def count(self) -> int:
         return self.read().count()
 
     def insert(self, rows: DataFrame, *, order_col: str) -> int:
         """First write wins, metadata included; returns how many rows came in."""
-        now = self.read()
-        before = now.count()
-        new = sinks.insert_absent(rows, now, order_col=order_col).select(*now.columns)
-        self._publish(now.unionByName(new))
-        return self.count() - before
+        segments, now = self._segments(), self.read()
+        name, new = self._write(sinks.insert_absent(rows, now, order_col=order_col).select(*now.columns))
+        if new:
+            self._publish([*segments, name])
+        return new
 
     def upsert(self, rows: DataFrame, *, replaced: tuple[str, ...] = ("embedding", "document")) -> int:
         """Returns the whole store's count."""
-        now = self.read()
-        self._publish(sinks.upsert(rows, now, replaced=replaced))
+        segments, ids = self._segments(), rows.select("id")
+        held = [s for s in segments if not self._read([s]).join(ids, "id", "left_semi").isEmpty()]
+        name, _ = self._write(sinks.upsert(rows, self._read(held), replaced=replaced))
+        self._publish([*[s for s in segments if s not in held], name])
         return self.count()
 
+    def compact(self) -> None:
+        name, _ = self._write(self.read())
+        self._publish([name])
+
     def query(self, vector: list[float], k: int = 5, min_rating: float | None = None) -> DataFrame:
         return search(self.read(), vector, k=k, metric="inner", min_rating=min_rating)
 
@@ -63,10 +92,18 @@ def search(chunks: DataFrame, vector: list[float], *, k: int = 5, metric: str =
     """The best k of one query, ties by id: ``distance`` rising for cosine, ``score`` falling for inner product.
 
     ``min_rating`` of 0 or None filters nothing; else a null rating is left out. Scores use
-    JVM expressions; the top k is kept per partition first.
+    JVM expressions; the top k is kept per partition first. Scores equal to V.PLACES places tie.
     """
     rows = chunks.filter(F.col("rating") >= min_rating) if min_rating else chunks
     v = V.literal_vector(vector)
     if metric == "cosine":
-        return rows.withColumn("distance", V.cosine_distance(F.col(vector_col), v)).orderBy("distance", id_col).limit(k)
-    return rows.withColumn("score", V.dot(F.col(vector_col), v)).orderBy(F.desc("score"), id_col).limit(k)
+        return rows.withColumn("distance", V.cosine_distance(F.col(vector_col), v)).orderBy(F.round("distance", V.PLACES), id_col).limit(k)
+    return rows.withColumn("score", V.dot(F.col(vector_col), v)).orderBy(F.round("score", V.PLACES).desc(), id_col).limit(k)
+
+
+def run_load(jobs: Jobs, store: ParquetStore, chunks: DataFrame, *, table: str = "chunks") -> int:
+    """Upsert embedded chunks, as the job ``vecload:<table>``; its records out, and the result, are all rows of the store."""
+    with jobs.job(f"vecload:{table}") as job:
+        rows = chunks.select(F.col("chunk_id").alias("id"), F.col("text").alias("document"), "embedding", *[c for c in ("rating", "asin", "parent_asin", "helpful_vote") if c in chunks.columns])
+        job["records_in"], job["records_out"] = rows.count(), store.upsert(rows)
+    return job["records_out"]

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from millrace import schemas
 from millrace.functions.text import trim
-from millrace.operators.cleaning import placed
 
 
 class MalformedRecord(ValueError):
@@ -21,11 +21,16 @@ class MalformedRecord(ValueError):
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """``line_number, raw``: every physical line from 1, blank ones too, surrounding white space off.
 
-    Lines of one file are numbered by their byte order: tasks read splits in order, and a
-    split's lines follow those of the splits before it.
+    Files follow each other by path, lines by place: each split's lines are counted first, and
+    a line's number is its place in its split and the lines of all splits before. No line is
+    moved, and both passes see the same splits as long as the files don't change.
     """
-    lines = spark.read.text(path)
-    return placed(lines, "__n").select((F.col("__n") + 1).alias("line_number"), trim(F.col("value")).alias("raw"))
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("place"))
+    splits = lines.groupBy("file_path", "file_block_start").agg(F.count("*").alias("n"), F.min("place").alias("first"))
+    before = F.sum("n").over(Window.orderBy("file_path", "file_block_start")) - F.col("n")
+    splits = splits.select("file_path", "file_block_start", "first", before.alias("before"))  # a row per split
+    numbered = lines.join(F.broadcast(splits), ["file_path", "file_block_start"])
+    return numbered.select((F.col("before") + F.col("place") - F.col("first") + 1).alias("line_number"), trim(F.col("value")).alias("raw"))
 
 
 def parse_lines(lines: DataFrame, *, schema: str = schemas.REVIEW) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +31,34 @@ def exists(spark: SparkSession, path: str) -> bool:
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """What a folder holds; of none, nothing."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(jpath)) if fs.exists(jpath) else []
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all: written under another name, then renamed."""
+    new = spark._jvm.org.apache.hadoop.fs.Path
+    fs = new(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    draft = new(f"{path.rpartition('/')[0]}/.draft-{uuid.uuid4().hex}")
+    out = fs.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(draft, new(path)):
+        raise FileExistsError(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).open(jpath)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def insert_absent(incoming: DataFrame, existing: DataFrame, *, id_col: str = "id", order_col: str) -> DataFrame:
     """The rows to append: ids that the store hasn't, the first by ``order_col`` of each; first write wins.
 
