@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import functools
+import itertools
 import json
+import re
 import time
 from collections.abc import Callable
 from datetime import UTC, datetime
@@ -12,6 +16,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import truncate
 from millrace.operators.ledger import InvalidTransition, Ledger
+from millrace.staging import staged
 
 #: The menu and the patterns of the rules.
 MENU = ("retry", "retry_with_failover", "escalate")
@@ -28,13 +33,23 @@ def classify_rules(error_type: Column, error_message: Column) -> Column:
     return F.when(kind.rlike(TRANSIENT_TYPE) | said.rlike(TRANSIENT_MESSAGE), "retry").when(kind.rlike(CODE_BUG_TYPE) | said.rlike(CODE_BUG_MESSAGE), "escalate")
 
 
-def classify_ambiguous(error_type: str | None, error_message: str | None, llm_call: Callable[[str, str], str]) -> str:
-    """What the model answers as JSON under ``decision`` if it is on the menu; anything else is ``escalate``."""
+def from_menu(answer: str, field: str, *, fenced: bool = False) -> dict | None:
+    """A model's JSON object whose ``field`` is on the menu; null for every other answer. ``fenced``: a code fence around it is let pass."""
+    if fenced:
+        answer = re.sub(r"^```json|```$", "", answer.strip())
     try:
-        decision = json.loads(llm_call(error_type or "", error_message or "")).get("decision")
-    except Exception:  # noqa: BLE001  whatever a model does wrong, a person looks
-        return "escalate"
-    return decision if decision in MENU else "escalate"
+        found = json.loads(answer)
+    except ValueError:
+        return None
+    return found if isinstance(found, dict) and found.get(field) in MENU else None
+
+
+def classify_ambiguous(error_type: str | None, error_message: str | None, llm_call: Callable[[str, str], str]) -> str:
+    """The menu item that the model names under ``decision``; a model that fails, or names none, leaves it to a person."""
+    with contextlib.suppress(Exception):
+        if found := from_menu(llm_call(error_type or "", error_message or ""), "decision"):
+            return found["decision"]
+    return "escalate"
 
 
 def backoff_seconds(attempts: Column, base: float = BASE_BACKOFF, cap: float = MAX_BACKOFF) -> Column:
@@ -64,7 +79,7 @@ def decisions(failed: DataFrame, *, max_attempts: int = MAX_ATTEMPTS, base: floa
 
 def heal_all(ledger: Ledger, *, stage: str | None = None, now: datetime | None = None, **options: object) -> DataFrame:
     """Decide on every failed job and append the transitions; instead of sleeping, a retry has ``not_before``."""
-    decided = decisions(ledger.unhealed_failures(stage), **options).cache()
+    decided = staged(decisions(ledger.unhealed_failures(stage), **options), "decided")
     at = F.lit(now or datetime.now(UTC))
     to = decided.select("stage", "input_hash", F.when(F.col("decision") == "escalate", "escalated").otherwise("retrying").alias("to_status"), "error_type", "error_message", F.when(F.col("decision") != "escalate", at + F.make_dt_interval(secs=F.col("delay"))).alias("not_before"))
     ledger.append(to)
@@ -110,39 +125,62 @@ def registry_match(jobs: DataFrame, prefixes: list[str]) -> DataFrame:
     return jobs.withColumn("prefix", first)
 
 
+#: What the healing log says of a job.
+RECOVERED, NEEDS_HUMAN, NO_RUNNER, EXHAUSTED = "recovered", "needs_human", "no_registered_runner", "exhausted->needs_human"
+UNPARSEABLE = "unparseable"
+
+
 def diagnose(job_name: str, error: str, complete: Callable[[str], str]) -> dict:
-    """The model's JSON, its fence off, if its action is on the menu; else an escalation that quotes it."""
-    raw = complete(f"Job: {job_name}\nError: {error}")
-    try:
-        found = json.loads(raw.strip().removeprefix("```json").removesuffix("```").strip())
-        if found["action"] not in MENU:
-            raise ValueError(found["action"])
-    except Exception:  # noqa: BLE001
-        return {"category": "unparseable", "action": "escalate", "reasoning": f"could not parse diagnosis: {raw[:200]}"}
+    """``category, action, reasoning`` as the model has them; an answer that isn't such an object, or acts off the menu, is an escalation that quotes it."""
+    answer = complete(f"Failed job {job_name!r}:\n{error}")
+    unread = {"category": UNPARSEABLE, "action": "escalate", "reasoning": f"no diagnosis in: {answer[:200]}"}
+    return from_menu(answer, "action", fenced=True) or unread
+
+
+def _first_success(runner: Callable[[], object], waits: list[float], sleep_fn: Callable[[float], None]) -> int | None:
+    """Which run, from 1, was the first to end well; each comes after its wait."""
+    for i, seconds in enumerate(waits, 1):
+        sleep_fn(seconds)
+        with contextlib.suppress(Exception):
+            runner()
+            return i
+    return None
+
+
+def runner_for(job_name: str, registry: dict[str, Callable[[], object]]) -> Callable[[], object] | None:
+    """Of the runners whose prefix the name begins with, the first in order."""
+    return next((run for prefix, run in registry.items() if job_name.startswith(prefix)), None)
+
+
+def job_registry(embed: Callable[[str], object], load: Callable[[str], object], **others: Callable[[], object]) -> dict[str, Callable[[], object]]:
+    """The jobs that healing may run again: ``embed`` and ``load`` once for each chunking strategy, and any others by name."""
+    found = dict(others)
+    for strategy in ("sentence", "fixed"):
+        found[f"embed:{strategy}"] = functools.partial(embed, strategy)
+        found[f"vecload:pg:chunks_{strategy}"] = functools.partial(load, strategy)
     return found
 
 
 def heal_named_job(job_id: int, job_name: str, error: str, *, registry: dict[str, Callable[[], object]], complete: Callable[[str], str], record: Callable[[int, str, dict, str, str], None], sleep_fn: Callable[[float], None] = time.sleep) -> str:
-    """Diagnose, then rerun by the registry up to twice after 30 and 60 seconds; returns the outcome recorded."""
-    found = diagnose(job_name, error, complete)
-    runner = next((f for p, f in registry.items() if job_name.startswith(p)), None)
-    action, outcome = "escalate", "needs_human"
-    if found["action"] != "escalate" and runner is None:
-        outcome = "no_registered_runner"
-    elif found["action"] != "escalate":
-        action, outcome = f"retry(x{JOB_ATTEMPTS})", "exhausted->needs_human"
-        for attempt in range(1, JOB_ATTEMPTS + 1):
-            sleep_fn(JOB_BACKOFF * attempt)
-            try:
-                runner()
-            except Exception:  # noqa: BLE001, S112  the next attempt, or the outcome, tells
-                continue
-            action, outcome = f"retry(attempt={attempt})", "recovered"
-            break
+    """Diagnose, then rerun by the registry up to JOB_ATTEMPTS times with linear backoff; returns the outcome recorded."""
+    found, runner = diagnose(job_name, error, complete), runner_for(job_name, registry)
+    if found["action"] == "escalate" or runner is None:
+        action, outcome = "escalate", NEEDS_HUMAN if found["action"] == "escalate" else NO_RUNNER
+    else:
+        run = _first_success(runner, [JOB_BACKOFF * (i + 1) for i in range(JOB_ATTEMPTS)], sleep_fn)
+        action, outcome = (f"retry(attempt={run})", RECOVERED) if run else (f"retry(x{JOB_ATTEMPTS})", EXHAUSTED)
     record(job_id, error, found, action, outcome)
     return outcome
 
 
+def watch_jobs(unhealed: Callable[[], DataFrame], heal: Callable[[int, str, str], object], *, seconds: float = 60.0, passes: int | None = None, sleep_fn: Callable[[float], None] = time.sleep) -> None:
+    """Heal every job that ``unhealed()`` gives (``id, job_name, error``), wait, and look again: for ever, or for so many passes."""
+    for _ in itertools.count() if passes is None else range(passes):
+        for row in unhealed().toLocalIterator():
+            heal(row.id, row.job_name, row.error)
+        sleep_fn(seconds)
+
+
 def healing_rows(spark, entries: list[tuple[int, int, str, dict, str, str]]) -> DataFrame:
     """Entries of the healing log as a table: (id, failed job, error, diagnosis, action, outcome)."""
     rows = [(i, j, e, d["reasoning"], a, o) for i, j, e, d, a, o in entries]

@@ -1,6 +1,7 @@
 """The job ledger: an append-only log of transitions, folded into one state per (stage, input_hash).
 
-One writer per log. Parquet has no row locks, so requests are validated against the folded
+Every so many appends the states are written as a snapshot, and folds begin at the newest one:
+they read its row per key and the transitions since, not the whole log. One writer per log. Parquet has no row locks, so requests are validated against the folded
 state before they are appended, and the fold itself passes over whatever isn't legal: a
 stale request of a lost race is reported and changes nothing.
 """
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from millrace.schemas import TRANSITION
 from millrace.sources import sinks
+from millrace.staging import staged
 
 #: From each status, what may follow.
 TRANSITIONS: dict[str, tuple[str, ...]] = {
@@ -42,8 +44,8 @@ def legal(before: Column, after: Column) -> Column:
     return ok
 
 
-def _fold(events: str) -> Column:
-    """The state after an array of events in order, each ``struct(.., to_status, error_type, error_message, rows_in, rows_out, ts)``."""
+def _fold(events: str, base: str | None = None) -> Column:
+    """The state after an array of events in order, each ``struct(.., to_status, error_type, error_message, rows_in, rows_out, ts)``; from the state ``base`` on, if there is one."""
     text, num, time = (F.lit(None).cast(t) for t in ("string", "int", "timestamp"))
     start = F.struct(
         F.lit(None).cast("string").alias("status"), F.lit(0).alias("attempt_count"), text.alias("error_type"), text.alias("error_message"),
@@ -64,20 +66,23 @@ def _fold(events: str) -> Column:
         )
         return F.when(ok, new).otherwise(s.withField("refused", s["refused"] + 1))
 
-    return F.aggregate(F.col(events), start, step)
+    return F.aggregate(F.col(events), F.coalesce(F.col(base), start) if base else start, step)
 
 
-def replay(log: DataFrame, *, order: Iterable[str] = ("ts", "seq")) -> DataFrame:
+def replay(log: DataFrame, *, order: Iterable[str] = ("ts", "seq"), base: DataFrame | None = None) -> DataFrame:
     """One row per key: ``status, attempt_count, error_*, rows_*, created_at .. finished_at, refused``.
 
     A key's first legal event is ``pending``; a repeated ``pending`` changes nothing, ``rows_in``
     included. Events that aren't legal are counted in ``refused``. A key's events are those of
-    one job, so they fit a row.
+    one job, so they fit a row. ``base``: what this gave for the events before those in ``log``.
     """
     fields = ["to_status", "error_type", "error_message", "rows_in", "rows_out", "ts"]
     event = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], *fields)
     keyed = log.groupBy(*KEY).agg(F.sort_array(F.collect_list(event)).alias("events"))
-    return keyed.select(*KEY, _fold("events").alias("s")).select(*KEY, "s.*").filter("status is not null")
+    if base is not None:
+        held = base.select(*KEY, F.struct(*[c for c in base.columns if c not in KEY]).alias("base"))
+        keyed = keyed.join(held, KEY, "full_outer").withColumn("events", F.coalesce("events", F.array().cast(keyed.schema["events"].dataType)))
+    return keyed.select(*KEY, _fold("events", "base" if base is not None else None).alias("s")).select(*KEY, "s.*").filter("status is not null")
 
 
 def latest(log: DataFrame, *, order: Iterable[str] = ("ts", "seq"), key: Iterable[str] = ("stage", "input_hash")) -> DataFrame:
@@ -103,10 +108,14 @@ def with_done(inputs: DataFrame, states: DataFrame) -> DataFrame:
 
 
 class Ledger:
-    """The log under a path, partitioned by stage; usable as a context manager."""
+    """The log under a path, partitioned by stage and by the snapshot it follows; usable as a context manager.
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    Snapshots are folders beside it, named by the last transition in them, and count once they
+    are whole; a snapshot is taken every ``snapshot_every`` appends.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, *, snapshot_every: int = 64):
+        self.spark, self.path, self.snapshot_every = spark, path.rstrip("/"), snapshot_every
         self._seq: int | None = None
 
     def __enter__(self) -> Ledger:
@@ -118,23 +127,43 @@ class Ledger:
     def close(self) -> None:
         self._seq = None
 
-    def log(self) -> DataFrame:
-        """The transitions so far, by the files there are now: later appends don't show, in cached plans either."""
-        files = self.spark.read.schema(TRANSITION).parquet(self.path).inputFiles() if sinks.exists(self.spark, self.path) else []
+    def _snapshot(self) -> int:
+        """The last transition in the newest whole snapshot; 0 without one."""
+        at = f"{self.path}-states"
+        return max((int(n) for n in sinks.names(self.spark, at) if n.isdigit() and sinks.exists(self.spark, f"{at}/{n}/_SUCCESS")), default=0)
+
+    def log(self, after: int = 0) -> DataFrame:
+        """The transitions so far that follow a snapshot (or all), by the files there are now: later appends don't show, in cached plans either."""
+        kinds = f"{TRANSITION}, after BIGINT"
+        read = self.spark.read.schema(kinds)
+        files = read.parquet(self.path).filter(F.col("after") >= after).inputFiles() if sinks.exists(self.spark, self.path) else []
         if not files:
             return self.spark.createDataFrame([], TRANSITION)
-        return self.spark.read.schema(TRANSITION).option("basePath", self.path).parquet(*files)
+        rows = read.option("basePath", self.path).parquet(*files)
+        return rows.filter(F.col("after") >= after).select(*[c for c in rows.columns if c != "after"])
+
+    def _folded(self, only: Column | None = None) -> DataFrame:
+        at = self._snapshot()
+        log, base = self.log(at), self.spark.read.parquet(f"{self.path}-states/{at:012d}") if at else None
+        if only is not None:
+            log, base = log.filter(only), base.filter(only) if base is not None else None
+        return replay(log, base=base)
 
     def states(self) -> DataFrame:
-        return replay(self.log())
+        return self._folded()
+
+    def snapshot(self) -> None:
+        """Write the states as they are, for later folds to begin at."""
+        self.states().write.mode("overwrite").parquet(f"{self.path}-states/{self._next_seq() - 1:012d}")
 
     def get(self, stage: str, input_hash: str) -> dict | None:
-        row = replay(self.log().filter((F.col("stage") == stage) & (F.col("input_hash") == input_hash))).first()
+        row = self._folded((F.col("stage") == stage) & (F.col("input_hash") == input_hash)).first()
         return row.asDict() if row else None
 
     def _next_seq(self) -> int:
         if self._seq is None:
-            self._seq = self.log().agg(F.max("seq")).first()[0] or 0
+            at = self._snapshot()
+            self._seq = max(at, self.log(at).agg(F.max("seq")).first()[0] or 0)
         self._seq += 1
         return self._seq
 
@@ -152,12 +181,14 @@ class Ledger:
         opens = F.col("status").isNull() & (F.col("to_status") == "pending")
         ok = opens | F.coalesce(legal(F.col("status"), F.col("to_status")), F.lit(False))
         seq, now = self._next_seq(), datetime.now(UTC)
-        judged = joined.withColumn("__ok", ok).cache()
+        judged = staged(joined.withColumn("__ok", ok), "judged")
         rows = judged.filter("__ok").select(
             *KEY, F.lit(seq).cast("long").alias("seq"), F.col("status").alias("from_status"), "to_status", (F.coalesce("attempt_count", F.lit(0)) + (F.col("to_status") == "running").cast("int")).alias("attempt"),
-            "error_type", "error_message", "rows_in", "rows_out", F.lit(now).alias("ts"), "not_before",
+            "error_type", "error_message", "rows_in", "rows_out", F.lit(now).alias("ts"), "not_before", F.lit(self._snapshot()).cast("long").alias("after"),
         )
-        rows.write.mode("append").partitionBy("stage").parquet(self.path)
+        rows.write.mode("append").partitionBy("stage", "after").parquet(self.path)
+        if seq % self.snapshot_every == 0:
+            self.snapshot()
         refused = judged.filter(~F.col("__ok") & (F.col("to_status") != "pending")).withColumn("reason", F.when(F.col("status").isNull(), "unknown").otherwise("illegal"))
         return refused.drop("__ok")
 
