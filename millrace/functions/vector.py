@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Queries that are laid into a closure and multiplied with every vector; more are searched in blocks of as many.
-QUERY_BLOCK = 4096
+#: Decimal places to which scores are compared; beyond them ties go by id.
+PLACES = 12
+#: Queries and corpus vectors of a block; a pair of blocks is a task's unit.
+QUERY_BLOCK, CORPUS_BLOCK = 16_384, 16_384
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -39,32 +39,40 @@ def literal_vector(values: list[float]) -> Column:
     return F.lit(np.asarray(values, float).tolist()).cast("array<double>")
 
 
-def top_k_candidates(corpus: DataFrame, queries: list[tuple[object, list[float]]], k: int, *, id_col: str, vector_col: str, metric: str, query_type: str) -> DataFrame:
-    """``query_id, id, score`` of each Arrow batch's best k per query, ties by id.
-
-    The final top-k over these is the caller's; k rows per query and batch leave a batch,
-    however large the corpus. ``score``: cosine distance (ascending) or inner product (descending).
-    """
-    qids = [q for q, _ in queries]
-    matrix = np.array([v for _, v in queries], np.float64).reshape(len(queries), -1)
+def _best(queries: pd.DataFrame, corpus: pd.DataFrame, k: int, metric: str, at_once: int = 256) -> pd.DataFrame:
+    """``query_id, id, score`` of the best k of a block of the corpus for each query of a block, ties by id."""
+    matrix, x = (np.stack(t["v"].to_numpy()).astype(np.float64) for t in (queries, corpus))
     if metric == "cosine":
-        matrix = matrix / np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
-    kind = corpus.schema[id_col].dataType
-
-    def search(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            part = part[part["v"].notna()].sort_values("id")  # a stable sort by score then breaks ties by id
-            if not len(part):
-                continue
-            x = np.stack(part["v"].to_numpy()).astype(np.float64)
-            if metric == "cosine":
-                x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
-            score = matrix @ x.T
-            rank = np.round(1 - score, 12) if metric == "cosine" else -np.round(score, 12)
-            best = np.argsort(rank, axis=1, kind="stable")[:, :k]
-            ids = part["id"].to_numpy()
-            value = np.take_along_axis(1 - score if metric == "cosine" else score, best, axis=1)
-            yield pd.DataFrame({"query_id": np.repeat(np.array(qids, dtype=object), best.shape[1]), "id": ids[best.ravel()], "score": value.ravel()})
-
-    schema = T.StructType([T.StructField("query_id", T._parse_datatype_string(query_type)), T.StructField("id", kind), T.StructField("score", T.DoubleType())])  # noqa: SLF001
-    return corpus.select(F.col(id_col).alias("id"), F.col(vector_col).alias("v")).mapInPandas(search, schema)
+        matrix, x = (m / np.sqrt((m * m).sum(axis=1, keepdims=True)) for m in (matrix, x))
+    ids, qids, parts = corpus["id"].to_numpy(), queries["query_id"].to_numpy(), []
+    for at in range(0, len(matrix), at_once):
+        score = matrix[at : at + at_once] @ x.T
+        value = 1 - score if metric == "cosine" else score
+        best = np.argsort(np.round(value if metric == "cosine" else -value, PLACES), axis=1, kind="stable")[:, :k]
+        parts.append(pd.DataFrame({"query_id": np.repeat(qids[at : at + at_once], best.shape[1]), "id": ids[best.ravel()], "score": np.take_along_axis(value, best, axis=1).ravel()}))
+    return pd.concat(parts)
+
+
+def top_k_candidates(corpus: DataFrame, queries: DataFrame, k: int, *, id_col: str, vector_col: str, metric: str, query_id: str, query_vector: str) -> DataFrame:
+    """``query_id, id, score`` of each block of the corpus's best k per query, ties by id.
+
+    Queries and corpus are dealt into blocks by hash, as many as their counts ask for; each
+    query block meets each corpus block in one task, by one product. A unit holds two blocks,
+    whatever the sizes of the tables, and k rows per query and corpus block go on. Nothing
+    comes to the driver but the counts. ``score``: cosine distance (ascending) or inner product (descending).
+    """
+    q = queries.filter(F.col(query_vector).isNotNull()).select(F.col(query_id).alias("query_id"), F.col(query_vector).cast("array<double>").alias("v"))
+    c = corpus.filter(F.col(vector_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+    nq, nc = (max(1, -(-t.count() // size)) for t, size in ((q, QUERY_BLOCK), (c, CORPUS_BLOCK)))
+    kinds = q.schema["query_id"].dataType, c.schema["id"].dataType
+    # the block of a query follows each block of the corpus, and the other way round
+    q = q.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(nq))).withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(nc - 1)).cast("array<long>")))
+    c = c.withColumn("cb", F.pmod(F.xxhash64("id"), F.lit(nc))).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1)).cast("array<long>")))
+
+    def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({"query_id": [], "id": [], "score": []})
+        return _best(left, right.sort_values("id"), k, metric)  # a stable sort by score then breaks ties by id
+
+    schema = T.StructType([T.StructField("query_id", kinds[0]), T.StructField("id", kinds[1]), T.StructField("score", T.DoubleType())])
+    return q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb")).applyInPandas(meet, schema)

@@ -87,15 +87,6 @@ def _numbered(df: DataFrame, place_col: str, name: str) -> DataFrame:
     return rows.withColumn(name, F.col("__before") + F.col(place_col).bitwiseAND((1 << 33) - 1)).drop("__part", "__before")
 
 
-def placed(df: DataFrame, name: str = "rank") -> DataFrame:
-    """Dense positions from 0 in the order of a file scan's splits and of the rows in each.
-
-    The scan is evaluated twice, first to count the rows of its splits; files are read in the
-    same splits each time as long as they don't change.
-    """
-    return _numbered(df.withColumn("__place", F.monotonically_increasing_id()), "__place", name).drop("__place")
-
-
 def batched(df: DataFrame, *, order_col: str, size: int = BATCH) -> DataFrame:
     """Consecutive batches of ``size`` rows in ``batch_id``; the last may be short."""
     return ranked(df, order_col, "__rank").withColumn("batch_id", F.floor(F.col("__rank") / size)).drop("__rank")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 from typing import Protocol
 
@@ -12,8 +11,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.text import enrich
+from millrace.operators.chunking import chunk
 from millrace.operators.cleaning import BATCH, batch_hashes, batched
+from millrace.operators.jobs import Jobs
 from millrace.schemas import EMBEDDING_DIM
+from millrace.sources.sinks import write_parquet
+from millrace.staging import staged
 
 
 class Embedder(Protocol):
@@ -23,23 +27,63 @@ class Embedder(Protocol):
 
 
 class HashingEmbedder:
-    """Words hashed to signed places, summed and brought to unit length (a text without words: the first axis)."""
+    """Words hashed to signed places by MD5, summed and brought to unit length (a text without words: the first axis)."""
 
     def __init__(self, dim: int = EMBEDDING_DIM):
         self.dim = dim
+        self.places: dict[str, int] = {}
+
+    def _place(self, word: str) -> int:
+        """The word's place, from 1, with its sign."""
+        if word not in self.places:
+            if len(self.places) >= 1_000_000:
+                self.places.clear()
+            h = int(hashlib.md5(word.encode()).hexdigest()[:15], 16)  # noqa: S324
+            self.places[word] = (h // 2 % self.dim + 1) * (1 if h % 2 else -1)
+        return self.places[word]
 
     def embed(self, texts: list[str]) -> list[list[float]]:
-        out = np.zeros((len(texts), self.dim))
-        for row, text in zip(out, texts, strict=True):
-            for word in text.lower().split():
-                h = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
-                row[h % self.dim] += 1 if h >> 63 else -1
-            n = math.sqrt(float(row @ row))
-            if n:
-                row /= n
-            else:
-                row[0] = 1
-        return out.tolist()
+        lists = [[self._place(w) for w in text.lower().split()] for text in texts]
+        at = np.array([p for places in lists for p in places], np.int64)
+        row = np.repeat(np.arange(len(texts)), [len(places) for places in lists])
+        out = np.bincount(row * self.dim + np.abs(at) - 1, np.sign(at), minlength=len(texts) * self.dim).reshape(len(texts), self.dim)
+        n = np.sqrt((out * out).sum(axis=1, keepdims=True))
+        out[n[:, 0] == 0, 0] = 1
+        return (out / np.where(n == 0, 1, n)).tolist()
+
+
+def model_embedder(name: str, dim: int) -> Embedder:
+    """A sentence encoder by name, loaded on each worker where its library is installed; the library's ImportError otherwise."""
+    from sentence_transformers import SentenceTransformer
+
+    class Model:
+        def __init__(self) -> None:
+            self.dim, self.model = dim, None
+
+        def embed(self, texts: list[str]) -> list[list[float]]:
+            self.model = self.model or SentenceTransformer(name)
+            return self.model.encode(texts, normalize_embeddings=True).tolist()
+
+    return Model()
+
+
+def embed_chunks(reviews: DataFrame, strategy: str, embedder: Embedder, *, id_col: str = "id", metadata: tuple[str, ...] = ("rating", "asin", "parent_asin", "helpful_vote")) -> DataFrame:
+    """Cleaned reviews -> ``chunk_id, parent_id, seq, text, embedding`` and their metadata.
+
+    What is embedded names the product (``product_title``, else ``category``) before the text; what is stored is the bare text.
+    """
+    pieces = chunk(reviews, strategy, id_col=id_col)
+    told = pieces.withColumn("__told", enrich(F.col("product_title"), F.col("category"), F.col("text")))
+    return embed_column(told, embedder, text_col="__told").select("chunk_id", "parent_id", "seq", "text", "embedding", *metadata)
+
+
+def run_embedding(jobs: Jobs, reviews: DataFrame, embedder: Embedder, path: str, *, strategy: str = "sentence", id_col: str = "id") -> DataFrame:
+    """Chunk, enrich, embed and write, as the job ``embed:<strategy>``; returns what was written."""
+    with jobs.job(f"embed:{strategy}") as job:
+        write_parquet(embed_chunks(reviews, strategy, embedder, id_col=id_col), path)
+        done = reviews.sparkSession.read.parquet(path)
+        job["records_in"], job["records_out"] = reviews.count(), done.count()
+    return done
 
 
 def embed_column(df: DataFrame, embedder: Embedder, *, text_col: str = "text", out_col: str = "embedding") -> DataFrame:
@@ -57,7 +101,7 @@ def embed_batches(records: DataFrame, embedder: Embedder, *, size: int = BATCH,
     A batch whose encoder fails has an error and yields none of its rows. Batches are the
     unit of failure, so each is one call.
     """
-    numbered = batched(records, order_col=order_col, size=size)
+    numbered = staged(batched(records, order_col=order_col, size=size), "batches")
     units = batch_hashes(numbered, raw_col=raw_col)
 
     def run(part: pd.DataFrame) -> pd.DataFrame:

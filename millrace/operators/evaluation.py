@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.jobs import Jobs
+from millrace.sources.sinks import write_csv
+
 MIN_GOLD_CHARS, SEED = 150, 42
 
 
@@ -51,3 +55,16 @@ def evaluate(hits: DataFrame, gold: DataFrame, table: str, k: int = 5) -> DataFr
     judged = hits.join(gold.select("query_id", "gold_parent_id"), "query_id")
     relevant = F.col("parent_asin").isNotNull() & (F.split_part("id", F.lit("-"), F.lit(1)) == F.col("gold_parent_id"))
     return scores(first_relevant(judged.withColumn("relevant", relevant), gold), k).select(F.lit(table).alias("table"), "*")
+
+
+def run_evaluation(jobs: Jobs, tables: dict[str, Callable[[DataFrame], DataFrame]], gold: DataFrame, path: str, *, k: int = 5) -> DataFrame:
+    """A row of scores per table, written as CSV, as the job ``eval:retrieval``.
+
+    ``tables``: name -> a retriever that takes the gold questions and gives hits (``query_id, id, rank, parent_asin``).
+    """
+    with jobs.job("eval:retrieval") as job:
+        rows = [evaluate(retrieve(gold), gold, name, k) for name, retrieve in tables.items()]
+        found = functools.reduce(DataFrame.unionByName, rows)
+        write_csv(found, path)
+        job["records_in"] = job["records_out"] = len(rows)
+    return found

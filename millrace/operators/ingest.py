@@ -14,6 +14,7 @@ from millrace.operators.embedding import Embedder, embed_batches
 from millrace.operators.ledger import KEY, RUNNABLE, Ledger
 from millrace.operators.store import ParquetStore
 from millrace.sources.jsonl import load_product_meta, parse_lines
+from millrace.staging import staged
 
 INGEST, EMBED, STORE = "ingest", "embed", "vectorstore"
 
@@ -33,7 +34,7 @@ def _to_run(units: DataFrame, ledger: Ledger) -> DataFrame:
 
 
 def _open(units: DataFrame, ledger: Ledger, rows_in: str) -> None:
-    keys = units.select(*KEY, F.col(rows_in).cast("int").alias("rows_in")).dropDuplicates(KEY).cache()
+    keys = staged(units.select(*KEY, F.col(rows_in).cast("int").alias("rows_in")).dropDuplicates(KEY), "keys")
     ledger.append(keys.withColumn("to_status", F.lit("pending")))
     ledger.append(keys.drop("rows_in").withColumn("to_status", F.lit("running")))
 
@@ -48,12 +49,12 @@ def ingest_records(ledger: Ledger, lines: DataFrame, *, min_text_length: int = M
     """
     parsed = parse_lines(lines).withColumns({"stage": F.lit(INGEST), "input_hash": X.content_hash(F.col("raw"))})
     units = dedup_first(_to_run(parsed, ledger), order_col="line_number", text_col="raw")
-    units = faults.with_faults(units, INGEST, order_col="line_number").cache()
+    units = staged(faults.with_faults(units, INGEST, order_col="line_number"), "units")
     _open(units.withColumn("n", F.lit(1)), ledger, "n")
     kind, said = F.coalesce("fault_type", "error_type"), F.coalesce("fault_message", "error_message")
     title, text = (X.clean_strip_first(F.coalesce(F.col(f"data.{c}"), F.lit(""))) for c in ("title", "text"))
     judged = units.withColumns({"error_type": kind, "error_message": said, "title": F.when(F.col("data.title").isNotNull(), title), "text": text})
-    judged = judged.withColumn("kept", F.col("error_type").isNull() & F.col("data.rating").isNotNull() & (F.length("text") >= min_text_length)).cache()
+    judged = staged(judged.withColumn("kept", F.col("error_type").isNull() & F.col("data.rating").isNotNull() & (F.length("text") >= min_text_length)), "judged")
     fields = [F.col(f"data.{c}").alias(c) for c in ("rating", "asin", "parent_asin", "helpful_vote", "timestamp")]
     output = judged.filter("kept").select("line_number", "raw", "title", "text", *fields, "variant")
     if save:
@@ -72,7 +73,7 @@ def embed_stage(ledger: Ledger, records: DataFrame, embedder: Embedder, *, size:
     if fault:
         hit = F.col("batch_id") < fault[1]
         units = units.withColumns({"error_type": F.when(hit, faults.FAULTS[fault[0]].__name__).otherwise(F.col("error_type")), "error_message": F.when(hit, faults.message(EMBED, fault[0])).otherwise(F.col("error_message"))})
-    units = _to_run(units, ledger).cache()
+    units = staged(_to_run(units, ledger), "units")
     _open(units, ledger, "rows_in")
     good = units.filter("error_type is null").select("batch_id")
     output = rows.join(good, "batch_id", "left_semi")

@@ -94,9 +94,27 @@ def rates(df: DataFrame, ts_col: str, every: str, seconds: int, *labels: str, va
     return df.groupBy(F.window(ts_col, every).alias("w"), *labels).agg((amount / seconds).alias("per_second")).select(*labels, F.col("w.start").alias("window_start"), "per_second")
 
 
-def failure_ratio(metrics: DataFrame) -> DataFrame:
+def sliding_rates(df: DataFrame, ts_col: str, seconds: int, every: int, *labels: str, value: Column | None = None) -> DataFrame:
+    """``labels, window_end, per_second`` over the ``seconds`` before each multiple of ``every``; windows without a row are absent.
+
+    Amounts are summed per step first, so a row is shuffled once however many windows hold it.
+    """
+    amount = F.sum(value) if value is not None else F.count("*")
+    step = (F.floor(F.unix_micros(F.col(ts_col).cast("timestamp")) / (every * 1_000_000)) + 1).cast("long")
+    sums = df.groupBy(*labels, step.alias("step")).agg(amount.alias("amount"))
+    spread = sums.withColumn("step", F.explode(F.sequence(F.col("step"), F.col("step") + seconds // every - 1)))
+    rates_ = spread.groupBy(*labels, "step").agg((F.sum("amount") / seconds).alias("per_second"))
+    return rates_.select(*labels, F.timestamp_seconds(F.col("step") * every).alias("window_end"), "per_second")
+
+
+def failure_ratio(metrics: DataFrame, *, seconds: int | None = None, every: int | None = None, ts_col: str = "ts") -> DataFrame:
+    """``stage, failure_ratio`` of the whole run, or with ``seconds`` and ``every`` also ``window_end``: of the time before each step."""
     total = lambda n: F.sum(F.when(F.col("name") == n, F.col("value")))
-    return metrics.groupBy("stage").agg(F.try_divide(F.coalesce(total(FAILURES), F.lit(0.0)), total(ATTEMPTS)).alias("failure_ratio"))
+    if seconds is None:
+        return metrics.groupBy("stage").agg(F.try_divide(F.coalesce(total(FAILURES), F.lit(0.0)), total(ATTEMPTS)).alias("failure_ratio"))
+    rows = sliding_rates(metrics.filter(F.col("name").isin(FAILURES, ATTEMPTS)), ts_col, seconds, every or seconds, "stage", "name", value=F.col("value"))
+    part = lambda n: F.sum(F.when(F.col("name") == n, F.col("per_second")))
+    return rows.groupBy("stage", "window_end").agg(F.try_divide(F.coalesce(part(FAILURES), F.lit(0.0)), part(ATTEMPTS)).alias("failure_ratio"))
 
 
 def exposition(metrics: DataFrame) -> str:

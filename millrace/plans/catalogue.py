@@ -15,10 +15,11 @@ from pyspark.sql.window import Window
 
 from millrace.functions import text as X
 from millrace.functions import vector as V
-from millrace.operators import chunking, cleaning, evaluation, healing, ingest, ledger, retrieval, telemetry
+from millrace.operators import chunking, cleaning, evaluation, healing, index, ingest, ledger, retrieval, telemetry
 from millrace.operators.embedding import HashingEmbedder, embed_column
 from millrace.operators.retrieval import LexicalReranker
 from millrace.sources import jsonl, sinks
+from millrace.staging import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
@@ -131,6 +132,15 @@ def batch_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.batch_hashes(cleaning.batched(_table(spark, sf_dir, "documents").select("doc_id", "text"), order_col="doc_id"), raw_col="text")
 
 
+@_register("SELECT row_number() OVER (ORDER BY doc_id)::BIGINT AS line_number, doc_id, sha256(text) AS hash FROM documents")
+def line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as JSON lines, in order of id over as many files as tasks, read back with their line numbers."""
+    path = fresh_dir(spark, "lines")
+    _table(spark, sf_dir, "documents").select("doc_id", "text").orderBy("doc_id").write.json(f"{path}/lines")
+    lines = jsonl.read_lines(spark, f"{path}/lines").select("line_number", F.from_json("raw", "doc_id BIGINT, text STRING").alias("d"))
+    return lines.select("line_number", "d.doc_id", X.content_hash(F.col("d.text")).alias("hash"))
+
+
 @_register("""
 WITH w AS (SELECT doc_id, s, trim(substr(text, (s + 1)::INT, 500), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t FROM (SELECT doc_id, text, unnest(range(0, length(text), 400)) AS s FROM documents))
 SELECT doc_id || '-' || (row_number() OVER (PARTITION BY doc_id ORDER BY s) - 1) AS chunk_id, (row_number() OVER (PARTITION BY doc_id ORDER BY s) - 1)::BIGINT AS seq, sha256(t) AS chunk_hash FROM w WHERE t <> ''""")
@@ -228,11 +238,38 @@ def rag_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.contexts(hits.withColumn("document", F.col("text")))
 
 
-@_register()
+@_register(r"""
+WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D\x1c-\x1f]+')) AS w FROM documents),
+h AS (SELECT doc_id, ('0x' || substr(md5(w), 1, 15))::BIGINT AS h FROM w),
+p AS (SELECT doc_id, h // 2 % 384 AS place, sum(CASE WHEN h % 2 = 1 THEN 1 ELSE -1 END) AS v FROM h GROUP BY ALL HAVING v <> 0),
+s AS (SELECT doc_id, count(*) FILTER (v > 0) AS up, count(*) FILTER (v < 0) AS down, sum(place) AS places FROM p GROUP BY doc_id)
+SELECT d.doc_id, 384::BIGINT AS dim, coalesce(up, 1)::BIGINT AS positive, coalesce(down, 0)::BIGINT AS negative, coalesce(places, 0)::BIGINT AS places, 1.0::DOUBLE AS norm FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id""")
 def embed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """By the hashing stand-in: the vectors' length and norm."""
+    """By the hashing stand-in: how many components are above and below 0, their places' sum, and the vector's norm."""
+    v = F.col("embedding")
     done = embed_column(_table(spark, sf_dir, "documents").select("doc_id", "text"), HashingEmbedder())
-    return done.select("doc_id", F.size("embedding").cast("long").alias("dim"), F.round(V.norm(F.col("embedding")), 5).alias("norm"))
+    at = F.filter(F.transform(v, lambda x, i: F.when(x != 0, i)), lambda i: i.isNotNull())
+    count = lambda f: F.size(F.filter(v, f)).cast("long")
+    return done.select("doc_id", F.size(v).cast("long").alias("dim"), count(lambda x: x > 0).alias("positive"), count(lambda x: x < 0).alias("negative"), F.aggregate(at, F.lit(0).cast("long"), lambda s, i: s + i).alias("places"), F.round(V.norm(v), 5).alias("norm"))
+
+
+@_register("SELECT count(*) * 5 AS hits, TRUE AS found_nine_tenths FROM embeddings WHERE vec_id % 100 = 0")
+def index_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chunk index over every vector, searched for the stated query set, and whether it finds nine tenths of the exact hits."""
+    q, corpus = _queries_of(spark, sf_dir)
+    path = fresh_dir(spark, "index")
+    index.build(corpus, path, id_col="vec_id")
+    exact = retrieval.batch_top_k(q, corpus, k=5, id_col="vec_id")
+    return index.recall(index.search(spark, path, q, k=5), exact).select(F.col("n").alias("hits"), (F.col("recall") >= 0.9).alias("found_nine_tenths"))
+
+
+@_register(f"SELECT query_id, vec_id AS id, row_number() OVER (PARTITION BY query_id ORDER BY round(list_cosine_distance(q, embedding::DOUBLE[]), 12), vec_id)::BIGINT AS rank FROM {_Q}, embeddings QUALIFY rank <= 5")
+def index_topk_all_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chunk index with every cell probed: the exact hits."""
+    q, corpus = _queries_of(spark, sf_dir)
+    path = fresh_dir(spark, "index")
+    index.build(corpus, path, id_col="vec_id")
+    return index.search(spark, path, q, k=5, probes=index.MOST_CELLS).select("query_id", "id", "rank")
 
 
 @_register("SELECT doc_id || '-0' AS chunk_id, doc_id::VARCHAR AS parent_id FROM documents WHERE length(text) > 150 ORDER BY sha256(doc_id || '-0' || '42'), 1 LIMIT 50")
@@ -415,6 +452,20 @@ def rate_by_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telemetry.rates(_table(spark, sf_dir, "events"), "ts", "1 day", 86400, "event_type").select("event_type", F.date_format("window_start", "yyyy-MM-dd").alias("day"), F.round("per_second", 9).alias("per_second"))
 
 
+@_register("WITH b AS (SELECT event_type, floor(epoch(ts) / 900)::BIGINT + 1 AS step, count(*) AS n FROM events GROUP BY ALL) SELECT event_type, (step + k) * 900 AS window_end, round(sum(n) / 3600.0::DOUBLE, 9) AS per_second FROM b, range(4) AS r(k) GROUP BY ALL")
+def sliding_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events a second over the hour before each quarter of an hour."""
+    found = telemetry.sliding_rates(_table(spark, sf_dir, "events"), "ts", 3600, 900, "event_type")
+    return found.select("event_type", F.unix_timestamp("window_end").alias("window_end"), F.round("per_second", 9).alias("per_second"))
+
+
+@_register(f"WITH b AS (SELECT {_STAGE_SQL} AS stage, floor(epoch(ts) / 21600)::BIGINT + 1 AS step, count(*) AS n, count(*) FILTER (event_type = 'error') AS bad FROM events GROUP BY ALL) SELECT stage, (step + k) * 21600 AS window_end, round(sum(bad) / sum(n)::DOUBLE, 9) AS failure_ratio FROM b, range(4) AS r(k) GROUP BY stage, step + k")
+def failure_rate_by_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of failures over the day before each quarter of a day."""
+    found = telemetry.failure_ratio(_metrics(spark, sf_dir), seconds=86_400, every=21_600)
+    return found.select("stage", F.unix_timestamp("window_end").alias("window_end"), F.round("failure_ratio", 9).alias("failure_ratio"))
+
+
 _BUCKET_SQL = " + ".join(f"CASE WHEN value > {b} THEN 1 ELSE 0 END" for b in telemetry.BOUNDS)
 _HIST = f"h AS (SELECT event_type, ({_BUCKET_SQL})::BIGINT AS bucket, count(*)::BIGINT AS n FROM events GROUP BY ALL), c AS (SELECT *, sum(n) OVER (PARTITION BY event_type ORDER BY bucket)::BIGINT AS cumulative FROM h)"
 

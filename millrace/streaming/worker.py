@@ -18,6 +18,7 @@ from millrace.operators.ingest import EMBED, INGEST, STORE, embed_stage, ingest_
 from millrace.operators.ledger import TRANSITIONS, Ledger
 from millrace.operators.store import ParquetStore
 from millrace.operators.telemetry import Telemetry
+from millrace.staging import staged
 
 
 def stream_lines(spark: SparkSession, path: str, *, files_per_batch: int = 1) -> DataFrame:
@@ -46,10 +47,10 @@ def run_worker(spark: SparkSession, source: str, ledger: Ledger, store: ParquetS
             faults.arm(*fault)
         with measure.stage_span(INGEST) as span:
             ingested = ingest_records(ledger, numbered(batch))
-            records = ingested.output.cache()
+            records = staged(ingested.output, "records")
             span.rows_out = records.count()
         with measure.stage_span(EMBED) as span:
-            embedded = embed_stage(ledger, records, embedder).output.cache()
+            embedded = staged(embed_stage(ledger, records, embedder).output, "embedded")
             span.rows_in, span.rows_out = records.count(), embedded.count()
         with measure.stage_span(STORE) as span:
             span.rows_out = load_stage(store, embedded)

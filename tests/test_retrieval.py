@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import numpy as np
 import pytest
+from pyspark.sql import Row
 
-from millrace.operators import evaluation, retrieval, telemetry
-from millrace.operators.embedding import HashingEmbedder, embed_column
+from millrace.functions import vector
+from millrace.operators import evaluation, healing, index, retrieval, telemetry
+from millrace.operators.embedding import HashingEmbedder, embed_column, run_embedding
 from millrace.operators.jobs import Jobs
-from millrace.operators.store import search
+from millrace.operators.store import ParquetStore, run_load, search
 
 
 @pytest.fixture(scope="module")
@@ -63,3 +66,73 @@ def test_spans_and_jobs(spark):
     with pytest.raises(ValueError), jobs.job("b"):
         raise ValueError("x" * 3000)
     assert [(r.status, len(r.error or "")) for r in jobs.frame(spark).orderBy("id").collect()] == [("succeeded", 0), ("failed", 2000)]
+
+
+def test_many_queries_meet_every_block(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(300, 8))
+    corpus = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(900, None), (901, x[3].tolist())], "id long, embedding array<double>")
+    queries = corpus.filter("id < 40").selectExpr("id as query_id", "embedding as vector")
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    for q, c in ((1024, 1024), (16, 64)):
+        monkeypatch.setattr(vector, "QUERY_BLOCK", q)
+        monkeypatch.setattr(vector, "CORPUS_BLOCK", c)
+        got = retrieval.batch_top_k(queries, corpus, k=4).collect()
+        by = {(r.query_id, r.rank): r.id for r in got}
+        assert len(by) == 160 and by[3, 1] == 3 and by[3, 2] == 901
+        assert all(by[i, 1] == i for i in range(40))
+        second = [int(np.argsort(-(unit @ unit[i]))[1]) for i in range(40) if i != 3]
+        assert [by[i, 2] for i in range(40) if i != 3] == second
+    assert retrieval.batch_top_k(queries.limit(0), corpus, k=4).count() == 0
+
+
+@pytest.mark.parametrize("n", [200, 2000])
+def test_index_recall(spark, tmp_path, n):
+    """Clustered vectors, one cluster a third of all: the index finds nine tenths of the exact hits, and all with every cell probed."""
+    rng = np.random.default_rng(n)
+    centre = rng.normal(size=(20, 16))
+    own = np.where(rng.random(n) < 1 / 3, 0, rng.integers(0, 20, n))
+    x = centre[own] + 0.4 * rng.normal(size=(n, 16))
+    corpus = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(n, None), (n + 1, [0.0] * 16)], "id long, embedding array<double>")
+    queries = corpus.filter(f"id % 10 = 0 and id < {n}").selectExpr("id as query_id", "embedding as vector")
+    index.build(corpus, str(tmp_path / "i"))
+    exact = retrieval.batch_top_k(queries, corpus.filter(f"id < {n}"), k=5)
+    assert index.recall(index.search(spark, str(tmp_path / "i"), queries), exact).first().recall >= 0.9
+    assert index.recall(index.search(spark, str(tmp_path / "i"), queries, probes=n), exact).first().recall == 1.0
+    index.build(corpus.limit(0), str(tmp_path / "none"))
+    assert index.search(spark, str(tmp_path / "none"), queries).count() == 0
+
+
+def test_tracked_runs(spark, tmp_path):
+    """Embed, load and evaluate as jobs; the load's records out are all rows of the store."""
+    jobs = Jobs()
+    reviews = spark.createDataFrame([("r1", "Good mouse. Works well.", 5.0, "a", "p1", 0, "Mouse", "Things"), ("r2", "Bad cable", 1.0, "b", None, 1, None, "Things")], "id string, text string, rating double, asin string, parent_asin string, helpful_vote int, product_title string, category string")
+    chunks = run_embedding(jobs, reviews, HashingEmbedder(32), str(tmp_path / "chunks"))
+    assert {r.chunk_id: r.text for r in chunks.collect()} == {"r1-0": "Good mouse. Works well.", "r2-0": "Bad cable"}
+    told = HashingEmbedder(32).embed(["Product: Mouse | Review: Good mouse. Works well.", "Product: Things | Review: Bad cable"])
+    assert [[round(x, 5) for x in r.embedding] for r in chunks.orderBy("chunk_id").collect()] == [[round(x, 5) for x in v] for v in told]
+    store = ParquetStore(spark, str(tmp_path / "store"), "id string, document string, embedding array<float>, rating double, asin string, parent_asin string, helpful_vote int", create=True)
+    assert run_load(jobs, store, chunks.filter("chunk_id = 'r1-0'")) == 1 and run_load(jobs, store, chunks) == 2
+    gold = spark.createDataFrame([(1, "r1"), (2, "none")], "query_id long, gold_parent_id string")
+    hits = lambda g: g.selectExpr("query_id", "'r1-0' as id", "1 as rank", "'p1' as parent_asin")
+    got = evaluation.run_evaluation(jobs, {"one": hits, "two": hits}, gold, str(tmp_path / "csv")).collect()
+    assert [(r.table, r.recall_at_k, r.mrr) for r in got] == [("one", 0.5, 0.5), ("two", 0.5, 0.5)]
+    assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 2
+    with pytest.raises(Exception):
+        run_embedding(jobs, reviews.drop("category"), HashingEmbedder(32), str(tmp_path / "x"))
+    assert [(j["job_name"], j["status"], j["records_in"], j["records_out"]) for j in jobs.rows] == [
+        ("embed:sentence", "succeeded", 2, 2), ("vecload:chunks", "succeeded", 1, 1), ("vecload:chunks", "succeeded", 2, 2), ("eval:retrieval", "succeeded", 2, 2), ("embed:sentence", "failed", None, None),
+    ]
+
+
+def test_watch_jobs_looks_again():
+    class Rows:
+        def toLocalIterator(self):
+            return iter([Row(id=1, job_name="embed:x", error="e")])
+
+    seen, slept = [], []
+    healing.watch_jobs(Rows, lambda *row: seen.append(row), passes=2, sleep_fn=slept.append)
+    assert seen == [(1, "embed:x", "e")] * 2 and slept == [60.0, 60.0]
+    made = healing.job_registry(lambda s: f"e {s}", lambda s: f"l {s}", ingest=lambda: "i")
+    assert healing.runner_for("vecload:pg:chunks_fixed", made)() == "l fixed" and healing.runner_for("embed:sentence", made)() == "e sentence"
+    assert healing.runner_for("ingest", made)() == "i" and healing.runner_for("other", made) is None
