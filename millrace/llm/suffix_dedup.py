@@ -25,8 +25,8 @@ from millrace.llm.common import drop_staged, row_key, staged
 from millrace.llm.suffixes import common_prefixes, suffix_array
 
 _GRAM = 32
-#: Different segments of one name beyond which its windows are counted by hash.
-WIDE = 4096
+#: Different segments of one name, and bytes of them, beyond which its windows are counted by hash: a task holds no more of a name.
+WIDE, WIDE_BYTES = 4096, 2_000_000
 #: Bytes of a shard; bytes whose windows are named at once, so that the arrays beside a long text don't grow with it.
 SHARD, PIECE = 500_000, 1 << 17
 
@@ -135,28 +135,28 @@ def _shard(length: int):
             yield pa.RecordBatch.from_arrays([pa.array(batch.column("key").to_numpy()[row]), pa.array(batch.column("start").to_numpy()[row] + a - offs[row]), pa.array(b - a)], ["key", "start", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        size = 0
+        whole: list[pa.RecordBatch] = []  # rows of names that have ended
+        last: list[pa.RecordBatch] = []  # rows of the name at hand
+        now, size = None, 0
         for batch in batches:
+            if not batch.num_rows:
+                continue
             names = batch.column("name").to_numpy()
-            held.append(batch)
-            size += batch.column("bytes").nbytes
-            if size >= SHARD:
-                table = pa.Table.from_batches(held)
-                names = table.column("name").to_numpy()
-                lens = np.cumsum(np.diff(np.frombuffer(table.column("bytes").combine_chunks().buffers()[1], np.int32, table.num_rows + 1)))
-                firsts = np.flatnonzero(names[1:] != names[:-1]) + 1
-                at = 0
-                for f in [*firsts]:
-                    if lens[f - 1] - (lens[at - 1] if at else 0) >= SHARD:
-                        yield from settle(table.slice(at, f - at))
-                        at = f
-                held, size = table.slice(at).combine_chunks().to_batches(), int(lens[-1] - (lens[at - 1] if at else 0))
-                if size >= SHARD and len(firsts) and firsts[-1] > at:  # all but the last name
-                    yield from settle(table.slice(at, firsts[-1] - at))
-                    held, size = table.slice(firsts[-1]).combine_chunks().to_batches(), 0
-        if held:
-            yield from settle(pa.Table.from_batches(held))
+            firsts = np.flatnonzero(names[1:] != names[:-1]) + 1
+            firsts = firsts if now == names[0] else np.concatenate([[0], firsts])
+            now = names[-1]
+            if not len(firsts):
+                last.append(batch)
+                continue
+            b = int(firsts[-1])
+            whole += [*last, batch.slice(0, b)]
+            size = sum(x.column("bytes").nbytes for x in whole)
+            last = [batch.slice(b)]
+            if size >= SHARD and sum(x.num_rows for x in whole):
+                yield from settle(pa.Table.from_batches(whole))
+                whole, size = [], 0
+        if whole or last:
+            yield from settle(pa.Table.from_batches(whole + last))
 
     return run
 
@@ -189,8 +189,9 @@ def repeated_windows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     found = staged(every.drop("self").join(often, "name"), "segments", rows=every.count())
     drop_staged(every)
     segs = found.groupBy("name", "seg", "n").agg(F.count("*").alias("c"), F.min(F.struct("key", "start")).alias("at"))
-    names = segs.groupBy("name").agg(F.count("*").alias("different"))
-    segs = staged(segs.join(names, "name"), "names", rows=found.count())
+    names = segs.groupBy("name").agg(F.count("*").alias("different"), F.sum(F.col("n") + length).alias("size"))
+    names = names.select("name", "different", F.expr(f"different > {WIDE} or size > {WIDE_BYTES}").alias("wide"))
+    segs = staged(segs.join(names.drop("wide"), "name"), "names", rows=found.count())
     copies = found.join(segs.filter("c > 1").select("name", "seg", "n"), ["name", "seg", "n"]).select("key", "start", "n")
 
     # a lone segment of a name is there for a repeat inside it
@@ -198,10 +199,10 @@ def repeated_windows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     parts = parts.groupBy("key").agg(F.collect_list("p").alias("parts"))
     texts = base.join(parts, "key").dropDuplicates(["key"])
     cols = "name long, key long, start long, n long, single boolean, bytes binary"
-    bytes_ = staged(texts.mapInArrow(K.released(_slice(length)), cols).join(names.filter(f"different > {WIDE}"), "name", "left"), "bytes")
-    narrow = bytes_.filter("different is null").drop("different").repartition("name").sortWithinPartitions("name")
+    bytes_ = staged(texts.mapInArrow(K.released(_slice(length)), cols).join(names.filter("wide").select("name", "wide"), "name", "left"), "bytes")
+    narrow = bytes_.filter("wide is null").drop("wide").repartition("name").sortWithinPartitions("name")
     settled = narrow.mapInArrow(K.released(_shard(length)), "key long, start long, n long")
-    windows = bytes_.filter("different is not null").drop("different").mapInArrow(K.released(_windows(length)), "name long, key long, start long, single boolean, w long")
+    windows = bytes_.filter("wide").drop("wide").mapInArrow(K.released(_windows(length)), "name long, key long, start long, single boolean, w long")
     more = windows.groupBy("name", "w").agg(F.count("*").alias("c")).filter("c > 1").select("name", "w")
     wide = windows.join(more, ["name", "w"]).filter("single").select("key", "start", F.lit(1).cast("long").alias("n"))
     return copies.unionByName(settled).unionByName(wide)
