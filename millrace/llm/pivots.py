@@ -237,10 +237,12 @@ def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str
     classes = rows.filter("node is not null").groupBy("node").agg(F.count("*").alias("n"), F.min("id").alias("min_id"), F.first("label").alias("label"), F.first("x").alias("x"))
     classes = staged(classes, "classes")
     sizes = classes.groupBy((F.octet_length("x") / 8).cast("int").alias("d"), "label").agg(F.count("*").alias("c"))
-    dims = {r.d: r.most for r in sizes.groupBy("d").agg(F.sum("c").alias("c"), F.max("c").alias("most")).orderBy(F.desc("c")).limit(64).collect()}
+    dims = sizes.groupBy("d").agg(F.sum("c").alias("c"), F.max("c").alias("most")).orderBy(F.desc("c")).limit(64).collect()
     pivots, counts = {}, {}
-    for d, most in dims.items():  # a dimension beyond the 64 most frequent has one list a label
-        drawn = classes.filter(F.octet_length("x") == 8 * d).orderBy(F.xxhash64("node", F.lit(1))).limit(SAMPLE).select("x").collect()
+    for d, count, most in dims:  # a dimension beyond the 64 most frequent has one list a label
+        place = F.shiftrightunsigned(F.xxhash64("node", F.lit(1)), 16)
+        enough = int(min(1.0, 1.2 * SAMPLE / count) * (1 << 48))  # so that tasks send little more than the sample
+        drawn = classes.filter((F.octet_length("x") == 8 * d) & (place < enough)).orderBy(place).limit(SAMPLE).select("x").collect()
         sample = np.array([np.frombuffer(r.x, np.float64) for r in drawn])
         sample /= np.sqrt((sample**2).sum(axis=1, keepdims=True))
         pivots[d] = spread(sample, min(PIVOTS, math.ceil(PER_ROOT * math.sqrt(most))))
