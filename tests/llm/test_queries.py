@@ -15,7 +15,7 @@ import pytest
 import corpus_pipeline
 from millrace.llm import queries
 from millrace.llm.common import staged
-from tests.llm.test_operators import WORD, ids_of, jump, lower
+from tests.llm.test_operators import WORD, ids_of, jump, lower, vectors_of
 from tests.test_catalogue import SF, rows
 
 driver = pytest.mark.skipif(not os.path.isdir(SF), reason="no driver tables here")
@@ -178,9 +178,21 @@ def test_pipeline(spark, con):
         words = WORD.findall(text)
         if words:
             whole, part = divmod(taken[i], len(words))
-            made += [(i, t, lang, source, len(t)) for t in [text] * whole + [" ".join(words[:part])] * (part > 0)]
+            begun = text[: list(WORD.finditer(text))[part - 1].end()]
+            made += [(i, t, lang, source, len(t)) for t in [text] * whole + [begun] * (part > 0)]
     assert found(step) == Counter(made)
 
     docs = [(i, t) for i, t, *_ in made]
     check_pieces(stages["packing"](spark, step, SF).collect(), docs)
     check_pieces(corpus_pipeline.run(spark, SF).collect(), docs)
+
+
+def test_vectors_sql_on_linked_rows(spark, tmp_path):
+    """The driver's vectors link with nothing, so the query and its SQL meet on a table of pairs and of one group."""
+    x = np.concatenate([vectors_of("pairs", 500), vectors_of("group", 160)])
+    made = [(i, v.tolist(), i % 3 if i % 50 else None) for i, v in enumerate(x)] + [(9000, None, 1), (9001, [0.0] * 64, 1), (9002, x[4].tolist(), 1)]
+    spark.createDataFrame(made, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT vec_id, CASE WHEN len(embedding) = 64 AND list_sum(list_transform(embedding, lambda e: e * e)) > 0 THEN embedding END AS embedding, label FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    found = rows(queries.queries()["op3_embedding_near_dedup"](spark, str(tmp_path)).toPandas())
+    assert found == rows(con.execute(queries.oracle_sql()["op3_embedding_near_dedup"]).df()) and sum(r.n_links for r in queries.op3_embedding_near_dedup(spark, str(tmp_path)).collect()) > 100
