@@ -11,9 +11,11 @@ from millrace.functions import text as X
 from millrace.operators import faults
 from millrace.operators.cleaning import MIN_TEXT_DECODE_FIRST, MIN_TEXT_STRIP_FIRST, clean_records_decoded, dedup_first
 from millrace.operators.embedding import Embedder, embed_batches
+from millrace.operators.jobs import Jobs
 from millrace.operators.ledger import KEY, RUNNABLE, Ledger
 from millrace.operators.store import ParquetStore
 from millrace.sources.jsonl import load_product_meta, parse_lines
+from millrace.sources.sinks import write_parquet
 from millrace.staging import staged
 
 INGEST, EMBED, STORE = "ingest", "embed", "vectorstore"
@@ -109,8 +111,24 @@ def ingest_reviews(reviews: DataFrame, meta: DataFrame, *, category: str, order_
     )
 
 
-def run_counters(raw: DataFrame, *, min_text_length: int = MIN_TEXT_STRIP_FIRST, ignore_case: bool = False) -> DataFrame:
-    """``raw_seen, after_filter, kept`` of a run over raw reviews, a row, from one pass: each text is cleaned once."""
+def run_ingest(jobs: Jobs, reviews: DataFrame, meta: DataFrame, path: str, *, category: str, limit: int | None = 50_000) -> DataFrame:
+    """The batch form, written as Parquet, as the job ``ingest:<category>``; returns what was written."""
+    with jobs.job(f"ingest:{category}") as job:
+        write_parquet(ingest_reviews(reviews, meta, category=category, limit=limit), path)
+        done = reviews.sparkSession.read.parquet(path)
+        seen = reviews.count()
+        job["records_in"], job["records_out"] = seen if limit is None else min(seen, limit + 1), done.count()
+    return done
+
+
+def run_counters(raw: DataFrame, *, min_text_length: int = MIN_TEXT_STRIP_FIRST, ignore_case: bool = False, limit: int | None = None, order_col: str = "line_number") -> DataFrame:
+    """``raw_seen, after_filter, kept`` of a run over raw reviews, a row, from one pass: each text is cleaned once.
+
+    A run with a ``limit`` sees the record after its last one before it stops, and counts it.
+    """
+    if limit is not None:
+        seen = raw.limit(limit + 1).count()
+        return run_counters(raw.orderBy(order_col).limit(limit), min_text_length=min_text_length, ignore_case=ignore_case).withColumn("raw_seen", F.lit(seen).cast("long"))
     text = X.clean_strip_first(F.coalesce(F.col("text"), F.lit("")))
     rows = raw.select("rating", text.alias("text")).withColumn("sound", F.col("rating").isNotNull() & (F.length("text") >= min_text_length))
     digest = X.text_hash(F.col("text")) if ignore_case else X.content_hash(F.col("text"))

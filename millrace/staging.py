@@ -60,7 +60,7 @@ def staging(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def staged(df: DataFrame, name: str, rows: int | None = None, per_file: int = 500_000) -> DataFrame:
+def staged(df: DataFrame, name: str, rows: int | None = None, per_file: int = 100_000) -> DataFrame:
     """Write a table into the shared folder and read it back: lineage ends here, lost executors re-read it.
 
     ``rows``: about how many there are at most, if that is known; a small table is then made by

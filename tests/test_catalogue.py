@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import math
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from millrace.plans import catalogue
@@ -25,7 +25,7 @@ def rows(df):
     cols = sorted(df.columns)
 
     def norm(v):
-        if v is None or (isinstance(v, float) and math.isnan(v)):
+        if pd.isna(v):
             return "~"
         v = v.item() if hasattr(v, "item") else v
         return f"{v:.6g}" if isinstance(v, float) else str(v)

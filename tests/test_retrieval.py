@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import Row
 
 from millrace.functions import vector
-from millrace.operators import evaluation, healing, index, retrieval, telemetry
+from millrace.operators import evaluation, healing, index, ingest, retrieval, telemetry
 from millrace.operators.embedding import HashingEmbedder, embed_column, run_embedding
 from millrace.operators.jobs import Jobs
 from millrace.operators.store import ParquetStore, run_load, search
@@ -136,3 +136,15 @@ def test_watch_jobs_looks_again():
     made = healing.job_registry(lambda s: f"e {s}", lambda s: f"l {s}", ingest=lambda: "i")
     assert healing.runner_for("vecload:pg:chunks_fixed", made)() == "l fixed" and healing.runner_for("embed:sentence", made)() == "e sentence"
     assert healing.runner_for("ingest", made)() == "i" and healing.runner_for("other", made) is None
+
+
+def test_counters_see_one_beyond_the_limit(spark, tmp_path):
+    rows = [(i, "a text that is long enough " + str(i % 3), 1.0 if i != 2 else None) for i in range(1, 9)]
+    raw = spark.createDataFrame(rows, "line_number long, text string, rating double")
+    counts = lambda **kw: tuple(ingest.run_counters(raw, **kw).first())
+    assert counts() == (8, 7, 3) and counts(limit=4) == (5, 3, 2) and counts(limit=8) == (8, 7, 3) and counts(limit=0) == (1, 0, 0)
+    jobs = Jobs()
+    reviews = raw.selectExpr("*", "'a' as asin", "'p' as parent_asin", "0 as helpful_vote", "0L as timestamp")
+    meta = spark.createDataFrame([(1, "p", "Mouse", "")], "line_number long, parent_asin string, title string, main_category string")
+    assert {(r.product_title, r.category) for r in ingest.run_ingest(jobs, reviews, meta, str(tmp_path / "r"), category="Things", limit=4).collect()} == {("Mouse", "Things")}
+    assert [(j["job_name"], j["records_in"], j["records_out"]) for j in jobs.rows] == [("ingest:Things", 5, 2)]
