@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,19 +40,30 @@ PIVOTS, PER_ROOT, SAMPLE, BLOCK = 8192, 4, 32_768, 2048
 NEAREST, SHARED, FOUND, TRIED = 24, 2, 0.998, 4096
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    """Packed doubles of one length -> a matrix of unit rows."""
-    x = np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(len(column), -1)
+def _matrix(column: pa.Array, kind: str) -> np.ndarray:
+    """Packed vectors of one length -> a matrix of unit rows, in doubles."""
+    _, offs, data = column.buffers()
+    offs = np.frombuffer(offs, np.int32, len(column) + 1, column.offset * 4)
+    x = np.frombuffer(data, kind, (offs[-1] - offs[0]) // np.dtype(kind).itemsize, offs[0]).reshape(len(column), -1).astype(np.float64)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for x in batch.column("v").to_pylist():
-            ok = x is not None and len(x) and all(c is not None and math.isfinite(c) for c in x) and any(x)
-            out.append(np.array(x, np.float64).tobytes() if ok else None)
-        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), pa.array(out, pa.binary())], ["id", "label", "x"])
+def _packed(kind: str):
+    """Lists -> their components, packed; null where a vector links with nothing."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("v")
+            n = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            x = np.ascontiguousarray(pc.fill_null(column.flatten(), math.nan).to_numpy(zero_copy_only=False), kind)
+            at = np.concatenate([[0], np.cumsum(n)])
+            within = lambda flags: np.diff(np.concatenate([[0], np.cumsum(flags)])[at])
+            ok = (n > 0) & (within(~np.isfinite(x)) == 0) & (within(x != 0) > 0)
+            bits = pa.py_buffer(np.packbits(ok, bitorder="little").tobytes())
+            packed = pa.Array.from_buffers(pa.binary(), len(n), [bits, pa.py_buffer((at * x.itemsize).astype(np.int32)), pa.py_buffer(x)])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), packed], ["id", "label", "x"])
+
+    return run
 
 
 def spread(sample: np.ndarray, count: int) -> np.ndarray:
@@ -87,23 +99,23 @@ def fitted(sample: np.ndarray, pivots: np.ndarray, least: float) -> int:
     return max(NEAREST, int(needed[min(len(needed) - 1, math.ceil(FOUND * len(needed)))]) if len(needed) else 0)
 
 
-def _cells(pivots: dict[int, np.ndarray], nearest: dict[int, int], least: float):
+def _cells(pivots: dict[int, np.ndarray], nearest: dict[int, int], least: float, kind: str):
     """Adds ``cells``: the vector's home, then the lists that it visits; and ``near``: its nearest pivots, packed."""
     apart = math.sqrt(max(0.0, 2 - 2 * least))
     between = {d: np.sqrt(np.maximum(0, 2 - 2 * p @ p.T)) for d, p in pivots.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = np.array([len(x) for x in batch.column("x").to_pylist()])
-            cells: list = [[0]] * batch.num_rows
+            dims = pc.binary_length(batch.column("x")).to_numpy() // np.dtype(kind).itemsize
+            rows, cells = [np.arange(batch.num_rows)], [np.zeros(batch.num_rows, np.int32)]
             near: list = [b""] * batch.num_rows
-            for size in np.unique(sizes):
-                at = np.flatnonzero(sizes == size)
-                d = int(size) // 8
+            for d in np.unique(dims).tolist():
                 if d not in pivots:
-                    continue  # no pivot of this dimension was drawn; see below
-                score = _matrix(batch.column("x").take(pa.array(at))) @ pivots[d].T
+                    continue  # no pivot of this dimension was drawn: all have the first list as their home
+                at = np.flatnonzero(dims == d)
+                score = _matrix(batch.column("x").take(pa.array(at)), kind) @ pivots[d].T
                 own = score.argmax(axis=1)
+                cells[0][at] = own
                 # (own score - score) / distance of the pivots is the distance from the hyperplane
                 visits = score.max(axis=1, keepdims=True) - score <= apart * between[d][own] + 1e-6
                 visits &= _sends(own[:, None], np.arange(score.shape[1])[None, :])
@@ -116,15 +128,22 @@ def _cells(pivots: dict[int, np.ndarray], nearest: dict[int, int], least: float)
                     top = np.sort(top, axis=1).astype("<u2")
                     for i, row in zip(at.tolist(), top, strict=True):
                         near[i] = row.tobytes()
-                for i, o, row in zip(at.tolist(), own.tolist(), visits, strict=True):
-                    cells[i] = [o, *np.flatnonzero(row).tolist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.list_(pa.int32())), pa.array(near, pa.binary())], [*batch.schema.names, "cells", "near"])
+                i, other = np.nonzero(visits)
+                rows.append(at[i])
+                cells.append(other.astype(np.int32))
+            row = np.concatenate(rows)
+            order = np.argsort(row, kind="stable")  # homes come first
+            ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=batch.num_rows))]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(cells)[order]))
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists, pa.array(near, pa.binary())], [*batch.schema.names, "cells", "near"])
 
     return run
 
 
 def _shared(near: pa.ChunkedArray, a: np.ndarray, b: np.ndarray, found: np.ndarray) -> None:
     """Takes back from ``found`` the pairs that share fewer than SHARED of their nearest pivots."""
+    if not found.any():
+        return
     raw = near.to_pylist()
     if not raw[0]:
         return
@@ -167,7 +186,7 @@ def _roots(found: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
     return row, col
 
 
-def _link(least: float):
+def _link(least: float, kind: str):
     def unit(node: np.ndarray, count: np.ndarray, x: np.ndarray, near: pa.ChunkedArray, side: np.ndarray, same: bool) -> pa.RecordBatch | None:
         """Links of one pair of blocks, or within one: ``side`` says which rows are the first block's."""
         a = np.arange(len(node)) if same else np.flatnonzero(side)
@@ -212,7 +231,7 @@ def _link(least: float):
         side = block == i[0]
         if not same and (side.all() or not side.any()):
             return None
-        return unit(t.column("node").to_numpy(), t.column("n").to_numpy(), _matrix(t.column("x").combine_chunks()), t.column("near"), side, same)
+        return unit(t.column("node").to_numpy(), t.column("n").to_numpy(), _matrix(t.column("x").combine_chunks(), kind), t.column("near"), side, same)
 
     return run
 
@@ -231,23 +250,25 @@ def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str
     """
     spark = vectors.sparkSession
     kinds = {c: vectors.schema[c].dataType.simpleString() for c in (id_col, label_col)}
-    base = vectors.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(vector_col).cast("array<double>").alias("v"))
-    rows = base.mapInArrow(K.released(_packed), f"id {kinds[id_col]}, label {kinds[label_col]}, x binary")
+    single = vectors.schema[vector_col].dataType.simpleString() == "array<float>"
+    kind, size = ("<f4", 4) if single else ("<f8", 8)  # components go as they are, which loses nothing
+    base = vectors.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(vector_col).cast("array<float>" if single else "array<double>").alias("v"))
+    rows = base.mapInArrow(K.released(_packed(kind)), f"id {kinds[id_col]}, label {kinds[label_col]}, x binary")
     rows = staged(rows.withColumn("node", F.when(F.col("label").isNotNull() & F.col("x").isNotNull(), F.xxhash64("label", "x"))), "vectors")
     classes = rows.filter("node is not null").groupBy("node").agg(F.count("*").alias("n"), F.min("id").alias("min_id"), F.first("label").alias("label"), F.first("x").alias("x"))
     classes = staged(classes, "classes")
-    sizes = classes.groupBy((F.octet_length("x") / 8).cast("int").alias("d"), "label").agg(F.count("*").alias("c"))
+    sizes = classes.groupBy((F.octet_length("x") / size).cast("int").alias("d"), "label").agg(F.count("*").alias("c"))
     dims = sizes.groupBy("d").agg(F.sum("c").alias("c"), F.max("c").alias("most")).orderBy(F.desc("c")).limit(64).collect()
     pivots, counts = {}, {}
     for d, count, most in dims:  # a dimension beyond the 64 most frequent has one list a label
         place = F.shiftrightunsigned(F.xxhash64("node", F.lit(1)), 16)
         enough = int(min(1.0, 1.2 * SAMPLE / count) * (1 << 48))  # so that tasks send little more than the sample
-        drawn = classes.filter((F.octet_length("x") == 8 * d) & (place < enough)).orderBy(place).limit(SAMPLE).select("x").collect()
-        sample = np.array([np.frombuffer(r.x, np.float64) for r in drawn])
+        drawn = classes.filter((F.octet_length("x") == size * d) & (place < enough)).orderBy(place).limit(SAMPLE).select("x").collect()
+        sample = np.array([np.frombuffer(r.x, kind) for r in drawn], np.float64)
         sample /= np.sqrt((sample**2).sum(axis=1, keepdims=True))
         pivots[d] = spread(sample, min(PIVOTS, math.ceil(PER_ROOT * math.sqrt(most))))
         counts[d] = fitted(sample, pivots[d], least) if nearest is None else nearest
-    placed = classes.select("node", "n", "label", "x").mapInArrow(K.released(_cells(pivots, counts, least)), f"node long, n long, label {kinds[label_col]}, x binary, cells array<int>, near binary")
+    placed = classes.select("node", "n", "label", "x").mapInArrow(K.released(_cells(pivots, counts, least, kind)), f"node long, n long, label {kinds[label_col]}, x binary, cells array<int>, near binary")
     placed = staged(placed, "described")
     placed = placed.withColumn("dim", F.octet_length("x")).select("*", F.posexplode("cells").alias("place", "cell")).withColumn("guest", F.col("place") > 0)
     blocks = lambda c: F.expr(f"cast(({c} + {BLOCK - 1}) div {BLOCK} as int)")
@@ -259,7 +280,7 @@ def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str
     lists = lists.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("hb") - 1 + F.when(F.col("guest"), 0).otherwise(F.col("gb")))))
     lists = lists.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
     units = lists.select(F.xxhash64("label", "dim", "cell", "i", "j").alias("unit"), "node", "n", "x", "near", "block", "i", "j").repartition("unit").sortWithinPartitions("unit")
-    links = staged(units.mapInArrow(K.released(_link(least)), "node long, links long, root long"), "links")
+    links = staged(units.mapInArrow(K.released(_link(least, kind)), "node long, links long, root long"), "links")
     found = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
     degrees = links.groupBy("node").agg(F.sum("links").alias("links"))
     named = classes.select("node", "n", "min_id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
