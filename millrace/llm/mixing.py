@@ -19,6 +19,8 @@ from pyspark.sql.window import Window
 from millrace.llm.common import row_key, staged
 
 WEIGHTS = (5, 2, 1)
+#: Sources that are ranked and summed in one task, about.
+RANGE_ROWS = 100_000
 #: Rows of a part by which a source is put in order, and the fewest and most parts.
 BIN_ROWS, LEAST_BINS, MOST_BINS = 4096, 16, 1 << 20
 
@@ -33,23 +35,35 @@ def uniform(id_col: str, seed: str) -> Column:
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
-def targets(sized: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, most: int = 3) -> DataFrame:
-    """``source, source_size, target`` of rows (source, size); sources by code point, null last, take ``weights`` in turn.
+def _before(df: DataFrame, order: list[Column], **values: Column) -> DataFrame:
+    """The rows with, for each value, its sum over all rows before (``<name>_before``) and over all (``<name>_all``), in an order.
 
-    The table has a row per source, so its windows run in one task whatever the documents.
+    Ranges of the order are summed apart, about RANGE_ROWS in each, and follow the sums of those before.
     """
-    sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    sums = sums.withColumn("weight", F.element_at(F.array(*[F.lit(w) for w in weights]), (rank % len(weights) + 1).cast("int")).cast("double"))
-    sums = sums.withColumn("cap", (most * F.col("source_size")).cast("double"))
-    up = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
-    before = up.rowsBetween(Window.unboundedPreceding, -1)
-    onward = up.rowsBetween(0, Window.unboundedFollowing)
+    parts = df.count() // RANGE_ROWS + 1
+    place = F.monotonically_increasing_id()
+    rows = df.withColumns(values).repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("place", place)
+    rows = staged(rows.withColumn("part", F.shiftright("place", 33)), "ordered")
+    within = Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # over a row per range
+    sums = rows.groupBy("part").agg(*[F.sum(v).alias(f"{v}_sum") for v in values])
+    sums = sums.select("part", *[F.coalesce(F.sum(f"{v}_sum").over(earlier), F.lit(0)).alias(f"{v}_first") for v in values], *[F.sum(f"{v}_sum").over(Window.partitionBy()).alias(f"{v}_all") for v in values])
+    rows = rows.withColumns({f"{v}_in": F.coalesce(F.sum(v).over(within), F.lit(0)) for v in values}).join(F.broadcast(sums), "part")
+    rows = rows.withColumns({f"{v}_before": F.col(f"{v}_first") + F.col(f"{v}_in") for v in values})
+    return rows.drop("part", "place", *[f"{v}_{x}" for v in values for x in ("first", "in")])
+
+
+def targets(sized: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, most: int = 3) -> DataFrame:
+    """``source, source_size, target`` of rows (source, size); sources by code point, null last, take ``weights`` in turn."""
+    sums = staged(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
+    by_name = F.col("source").asc_nulls_last()
+    sums = _before(sums, [by_name], one=F.lit(1))
+    sums = sums.withColumn("weight", F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("one_before") % len(weights) + 1).cast("int")).cast("double"))
+    sums = sums.select("source", "source_size", "weight", (most * F.col("source_size")).cast("double").alias("cap"))
+    sums = staged(_before(sums, [F.col("cap") / F.col("weight"), by_name], c=F.col("cap"), w=F.col("weight"), s=F.col("source_size").cast("double")), "levels")
     # the level if exactly the sources before this one are full: never above the true one, and it for the first that isn't
-    left = F.sum("source_size").over(Window.partitionBy()) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))
-    sums = sums.withColumn("level", left / F.sum("weight").over(onward))
-    level = F.max("level").over(Window.partitionBy())
-    return sums.select("source", "source_size", F.least("cap", level * F.col("weight")).alias("target"))
+    level = sums.agg(F.max((F.col("s_all") - F.col("c_before")) / (F.col("w_all") - F.col("w_before")))).first()[0]
+    return sums.select("source", "source_size", F.least("cap", F.lit(level).cast("double") * F.col("weight")).alias("target"))
 
 
 def mix(docs: DataFrame, *, quality: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix") -> DataFrame:
