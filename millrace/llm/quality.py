@@ -30,8 +30,8 @@ BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "
 #: Measure -> (SQL over the base counts, as a double; least distance of a threshold from the median; whether low values fail too)
 MEASURES = {
     "symbols": ("1e3 * n_symbols / n_words", 100, False),
-    "dup_lines": ("1e3 * n_dup_lines / greatest(n_lines, 1)", 250, False),
-    "repeats": ("1e3 * n_repeat_words / n_words", 250, False),
+    "dup_lines": ("1e3 * n_dup_lines / greatest(n_lines, 1)", 400, False),
+    "repeats": ("1e3 * n_repeat_words / n_words", 400, False),
     "word_length": ("1e2 * word_chars / n_words", 100, True),
 }
 #: Growth of a sketch's bins, the relative error of its quantiles, and the bin of zero.
