@@ -168,18 +168,19 @@ class Encoder:
         h = K.word_hashes(data, starts, ends) | np.uint64(1)
         slot = self.table.find(h)
         lost = np.flatnonzero(slot < 0)
+        at, n = self.table.at[slot], self.table.n[slot].astype(np.int64)
         if len(lost):
-            new, at = np.unique(h[lost], return_index=True)
+            new, first = np.unique(h[lost], return_index=True)
             if self.table.size + len(new) > HELD:
                 self.begin()
-                new, at = np.unique(h, return_index=True)
+                new, first = np.unique(h, return_index=True)
                 lost = np.arange(len(h))
             raw = data.tobytes()
-            self._learn([raw[starts[i] : ends[i]] for i in lost[at]], new)
-            slot = self.table.find(h)
-        n = self.table.n[slot].astype(np.int64)
+            self._learn([raw[starts[i] : ends[i]] for i in lost[first]], new)
+            slot = self.table.find(h[lost])
+            at[lost], n[lost] = self.table.at[slot], self.table.n[slot]
         upto = np.concatenate([[0], np.cumsum(n)])
-        ids = self.ids[np.repeat(self.table.at[slot] - upto[:-1], n) + np.arange(upto[-1])]
+        ids = self.ids[np.repeat(at - upto[:-1], n) + np.arange(upto[-1])]
         return ids, starts, upto
 
 
