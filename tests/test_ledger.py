@@ -134,3 +134,22 @@ def test_poll_passes(ledger):
     ledger.transition("s", "h", "failed")
     healing.poll(ledger, seen.append, max_iterations=3, sleep_fn=slept.append, stage="s")
     assert len(seen) == 3 and slept == [5.0, 5.0]
+
+
+def test_snapshots_fold_to_the_same_states(spark, tmp_path):
+    """States from a snapshot on are those of the whole log; later folds don't read what is in it."""
+    steps = [("a", "pending"), ("b", "pending"), ("a", "running"), ("b", "running"), ("a", "failed"), ("c", "pending"), ("a", "retrying"), ("b", "succeeded"), ("c", "running")]
+    made = {}
+    for every in (2, 1000):
+        with Ledger(spark, str(tmp_path / f"l{every}"), snapshot_every=every) as ledger:
+            for key, to in steps:
+                ledger.append(spark.createDataFrame([("s", key, to)], "stage string, input_hash string, to_status string"))
+            refused = ledger.append(spark.createDataFrame([("s", "b", "running"), ("s", "x", "failed")], "stage string, input_hash string, to_status string"))
+            assert {(r.input_hash, r.reason) for r in refused.collect()} == {("b", "illegal"), ("x", "unknown")}
+            made[every] = {(r.input_hash, r.status, r.attempt_count) for r in ledger.states().collect()}
+            assert ledger.get("s", "a")["attempt_count"] == 1 and ledger.log().count() == len(steps)
+            if every == 2:
+                assert ledger.log(ledger._snapshot()).count() <= 2
+                again = Ledger(spark, str(tmp_path / "l2"), snapshot_every=2)
+                assert again.transition("s", "a", "running")["attempt_count"] == 2
+    assert made[2] == made[1000] == {("a", "retrying", 1), ("b", "succeeded", 1), ("c", "running", 1)}

@@ -5,6 +5,7 @@ from millrace.operators.embedding import HashingEmbedder
 from millrace.operators.ledger import Ledger
 from millrace.operators.store import ParquetStore
 from millrace.schemas import CHUNKS
+from millrace.sources import jsonl
 from millrace.streaming import worker
 
 
@@ -34,3 +35,17 @@ def test_streams_equal_batches(spark, tmp_path):
     texts = spark.readStream.schema(df.schema).parquet(str(tmp_path / "events"))
     worker.dedup_stream(texts, text_col="to_status").writeStream.format("memory").queryName("dd").trigger(availableNow=True).start().awaitTermination()
     assert spark.table("dd").count() == df.select("to_status").distinct().count()
+
+
+def test_stream_lines_are_the_batch_readers(spark, tmp_path):
+    """White space of any kind goes at both ends, blank lines are blank, and numbers follow (file, place)."""
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "b.txt").write_text("three\n\t \n four　\n")
+    (source / "a.txt").write_text("\tone \n  two\x1f\n")
+    found = []
+    worker.run_batches(worker.stream_lines(spark, str(source), files_per_batch=10), lambda batch, _: found.extend((r.line_number, r.raw) for r in worker.numbered(batch).collect()), str(tmp_path / "cp"))
+    assert sorted(found) == [(1, "one"), (2, "two"), (3, "three"), (4, ""), (5, "four")]
+    batch = {r.line_number: r.raw for r in jsonl.read_lines(spark, str(source)).collect()}
+    assert batch == dict(found)
+    assert jsonl.read_reviews(spark, str(source / "b.txt")).filter("error_type = 'MalformedRecord'").count() == 2

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,3 +80,13 @@ def test_small_functions(spark):
     assert one(spark, lambda c: X.json_field(c, "decision"), '"retry"') is None
     assert one(spark, X.review_id, "  Great ") == hashlib.sha256(b"great").hexdigest()[:16]
     assert one(spark, lambda c: X.enrich(F.lit(""), F.lit("Cat"), c), "t") == "Product: Cat | Review: t"
+
+
+def test_white_space_is_pythons(spark):
+    """Every code point that Python's \\s matches, and no other, is white space, at the ends and in runs."""
+    points = [chr(i) for i in range(0x3100) if not 0xD800 <= i < 0xE000 and i]
+    df = spark.createDataFrame([(i, f"{c}a{c}b{c}{c}c {c}d{c}") for i, c in enumerate(points)], "i int, t string")
+    got = df.select("i", X.trim(F.col("t")).alias("trimmed"), X.normalize_whitespace(F.col("t")).alias("one")).collect()
+    for r in got:
+        t = f"{points[r.i]}a{points[r.i]}b{points[r.i]}{points[r.i]}c {points[r.i]}d{points[r.i]}"
+        assert (r.trimmed, r.one) == (t.strip(), re.sub(r"\s+", " ", t).strip(" ")), hex(ord(points[r.i]))
