@@ -34,11 +34,6 @@ def _render(role: Column, text: Column) -> Column:
     return F.concat(F.lit(HEAD), role, F.lit(COLON), text, F.lit(END + "\n"))
 
 
-def _pieces(formatted: Column) -> Column:
-    """The turns of a formatted conversation, without their end marks; what stands after the last end mark comes last."""
-    return F.split(formatted, END + "\n", -1)
-
-
 def _parsed(piece: Column) -> Column:
     """Role and text of one turn; null where the grammar doesn't hold."""
     at = F.locate(COLON, piece)
@@ -54,10 +49,12 @@ def parse(formatted: Column) -> Column:
 
     What stands after the last end mark is a broken turn as well.
     """
-    pieces = _pieces(formatted)
-    whole = F.when(F.element_at(pieces, -1) == "", F.slice(pieces, F.lit(1), F.size(pieces) - 1)).otherwise(pieces)
-    ended = F.when(F.element_at(pieces, -1) == "", F.lit(-1)).otherwise(F.size(pieces) - 1)
-    return F.transform(whole, lambda p, i: F.when(i != ended, _parsed(p)))
+    last = END + "\n"
+    turns = F.transform(F.split(F.substring(formatted, F.lit(1), F.length(formatted) - len(last)), last, -1), _parsed)
+    pieces = F.split(formatted, last, -1)
+    broken = F.concat(F.transform(F.slice(pieces, F.lit(1), F.size(pieces) - 1), _parsed), F.array(F.when(F.lit(False), _parsed(F.lit("")))))
+    none = F.filter(turns, lambda t: F.lit(False))
+    return F.when(formatted == "", none).when(F.endswith(formatted, F.lit(last)), turns).otherwise(broken)
 
 
 def format_conversations(df: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", learn: str = "assistant") -> DataFrame:
