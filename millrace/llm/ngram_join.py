@@ -43,7 +43,7 @@ STEPS = 8
 #: Sets of more n-grams than this pass a wider suffix filter before they are sent.
 WIDE = 256
 #: Pairs that a task verifies, about.
-PAIRS = 4096
+PAIRS = 2048
 #: Postings of a part of a large bucket.
 PART = 50_000
 #: Buckets in a row of the sketch while it is added up.
@@ -178,7 +178,7 @@ def frequency_sketch(sets: DataFrame) -> np.ndarray:
     n = sets.agg(F.sum("n")).first()[0] or 0
     buckets = 1 << min(MOST_BUCKETS, max(LEAST_BUCKETS, (n // PER_BUCKET).bit_length()))
     parts = sets.mapInArrow(K.released(_counted(buckets)), "chunk long, counts binary, more binary")
-    found = staged(parts.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(K.released(_levels), "chunk long, levels binary"), "sketch", rows=buckets // _CHUNK, per_file=16)
+    found = staged(parts.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(K.released(_levels), "chunk long, levels binary"), "sketch", rows=buckets // _CHUNK, per_file=1)
     out = np.zeros(buckets, np.uint8)
     for chunk, levels in found.collect():
         out[chunk * _CHUNK : (chunk + 1) * _CHUNK] = np.frombuffer(levels, np.uint8)
