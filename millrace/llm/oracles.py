@@ -141,7 +141,44 @@ SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes,
 """
 
 
+_OP11 = "WITH s AS (SELECT vec_id, list_transform(embedding, lambda e: e::DOUBLE) AS e FROM embeddings WHERE len(embedding) = 64), v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(e, lambda x: floor(1024 * x)::BIGINT) AS x FROM s WHERE len(list_filter(e, lambda x: isfinite(x))) = 64)"
+_OP11 += ", c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || coalesce(vec_id::VARCHAR, '')), x) - 1 AS j, x AS c FROM v ORDER BY j LIMIT 8)"
+for _i in range(11):
+    _OP11 += f", a{_i} AS MATERIALIZED (SELECT r, any_value(vec_id) AS vec_id, any_value(x) AS x, min(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT * 8 + j) AS m FROM v CROSS JOIN c{_i} GROUP BY r)"
+    _OP11 += f", e{_i} AS (SELECT m % 8 AS j, unnest(x) AS x, generate_subscripts(x, 1) AS p FROM a{_i}), f{_i} AS (SELECT j, p, sum(x)::BIGINT AS t, count(*) AS n FROM e{_i} GROUP BY j, p)"
+    _OP11 += f", c{_i + 1} AS MATERIALIZED (SELECT j, list((t - ((t % n) + n) % n) // n ORDER BY p) AS c FROM f{_i} GROUP BY j UNION ALL SELECT j, c FROM c{_i} WHERE j NOT IN (SELECT j FROM f{_i}))"
+_OP11 += " SELECT vec_id, j::INT AS cluster, d AS distance, sum(d) OVER (PARTITION BY j)::BIGINT AS cluster_inertia, sum(d) OVER ()::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256 FROM (SELECT vec_id, m % 8 AS j, m // 8 AS d FROM a10) JOIN c10 USING (j)"
+
+_OP12 = """
+WITH RECURSIVE tab AS (SELECT list(x ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_concat([i], range(8)), lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END) AS x FROM range(256) t(i))),
+t AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT conv_id, r, x, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, substr(sha256(length(r) || ':' || r || x), 1, 32)) AS i FROM t),
+c AS (SELECT conv_id, conv_id - conv_id % 100 AS donor,
+  xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(regexp_extract_all(hex(encode(conv_id::VARCHAR)), '..'), lambda h: ('0x' || h)::BIGINT)), lambda v, b: xor(v >> 8, tab[(xor(v, b) & 255) + 1])), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM t), tab),
+b AS (SELECT c.conv_id, 0 AS own, i, r, x FROM c JOIN k ON k.conv_id = donor AND i <= h UNION ALL SELECT conv_id, 1, i, r, x FROM c JOIN k USING (conv_id) WHERE i > h),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY own, i) AS d FROM b),
+p AS MATERIALIZED (SELECT conv_id, d, md5(string_agg(length(r) || ':' || length(x) || ':' || r || x, '') OVER (PARTITION BY conv_id ORDER BY d)) AS node, length(x) AS chars FROM o UNION ALL SELECT conv_id, 0, '', 0 FROM c),
+n AS MATERIALIZED (SELECT d, node, min(conv_id) AS conv, count(*) AS members, max(chars) AS chars FROM p GROUP BY d, node),
+up AS (SELECT n.d, n.node, q.node AS above, m.conv AS parent FROM n JOIN p q ON q.conv_id = n.conv AND q.d = n.d - 1 JOIN n m ON m.d = q.d AND m.node = q.node),
+kids AS (SELECT d - 1 AS d, above AS node, count(*) AS n FROM up GROUP BY ALL),
+sub AS (SELECT a.d, a.node, sum((n.members - 1) * n.chars) AS saved, count(*) FILTER (k.n IS NULL) AS leaves FROM n LEFT JOIN kids k ON k.d = n.d AND k.node = n.node JOIN p a ON a.conv_id = n.conv AND a.d <= n.d GROUP BY a.d, a.node),
+fin AS (SELECT conv_id, max(d) AS d FROM p GROUP BY conv_id),
+ends AS (SELECT p.d, p.node, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends FROM p JOIN fin USING (conv_id, d) GROUP BY p.d, p.node)
+SELECT n.conv AS conv_id, n.d::BIGINT AS depth, up.parent AS parent_conv_id, n.members::BIGINT AS n_convs, coalesce(kids.n, 0)::BIGINT AS n_children, sub.leaves::BIGINT AS n_leaves, sub.saved::BIGINT AS saved_tokens, coalesce(ends, sha256('')) AS ends_sha256
+FROM n JOIN sub ON sub.d = n.d AND sub.node = n.node LEFT JOIN up ON up.d = n.d AND up.node = n.node LEFT JOIN kids ON kids.d = n.d AND kids.node = n.node LEFT JOIN ends ON ends.d = n.d AND ends.node = n.node
+"""
+
+_OP13 = """
+WITH u AS (SELECT row_number() OVER () AS r, page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT r, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+rules(h, s, v) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+fit AS (SELECT r, h || s AS rule, v, row_number() OVER (PARTITION BY r ORDER BY length(h || s) DESC) AS k FROM p JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, s))
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM p LEFT JOIN fit ON fit.r = p.r AND k = 1
+"""
+
+
 SQL = {
     "op1_chat_formatting": _OP1, "op2_mixing": _OP2, "op3_embedding_near_dedup": _OP3, "op4_sharding": _OP4, "op5_ngram_join": _OP5,
-    "op6_suffix_dedup": _OP6, "op7_quality_rules": _op7(), "op9_warc": _OP9,
+    "op6_suffix_dedup": _OP6, "op7_quality_rules": _op7(), "op9_warc": _OP9, "op11_centroid_clustering": _OP11, "op12_prefix_trie": _OP12, "op13_url_filters": _OP13,
 }

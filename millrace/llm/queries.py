@@ -9,16 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import oracles
+from millrace.llm.annulus import cluster_vectors
 from millrace.llm.chat import format_conversations, read_back
 from millrace.llm.common import fresh_dir, table
 from millrace.llm.mixing import mix
 from millrace.llm.ngram_join import ngram_components
 from millrace.llm.packing import pack
 from millrace.llm.pivots import near_vectors
+from millrace.llm.prefix_trie import prefix_trie
 from millrace.llm.quality import quality_verdicts
 from millrace.llm.sharding import shard_rows
 from millrace.llm.suffix_dedup import removal_digests
 from millrace.llm.token_store import document_digests, write_store
+from millrace.llm.url_filter import url_verdicts
 from millrace.llm.warc import read_warc, write_warc
 
 #: Where the vocabulary file lies on driver and executors alike.
@@ -86,8 +89,24 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_digests(spark, path).withColumnRenamed("id", "doc_id")
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"), 8, rounds=10, dims=64, scale=1024, seed=3).withColumnRenamed("id", "vec_id")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"), head=6, every=100)
+
+
+#: The rules that pages are judged by.
+URL_RULES = "SELECT * FROM VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow') AS rules(host, path, verdict)"
+
+
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_verdicts(table(spark, sf_dir, "pages"), spark.sql(URL_RULES)).withColumnRenamed("id", "page_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_chat_formatting, op2_mixing, op3_embedding_near_dedup, op4_sharding, op5_ngram_join, op6_suffix_dedup, op7_quality_rules, op8_packing, op9_warc, op10_token_store)}
+    return {f.__name__: f for f in (op1_chat_formatting, op2_mixing, op3_embedding_near_dedup, op4_sharding, op5_ngram_join, op6_suffix_dedup, op7_quality_rules, op8_packing, op9_warc, op10_token_store, op11_centroid_clustering, op12_prefix_trie, op13_url_filters)}
 
 
 def oracle_sql() -> dict[str, str]:
