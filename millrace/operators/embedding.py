@@ -95,14 +95,11 @@ def embed_column(df: DataFrame, embedder: Embedder, *, text_col: str = "text", o
     return df.withColumn(out_col, run(text_col))
 
 
-def embed_batches(records: DataFrame, embedder: Embedder, *, size: int = BATCH, order_col: str = "line_number", raw_col: str = "raw", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """``(rows, units)``: embedded rows, and per batch ``batch_id, batch_hash, rows_in, error_type, error_message``.
+def encode(batches: DataFrame, embedder: Embedder, *, order_col: str = "line_number", text_col: str = "text") -> DataFrame:
+    """``embedding, error_type, error_message`` beside the rows of numbered batches; one call of the encoder a batch.
 
-    A batch whose encoder fails has an error and yields none of its rows. Batches are the
-    unit of failure, so each is one call.
+    A batch is the unit of failure: where the encoder fails, all of its rows have the error and no vector.
     """
-    numbered = staged(batched(records, order_col=order_col, size=size), "batches")
-    units = batch_hashes(numbered, raw_col=raw_col)
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(order_col)
@@ -112,7 +109,16 @@ def embed_batches(records: DataFrame, embedder: Embedder, *, size: int = BATCH,
             vectors, kind, message = [None] * len(part), type(e).__name__, str(e)
         return part.assign(embedding=vectors, error_type=kind, error_message=message)
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in numbered.schema) + ", embedding array<float>, error_type string, error_message string"
-    done = numbered.groupBy("batch_id").applyInPandas(run, schema)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in batches.schema) + ", embedding array<float>, error_type string, error_message string"
+    return batches.groupBy("batch_id").applyInPandas(run, schema)
+
+
+def embed_batches(records: DataFrame, embedder: Embedder, *, size: int = BATCH, order_col: str = "line_number", raw_col: str = "raw", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """``(rows, units)``: embedded rows, and per batch ``batch_id, batch_hash, rows_in, error_type, error_message``. Each batch is encoded once.
+
+    A batch whose encoder fails has an error and yields none of its rows.
+    """
+    numbered = staged(batched(records, order_col=order_col, size=size), "batches")
+    done = staged(encode(numbered, embedder, order_col=order_col, text_col=text_col), "encoded")
     failed = done.groupBy("batch_id").agg(F.max("error_type").alias("error_type"), F.max("error_message").alias("error_message"))
-    return done.filter("error_type is null").drop("error_type", "error_message"), units.join(failed, "batch_id")
+    return done.filter("error_type is null").drop("error_type", "error_message"), batch_hashes(numbered, raw_col=raw_col).join(failed, "batch_id")

@@ -9,24 +9,25 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text as X
 from millrace.operators import faults
-from millrace.operators.cleaning import MIN_TEXT_DECODE_FIRST, MIN_TEXT_STRIP_FIRST, clean_records_decoded, dedup_first
-from millrace.operators.embedding import Embedder, embed_batches
+from millrace.operators.cleaning import BATCH, MIN_TEXT_DECODE_FIRST, MIN_TEXT_STRIP_FIRST, batch_hashes, batched, clean_records_decoded, dedup_first
+from millrace.operators.embedding import Embedder, encode
 from millrace.operators.jobs import Jobs
 from millrace.operators.ledger import KEY, RUNNABLE, Ledger
 from millrace.operators.store import ParquetStore
 from millrace.sources.jsonl import load_product_meta, parse_lines
 from millrace.sources.sinks import write_parquet
-from millrace.staging import staged
+from millrace.staging import Shelf, staged
 
 INGEST, EMBED, STORE = "ingest", "embed", "vectorstore"
 
 
 @dataclass
 class Stage:
-    """``output`` and ``outcomes`` (stage, input_hash, to_status, error_*, rows_out) of the units that ran."""
+    """``output`` and ``outcomes`` (stage, input_hash, to_status, error_*, rows_out) of the units that ran; both are read from the shelf."""
 
     output: DataFrame
     outcomes: DataFrame
+    shelf: Shelf
 
 
 def _to_run(units: DataFrame, ledger: Ledger) -> DataFrame:
@@ -35,57 +36,77 @@ def _to_run(units: DataFrame, ledger: Ledger) -> DataFrame:
     return units.join(states, KEY, "left").filter(F.col("status").isNull() | F.col("status").isin(*RUNNABLE)).drop("status")
 
 
-def _open(units: DataFrame, ledger: Ledger, rows_in: str) -> None:
-    keys = staged(units.select(*KEY, F.col(rows_in).cast("int").alias("rows_in")).dropDuplicates(KEY), "keys")
-    ledger.append(keys.withColumn("to_status", F.lit("pending")))
-    ledger.append(keys.drop("rows_in").withColumn("to_status", F.lit("running")))
+# Each stage works in four steps, whose tables lie on its shelf: the units it takes on are written
+# before the ledger says that they run, and their results before it says how they ended. A stage
+# that is begun again with the same shelf so takes on the same units, makes nothing anew that is
+# whole, and asks the ledger for transitions that it passes over where they are recorded already.
 
 
-def ingest_records(ledger: Ledger, lines: DataFrame, *, min_text_length: int = MIN_TEXT_STRIP_FIRST, save: str | None = None) -> Stage:
+def ingest_records(ledger: Ledger, lines: DataFrame, *, min_text_length: int = MIN_TEXT_STRIP_FIRST, shelf: Shelf | None = None) -> Stage:
     """Raw lines (line_number, raw) -> cleaned records; each line is a unit keyed by its raw text's hash.
 
     A filtered record succeeds with 0 rows out; a malformed line, a text of a wrong type or
     an injected fault fails with its error as data, and the others go on. The first of
-    equal lines is the unit. With ``save`` the output is written there before any success
-    is recorded.
+    equal lines is the unit. No success is recorded before its record is on the shelf.
     """
-    parsed = parse_lines(lines).withColumns({"stage": F.lit(INGEST), "input_hash": X.content_hash(F.col("raw"))})
-    units = dedup_first(_to_run(parsed, ledger), order_col="line_number", text_col="raw")
-    units = staged(faults.with_faults(units, INGEST, order_col="line_number"), "units")
-    _open(units.withColumn("n", F.lit(1)), ledger, "n")
-    kind, said = F.coalesce("fault_type", "error_type"), F.coalesce("fault_message", "error_message")
-    title, text = (X.clean_strip_first(F.coalesce(F.col(f"data.{c}"), F.lit(""))) for c in ("title", "text"))
-    judged = units.withColumns({"error_type": kind, "error_message": said, "title": F.when(F.col("data.title").isNotNull(), title), "text": text})
-    judged = staged(judged.withColumn("kept", F.col("error_type").isNull() & F.col("data.rating").isNotNull() & (F.length("text") >= min_text_length)), "judged")
+    shelf = shelf or Shelf(ledger.spark)
+
+    def claimed() -> DataFrame:
+        parsed = parse_lines(lines).withColumns({"stage": F.lit(INGEST), "input_hash": X.content_hash(F.col("raw"))})
+        return faults.with_faults(dedup_first(_to_run(parsed, ledger), order_col="line_number", text_col="raw"), INGEST, order_col="line_number")
+
+    units = shelf.table("ingest-units", claimed)
+    ledger.begin(units.select(*KEY, F.lit(1).alias("rows_in")))
+    shelf.passed("ingest-running")
+
+    def judged() -> DataFrame:
+        kind, said = F.coalesce("fault_type", "error_type"), F.coalesce("fault_message", "error_message")
+        title, text = (X.clean_strip_first(F.coalesce(F.col(f"data.{c}"), F.lit(""))) for c in ("title", "text"))
+        rows = units.withColumns({"error_type": kind, "error_message": said, "title": F.when(F.col("data.title").isNotNull(), title), "text": text})
+        return rows.withColumn("kept", F.col("error_type").isNull() & F.col("data.rating").isNotNull() & (F.length("text") >= min_text_length))
+
+    done = shelf.table("ingest", judged)
     fields = [F.col(f"data.{c}").alias(c) for c in ("rating", "asin", "parent_asin", "helpful_vote", "timestamp")]
-    output = judged.filter("kept").select("line_number", "raw", "title", "text", *fields, "variant")
-    if save:
-        output.withColumn("variant", F.to_json("variant")).write.mode("append").parquet(save)
+    output = done.filter("kept").select("line_number", "raw", "title", "text", *fields, "variant")
     failed = F.col("error_type").isNotNull()
-    outcomes = judged.select(*KEY, F.when(failed, "failed").otherwise("succeeded").alias("to_status"), "error_type", "error_message", F.when(~failed, F.col("kept").cast("int")).alias("rows_out"))
+    outcomes = done.select(*KEY, F.when(failed, "failed").otherwise("succeeded").alias("to_status"), "error_type", "error_message", F.when(~failed, F.col("kept").cast("int")).alias("rows_out"))
     ledger.append(outcomes)
-    return Stage(output, outcomes)
-
-
-def embed_stage(ledger: Ledger, records: DataFrame, embedder: Embedder, *, size: int = 32, save: str | None = None) -> Stage:
-    """Cleaned records -> embedded chunks in batches, each a unit keyed by its batch hash; a batch fails as a whole."""
-    fault = faults.take(EMBED)
-    rows, units = embed_batches(records, embedder, size=size)
-    units = units.withColumns({"stage": F.lit(EMBED), "input_hash": F.col("batch_hash")})
-    if fault:
-        hit = F.col("batch_id") < fault[1]
-        units = units.withColumns({"error_type": F.when(hit, faults.FAULTS[fault[0]].__name__).otherwise(F.col("error_type")), "error_message": F.when(hit, faults.message(EMBED, fault[0])).otherwise(F.col("error_message"))})
-    units = staged(_to_run(units, ledger), "units")
-    _open(units, ledger, "rows_in")
-    good = units.filter("error_type is null").select("batch_id")
-    output = rows.join(good, "batch_id", "left_semi")
-    metadata = F.to_json(F.struct(*[c for c in ("title", "rating", "asin", "parent_asin", "helpful_vote", "timestamp") if c in rows.columns]))
-    output = output.select("line_number", X.content_hash(F.col("text")).alias("id"), "text", "embedding", metadata.alias("metadata"))
-    if save:
-        output.write.mode("append").parquet(save)
-    outcomes = units.select(*KEY, F.when(F.col("error_type").isNull(), "succeeded").otherwise("failed").alias("to_status"), "error_type", "error_message", F.when(F.col("error_type").isNull(), F.col("rows_in").cast("int")).alias("rows_out"))
+    shelf.passed("ingest-recorded")
+    return Stage(output, outcomes, shelf)
+
+
+def embed_stage(ledger: Ledger, records: DataFrame, embedder: Embedder, *, size: int = BATCH, shelf: Shelf | None = None) -> Stage:
+    """Cleaned records -> embedded chunks in batches, each a unit keyed by its batch hash; a batch fails as a whole.
+
+    Batches that the ledger has done never reach the encoder, the others once; what it gave is on
+    the shelf before any success is recorded.
+    """
+    shelf = shelf or Shelf(ledger.spark)
+
+    def claimed() -> DataFrame:
+        numbered = staged(batched(records, order_col="line_number", size=size), "batches")
+        units = batch_hashes(numbered).withColumnRenamed("batch_hash", "input_hash").withColumn("stage", F.lit(EMBED))
+        fault = faults.take(EMBED)
+        hit = F.col("batch_id") < (fault[1] if fault else 0)
+        kind, said = (faults.FAULTS[fault[0]].__name__, faults.message(EMBED, fault[0])) if fault else ("", "")
+        return numbered.join(_to_run(units, ledger), "batch_id").withColumns({"fault_type": F.when(hit, F.lit(kind)), "fault_message": F.when(hit, F.lit(said))})
+
+    units = shelf.table("embed-units", claimed)
+    ledger.begin(units.select(*KEY, "rows_in").dropDuplicates(KEY))
+    shelf.passed("embed-running")
+
+    def encoded() -> DataFrame:
+        rows = encode(units.filter("fault_type is null"), embedder)
+        return rows.unionByName(units.filter("fault_type is not null").withColumnsRenamed({"fault_type": "error_type", "fault_message": "error_message"}), allowMissingColumns=True)
+
+    done = shelf.table("embed", encoded)
+    metadata = F.to_json(F.struct(*[c for c in ("title", "rating", "asin", "parent_asin", "helpful_vote", "timestamp") if c in done.columns]))
+    output = done.filter("error_type is null").select("line_number", X.content_hash(F.col("text")).alias("id"), "text", "embedding", metadata.alias("metadata"))
+    ended = done.groupBy(*KEY).agg(F.max("error_type").alias("error_type"), F.max("error_message").alias("error_message"), F.max("rows_in").alias("rows_in"))
+    outcomes = ended.select(*KEY, F.when(F.col("error_type").isNull(), "succeeded").otherwise("failed").alias("to_status"), "error_type", "error_message", F.when(F.col("error_type").isNull(), F.col("rows_in").cast("int")).alias("rows_out"))
     ledger.append(outcomes)
-    return Stage(output, outcomes)
+    shelf.passed("embed-recorded")
+    return Stage(output, outcomes, shelf)
 
 
 def load_stage(store: ParquetStore, chunks: DataFrame) -> int:

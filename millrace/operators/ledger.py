@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from millrace.schemas import TRANSITION
 from millrace.sources import sinks
-from millrace.staging import staged
+from millrace.staging import drop_staged, staged
 
 #: From each status, what may follow.
 TRANSITIONS: dict[str, tuple[str, ...]] = {
@@ -117,6 +117,7 @@ class Ledger:
     def __init__(self, spark: SparkSession, path: str, *, snapshot_every: int = 64):
         self.spark, self.path, self.snapshot_every = spark, path.rstrip("/"), snapshot_every
         self._seq: int | None = None
+        self._judged: list[DataFrame] = []
 
     def __enter__(self) -> Ledger:
         return self
@@ -126,6 +127,8 @@ class Ledger:
 
     def close(self) -> None:
         self._seq = None
+        drop_staged(*self._judged)
+        self._judged = []
 
     def _snapshot(self) -> int:
         """The last transition in the newest whole snapshot; 0 without one."""
@@ -168,7 +171,7 @@ class Ledger:
         return self._seq
 
     def append(self, requests: DataFrame) -> DataFrame:
-        """Append what is legal now; return the requests that aren't (with ``reason``).
+        """Append what is legal now; return the requests that aren't (with ``reason``), readable until the next append.
 
         ``requests``: ``stage, input_hash, to_status`` and any of error_type, error_message,
         rows_in, rows_out, not_before. One request per key and call; ``pending`` for a key
@@ -181,17 +184,38 @@ class Ledger:
         opens = F.col("status").isNull() & (F.col("to_status") == "pending")
         ok = opens | F.coalesce(legal(F.col("status"), F.col("to_status")), F.lit(False))
         seq, now = self._next_seq(), datetime.now(UTC)
+        drop_staged(*self._judged)
         judged = staged(joined.withColumn("__ok", ok), "judged")
+        self._judged = [judged]
         rows = judged.filter("__ok").select(
             *KEY, F.lit(seq).cast("long").alias("seq"), F.col("status").alias("from_status"), "to_status", (F.coalesce("attempt_count", F.lit(0)) + (F.col("to_status") == "running").cast("int")).alias("attempt"),
             "error_type", "error_message", "rows_in", "rows_out", F.lit(now).alias("ts"), "not_before", F.lit(self._snapshot()).cast("long").alias("after"),
         )
-        rows.write.mode("append").partitionBy("stage", "after").parquet(self.path)
-        if seq % self.snapshot_every == 0:
-            self.snapshot()
+        self._add(rows, seq, seq)
         refused = judged.filter(~F.col("__ok") & (F.col("to_status") != "pending")).withColumn("reason", F.when(F.col("status").isNull(), "unknown").otherwise("illegal"))
         return refused.drop("__ok")
 
+    def _add(self, rows: DataFrame, first: int, last: int) -> None:
+        rows.write.mode("append").partitionBy("stage", "after").parquet(self.path)
+        if last // self.snapshot_every > (first - 1) // self.snapshot_every:
+            self.snapshot()
+
+    def begin(self, units: DataFrame) -> None:
+        """Put units (``stage, input_hash, rows_in``, a row per key) down as running, in one append: the new ones as pending first, those that run or are done not at all."""
+        states = self.states().select(*KEY, "status", "attempt_count")
+        new, waits = F.col("status").isNull(), F.col("status").isin(*RUNNABLE)
+        first, then = self._next_seq(), self._next_seq()
+        step = lambda seq, before, to, attempt: F.struct(F.lit(seq).cast("long").alias("seq"), before.alias("from_status"), F.lit(to).alias("to_status"), attempt.alias("attempt"))
+        runs = lambda before, attempts: step(then, before, "running", attempts + 1)
+        opened = F.array(step(first, F.lit(None).cast("string"), "pending", F.lit(0)), runs(F.lit("pending"), F.lit(0)))
+        steps = F.when(new, opened).when(waits, F.array(runs(F.col("status"), F.col("attempt_count"))))
+        rows = units.join(states, KEY, "left").select(*KEY, F.inline(steps), F.col("rows_in").cast("int").alias("rows_in"))
+        none, now = (lambda kind: F.lit(None).cast(kind)), datetime.now(UTC)
+        self._add(rows.select(
+            *KEY, "seq", "from_status", "to_status", "attempt", none("string").alias("error_type"), none("string").alias("error_message"), F.when(F.col("to_status") == "pending", F.col("rows_in")).alias("rows_in"), none("int").alias("rows_out"),
+            F.lit(now).alias("ts"), none("timestamp").alias("not_before"), F.lit(self._snapshot()).cast("long").alias("after"),
+        ), first, then)
+
     def get_or_create(self, stage: str, input_hash: str, rows_in: int | None = None) -> dict:
         self.append(self.spark.createDataFrame([(stage, input_hash, "pending", rows_in)], "stage string, input_hash string, to_status string, rows_in int"))
         return self.get(stage, input_hash)

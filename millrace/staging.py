@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import contextlib
 import tempfile
+import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,11 +74,65 @@ def staged(df: DataFrame, name: str, rows: int | None = None, per_file: int = 10
         df.write.option("compression", "zstd").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.staged_at = path
+    if scopes := getattr(_open, "scopes", None):
+        scopes[-1].append(out)
     return out
 
 
+#: The scopes that a thread is in, the innermost last, each with the tables that were staged in it.
+_open = threading.local()
+
+
+@contextlib.contextmanager
+def scratch() -> Iterator[None]:
+    """Tables staged inside are removed at the end: for work whose result is written elsewhere by then."""
+    scopes = _open.__dict__.setdefault("scopes", [])
+    scopes.append([])
+    try:
+        yield
+    finally:
+        drop_staged(*scopes.pop())
+
+
 def drop_staged(*tables: DataFrame) -> None:
     """Remove staged tables that nothing reads any more, before the driver ends."""
     for df in tables:
-        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.staged_at)
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        remove(df.sparkSession, df.staged_at.rpartition("/")[0])
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """A folder, with all that is in it, and Hadoop's note to remove it when the driver ends."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(jpath, True)
+    fs.cancelDeleteOnExit(jpath)
+
+
+class Shelf:
+    """Tables of one piece of work by name: what is whole is read back, not made again.
+
+    With a path of its own it outlives the driver, and work that was cut short goes on after the
+    last table that it finished; without one it lies in the shared folder. ``on_step`` is told
+    of every step that is passed.
+    """
+
+    def __init__(self, spark: SparkSession, path: str | None = None, *, on_step: Callable[[str], None] | None = None):
+        self.spark, self.path, self.on_step = spark, path or fresh_dir(spark, "shelf"), on_step
+
+    def has(self, name: str) -> bool:
+        jpath = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}/_SUCCESS")
+        return jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(jpath)
+
+    def table(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        if not self.has(name):
+            with scratch(), staging(self.spark):
+                make().write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/{name}")
+        self.passed(name)
+        return self.spark.read.parquet(f"{self.path}/{name}")
+
+    def passed(self, step: str) -> None:
+        if self.on_step:
+            self.on_step(step)
+
+    def drop(self) -> None:
+        remove(self.spark, self.path)

@@ -18,7 +18,7 @@ from millrace.operators.ingest import EMBED, INGEST, STORE, embed_stage, ingest_
 from millrace.operators.ledger import TRANSITIONS, Ledger
 from millrace.operators.store import ParquetStore
 from millrace.operators.telemetry import Telemetry
-from millrace.staging import staged
+from millrace.staging import Shelf, scratch
 
 
 def stream_lines(spark: SparkSession, path: str, *, files_per_batch: int = 1) -> DataFrame:
@@ -33,27 +33,35 @@ def numbered(batch: DataFrame) -> DataFrame:
     return rows.select((F.col("n") + 1).alias("line_number"), "raw")
 
 
-def run_worker(spark: SparkSession, source: str, ledger: Ledger, store: ParquetStore, embedder: Embedder, *, checkpoint: str, telemetry: Telemetry | None = None, fail_every: int | None = None, fault: tuple[str, str] = (INGEST, "rate_limit"), trigger: dict | None = None) -> StreamingQuery:
+def run_worker(spark: SparkSession, source: str, ledger: Ledger, store: ParquetStore, embedder: Embedder, *, checkpoint: str, telemetry: Telemetry | None = None, fail_every: int | None = None, fault: tuple[str, str] = (INGEST, "rate_limit"), trigger: dict | None = None, on_step: Callable[[str], None] | None = None) -> StreamingQuery:
     """Read, ingest, embed and load each micro-batch; the stream's checkpoint is the resume offset.
 
-    Every ``fail_every``-th batch, the first included, has a fault armed. A batch that runs
-    again after a crash is harmless: the ledger passes over what is done and the store over
-    what it has.
+    Every ``fail_every``-th batch, the first included, has a fault armed when it first runs.
+
+    A batch may be cut short anywhere and runs again from the checkpoint. What its stages take
+    on and give lies beside the checkpoint, in ``<checkpoint>-stages/<batch>``, until the store
+    has it: the batch run again takes on the same lines, whatever the ledger says of them by
+    then, and the store passes over what it has. So no row is lost or stored twice, and lines
+    count as done only once their rows are on disk. ``on_step`` is told of each step passed.
     """
     measure = (telemetry or Telemetry()).setup()
 
     def work(batch: DataFrame, number: int) -> None:
-        if fail_every and number % fail_every == 0:
+        shelf = Shelf(spark, f"{checkpoint}-stages/{number:012d}", on_step=on_step)
+        if fail_every and number % fail_every == 0 and not shelf.has("ingest-units"):
             faults.arm(*fault)
-        with measure.stage_span(INGEST) as span:
-            ingested = ingest_records(ledger, numbered(batch))
-            records = staged(ingested.output, "records")
-            span.rows_out = records.count()
-        with measure.stage_span(EMBED) as span:
-            embedded = staged(embed_stage(ledger, records, embedder).output, "embedded")
-            span.rows_in, span.rows_out = records.count(), embedded.count()
-        with measure.stage_span(STORE) as span:
-            span.rows_out = load_stage(store, embedded)
+        with scratch():
+            with measure.stage_span(INGEST) as span:
+                records = ingest_records(ledger, numbered(batch), shelf=shelf).output
+                span.rows_out = records.count()
+            with measure.stage_span(EMBED) as span:
+                embedded = embed_stage(ledger, records, embedder, shelf=shelf).output
+                span.rows_in, span.rows_out = records.count(), embedded.count()
+            with measure.stage_span(STORE) as span:
+                span.rows_out = load_stage(store, embedded)
+        shelf.passed("stored")
+        ledger.close()
+        shelf.drop()
 
     stream = stream_lines(spark, source).writeStream.foreachBatch(work).option("checkpointLocation", checkpoint)
     return stream.trigger(**(trigger or {"availableNow": True})).start()
