@@ -1,7 +1,8 @@
 """N-gram Jaccard join: rare-first prefixes, length, positional and suffix filters, one verification per pair.
 
 Sets. Every text is read once; its distinct n-grams, as sorted 48-bit hashes, are written to the
-shared folder and all later steps read those. Documents of one set are one class from the start.
+shared folder and all later steps read those. Documents of one set are one class from the start:
+their sets agree in 128 bits of hash and in size. A class goes by the number of its first row.
 
 Order of n-grams. Prefix filtering is lossless under any one order of all n-grams. Rare comes
 first by a frequency sketch: every class's n-grams are counted in buckets of the hash space,
@@ -9,14 +10,20 @@ whose number follows the number of n-grams (at most 2**24), and n-grams are orde
 bucket's count on a logarithmic scale, then by hash. Frequent n-grams so come last at any size.
 
 Buckets. Prefix n-grams meet in buckets. The member whose n-gram stands first in its prefix (of
-a group of near copies, the one with the fewest n-grams of its own) is the bucket's pivot. A
-bucket that the sketch says is large is dealt into parts, whose pivots then meet.
+a group of near copies, the one with the fewest n-grams of its own) is the bucket's pivot. Where
+the sketch says that a bucket may be large its postings are counted, and if it is so it is dealt
+into parts, whose pivots then meet.
 
 Pairs. Members are paired with their pivots, verified, and joined into components; then members
 of a bucket whose components still differ are paired, without the pairs that were verified. So
 a group of n near copies costs about n pairs, no pair is verified twice and no link between
 different components is lost. Components come without the links inside them; ``ngram_links``
 verifies every pair that passes the filters and gives all links, at a cost that grows with them.
+
+Members of a bucket meet by a join on bucket, band and part, not all with all. The n-gram must
+stand early in the smaller set of a pair, earlier than in the larger: only such postings are one
+side of the join, so a frequent n-gram late in everyone's prefix makes no pairs at all. Bands are
+of sizes, as wide as linked sets differ; the other side is dealt into parts by its bucket's count.
 """
 
 from __future__ import annotations
@@ -44,13 +51,14 @@ STEPS = 8
 WIDE = 256
 #: Pairs that a task verifies, about.
 PAIRS = 2048
-#: Postings of a part of a large bucket.
-PART = 50_000
+#: Postings of a part of a large bucket, and members of a part of one in a join with itself.
+PART, MEET = 50_000, 2_000
 #: Buckets in a row of the sketch while it is added up.
 _CHUNK = 1 << 16
 #: N-grams that a task orders or counts at once.
 _AT_ONCE = 1 << 20
 _SIG = [f"p{j}" for j in range(8)]
+_OTHER = np.uint64(0xD6E8FEB86659FD93)
 
 
 def _sets(data: np.ndarray, offs: np.ndarray, k: int) -> Iterator[np.ndarray]:
@@ -97,15 +105,16 @@ def _describe(k: int):
             del sets
             doc = np.repeat(np.arange(len(n)), n)
             mixed = K.mix(grams)
-            node = np.zeros(len(n), np.uint64)
+            whole = np.zeros((2, len(n)), np.uint64)
             full = np.flatnonzero(n)
             if len(full):
                 first = (np.cumsum(n) - n)[full]
-                node[full] = np.bitwise_xor.reduceat(mixed, first) ^ K.mix(np.add.reduceat(grams, first) + n[full].astype(np.uint64))
+                whole[0, full] = np.bitwise_xor.reduceat(mixed, first) ^ K.mix(np.add.reduceat(grams, first) + n[full].astype(np.uint64))
+                whole[1, full] = np.add.reduceat(K.mix(mixed ^ _OTHER), first)
             parity = np.bincount(doc * 512 + (mixed & np.uint64(511)).astype(np.int64), minlength=512 * len(n)).astype(np.uint8) & 1
             sig = np.packbits(parity.reshape(-1, 512), axis=1, bitorder="little").view(np.int64)
-            cols = [batch.column("id"), batch.column("key"), pa.array(n), pa.array(node.view(np.int64)), _packed(grams, np.cumsum(n))]
-            yield pa.RecordBatch.from_arrays([*cols, *(pa.array(np.ascontiguousarray(sig[:, j])) for j in range(8))], ["id", "key", "n", "node", "packed", *_SIG])
+            cols = [batch.column("id"), batch.column("key"), pa.array(n), *(pa.array(w.view(np.int64)) for w in whole), _packed(grams, np.cumsum(n))]
+            yield pa.RecordBatch.from_arrays([*cols, *(pa.array(np.ascontiguousarray(sig[:, j])) for j in range(8))], ["id", "key", "n", "h1", "h2", "packed", *_SIG])
 
     return run
 
@@ -125,6 +134,7 @@ def _counted(buckets: int):
 
     ``counts`` has a byte a bucket, compressed; what is above 255 stands in ``more`` as (bucket, excess).
     """
+    chunk = min(_CHUNK, buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, held, waiting = np.zeros(buckets, np.uint32), [], 0
@@ -136,11 +146,11 @@ def _counted(buckets: int):
                 held, waiting = [], 0
         if held:
             total += np.bincount(np.concatenate(held), minlength=buckets).astype(np.uint32)
-        used = np.flatnonzero(total.reshape(-1, _CHUNK).any(axis=1))
+        used = np.flatnonzero(total.reshape(-1, chunk).any(axis=1))
         for k in range(0, len(used), 16):
             some, counts, more = used[k : k + 16], [], []
             for c in some.tolist():
-                x = total[c * _CHUNK : (c + 1) * _CHUNK]
+                x = total[c * chunk : (c + 1) * chunk]
                 at = np.flatnonzero(x > 255).astype(np.uint32)
                 counts.append(pa.compress(np.minimum(x, 255).astype(np.uint8).tobytes(), "zstd", asbytes=True))
                 more.append(np.concatenate([at, x[at] - np.uint32(255)]).tobytes())
@@ -149,25 +159,28 @@ def _counted(buckets: int):
     return run
 
 
-def _levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _levels(size: int):
     """Counts of all tasks in order of chunk -> each chunk's sums on the logarithmic scale, a byte a bucket."""
 
     def level(chunk: int, total: np.ndarray) -> pa.RecordBatch:
         steps = np.minimum(255, np.floor(STEPS * np.log2(total + 1))).astype(np.uint8)
         return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([steps.tobytes()], pa.binary())], ["chunk", "levels"])
 
-    now, total = None, None
-    for batch in batches:
-        for chunk, counts, more in zip(batch.column("chunk").to_pylist(), batch.column("counts"), batch.column("more"), strict=True):
-            if chunk != now:
-                if now is not None:
-                    yield level(now, total)
-                now, total = chunk, np.zeros(_CHUNK, np.uint64)
-            total += np.frombuffer(pa.decompress(counts.as_buffer(), _CHUNK, "zstd"), np.uint8)
-            at, excess = np.frombuffer(more.as_buffer(), np.uint32).reshape(2, -1)
-            total[at] += excess
-    if now is not None:
-        yield level(now, total)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, None
+        for batch in batches:
+            for chunk, counts, more in zip(batch.column("chunk").to_pylist(), batch.column("counts"), batch.column("more"), strict=True):
+                if chunk != now:
+                    if now is not None:
+                        yield level(now, total)
+                    now, total = chunk, np.zeros(size, np.uint64)
+                total += np.frombuffer(pa.decompress(counts.as_buffer(), size, "zstd"), np.uint8)
+                at, excess = np.frombuffer(more.as_buffer(), np.uint32).reshape(2, -1)
+                total[at] += excess
+        if now is not None:
+            yield level(now, total)
+
+    return run
 
 
 def frequency_sketch(sets: DataFrame) -> np.ndarray:
@@ -177,17 +190,18 @@ def frequency_sketch(sets: DataFrame) -> np.ndarray:
     """
     n = sets.agg(F.sum("n")).first()[0] or 0
     buckets = 1 << min(MOST_BUCKETS, max(LEAST_BUCKETS, (n // PER_BUCKET).bit_length()))
+    chunk = min(_CHUNK, buckets)
     parts = sets.mapInArrow(K.released(_counted(buckets)), "chunk long, counts binary, more binary")
-    found = staged(parts.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(K.released(_levels), "chunk long, levels binary"), "sketch", rows=buckets // _CHUNK, per_file=1)
+    found = staged(parts.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(K.released(_levels(chunk)), "chunk long, levels binary"), "sketch", rows=buckets // chunk, per_file=1)
     out = np.zeros(buckets, np.uint8)
-    for chunk, levels in found.collect():
-        out[chunk * _CHUNK : (chunk + 1) * _CHUNK] = np.frombuffer(levels, np.uint8)
+    for at, levels in found.collect():
+        out[at * chunk : (at + 1) * chunk] = np.frombuffer(levels, np.uint8)
     return out
 
 
 def _prefixes(percent: int, sketch: np.ndarray):
-    """Each class's set -> the n-grams of its prefix, rare first, with their positions and the part of a large bucket that they go to."""
-    parts = np.maximum(1, np.exp2(np.arange(256) / STEPS) / PART).astype(np.int64)
+    """Each class's set -> the n-grams of its prefix, rare first, with their positions and whether the sketch has them in large buckets."""
+    much = _large()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _gathered(batches):
@@ -200,15 +214,36 @@ def _prefixes(percent: int, sketch: np.ndarray):
             pos = np.arange(len(g)) - (np.cumsum(n) - n)[doc]
             at = np.flatnonzero(pos < (n - (percent * n + 99) // 100 + 1)[doc])
             doc, pos, g = doc[at], pos[at], g[order[at]]
-            split = parts[sketch[g & np.uint64(len(sketch) - 1)]]
-            part = K.mix(node.view(np.uint64))[doc] % split.astype(np.uint64)
-            part[split > 1] += np.uint64(1)  # 0: the bucket is whole
-            cols = [(g | part << np.uint64(BITS)).view(np.int64), pos << 32 | n[doc], node[doc]]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["bucket", "place", "node"])
+            cols = [g.view(np.int64), pos << 32 | n[doc], node[doc], sketch[g & np.uint64(len(sketch) - 1)] >= much]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["bucket", "place", "node", "much"])
 
     return run
 
 
+def _large() -> int:
+    """The sketch's level from which a bucket may hold more than PART n-grams."""
+    return int(STEPS * np.log2(PART + 1))
+
+
+def _dealt(postings: DataFrame, sketch: np.ndarray) -> DataFrame:
+    """``bucket, place, node``, the part (0: the bucket is whole) above the n-gram's bits.
+
+    The sketch's buckets hold other n-grams too, so those that it says are large are counted;
+    at most one in PART postings' n-grams is.
+    """
+    if not (sketch >= _large()).any():
+        return postings.drop("much")
+    postings = staged(postings, "prefixes")
+    large = postings.filter("much").groupBy("bucket").agg(F.count("*").alias("c")).filter(F.col("c") > PART)
+    large = staged(large.select("bucket", F.least(F.ceil(F.col("c") / PART), F.lit((1 << 64 - BITS - 1) - 2)).alias("parts")), "large")
+    held = large.count()
+    if not held:
+        return postings.drop("much")
+    dealt = postings.join(F.broadcast(large) if held <= BROADCAST_ROWS else large, "bucket", "left")
+    part = F.when(F.col("parts").isNull(), F.lit(0).cast("long")).otherwise(F.pmod(F.xxhash64("node"), "parts") + 1)
+    return dealt.select(F.col("bucket").bitwiseOR(F.shiftleft(part, BITS)).alias("bucket"), "place", "node")
+
+
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Postings in order of (bucket, place) -> those of buckets with more than one, each with its bucket's first.
 
@@ -331,6 +366,24 @@ def _in_place(nx: Column, i: Column, ny: Column, j: Column, percent: int) -> Col
     )
 
 
+def _early(percent: int) -> Column:
+    """That the n-gram stands early enough in its set (pos, n) for a partner that is no smaller."""
+    return F.col("pos") <= F.col("n") - F.floor((2 * percent * F.col("n") + 99 + percent) / (100 + percent))
+
+
+def _paired(held: DataFrame, counts: DataFrame, percent: int, apart: Column) -> DataFrame:
+    """Pairs ``x, y`` of a bucket's members ``m`` (rows g, pos, n, m) of which x, the smaller by (n, node), has the n-gram early.
+
+    ``counts``: (g, c) with each bucket's members. ``apart``: what must hold of ``s.m`` and ``l.m`` besides.
+    """
+    wide = np.log(max(100 / percent, 1.001) * 1.0001)
+    rows = held.join(counts, "g").withColumns({"band": F.floor(F.log(F.col("n").cast("double")) / float(wide)), "parts": F.ceil(F.col("c") / MEET)})
+    small = rows.filter(_early(percent)).withColumn("band", F.explode(F.array("band", F.col("band") + 1))).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    large = rows.withColumn("part", F.pmod(F.xxhash64("m.node"), "parts"))
+    met = small.alias("s").join(large.alias("l"), ["g", "band", "part"]).filter(F.struct("s.m.n", "s.m.node") < F.struct("l.m.n", "l.m.node")).filter(apart)
+    return met.select(F.col("s.m").alias("x"), F.col("l.m").alias("y"))
+
+
 def _apart(x: str, y: str) -> Column:
     """Suffix filter: of 512 parts of the hash space, those whose sets differ in parity are no more than the sets' Hamming distance."""
     return sum((F.bit_count(F.col(f"{x}.{s}").bitwiseXOR(F.col(f"{y}.{s}"))) for s in _SIG), F.lit(0))
@@ -365,16 +418,19 @@ def ngram_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 def _join(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, links_only: bool) -> DataFrame | tuple[DataFrame, DataFrame]:
     base = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
     kind = base.schema["id"].dataType.simpleString()
-    described = base.mapInArrow(K.released(_describe(words)), f"id {kind}, key long, n long, node long, packed binary, " + ", ".join(f"{s} long" for s in _SIG))
+    described = base.mapInArrow(K.released(_describe(words)), f"id {kind}, key long, n long, h1 long, h2 long, packed binary, " + ", ".join(f"{s} long" for s in _SIG))
     described = staged(described.withColumn("row", F.monotonically_increasing_id()), "shingles")
-    filled = described.filter("n > 0")
-    firsts = filled.groupBy("node").agg(F.min("row").alias("first_row"), F.count("*").alias("c")).filter("c > 1").drop("c")
-    copies = staged(filled.select("node", "row").join(firsts, "node").filter("row <> first_row").select("row"), "copies", rows=filled.count())
-    classes = filled.join(F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies, "row", "left_anti")
+    full = described.filter("n > 0")
+    alike = ["h1", "h2", "n"]
+    firsts = full.groupBy(alike).agg(F.min("row").alias("first_row"), F.count("*").alias("c")).filter("c > 1").drop("c")
+    copies = staged(full.select(*alike, "row").join(firsts, alike).filter("row <> first_row").select("row", "first_row"), "copies", rows=full.count())
+    known = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS // 2 else copies
+    classes = full.join(known, "row", "left_anti").withColumnRenamed("row", "node").drop("h1", "h2")
+    filled = full.select("id", "key", "n", "row").join(known, "row", "left").select("id", "key", "n", F.coalesce("first_row", "row").alias("node"))
 
     sketch = frequency_sketch(classes.select("n", "packed"))
-    postings = classes.select("n", "node", "packed").mapInArrow(K.released(_prefixes(percent, sketch)), "bucket long, place long, node long")
-    postings = staged(postings.repartition("bucket").sortWithinPartitions("bucket", "place", "node").mapInArrow(K.released(_met), _MET), "postings")
+    postings = classes.select("n", "node", "packed").mapInArrow(K.released(_prefixes(percent, sketch)), "bucket long, place long, node long, much boolean")
+    postings = staged(_dealt(postings, sketch).repartition("bucket").sortWithinPartitions("bucket", "place", "node").mapInArrow(K.released(_met), _MET), "postings")
     crowd = postings.count()
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -417,14 +473,15 @@ def _join(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int,
         return rows.join(classes.select("node", *_SIG), "node").withColumn("m", F.struct("pos", "node", "n", *_SIG))
 
     if links_only:
-        held = staged(signed(postings), "postings").select("g", "m")
-        met = held.alias("i").join(held.alias("k"), "g").filter("i.m.node < k.m.node").select(F.col("i.m").alias("x"), F.col("k.m").alias("y"))
-        pairs = verified(staged(candidates(met, True), "pairs"))
+        counts = staged(postings.groupBy("g").agg(F.count("*").alias("c"), F.max(_early(percent)).alias("early")).filter("early and c > 1").select("g", "c"), "buckets")
+        held = staged(signed(postings.join(counts.select("g"), "g")).select("g", "pos", "n", "m"), "postings")
+        pairs = verified(staged(candidates(_paired(held, counts, percent, F.lit(True)), True), "pairs"))
         sizes = filled.groupBy("node").agg(F.count("*").alias("c"))
         ends = pairs.union(pairs.select("b", "a")).toDF("node", "other")
         degrees = ends.join(sizes.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.sum("c").alias("links"))
         counted = sizes.join(degrees, "node", "left").select("node", (F.col("c") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-        return described.join(counted, "node", "left").select("id", "key", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("node")).alias("class_id"), F.when(F.col("n") > 0, F.col("n_links")).otherwise(0).alias("n_links")), pairs
+        rows = filled.join(counted, "node").select("id", "key", F.col("n").alias("n_shingles"), F.col("node").alias("class_id"), "n_links")
+        return rows.unionByName(described.filter("n = 0").select("id", "key", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("class_id"), F.lit(0).cast("long").alias("n_links"))), pairs
 
     # members with their pivots, and the pivots of a large bucket's parts with the first of them
     heads = postings.filter("part > 0 and node = p_node").select("g", member.alias("x"))
@@ -437,9 +494,10 @@ def _join(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int,
     found = components(links, links.count()).withColumnRenamed("component", "comp")
     rows = staged(postings.filter("part > 0 or node <> p_node").select("g", "pos", "node", "n").join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "labelled", rows=crowd)
     drop_staged(postings)
-    mixed = rows.groupBy("g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("g")
-    held = staged(signed(rows.join(mixed, "g")).select("g", "comp", "m"), "postings", rows=crowd)
-    met = held.alias("i").join(held.alias("k"), "g").filter("i.comp < k.comp").select(F.col("i.m").alias("x"), F.col("k.m").alias("y"))
+    mixed = rows.groupBy("g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("c"), F.max(_early(percent)).alias("early")).filter("lo <> hi and early").select("g", "c")
+    mixed = staged(mixed, "buckets", rows=crowd)
+    held = staged(signed(rows.join(mixed.select("g"), "g")).select("g", "pos", "n", "comp", "m"), "postings", rows=crowd)
+    met = _paired(held, mixed, percent, F.col("s.comp") != F.col("l.comp"))
     new = verified(staged(candidates(met, True).join(tried.select("a", "b"), ["a", "b"], "left_anti"), "pairs"))
 
     found = components(links.union(new), links.count() + new.count())

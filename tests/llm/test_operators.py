@@ -515,6 +515,46 @@ def test_large_buckets_are_dealt(spark, monkeypatch):
     assert got == {i: 0 if i < 100 else i for i, _ in rows}
 
 
+def test_coarse_sketch_and_small_parts(docs, monkeypatch):
+    """With a sketch so coarse that all its buckets look large, and parts and meetings of two, results are those of brute force."""
+    from millrace.llm import ngram_join as J
+
+    for name, v in (("MOST_BUCKETS", 8), ("LEAST_BUCKETS", 8), ("PART", 2), ("MEET", 2), ("BROADCAST_ROWS", 0)):
+        monkeypatch.setattr(J, name, v)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    sets = []
+    for _, t in rows:
+        w = WORD.findall(lower(t or ""))
+        sets.append(frozenset(tuple(w[i : i + 3]) for i in range(len(w) - 2)) if len(w) >= 3 else frozenset([tuple(w)] if w else []))
+    linked = lambda x, y: bool(x) and bool(y) and 100 * len(x & y) >= 90 * len(x | y)
+    expected = Counter((i, len(x), sum(linked(x, y) for y in sets) - bool(x)) for (i, _), x in zip(rows, sets, strict=True))
+    assert Counter((r.id, r.n_shingles, r.n_links) for r in ngram_links(docs, words=3, percent=90)[0].collect()) == expected
+    plain = Counter(tuple(r) for r in ngram_components(docs, words=3, percent=90).select("id", "component_id").collect())
+    monkeypatch.undo()
+    assert plain == Counter(tuple(r) for r in ngram_components(docs, words=3, percent=90).select("id", "component_id").collect())
+
+
+def test_frequent_ngrams_that_link_nothing(spark):
+    """Texts that all share a passage and nothing else: the pairs that meet don't grow with their square."""
+    from millrace.llm import ngram_join as J
+
+    shared = " ".join(f"common{i}" for i in range(40))
+    rows = [(i, " ".join(f"own{i}x{j}" for j in range(9)) + " " + shared) for i in range(3000)]
+    seen, paired = [], J._paired
+
+    def counted(*args):
+        met = paired(*args)
+        seen.append(met.count())
+        return met
+
+    J._paired = counted
+    try:
+        found = ngram_components(spark.createDataFrame(rows, "doc_id long, text string"), words=3, percent=80).collect()
+    finally:
+        J._paired = paired
+    assert all(r.component_id == r.id for r in found) and sum(seen) <= 3000
+
+
 def test_texts_of_tens_of_megabytes(spark):
     """Long texts go whole through the text operators; every operator's counts are those of plain Python."""
     rng = random.Random(6)
