@@ -371,15 +371,21 @@ def _early(percent: int) -> Column:
     return F.col("pos") <= F.col("n") - F.floor((2 * percent * F.col("n") + 99 + percent) / (100 + percent))
 
 
-def _paired(held: DataFrame, counts: DataFrame, percent: int, apart: Column) -> DataFrame:
-    """Pairs ``x, y`` of a bucket's members ``m`` (rows g, pos, n, m) of which x, the smaller by (n, node), has the n-gram early.
+def _paired(held: DataFrame, percent: int, apart: Column) -> DataFrame:
+    """Pairs ``x, y`` of a bucket's members ``m`` (rows g, c, pos, n, m) of which x, the smaller by (n, node), has the n-gram early.
 
-    ``counts``: (g, c) with each bucket's members. ``apart``: what must hold of ``s.m`` and ``l.m`` besides.
+    ``c`` is the number of the bucket's members. ``apart``: what must hold of ``s.m`` and ``l.m``
+    besides. A band is four times as wide as linked sets differ in size, so few postings have
+    partners in the next one as well.
     """
-    wide = np.log(max(100 / percent, 1.001) * 1.0001)
-    rows = held.join(counts, "g").withColumns({"band": F.floor(F.log(F.col("n").cast("double")) / float(wide)), "parts": F.ceil(F.col("c") / MEET)})
-    small = rows.filter(_early(percent)).withColumn("band", F.explode(F.array("band", F.col("band") + 1))).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    large = rows.withColumn("part", F.pmod(F.xxhash64("m.node"), "parts"))
+    wide = float(4 * np.log(max(100 / percent, 1.001)))
+    band = lambda n: F.floor(F.log(n.cast("double")) / wide + 1e-9)
+    # what follows the n-gram bounds the larger set's size, and so does the smaller set
+    most = F.least(F.floor(F.col("n") * 100 / percent + 1e-6), F.floor((F.col("n") - F.col("pos")) * (100 + percent) / percent + 1e-6) - F.col("n"))
+    rows = held.withColumn("parts", F.ceil(F.col("c") / MEET))
+    small = rows.filter(_early(percent)).withColumn("band", F.explode(F.array_distinct(F.array(band(F.col("n")), band(F.greatest("n", most))))))
+    small = small.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).select("g", "band", "part", "m")
+    large = rows.select("g", band(F.col("n")).alias("band"), F.pmod(F.xxhash64("m.node"), "parts").alias("part"), "m")
     met = small.alias("s").join(large.alias("l"), ["g", "band", "part"]).filter(F.struct("s.m.n", "s.m.node") < F.struct("l.m.n", "l.m.node")).filter(apart)
     return met.select(F.col("s.m").alias("x"), F.col("l.m").alias("y"))
 
@@ -474,8 +480,8 @@ def _join(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int,
 
     if links_only:
         counts = staged(postings.groupBy("g").agg(F.count("*").alias("c"), F.max(_early(percent)).alias("early")).filter("early and c > 1").select("g", "c"), "buckets")
-        held = staged(signed(postings.join(counts.select("g"), "g")).select("g", "pos", "n", "m"), "postings")
-        pairs = verified(staged(candidates(_paired(held, counts, percent, F.lit(True)), True), "pairs"))
+        held = staged(signed(postings.join(counts, "g")).select("g", "c", "pos", "n", "m"), "postings")
+        pairs = verified(staged(candidates(_paired(held, percent, F.lit(True)), True), "pairs"))
         sizes = filled.groupBy("node").agg(F.count("*").alias("c"))
         ends = pairs.union(pairs.select("b", "a")).toDF("node", "other")
         degrees = ends.join(sizes.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.sum("c").alias("links"))
@@ -495,9 +501,8 @@ def _join(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int,
     rows = staged(postings.filter("part > 0 or node <> p_node").select("g", "pos", "node", "n").join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "labelled", rows=crowd)
     drop_staged(postings)
     mixed = rows.groupBy("g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("c"), F.max(_early(percent)).alias("early")).filter("lo <> hi and early").select("g", "c")
-    mixed = staged(mixed, "buckets", rows=crowd)
-    held = staged(signed(rows.join(mixed.select("g"), "g")).select("g", "pos", "n", "comp", "m"), "postings", rows=crowd)
-    met = _paired(held, mixed, percent, F.col("s.comp") != F.col("l.comp"))
+    held = staged(signed(rows.join(mixed, "g")).withColumn("m", F.struct("m.*", "comp")).select("g", "c", "pos", "n", "m"), "postings", rows=crowd)
+    met = _paired(held, percent, F.col("s.m.comp") != F.col("l.m.comp"))
     new = verified(staged(candidates(met, True).join(tried.select("a", "b"), ["a", "b"], "left_anti"), "pairs"))
 
     found = components(links.union(new), links.count() + new.count())
