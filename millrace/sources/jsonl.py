@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from millrace import schemas
 from millrace.functions.text import trim
+from millrace.sources import remote
 
 
 class MalformedRecord(ValueError):
@@ -23,8 +24,11 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
     Files follow each other by path, lines by place: each split's lines are counted first, and
     a line's number is its place in its split and the lines of all splits before. No line is
-    moved, and both passes see the same splits as long as the files don't change.
+    moved, and both passes see the same splits as long as the files don't change. A path that
+    begins with http:// or https:// is read from there (see ``sources.remote``).
     """
+    if remote.is_remote(path):
+        return remote.read_lines(spark, path)
     lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("place"))
     splits = lines.groupBy("file_path", "file_block_start").agg(F.count("*").alias("n"), F.min("place").alias("first"))
     before = F.sum("n").over(Window.orderBy("file_path", "file_block_start")) - F.col("n")
@@ -55,7 +59,8 @@ def read_reviews(spark: SparkSession, path: str, *, skip: int = 0, limit: int |
     ``strict`` gives the records before the first malformed line, or raises where that line is
     the first record left. Otherwise malformed lines stay as rows with ``error_type``.
     """
-    rows = parse_lines(read_lines(spark, path).filter(F.col("line_number") > skip))
+    lines = remote.first_lines(spark, path, skip=skip, limit=limit) if limit is not None and remote.is_remote(path) else read_lines(spark, path)
+    rows = parse_lines(lines.filter(F.col("line_number") > skip))
     if strict:
         bad = rows.filter(F.col("error_type") == "MalformedRecord").orderBy("line_number").select("line_number", "raw").first()
         if bad:

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from datetime import datetime, timedelta
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
 from millrace.functions import text as X
 from millrace.operators import faults
@@ -18,11 +18,14 @@ from millrace.operators.ingest import EMBED, INGEST, STORE, embed_stage, ingest_
 from millrace.operators.ledger import TRANSITIONS, Ledger
 from millrace.operators.store import ParquetStore
 from millrace.operators.telemetry import Telemetry
+from millrace.sources import remote
 from millrace.staging import Shelf, scratch
 
 
 def stream_lines(spark: SparkSession, path: str, *, files_per_batch: int = 1) -> DataFrame:
-    """``raw, file`` of each line of the files that arrive under a folder."""
+    """``raw, file`` of each line of the files that arrive under a folder, or are appended to a file on a web server."""
+    if remote.is_remote(path):
+        return remote.stream_lines(spark, path).drop("start")
     lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path)
     return lines.select(X.trim(F.col("value")).alias("raw"), F.col("_metadata.file_path").alias("file"))
 
@@ -72,24 +75,93 @@ def dedup_stream(stream: DataFrame, *, text_col: str = "text") -> DataFrame:
     return stream.withColumn("__h", X.content_hash(F.col(text_col))).dropDuplicates(["__h"]).drop("__h")
 
 
-def ledger_stream(events: DataFrame) -> DataFrame:
-    """``stage, input_hash, status, attempt_count, refused`` per key and micro-batch, from a stream of (stage, input_hash, seq, to_status)."""
+class _Folded(StatefulProcessor):
+    """The ledger's state of one key, and a timer for what it waits for."""
 
-    def fold(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        status, attempts, refused = state.get if state.exists else (None, 0, 0)
-        rows = pd.concat(list(parts)).sort_values("seq")
-        for to in rows["to_status"]:
-            if (status is None and to == "pending") or to in TRANSITIONS.get(status, ()):
-                status, attempts = to, attempts + (to == "running")
+    STATE = "status string, attempts long, refused long, timer long"
+
+    def __init__(self, orphan_after: float | None):
+        self.orphan_after = orphan_after
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.state = handle, handle.getValueState("job", self.STATE)
+
+    def _wait(self, was: int | None, until: datetime | None) -> int | None:
+        """One timer a key: the earlier one goes, the next is set if there is something to wait for."""
+        if was is not None:
+            self.handle.deleteTimer(was)
+        if until is None:
+            return None
+        at = int(until.timestamp() * 1000)
+        self.handle.registerTimer(at)
+        return at
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+        status, attempts, refused, timer = self.state.get() if self.state.exists() else (None, 0, 0, None)
+        until, moved = None, False
+        for r in sorted(rows, key=lambda r: (r.ts, r.seq)):
+            if (status is None and r.to_status == "pending") or r.to_status in TRANSITIONS.get(status, ()):
+                status, attempts, moved = r.to_status, attempts + (r.to_status == "running"), True
+                until = r.not_before if status == "retrying" else r.ts + timedelta(seconds=self.orphan_after) if status == "running" and self.orphan_after is not None else None
             else:
                 refused += 1
-        state.update((status, attempts, refused))
-        yield pd.DataFrame({"stage": [key[0]], "input_hash": [key[1]], "status": [status], "attempt_count": [attempts], "refused": [refused]})
+        if moved:
+            timer = self._wait(timer, until)
+        self.state.update((status, attempts, refused, timer))
+        yield Row(stage=key[0], input_hash=key[1], status=status, attempt_count=attempts, refused=refused, event="changed")
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        status, attempts, refused, timer = self.state.get()
+        if timer != expiredTimerInfo.getExpiryTimeInMs():
+            return
+        event = "due" if status == "retrying" else "orphaned"
+        status = "failed" if event == "orphaned" else status
+        self.state.update((status, attempts, refused, None))
+        yield Row(stage=key[0], input_hash=key[1], status=status, attempt_count=attempts, refused=refused, event=event)
+
+    def close(self) -> None:
+        pass
+
+
+def ledger_stream(transitions: DataFrame, *, orphan_after: float | None = None) -> DataFrame:
+    """``stage, input_hash, status, attempt_count, refused, event``: a row for each key that a micro-batch touches, with its state from then on.
+
+    ``transitions`` are rows of the ledger's log (stage, input_hash, seq, to_status, ts, not_before),
+    folded in order of (ts, seq) within a batch, with the rules of ``ledger.replay``; state lies in
+    RocksDB, which the session is set to. ``event`` is ``changed``, or what a timer says: a retry is
+    ``due`` once its ``not_before`` has passed, and a job that has been running for ``orphan_after``
+    seconds is ``orphaned``: it fails here, so that a later end of it is refused.
+    """
+    transitions.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    rows = transitions.select("stage", "input_hash", "seq", "to_status", "ts", "not_before")
+    out = "stage string, input_hash string, status string, attempt_count long, refused long, event string"
+    return rows.groupBy("stage", "input_hash").transformWithState(_Folded(orphan_after), out, "Update", "ProcessingTime")
 
-    out = "stage string, input_hash string, status string, attempt_count long, refused long"
-    return events.groupBy("stage", "input_hash").applyInPandasWithState(fold, out, "status string, attempt_count long, refused long", "update", GroupStateTimeout.NoTimeout)
 
+def ledger_states(transitions: DataFrame, path: str, *, orphan_after: float | None = None) -> DataFrame:
+    """Run ``ledger_stream`` on what is there, from the checkpoint below ``path`` on, and give every key's newest state.
 
-def run_batches(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    Timers that have expired speak up in batches that have transitions; without any the stream ends.
+    """
+    conf, idle = transitions.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
+    names = ["stage", "input_hash", "status", "attempt_count", "refused", "event"]
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.select(*names).write.mode("overwrite").parquet(f"{path}/states/batch={number}")
+
+    before = conf.get(idle)
+    conf.set(idle, "false")  # else a stream with timers looks for expired ones for ever
+    try:
+        run_batches(ledger_stream(transitions, orphan_after=orphan_after), keep, f"{path}/checkpoint", mode="update")
+    finally:
+        conf.set(idle, before)
+    kinds = "stage string, input_hash string, status string, attempt_count long, refused long, event string, batch long"
+    # of a batch a key has a row for its changes and one for its timer, which comes after them
+    order = F.struct("batch", F.col("event") != "changed")
+    held = transitions.sparkSession.read.schema(kinds).parquet(f"{path}/states")
+    return held.groupBy("stage", "input_hash").agg(F.max_by(F.struct(*names[2:]), order).alias("s")).select("stage", "input_hash", "s.*").filter("status is not null")
+
+
+def run_batches(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, *, mode: str = "append") -> None:
     """Everything that is there now, batch by batch, to the end."""
-    stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    stream.writeStream.outputMode(mode).foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import random
+from datetime import datetime, timedelta
+
 from millrace.operators import faults
 from millrace.operators.embedding import HashingEmbedder
-from millrace.operators.ledger import Ledger
+from millrace.operators.ledger import Ledger, replay
 from millrace.operators.store import ParquetStore
 from millrace.schemas import CHUNKS
 from millrace.sources import jsonl
@@ -25,16 +28,40 @@ def test_worker_is_resumable_and_idempotent(spark, tmp_path):
     assert {(r.stage, r.status): r["count"] for r in ledger.states().groupBy("stage", "status").count().collect()} == {("ingest", "succeeded"): 3, ("ingest", "failed"): 1, ("embed", "succeeded"): 2}
 
 
-def test_streams_equal_batches(spark, tmp_path):
-    rows = [("s", f"k{i % 3}", i, to) for i, to in enumerate(["pending"] * 3 + ["running"] * 3 + ["failed", "succeeded", "running"] + ["retrying"] * 3)]
-    df = spark.createDataFrame(rows, "stage string, input_hash string, seq long, to_status string")
-    df.coalesce(1).write.parquet(str(tmp_path / "events"))
-    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "events"))
-    worker.ledger_stream(stream).writeStream.outputMode("update").format("memory").queryName("led").trigger(availableNow=True).start().awaitTermination()
-    assert {(r.input_hash, r.status, r.refused) for r in spark.table("led").collect()} == {("k0", "retrying", 0), ("k1", "succeeded", 1), ("k2", "running", 2)}
-    texts = spark.readStream.schema(df.schema).parquet(str(tmp_path / "events"))
-    worker.dedup_stream(texts, text_col="to_status").writeStream.format("memory").queryName("dd").trigger(availableNow=True).start().awaitTermination()
-    assert spark.table("dd").count() == df.select("to_status").distinct().count()
+STEPS = "stage string, input_hash string, seq long, to_status string, ts timestamp, not_before timestamp"
+
+
+def test_ledger_stream_is_the_replay(spark, tmp_path):
+    """States after two runs with a restart between are those of the batch fold over all transitions."""
+    rng = random.Random(5)
+    began = datetime(2024, 1, 1)
+    rows = [("s", f"k{rng.randrange(6)}", i, rng.choice(["pending", "running", "running", "failed", "retrying", "succeeded", "escalated"]), began + timedelta(seconds=i), None) for i in range(160)]
+    for part in (rows[:70], rows[70:]):
+        spark.createDataFrame(part, STEPS).coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
+        found = worker.ledger_states(spark.readStream.schema(STEPS).parquet(str(tmp_path / "log")), str(tmp_path / "out"))
+    log = spark.createDataFrame([(*r[:4], None, None, None, None, *r[4:]) for r in rows], "stage string, input_hash string, seq long, to_status string, error_type string, error_message string, rows_in int, rows_out int, ts timestamp, not_before timestamp")
+    names = ["stage", "input_hash", "status", "attempt_count", "refused"]
+    assert sorted(map(tuple, found.select(names).collect())) == sorted(map(tuple, replay(log).select(names).collect()))
+
+
+def test_ledger_stream_timers(spark, tmp_path):
+    """A retry falls due after its time, a job that runs too long is orphaned, and neither where the job went on."""
+    past, ahead = datetime(2024, 1, 1), datetime(2999, 1, 1)
+    step = lambda k, to, i, not_before=None: ("s", k, i, to, past + timedelta(seconds=i), not_before)
+    first = [step(k, to, i) for k in ("due", "later", "stuck", "fine") for i, to in enumerate(["pending", "running"])]
+    first += [step("due", "failed", 2), step("due", "retrying", 3, past), step("later", "failed", 2), step("later", "retrying", 3, ahead), step("fine", "succeeded", 2)]
+    go = lambda: {r.input_hash: (r.status, r.event) for r in worker.ledger_states(spark.readStream.schema(STEPS).parquet(str(tmp_path / "log")), str(tmp_path / "out"), orphan_after=60).collect()}
+    spark.createDataFrame(first, STEPS).coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
+    go()
+    spark.createDataFrame([step("new", "pending", 9), step("stuck", "succeeded", 9)], STEPS).coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
+    assert go() == {"due": ("retrying", "due"), "later": ("retrying", "changed"), "stuck": ("failed", "changed"), "fine": ("succeeded", "changed"), "new": ("pending", "changed")}
+
+
+def test_dedup_stream(spark, tmp_path):
+    df = spark.createDataFrame([(t,) for t in "abcabca"], "text string")
+    df.coalesce(1).write.parquet(str(tmp_path / "texts"))
+    worker.dedup_stream(spark.readStream.schema(df.schema).parquet(str(tmp_path / "texts"))).writeStream.format("memory").queryName("dd").trigger(availableNow=True).start().awaitTermination()
+    assert spark.table("dd").count() == 3
 
 
 def test_stream_lines_are_the_batch_readers(spark, tmp_path):
