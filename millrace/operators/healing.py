@@ -125,9 +125,9 @@ def registry_match(jobs: DataFrame, prefixes: list[str]) -> DataFrame:
     return jobs.withColumn("prefix", first)
 
 
-#: What the healing log says of a job.
+#: What the healing log says of a job, and of what was done to it.
 RECOVERED, NEEDS_HUMAN, NO_RUNNER, EXHAUSTED = "recovered", "needs_human", "no_registered_runner", "exhausted->needs_human"
-UNPARSEABLE = "unparseable"
+UNPARSEABLE, ESCALATED, RETRIED, RETRIED_ALL = "unparseable", "escalate", "retry(attempt={})", "retry(x{})"
 
 
 def diagnose(job_name: str, error: str, complete: Callable[[str], str]) -> dict:
@@ -153,11 +153,11 @@ def runner_for(job_name: str, registry: dict[str, Callable[[], object]]) -> Call
 
 
 def job_registry(embed: Callable[[str], object], load: Callable[[str], object], **others: Callable[[], object]) -> dict[str, Callable[[], object]]:
-    """The jobs that healing may run again: ``embed`` and ``load`` once for each chunking strategy, and any others by name."""
+    """The jobs that healing may run again: ``embed`` and ``load`` (into the table ``chunks_<strategy>``) once for each chunking strategy, and any others by name."""
     found = dict(others)
     for strategy in ("sentence", "fixed"):
         found[f"embed:{strategy}"] = functools.partial(embed, strategy)
-        found[f"vecload:pg:chunks_{strategy}"] = functools.partial(load, strategy)
+        found[f"vecload:chunks_{strategy}"] = functools.partial(load, strategy)
     return found
 
 
@@ -165,10 +165,10 @@ def heal_named_job(job_id: int, job_name: str, error: str, *, registry: dict[str
     """Diagnose, then rerun by the registry up to JOB_ATTEMPTS times with linear backoff; returns the outcome recorded."""
     found, runner = diagnose(job_name, error, complete), runner_for(job_name, registry)
     if found["action"] == "escalate" or runner is None:
-        action, outcome = "escalate", NEEDS_HUMAN if found["action"] == "escalate" else NO_RUNNER
+        action, outcome = ESCALATED, NEEDS_HUMAN if found["action"] == "escalate" else NO_RUNNER
     else:
         run = _first_success(runner, [JOB_BACKOFF * (i + 1) for i in range(JOB_ATTEMPTS)], sleep_fn)
-        action, outcome = (f"retry(attempt={run})", RECOVERED) if run else (f"retry(x{JOB_ATTEMPTS})", EXHAUSTED)
+        action, outcome = (RETRIED.format(run), RECOVERED) if run else (RETRIED_ALL.format(JOB_ATTEMPTS), EXHAUSTED)
     record(job_id, error, found, action, outcome)
     return outcome
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from millrace.functions import vector as V
 from millrace.operators.jobs import Jobs
 from millrace.sources import sinks
+from millrace.staging import scratch, staged
 
 
 class VectorStore(Protocol):
@@ -21,68 +22,98 @@ class VectorStore(Protocol):
 
 
 class ParquetStore:
-    """One writer at a time. The store is the segments that its newest version file lists.
+    """The store is the segments that its newest version file lists, with their rows and the range of their ids.
 
     A load writes a segment of its own and then the next version, a small file that is there
     whole or not at all, so one that fails leaves the store as it was and a reader always has
-    a whole one. Inserts never touch what is there; an upsert rewrites only the segments that
-    hold ids it replaces. ``compact`` makes one segment of all.
+    a whole one. Of two writers that began at the same version the second to publish is refused
+    (FileExistsError) and can load again. Inserts never touch what is there; an upsert rewrites
+    only the segments that hold ids it replaces. Segments whose ranges hold none of the ids that
+    come in are left unread, and the others are searched in one job, however many there are.
+    ``compact`` makes segments of all rows that follow each other by id.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: str, *, create: bool = False):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         if create and not self._versions():
-            self._publish([])
+            self._publish(0, [])
 
     def _versions(self) -> list[str]:
         return [n for n in sinks.names(self.spark, f"{self.path}/versions") if n.isdigit()]
 
-    def _segments(self) -> list[str]:
+    def _segments(self) -> tuple[int, list[dict]]:
+        """The number of the newest version, and its segments: ``name, rows, low, high``."""
         versions = self._versions()
         if not versions:
             raise sinks.MissingStore(self.path)
-        return json.loads(sinks.read_text(self.spark, f"{self.path}/versions/{versions[-1]}"))
+        return int(versions[-1]), json.loads(sinks.read_text(self.spark, f"{self.path}/versions/{versions[-1]}"))
 
-    def _publish(self, segments: list[str]) -> None:
-        versions = self._versions()
-        sinks.publish_text(self.spark, f"{self.path}/versions/{int(versions[-1]) + 1 if versions else 0:012d}", json.dumps(segments))
+    def _publish(self, number: int, segments: list[dict]) -> None:
+        sinks.publish_text(self.spark, f"{self.path}/versions/{number:012d}", json.dumps(segments))
+
+    @staticmethod
+    def _range(df: DataFrame) -> dict:
+        """``rows, low, high, nulls`` of a table's ids, as strings in the order of their bytes."""
+        name = F.col("id").cast("string")
+        return df.agg(F.count("*").alias("rows"), F.min(name).alias("low"), F.max(name).alias("high"), F.count_if(name.isNull()).alias("nulls")).first().asDict()
 
-    def _write(self, df: DataFrame) -> tuple[str, int]:
-        """A new segment and its rows, not yet part of the store."""
+    def _write(self, df: DataFrame) -> dict:
+        """A new segment, not yet part of the store."""
         name = f"segment-{uuid.uuid4().hex}"
         df.write.parquet(f"{self.path}/{name}")
-        return name, self._read([name]).count()
+        return {"name": name, **self._range(self._read([{"name": name}]))}
 
-    def _read(self, segments: list[str]) -> DataFrame:
+    def _read(self, segments: list[dict]) -> DataFrame:
         if not segments:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{s}" for s in segments])
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{s['name']}" for s in segments])
+
+    @staticmethod
+    def _near(segments: list[dict], ids: dict) -> list[dict]:
+        """The segments that may hold an id of a range."""
+        low, high = ids["low"], ids["high"]
+        order = lambda x: x.encode()
+        return [s for s in segments if (low is not None and s["low"] is not None and order(s["low"]) <= order(high) and order(low) <= order(s["high"])) or (ids["nulls"] and s["nulls"])]
 
     def read(self) -> DataFrame:
-        return self._read(self._segments())
+        return self._read(self._segments()[1])
 
     def count(self) -> int:
-        return self.read().count()
+        return sum(s["rows"] for s in self._segments()[1])
 
     def insert(self, rows: DataFrame, *, order_col: str) -> int:
         """First write wins, metadata included; returns how many rows came in."""
-        segments, now = self._segments(), self.read()
-        name, new = self._write(sinks.insert_absent(rows, now, order_col=order_col).select(*now.columns))
-        if new:
-            self._publish([*segments, name])
-        return new
-
-    def upsert(self, rows: DataFrame, *, replaced: tuple[str, ...] = ("embedding", "document")) -> int:
-        """Returns the whole store's count."""
-        segments, ids = self._segments(), rows.select("id")
-        held = [s for s in segments if not self._read([s]).join(ids, "id", "left_semi").isEmpty()]
-        name, _ = self._write(sinks.upsert(rows, self._read(held), replaced=replaced))
-        self._publish([*[s for s in segments if s not in held], name])
-        return self.count()
-
-    def compact(self) -> None:
-        name, _ = self._write(self.read())
-        self._publish([name])
+        number, segments = self._segments()
+        now = self._read(self._near(segments, self._range(rows)) if segments else [])
+        new = self._write(sinks.insert_absent(rows, now, order_col=order_col).select(*now.columns))
+        if new["rows"]:
+            self._publish(number + 1, [*segments, new])
+        return new["rows"]
+
+    def upsert(self, rows: DataFrame, *, replaced: tuple[str, ...] = ("embedding", "document"), order_col: str | None = None) -> int:
+        """Returns the whole store's count. Of rows with one id one counts, see ``sinks.upsert``."""
+        number, segments = self._segments()
+        near, held = self._near(segments, self._range(rows)) if segments else [], []
+        if near:  # one job over the ids of all of them
+            at = self._read(near).select("id", F.element_at(F.split("_metadata.file_path", "/"), -2).alias("segment"))
+            ids = rows.select(F.col("id").alias("__id")).distinct()
+            hit = {r.segment for r in at.join(ids, F.col("id").eqNullSafe(F.col("__id")), "left_semi").select("segment").distinct().collect()}
+            held = [s for s in near if s["name"] in hit]
+        new = self._write(sinks.upsert(rows, self._read(held), replaced=replaced, order_col=order_col))
+        left = [s for s in segments if s not in held]
+        self._publish(number + 1, [*left, new])
+        return sum(s["rows"] for s in left) + new["rows"]
+
+    def compact(self, parts: int = 1) -> None:
+        """One segment of all, or ``parts`` of them with ids in ranges, so that loads of a range of ids leave the others unread."""
+        number, segments = self._segments()
+        if parts == 1:
+            return self._publish(number + 1, [self._write(self._read(segments))])
+        with scratch():
+            rows = staged(self._read(segments).repartitionByRange(parts, F.col("id").cast("string")).withColumn("__part", F.spark_partition_id()), "compact")
+            found = sorted(r[0] for r in rows.select("__part").distinct().collect())
+            made = [self._write(rows.filter(F.col("__part") == p).drop("__part")) for p in found]
+        self._publish(number + 1, made)
 
     def query(self, vector: list[float], k: int = 5, min_rating: float | None = None) -> DataFrame:
         return search(self.read(), vector, k=k, metric="inner", min_rating=min_rating)

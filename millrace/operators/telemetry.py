@@ -117,7 +117,28 @@ def failure_ratio(metrics: DataFrame, *, seconds: int | None = None, every: int
     return rows.groupBy("stage", "window_end").agg(F.try_divide(F.coalesce(part(FAILURES), F.lit(0.0)), part(ATTEMPTS)).alias("failure_ratio"))
 
 
+def duration_series(metrics: DataFrame, bounds: tuple[float, ...] = BOUNDS) -> DataFrame:
+    """``stage, le, value``: a stage's durations as a scraper's histogram has them: how many are at most each bound, the last of which is null for infinity; at ``le`` -1 their sum."""
+    rows = metrics.filter(F.col("name") == DURATION)
+    counts = rows.groupBy("stage").agg(*[F.count_if(F.col("value") <= b).alias(f"b{i}") for i, b in enumerate(bounds)], F.count("*").alias("all"), F.sum("value").alias("sum"))
+    series = [F.struct(F.lit(float(b)).alias("le"), F.col(f"b{i}").cast("double").alias("value")) for i, b in enumerate(bounds)]
+    series += [F.struct(F.lit(None).cast("double").alias("le"), F.col("all").cast("double").alias("value")), F.struct(F.lit(-1.0).alias("le"), F.col("sum").alias("value"))]
+    return counts.select("stage", F.inline(F.array(*series)))
+
+
 def exposition(metrics: DataFrame) -> str:
-    """Counters in the text form that scrapers read; a row per series, so the driver holds few."""
+    """Counters and the histogram of durations in the text form that scrapers read; a row per series, so the driver holds few."""
+    lines = []
+    for r in duration_series(metrics).orderBy("stage", F.col("le").asc_nulls_last()).collect():
+        if r.le is not None and r.le < 0:
+            lines.append(f'{DURATION}_sum{{stage="{r.stage}"}} {r.value!r}')
+            continue
+        lines.append(f'{DURATION}_bucket{{stage="{r.stage}",le="{"+Inf" if r.le is None else format(r.le, "g")}"}} {r.value:g}')
+        if r.le is None:
+            lines.append(f'{DURATION}_count{{stage="{r.stage}"}} {r.value:g}')
+    return _counter_lines(metrics) + "".join(f"{x}\n" for x in lines)
+
+
+def _counter_lines(metrics: DataFrame) -> str:
     rows = metrics.filter(F.col("name") != DURATION).groupBy("name", "stage", "error_type").agg(F.sum("value").alias("v")).orderBy("name", "stage", "error_type").collect()
     return "".join(f'{r.name}{{stage="{r.stage}"' + (f',error_type="{r.error_type}"' if r.error_type else "") + f"}} {r.v:g}\n" for r in rows)

@@ -20,6 +20,7 @@ from millrace.operators.embedding import HashingEmbedder, embed_column
 from millrace.operators.retrieval import LexicalReranker
 from millrace.sources import jsonl, sinks
 from millrace.staging import fresh_dir
+from millrace.streaming import worker
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
@@ -355,6 +356,16 @@ def ledger_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.replay(_log(spark, sf_dir)).select("stage", "input_hash", "status", F.col("attempt_count").cast("long").alias("attempt_count"), F.col("refused").cast("long").alias("refused"))
 
 
+@_register(f"WITH {_REPLAY} SELECT stage, input_hash, s.status AS status, s.attempts AS attempt_count, s.refused AS refused FROM s")
+def ledger_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger as a stream: the events' transitions, written as a log and folded key by key in the stream's state."""
+    at = fresh_dir(spark, "ledger-stream")
+    log = _log(spark, sf_dir).withColumn("not_before", F.lit(None).cast("timestamp"))
+    log.select("stage", "input_hash", "seq", "to_status", "ts", "not_before").write.parquet(f"{at}/log")
+    states = worker.ledger_states(spark.readStream.schema(spark.read.parquet(f"{at}/log").schema).parquet(f"{at}/log"), at)
+    return states.select("stage", "input_hash", "status", "attempt_count", "refused")
+
+
 @_register("SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type, max((ts, event_id)).event_id AS event_id FROM (SELECT *, {'ts': ts, 'event_id': event_id} AS o FROM events) GROUP BY user_id".replace("(ts, event_id)", "o").replace("max(o).event_id", "max(o)['event_id']"))
 def ledger_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.latest(_table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type"), order=("ts", "event_id"), key=("user_id",)).select("user_id", "event_type", "event_id")
@@ -404,10 +415,10 @@ def heal_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return healing.decisions(failed, max_attempts=3).select("input_hash", "decision", "delay")
 
 
-@_register("SELECT n::INT AS n, least(pow(2.0, greatest(n - 1, 0)), 60.0) AS exponential, 30 * n::INT AS linear FROM range(0, 12) t(n)")
+@_register(f"WITH {_REPLAY} SELECT stage, input_hash, s.attempts AS n, least(pow(2.0, greatest(s.attempts - 1, 0)), 60.0) AS exponential, 30 * s.attempts AS linear FROM s")
 def backoff_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = F.col("id").cast("int")
-    return spark.range(12).select(n.alias("n"), healing.backoff_seconds(n).alias("exponential"), healing.linear_backoff(n).alias("linear"))
+    n = F.col("attempt_count").cast("long")
+    return ledger.replay(_log(spark, sf_dir)).select("stage", "input_hash", n.alias("n"), healing.backoff_seconds(n).alias("exponential"), healing.linear_backoff(n).alias("linear"))
 
 
 @_register("SELECT event_id, json_extract_string(props, '$.k') AS k, try_cast(json_extract_string(props, '$.k') AS BIGINT) IS NULL AS odd FROM events")

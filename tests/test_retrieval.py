@@ -134,7 +134,7 @@ def test_watch_jobs_looks_again():
     healing.watch_jobs(Rows, lambda *row: seen.append(row), passes=2, sleep_fn=slept.append)
     assert seen == [(1, "embed:x", "e")] * 2 and slept == [60.0, 60.0]
     made = healing.job_registry(lambda s: f"e {s}", lambda s: f"l {s}", ingest=lambda: "i")
-    assert healing.runner_for("vecload:pg:chunks_fixed", made)() == "l fixed" and healing.runner_for("embed:sentence", made)() == "e sentence"
+    assert healing.runner_for("vecload:chunks_fixed", made)() == "l fixed" and healing.runner_for("embed:sentence", made)() == "e sentence"
     assert healing.runner_for("ingest", made)() == "i" and healing.runner_for("other", made) is None
 
 

@@ -128,13 +128,13 @@ def test_store_segments(spark, tmp_path):
     held = set(sinks.names(spark, f"{store.path}")) - {"versions"}
     assert store.insert(rows("bcd", "two"), order_col="line_number") == 2 and store.insert(rows("a", "x"), order_col="line_number") == 0
     assert held < set(sinks.names(spark, store.path))  # what was there is neither moved nor rewritten
-    before = store._segments()
+    before = store._segments()[1]
     assert store.upsert(rows("de", "three")) == 5
-    assert before[0] in store._segments() and before[1] not in store._segments()
+    assert before[0] in store._segments()[1] and before[1] not in store._segments()[1]
     assert {r.id: r.document for r in store.read().collect()} == {"a": "one", "b": "one", "c": "two", "d": "three", "e": "three"}
     with pytest.raises(Exception):
         store.upsert(rows("a", "bad").withColumn("document", F.raise_error(F.lit("load fails"))))
     assert store.count() == 5
     store.compact()
-    assert len(store._segments()) == 1 and store.count() == 5
+    assert len(store._segments()[1]) == 1 and store.count() == 5
     assert ParquetStore(spark, store.path, schema, create=True).count() == 5
