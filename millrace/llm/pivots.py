@@ -10,7 +10,7 @@ verified: by a product of single precision, and by cosine in double precision wh
 within its error of the threshold.
 
 How many pivots count as nearest is fitted on the sample: at least NEAREST, and as many as it takes
-to find FOUND of the links between its first vectors. A visit is left out where it can't bring a
+to find FOUND of the links between its first vectors, and of links made from these at the threshold. A visit is left out where it can't bring a
 link: vectors farther from the hyperplane midway between two pivots than linked vectors can be
 apart have none on its other side. With ``nearest=0`` that bound alone decides and no pair is lost.
 
@@ -38,6 +38,8 @@ from millrace.llm.components import components
 PIVOTS, PER_ROOT, SAMPLE, BLOCK = 8192, 4, 32_768, 2048
 #: Pivots that describe a vector, at least; those that a pair shares; the share of the sample's links to find; vectors of the sample whose links are looked for.
 NEAREST, SHARED, FOUND, TRIED = 24, 2, 0.998, 4096
+#: Scores of vectors with pivots that a task holds at once.
+SCORES = 1 << 21
 
 
 def _matrix(column: pa.Array, kind: str) -> np.ndarray:
@@ -83,8 +85,21 @@ def _sends(own: np.ndarray, other: np.ndarray) -> np.ndarray:
     return (other != own) & (((other + own) % 2 == 0) == (other > own))
 
 
+def _partners(x: np.ndarray, least: float) -> np.ndarray:
+    """For each unit row one that links with it as barely as may be: half of them towards another row, half in any direction."""
+    rng = np.random.default_rng(11)
+    other = rng.normal(size=x.shape)
+    other[::2] = x[rng.permutation(len(x))][::2] + 1e-3 * other[::2]
+    away = other - (other * x).sum(axis=1, keepdims=True) * x
+    length = np.sqrt((away * away).sum(axis=1, keepdims=True))
+    return least * x + math.sqrt(max(0.0, 1 - least * least)) * away / np.where(length == 0, 1, length)
+
+
 def fitted(sample: np.ndarray, pivots: np.ndarray, least: float) -> int:
-    """How many nearest pivots find FOUND of the links among the first TRIED of the sample."""
+    """How many nearest pivots find FOUND of the links among the first TRIED of the sample, and as many of those between these and partners made at the threshold.
+
+    Links within a sample get rarer as the table grows; partners are there at any size.
+    """
     x = sample[:TRIED]
     score = x @ pivots.T
     own = score.argmax(axis=1)
@@ -95,17 +110,40 @@ def fitted(sample: np.ndarray, pivots: np.ndarray, least: float) -> int:
         at = np.flatnonzero(_sends(own[i], own[j]))[: 1 << 14]
         i, j = i[at], j[at]
         needed.append((score[i] >= score[i, own[j]][:, None]).sum(axis=1) if len(i) else np.zeros(0, np.int64))
-    needed = np.sort(np.concatenate(needed))
-    return max(NEAREST, int(needed[min(len(needed) - 1, math.ceil(FOUND * len(needed)))]) if len(needed) else 0)
+    home = (_partners(x, least) @ pivots.T).argmax(axis=1)
+    made = (score >= np.take_along_axis(score, home[:, None], axis=1)).sum(axis=1)[home != own]
+    most = NEAREST
+    for found in (np.concatenate(needed), made):
+        if len(found):
+            most = max(most, int(np.sort(found)[min(len(found) - 1, math.ceil(FOUND * len(found)))]))
+    return most
+
+
+def rounded(pivots: np.ndarray) -> np.ndarray:
+    """As they are sent: in single precision."""
+    return pivots.astype(np.float32)
+
+
+def _unit(pivots: np.ndarray) -> np.ndarray:
+    """As they are used, on driver and workers alike."""
+    p = pivots.astype(np.float64)
+    return p / np.sqrt((p * p).sum(axis=1, keepdims=True))
 
 
 def _cells(pivots: dict[int, np.ndarray], nearest: dict[int, int], least: float, kind: str):
     """Adds ``cells``: the vector's home, then the lists that it visits; and ``near``: its nearest pivots, packed."""
     apart = math.sqrt(max(0.0, 2 - 2 * least))
-    between = {d: np.sqrt(np.maximum(0, 2 - 2 * p @ p.T)) for d, p in pivots.items()}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """As many rows at once as a table of SCORES with the pivots holds."""
+        rows = max(64, SCORES // max((len(p) for p in pivots.values()), default=1))
         for batch in batches:
+            for k in range(0, batch.num_rows, rows):
+                yield pa.Table.from_batches([batch.slice(k, rows)]).combine_chunks().to_batches()[0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = {d: _unit(p) for d, p in pivots.items()}
+        for batch in blocks(batches):
             dims = pc.binary_length(batch.column("x")).to_numpy() // np.dtype(kind).itemsize
             rows, cells = [np.arange(batch.num_rows)], [np.zeros(batch.num_rows, np.int32)]
             near: list = [b""] * batch.num_rows
@@ -113,11 +151,13 @@ def _cells(pivots: dict[int, np.ndarray], nearest: dict[int, int], least: float,
                 if d not in pivots:
                     continue  # no pivot of this dimension was drawn: all have the first list as their home
                 at = np.flatnonzero(dims == d)
-                score = _matrix(batch.column("x").take(pa.array(at)), kind) @ pivots[d].T
+                score = _matrix(batch.column("x").take(pa.array(at)), kind) @ units[d].T
                 own = score.argmax(axis=1)
                 cells[0][at] = own
                 # (own score - score) / distance of the pivots is the distance from the hyperplane
-                visits = score.max(axis=1, keepdims=True) - score <= apart * between[d][own] + 1e-6
+                homes, which = np.unique(own, return_inverse=True)
+                between = np.sqrt(np.maximum(0, 2 - 2 * units[d][homes] @ units[d].T))
+                visits = score.max(axis=1, keepdims=True) - score <= apart * between[which] + 1e-6
                 visits &= _sends(own[:, None], np.arange(score.shape[1])[None, :])
                 k = nearest[d]
                 if 0 < k < score.shape[1]:
@@ -266,8 +306,8 @@ def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str
         drawn = classes.filter((F.octet_length("x") == size * d) & (place < enough)).orderBy(place).limit(SAMPLE).select("x").collect()
         sample = np.array([np.frombuffer(r.x, kind) for r in drawn], np.float64)
         sample /= np.sqrt((sample**2).sum(axis=1, keepdims=True))
-        pivots[d] = spread(sample, min(PIVOTS, math.ceil(PER_ROOT * math.sqrt(most))))
-        counts[d] = fitted(sample, pivots[d], least) if nearest is None else nearest
+        pivots[d] = rounded(spread(sample, min(PIVOTS, math.ceil(PER_ROOT * math.sqrt(most)))))
+        counts[d] = fitted(sample, _unit(pivots[d]), least) if nearest is None else nearest
     placed = classes.select("node", "n", "label", "x").mapInArrow(K.released(_cells(pivots, counts, least, kind)), f"node long, n long, label {kinds[label_col]}, x binary, cells array<int>, near binary")
     placed = staged(placed, "described")
     placed = placed.withColumn("dim", F.octet_length("x")).select("*", F.posexplode("cells").alias("place", "cell")).withColumn("guest", F.col("place") > 0)

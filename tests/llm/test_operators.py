@@ -555,6 +555,26 @@ def test_frequent_ngrams_that_link_nothing(spark):
     assert all(r.component_id == r.id for r in found) and sum(seen) <= 3000
 
 
+@pytest.mark.parametrize("rows", [200_000, 1_000_000])
+def test_recall_at_large_sizes(rows):
+    """Planted pairs just above the threshold still meet where a sample holds next to no links: index structures of so many vectors, on a part of them."""
+    rng = np.random.default_rng(rows)
+    unit = lambda x: x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+    sample = unit(rng.normal(size=(pivots.SAMPLE, 64)))
+    points = pivots.rounded(pivots.spread(sample, min(2000, int(pivots.PER_ROOT * rows**0.5))))
+    k = pivots.fitted(sample, pivots._unit(points), 0.93)
+    x = unit(rng.normal(size=(3000, 64)))
+    away = rng.normal(size=x.shape)
+    away = unit(away - (away * x).sum(axis=1, keepdims=True) * x)
+    y = 0.932 * x + (1 - 0.932**2) ** 0.5 * away
+    both = np.concatenate([x, y]).astype(np.float32)
+    batch = pa.RecordBatch.from_arrays([pa.array([v.tobytes() for v in both], pa.binary())], ["x"])
+    out = pa.Table.from_batches(list(pivots._cells({64: points}, {64: k}, 0.93, "<f4")(iter([batch]))))
+    cells, near = out.column("cells").to_pylist(), [set(np.frombuffer(b, "<u2").tolist()) for b in out.column("near").to_pylist()]
+    meet = [(c[0] in d or d[0] in c) and (not n or len(n & m) >= pivots.SHARED) for c, d, n, m in zip(cells[:3000], cells[3000:], near[:3000], near[3000:], strict=True)]
+    assert len(points) > 1500 and np.mean(meet) >= 0.99
+
+
 def test_texts_of_tens_of_megabytes(spark):
     """Long texts go whole through the text operators; every operator's counts are those of plain Python."""
     rng = random.Random(6)
