@@ -8,7 +8,7 @@ stale request of a lost race is reported and changes nothing.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -145,22 +145,25 @@ class Ledger:
         rows = read.option("basePath", self.path).parquet(*files)
         return rows.filter(F.col("after") >= after).select(*[c for c in rows.columns if c != "after"])
 
-    def _folded(self, only: Column | None = None) -> DataFrame:
+    def _folded(self, some: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
+        """The states of the keys whose rows ``some`` lets pass; the others' transitions aren't folded."""
         at = self._snapshot()
-        log, base = self.log(at), self.spark.read.parquet(f"{self.path}-states/{at:012d}") if at else None
-        if only is not None:
-            log, base = log.filter(only), base.filter(only) if base is not None else None
-        return replay(log, base=base)
+        base = self.spark.read.parquet(f"{self.path}-states/{at:012d}") if at else None
+        return replay(some(self.log(at)), base=some(base) if base is not None else None)
 
-    def states(self) -> DataFrame:
-        return self._folded()
+    def states(self, keys: DataFrame | None = None) -> DataFrame:
+        """Of all keys, or of those in a table."""
+        if keys is None:
+            return self._folded()
+        wanted = keys.select(*KEY).distinct()
+        return self._folded(lambda rows: rows.join(wanted, KEY, "left_semi"))
 
     def snapshot(self) -> None:
         """Write the states as they are, for later folds to begin at."""
         self.states().write.mode("overwrite").parquet(f"{self.path}-states/{self._next_seq() - 1:012d}")
 
     def get(self, stage: str, input_hash: str) -> dict | None:
-        row = self._folded((F.col("stage") == stage) & (F.col("input_hash") == input_hash)).first()
+        row = self._folded(lambda rows: rows.filter((F.col("stage") == stage) & (F.col("input_hash") == input_hash))).first()
         return row.asDict() if row else None
 
     def _next_seq(self) -> int:
@@ -180,7 +183,7 @@ class Ledger:
         for name, kind in (("error_type", "string"), ("error_message", "string"), ("rows_in", "int"), ("rows_out", "int"), ("not_before", "timestamp")):
             if name not in requests.columns:
                 requests = requests.withColumn(name, F.lit(None).cast(kind))
-        joined = requests.join(self.states().select(*KEY, "status", "attempt_count"), KEY, "left")
+        joined = requests.join(self.states(requests).select(*KEY, "status", "attempt_count"), KEY, "left")
         opens = F.col("status").isNull() & (F.col("to_status") == "pending")
         ok = opens | F.coalesce(legal(F.col("status"), F.col("to_status")), F.lit(False))
         seq, now = self._next_seq(), datetime.now(UTC)
@@ -202,7 +205,7 @@ class Ledger:
 
     def begin(self, units: DataFrame) -> None:
         """Put units (``stage, input_hash, rows_in``, a row per key) down as running, in one append: the new ones as pending first, those that run or are done not at all."""
-        states = self.states().select(*KEY, "status", "attempt_count")
+        states = self.states(units).select(*KEY, "status", "attempt_count")
         new, waits = F.col("status").isNull(), F.col("status").isin(*RUNNABLE)
         first, then = self._next_seq(), self._next_seq()
         step = lambda seq, before, to, attempt: F.struct(F.lit(seq).cast("long").alias("seq"), before.alias("from_status"), F.lit(to).alias("to_status"), attempt.alias("attempt"))

@@ -12,14 +12,14 @@ from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValu
 
 from millrace.functions import text as X
 from millrace.operators import faults
-from millrace.operators.cleaning import ranked
+from millrace.operators.cleaning import dedup_first, ranked, text_hashes
 from millrace.operators.embedding import Embedder
 from millrace.operators.ingest import EMBED, INGEST, STORE, embed_stage, ingest_records, load_stage
 from millrace.operators.ledger import TRANSITIONS, Ledger
 from millrace.operators.store import ParquetStore
 from millrace.operators.telemetry import Telemetry
-from millrace.sources import remote
-from millrace.staging import Shelf, scratch
+from millrace.sources import remote, sinks
+from millrace.staging import Shelf, scratch, staged
 
 
 def stream_lines(spark: SparkSession, path: str, *, files_per_batch: int = 1) -> DataFrame:
@@ -71,10 +71,31 @@ def run_worker(spark: SparkSession, source: str, ledger: Ledger, store: ParquetS
 
 
 def dedup_stream(stream: DataFrame, *, text_col: str = "text") -> DataFrame:
-    """The first arrival of each text; state holds a hash per text seen."""
+    """The first arrival of each text; state holds a hash per text seen. For streams without an end see :func:`dedup_loads`."""
     return stream.withColumn("__h", X.content_hash(F.col(text_col))).dropDuplicates(["__h"]).drop("__h")
 
 
+def dedup_loads(stream: DataFrame, path: str, *, order_col: str, text_col: str = "text", ignore_case: bool = False) -> DataFrame:
+    """Run a stream to its end, from where it was, and give the first arrivals of all loads so far: of each text the smallest ``order_col`` of the first micro-batch that has it.
+
+    The stream keeps no state: what has been seen lies as hashes below ``path``, a folder per
+    batch, and a batch is joined with those of the batches before it. A batch that runs again
+    overwrites its own rows and hashes, so it gives what it gave.
+    """
+    spark, rows, hashes = stream.sparkSession, f"{path}/rows", f"{path}/hashes"
+
+    def keep(batch: DataFrame, number: int) -> None:
+        with scratch():
+            batch = staged(batch, "load")
+            past = spark.read.schema("hash string, batch long").parquet(hashes).filter(F.col("batch") < number) if number and sinks.exists(spark, hashes) else None
+            first = staged(dedup_first(batch, order_col=order_col, text_col=text_col, ignore_case=ignore_case, seen=past), "first")
+            text_hashes(first, text_col=text_col, ignore_case=ignore_case).write.mode("overwrite").parquet(f"{hashes}/batch={number}")
+            first.write.mode("overwrite").parquet(f"{rows}/batch={number}")
+
+    run_batches(stream, keep, f"{path}/checkpoint")
+    return spark.read.schema(stream.schema).parquet(rows).select(*stream.columns)
+
+
 class _Folded(StatefulProcessor):
     """The ledger's state of one key, and a timer for what it waits for."""
 

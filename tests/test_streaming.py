@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 from datetime import datetime, timedelta
 
-from millrace.operators import faults
+from millrace.operators import faults, healing
 from millrace.operators.embedding import HashingEmbedder
 from millrace.operators.ledger import Ledger, replay
 from millrace.operators.store import ParquetStore
@@ -64,6 +64,47 @@ def test_dedup_stream(spark, tmp_path):
     assert spark.table("dd").count() == 3
 
 
+def test_dedup_over_loads(spark, tmp_path):
+    """First arrivals over ten loads are exact, the stream's own state stays empty, and a batch run again changes nothing."""
+    rng = random.Random(2)
+    kind, seen, expected = "line_number long, text string", set(), []
+    stream = lambda: spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    for load in range(10):
+        rows = [(100 * load + i, rng.choice([None, *map(str, range(30))])) for i in range(8)]
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        for n, t in rows:
+            if t not in seen:
+                seen.add(t)
+                expected.append((n, t))
+        if load in (0, 4, 9):  # restarts between
+            found = worker.dedup_loads(stream(), str(tmp_path / "out"), order_col="line_number")
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
+    assert not (tmp_path / "out" / "checkpoint" / "state").exists()
+    (tmp_path / "out" / "checkpoint" / "commits" / "9").unlink()  # the last batch's end wasn't noted
+    (tmp_path / "out" / "checkpoint" / "commits" / ".9.crc").unlink(missing_ok=True)
+    assert sorted(map(tuple, worker.dedup_loads(stream(), str(tmp_path / "out"), order_col="line_number").collect()), key=str) == sorted(expected, key=str)
+
+
+def test_healer_stream(spark, tmp_path):
+    """Each failure is decided on once, by what its transition says; a run without new failures adds nothing."""
+    with Ledger(spark, str(tmp_path / "ledger")) as led:
+        units = spark.createDataFrame([("s", "slow", 1), ("s", "bug", 1), ("s", "fine", 1)], "stage string, input_hash string, rows_in int")
+        led.begin(units)
+        end = lambda *rows: led.append(spark.createDataFrame(list(rows), "stage string, input_hash string, to_status string, error_type string"))
+        end(("s", "slow", "failed", "TimeoutError"), ("s", "bug", "failed", "KeyError"), ("s", "fine", "succeeded", None))
+        go = lambda: healing.heal_stream(led, checkpoint=str(tmp_path / "cp"), max_attempts=2).awaitTermination()
+        status = lambda: {r.input_hash: r.status for r in led.states().collect()}
+        go()
+        assert status() == {"slow": "retrying", "bug": "escalated", "fine": "succeeded"}
+        entries = led.log().count()
+        go()
+        assert led.log().count() == entries
+        led.begin(units)
+        end(("s", "slow", "failed", "TimeoutError"))
+        go()
+        assert status()["slow"] == "escalated"  # its second attempt was the last
+
+
 def test_stream_lines_are_the_batch_readers(spark, tmp_path):
     """White space of any kind goes at both ends, blank lines are blank, and numbers follow (file, place)."""
     source = tmp_path / "in"
