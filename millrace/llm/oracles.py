@@ -1,6 +1,14 @@
 """DuckDB SQL for the training-data queries that SQL can express."""
 
-from millrace.llm.quality import GAMMA, MEASURES, PRIOR, SPREADS, ZERO
+#: What the quality rules measure, written out apart from the operator: measure -> (SQL over the base counts, least distance from the median, whether low values fail too).
+MEASURES = {
+    "symbols": ("1e3 * n_symbols / n_words", 100, False),
+    "dup_lines": ("1e3 * n_dup_lines / greatest(n_lines, 1)", 400, False),
+    "repeats": ("1e3 * n_repeat_words / n_words", 400, False),
+    "word_length": ("1e2 * word_chars / n_words", 100, True),
+}
+#: Growth of the sketch's bins, the bin of zero, the rows by which a language counts beside a group, spreads between median and threshold.
+GAMMA, ZERO, PRIOR, SPREADS = 1.02, -100_000, 20, 8
 
 _OP1 = r"""
 WITH c AS (
