@@ -39,7 +39,7 @@ def literal_vector(values: list[float]) -> Column:
     return F.lit(np.asarray(values, float).tolist()).cast("array<double>")
 
 
-def _best(queries: pd.DataFrame, corpus: pd.DataFrame, k: int, metric: str, at_once: int = 256) -> pd.DataFrame:
+def best(queries: pd.DataFrame, corpus: pd.DataFrame, k: int, metric: str, at_once: int = 256) -> pd.DataFrame:
     """``query_id, id, score`` of the best k of a block of the corpus for each query of a block, ties by id."""
     matrix, x = (np.stack(t["v"].to_numpy()).astype(np.float64) for t in (queries, corpus))
     if metric == "cosine":
@@ -72,7 +72,7 @@ def top_k_candidates(corpus: DataFrame, queries: DataFrame, k: int, *, id_col: s
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "id": [], "score": []})
-        return _best(left, right.sort_values("id"), k, metric)  # a stable sort by score then breaks ties by id
+        return best(left, right.sort_values("id"), k, metric)  # a stable sort by score then breaks ties by id
 
     schema = T.StructType([T.StructField("query_id", kinds[0]), T.StructField("id", kinds[1]), T.StructField("score", T.DoubleType())])
     return q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb")).applyInPandas(meet, schema)

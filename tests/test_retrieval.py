@@ -103,6 +103,28 @@ def test_index_recall(spark, tmp_path, n):
     assert index.search(spark, str(tmp_path / "none"), queries).count() == 0
 
 
+def test_index_grows_and_filters(spark, tmp_path, monkeypatch):
+    """Vectors added to an index are found like the others, cells in many parts give what whole ones do, and a condition holds before the best are taken."""
+    monkeypatch.setattr(index, "PART", 40)
+    monkeypatch.setattr(index, "ASKED", 7)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(6, 16))[rng.integers(0, 6, 900)] + 0.3 * rng.normal(size=(900, 16))
+    corpus = spark.createDataFrame([(i, v.tolist(), float(i % 5)) for i, v in enumerate(x)], "id long, embedding array<double>, rating double")
+    at = str(tmp_path / "i")
+    index.build(corpus.filter("id < 600"), at, keep=("rating",))
+    files = {f.name for f in (tmp_path / "i" / "cells").rglob("*.parquet")}
+    index.add(corpus.filter("id >= 600"), at, keep=("rating",))
+    assert files < {f.name for f in (tmp_path / "i" / "cells").rglob("*.parquet")}  # nothing was rewritten
+    queries = corpus.filter("id % 9 = 0").selectExpr("id as query_id", "embedding as vector")
+    hits = lambda df: sorted((r.query_id, r["rank"], r.id) for r in df.collect())
+    assert hits(index.search(spark, at, queries, probes=index.MOST_CELLS)) == hits(retrieval.batch_top_k(queries, corpus, k=5))
+    assert hits(index.search(spark, at, queries, probes=index.MOST_CELLS, where="rating >= 3")) == hits(retrieval.batch_top_k(queries, corpus.filter("rating >= 3"), k=5))
+    assert index.recall(index.search(spark, at, queries), retrieval.batch_top_k(queries, corpus, k=5)).first().recall >= 0.95
+    index.build(corpus.limit(0), str(tmp_path / "none"), keep=("rating",))
+    index.add(corpus.filter("id < 50"), str(tmp_path / "none"), keep=("rating",))
+    assert index.search(spark, str(tmp_path / "none"), queries.limit(3)).count() == 15
+
+
 def test_tracked_runs(spark, tmp_path):
     """Embed, load and evaluate as jobs; the load's records out are all rows of the store."""
     jobs = Jobs()
