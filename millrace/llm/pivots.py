@@ -36,8 +36,8 @@ from millrace.llm.components import components
 
 #: Most pivots of a dimension, pivots to the root of the most frequent label's vectors, vectors they are chosen from; vectors in a block.
 PIVOTS, PER_ROOT, SAMPLE, BLOCK = 8192, 4, 32_768, 2048
-#: Pivots that describe a vector, at least; those that a pair shares; the share of the sample's links to find; vectors of the sample whose links are looked for.
-NEAREST, SHARED, FOUND, TRIED = 24, 2, 0.998, 4096
+#: Pivots that describe a vector, at least; those that a pair shares; the share of the sample's links to find, and of links made at the threshold; vectors of the sample whose links are looked for.
+NEAREST, SHARED, FOUND, MADE, TRIED = 24, 2, 0.998, 0.995, 4096
 #: Scores of vectors with pivots that a task holds at once.
 SCORES = 1 << 21
 
@@ -86,17 +86,18 @@ def _sends(own: np.ndarray, other: np.ndarray) -> np.ndarray:
 
 
 def _partners(x: np.ndarray, least: float) -> np.ndarray:
-    """For each unit row one that links with it as barely as may be: half of them towards another row, half in any direction."""
+    """For each unit row one that links with it as barely as may be: half of them away in a direction in which rows spread, half in any."""
     rng = np.random.default_rng(11)
     other = rng.normal(size=x.shape)
-    other[::2] = x[rng.permutation(len(x))][::2] + 1e-3 * other[::2]
+    # sums of many rows, not single ones, which may be pivots themselves
+    other[::2] = rng.normal(size=(len(other[::2]), min(256, len(x)))) @ x[:256]
     away = other - (other * x).sum(axis=1, keepdims=True) * x
     length = np.sqrt((away * away).sum(axis=1, keepdims=True))
     return least * x + math.sqrt(max(0.0, 1 - least * least)) * away / np.where(length == 0, 1, length)
 
 
 def fitted(sample: np.ndarray, pivots: np.ndarray, least: float) -> int:
-    """How many nearest pivots find FOUND of the links among the first TRIED of the sample, and as many of those between these and partners made at the threshold.
+    """How many nearest pivots find FOUND of the links among the first TRIED of the sample, and MADE of those between these and partners made at the threshold.
 
     Links within a sample get rarer as the table grows; partners are there at any size.
     """
@@ -113,9 +114,9 @@ def fitted(sample: np.ndarray, pivots: np.ndarray, least: float) -> int:
     home = (_partners(x, least) @ pivots.T).argmax(axis=1)
     made = (score >= np.take_along_axis(score, home[:, None], axis=1)).sum(axis=1)[home != own]
     most = NEAREST
-    for found in (np.concatenate(needed), made):
+    for found, share in ((np.concatenate(needed), FOUND), (made, MADE)):
         if len(found):
-            most = max(most, int(np.sort(found)[min(len(found) - 1, math.ceil(FOUND * len(found)))]))
+            most = max(most, int(np.sort(found)[min(len(found) - 1, math.ceil(share * len(found)))]))
     return most
 
 
