@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from millrace.functions.text import SPACE, trim
 
 SIZE, OVERLAP, MAX_CHARS = 500, 100, 500
+#: Finished chunks that are appended one by one; so many together are then appended as a block.
+BLOCK = 256
 _SENTENCE = f"(?<=[.!?]){SPACE}"
 
 
@@ -26,17 +28,26 @@ def fixed_size(text: Column, size: int = SIZE, overlap: int = OVERLAP) -> Column
 def sentences(text: Column, max_chars: int = MAX_CHARS) -> Column:
     """Sentences packed in order while they fit; one longer than ``max_chars`` is a chunk of its own, never cut.
 
-    A fold in the JVM: finished chunks and the open one. An empty text has none.
+    A fold in the JVM: finished blocks of chunks, the chunks after them and the open one. An append
+    copies references to one block at most or to the blocks before it, so that a text of n chunks
+    takes n * BLOCK / 2 + (n / BLOCK)^2 / 2 copies and not n^2 / 2. An empty text has none.
     """
     none = F.array().cast("array<string>")
 
     def step(acc: Column, sentence: Column) -> Column:
         full = (acc["open"] != "") & (F.length(acc["open"]) + F.length(sentence) + 1 > max_chars)
-        done = F.when(full, F.concat(acc["done"], F.array(trim(acc["open"])))).otherwise(acc["done"])
-        return F.struct(done.alias("done"), F.when(full, sentence).otherwise(trim(F.concat(acc["open"], F.lit(" "), sentence))).alias("open"))
-
-    start = F.struct(none.alias("done"), F.lit("").alias("open"))
-    return F.aggregate(F.split(text, _SENTENCE), start, step, lambda acc: F.when(acc["open"] == "", acc["done"]).otherwise(F.concat(acc["done"], F.array(trim(acc["open"])))))
+        whole = full & (F.size(acc["done"]) >= BLOCK)
+        blocks = F.when(whole, F.concat(acc["blocks"], F.array(acc["done"]))).otherwise(acc["blocks"])
+        ended = F.array(trim(acc["open"]))
+        done = F.when(whole, ended).when(full, F.concat(acc["done"], ended)).otherwise(acc["done"])
+        return F.struct(blocks.alias("blocks"), done.alias("done"), F.when(full, sentence).otherwise(trim(F.concat(acc["open"], F.lit(" "), sentence))).alias("open"))
+
+    def end(acc: Column) -> Column:
+        last = F.when(acc["open"] == "", none).otherwise(F.array(trim(acc["open"])))
+        return F.concat(F.flatten(acc["blocks"]), acc["done"], last)
+
+    start = F.struct(F.array().cast("array<array<string>>").alias("blocks"), none.alias("done"), F.lit("").alias("open"))
+    return F.aggregate(F.split(text, _SENTENCE), start, step, end)
 
 
 CHUNKERS: dict[str, Callable[..., Column]] = {"fixed": fixed_size, "sentence": sentences}

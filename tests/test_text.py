@@ -90,3 +90,18 @@ def test_white_space_is_pythons(spark):
     for r in got:
         t = f"{points[r.i]}a{points[r.i]}b{points[r.i]}{points[r.i]}c {points[r.i]}d{points[r.i]}"
         assert (r.trimmed, r.one) == (t.strip(), re.sub(r"\s+", " ", t).strip(" ")), hex(ord(points[r.i]))
+
+
+def test_sentences_of_a_long_text(spark):
+    """Chunks past several blocks are those that a plain loop makes."""
+    said = [f"Sentence {i} has {'many ' * (i % 7)}words." for i in range(5000)]
+    expected, held = [], ""
+    for x in said:
+        if held and len(held) + len(x) + 1 > 60:
+            expected, held = [*expected, held], x
+        else:
+            held = f"{held} {x}".strip()
+    expected.append(held)
+    df = spark.createDataFrame([(1, " ".join(said)), (2, ""), (3, None)], "id long, text string")
+    got = chunking.chunk(df, "sentence", max_chars=60).orderBy("seq").collect()
+    assert [r.text for r in got] == expected and len(expected) > 4 * chunking.BLOCK
