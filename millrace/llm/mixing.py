@@ -81,7 +81,8 @@ def mix(docs: DataFrame, *, quality: DataFrame | None = None, id_col: str = "doc
         rows = rows.join(best, F.col("id") == F.col("q_id"), "left").drop("q_id")
     else:
         rows = rows.withColumn("quality", F.lit(1.0))
-    rows = rows.withColumn("turn", -F.log(uniform("id", seed)) / F.coalesce("quality", F.lit(1.0)))
+    # texts are read and counted once; what follows reads these few numbers a document
+    rows = staged(rows.withColumn("turn", -F.log(uniform("id", seed)) / F.coalesce("quality", F.lit(1.0))), "sized")
     # parts that would be equal if every document had the mean quality
     about = rows.agg(F.count("*").alias("n"), F.avg(F.coalesce("quality", F.lit(1.0))).alias("q")).first()
     bins = min(MOST_BINS, max(LEAST_BINS, about.n // BIN_ROWS))
