@@ -1,11 +1,11 @@
 """DuckDB SQL for the training-data queries that SQL can express."""
 
-#: What the quality rules measure, written out apart from the operator: measure -> (SQL over the base counts, least distance from the median, whether low values fail too).
+#: What the quality rules measure, written out apart from the operator: measure -> (SQL over the base counts, least distance from the median, whether low values fail too, whether zeros are left out of its quantiles).
 MEASURES = {
-    "symbols": ("1e3 * n_symbols / n_words", 100, False),
-    "dup_lines": ("1e3 * n_dup_lines / greatest(n_lines, 1)", 400, False),
-    "repeats": ("1e3 * n_repeat_words / n_words", 400, False),
-    "word_length": ("1e2 * word_chars / n_words", 100, True),
+    "symbols": ("1e3 * n_symbols / n_words", 100, False, False),
+    "dup_lines": ("1e3 * n_dup_lines / greatest(n_lines, 1)", 250, False, True),
+    "repeats": ("1e3 * n_repeat_words / n_words", 100, False, True),
+    "word_length": ("1e2 * word_chars / n_words", 100, True, False),
 }
 #: Growth of the sketch's bins, the bin of zero, the rows by which a language counts beside a group, spreads between median and threshold.
 GAMMA, ZERO, PRIOR, SPREADS = 1.02, -100_000, 20, 8
@@ -81,6 +81,7 @@ SELECT n.doc_id, any_value(n.n) AS n_shingles, min(r.y) AS component_id FROM n J
 
 
 def _op7() -> str:
+    zeros_out = ", ".join(f"'{m}'" for m, (*_, out) in MEASURES.items() if out)
     rows = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS measure, ({sql})::DOUBLE AS v FROM k" for m, (sql, *_) in MEASURES.items())
     value = lambda i: f"CASE WHEN b{i} = {ZERO} THEN 0.0::DOUBLE ELSE 2e0 * pow({GAMMA}::DOUBLE, b{i}) / (1e0 + {GAMMA}::DOUBLE) END AS q{i}"
     q = lambda keys, t: (
@@ -88,7 +89,7 @@ def _op7() -> str:
         + f" FROM (SELECT *, sum(n) OVER (PARTITION BY {keys}measure ORDER BY bin) AS upto, sum(n) OVER (PARTITION BY {keys}measure) AS rows FROM {t}) GROUP BY ALL)"
     )
     fails = []
-    for m, (sql, least, low) in MEASURES.items():
+    for m, (sql, least, low, _) in MEASURES.items():
         hi = f"q2 + greatest({least}::DOUBLE, {SPREADS} * (q3 - q2))"
         lo = f"q2 - greatest({least}::DOUBLE, {SPREADS} * (q2 - q1))" if low else "0"
         fails.append(f"WHEN '{m}' THEN ({sql})::DOUBLE NOT BETWEEN {lo} AND {hi}")
@@ -104,7 +105,7 @@ a AS (SELECT d.doc_id, lang, source, len(w)::BIGINT AS n_words, length(array_to_
   coalesce(lc.n - lc.different, 0)::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words, coalesce(lc.n, 0)::BIGINT AS n_lines FROM d LEFT JOIN rep USING (doc_id) LEFT JOIN lc USING (doc_id)),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM a),
 k AS (SELECT * FROM b WHERE NOT base_failed),
-fine AS (SELECT lang, source, measure, CASE WHEN v > 0 THEN ceil(ln(v) / ln({GAMMA}::DOUBLE))::INT ELSE {ZERO} END AS bin, count(*) AS n FROM ({rows}) GROUP BY ALL),
+fine AS (SELECT lang, source, measure, CASE WHEN v > 0 THEN ceil(ln(v) / ln({GAMMA}::DOUBLE))::INT ELSE {ZERO} END AS bin, count(*) FILTER (v > 0 OR measure NOT IN ({zeros_out})) AS n FROM ({rows}) GROUP BY ALL),
 by_lang AS (SELECT lang, measure, bin, sum(n) AS n FROM fine GROUP BY ALL),
 oq AS ({q("lang, source, ", "fine")}), lq AS ({q("lang, ", "by_lang")}),
 cut AS (SELECT o.lang, o.source, o.measure, {", ".join(f"(o.rows::DOUBLE * o.q{i} + {PRIOR} * l.q{i}) / (o.rows + {PRIOR})::DOUBLE AS q{i}" for i in (1, 2, 3))}

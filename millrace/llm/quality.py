@@ -8,6 +8,10 @@ built by grouped counts that combine before the shuffle, and agree on every reru
 
 A group is judged by its own quantiles at every size, drawn towards its language's as if that
 had PRIOR rows in it: fully its own when it is large, and never by a switch.
+
+Most texts repeat nothing, so that the quartiles of repeated lines and words over all rows are
+zeros and say nothing of what is usual among texts that do repeat. The quantiles of these
+measures are those of the rows above zero, and so many rows count as the group's.
 """
 
 from __future__ import annotations
@@ -27,12 +31,12 @@ from millrace.llm.common import staged
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[np.frombuffer(b"#*$%&|<>", np.uint8)] = True
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
-#: Measure -> (SQL over the base counts, as a double; least distance of a threshold from the median; whether low values fail too)
+#: Measure -> (SQL over the base counts, as a double; least distance of a threshold from the median; whether low values fail too; whether zeros are left out of its quantiles)
 MEASURES = {
-    "symbols": ("1e3 * n_symbols / n_words", 100, False),
-    "dup_lines": ("1e3 * n_dup_lines / greatest(n_lines, 1)", 400, False),
-    "repeats": ("1e3 * n_repeat_words / n_words", 400, False),
-    "word_length": ("1e2 * word_chars / n_words", 100, True),
+    "symbols": ("1e3 * n_symbols / n_words", 100, False, False),
+    "dup_lines": ("1e3 * n_dup_lines / greatest(n_lines, 1)", 250, False, True),
+    "repeats": ("1e3 * n_repeat_words / n_words", 100, False, True),
+    "word_length": ("1e2 * word_chars / n_words", 100, True, False),
 }
 #: Growth of a sketch's bins, the relative error of its quantiles, and the bin of zero.
 GAMMA = 1.02
@@ -113,8 +117,13 @@ def merged(sketch: DataFrame, *keys: str) -> DataFrame:
 
 
 def quantiles(sketch: DataFrame, *keys: str) -> DataFrame:
-    """Per group and measure: ``rows``, and quartiles ``q1, q2, q3``, each the middle of the least bin that holds so many quarters."""
+    """Per group and measure: ``rows``, and quartiles ``q1, q2, q3``, each the middle of the least bin that holds so many quarters.
+
+    Where a measure's zeros are left out, ``rows`` are those above zero; with none of them the quartiles are zero.
+    """
     w = Window.partitionBy(*keys, "measure")
+    zeros_out = [m for m, (*_, out) in MEASURES.items() if out]
+    sketch = sketch.withColumn("n", F.when((F.col("bin") == ZERO) & F.col("measure").isin(zeros_out), 0).otherwise(F.col("n")))
     cum = sketch.withColumn("upto", F.sum("n").over(w.orderBy("bin"))).withColumn("rows", F.sum("n").over(w))
     at = lambda quarters: F.min(F.when(F.col("upto") * 4 >= F.col("rows") * quarters, F.col("bin")))
     value = lambda b: F.when(b == ZERO, 0.0).otherwise(2.0 * F.pow(F.lit(GAMMA), b) / (1.0 + GAMMA))
@@ -129,7 +138,7 @@ def thresholds(counted: DataFrame) -> DataFrame:
     drawn = [((F.col("o.rows") * F.col(f"o.q{i}") + PRIOR * F.col(f"w.q{i}")) / (F.col("o.rows") + PRIOR)).alias(f"q{i}") for i in (1, 2, 3)]
     joined = own.alias("o").join(wide.alias("w"), F.expr("o.lang <=> w.lang and o.measure = w.measure")).select("o.lang", "o.source", "o.measure", *drawn)
     cuts = []
-    for m, (_, least, low) in MEASURES.items():
+    for m, (_, least, low, _) in MEASURES.items():
         hi = F.expr(f"q2 + greatest({least}D, {SPREADS} * (q3 - q2))")
         lo = F.expr(f"q2 - greatest({least}D, {SPREADS} * (q2 - q1))") if low else F.lit(0.0)
         mine = F.col("measure") == m

@@ -625,6 +625,21 @@ def test_small_group_beside_a_hot_one(spark):
     assert max(abs(np.diff(tops[1:]))) < 2
 
 
+def test_thresholds_of_measures_that_are_mostly_zero(spark):
+    """Texts that repeat are judged by those of their group that repeat, however few; without any, by their language's."""
+    schema = "id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
+    plain = [(i, "en", s, 1000, 5000, 0, 0, 0, 100) for i in range(2000) for s in ("logs", "prose", "none")]
+    logs = [(i, "en", "logs", 1000, 5000, 0, 20 + i % 20, 200 + i % 200, 100) for i in range(200)]
+    prose = [(i, "en", "prose", 1000, 5000, 0, 1 + i % 2, 5 + i % 5, 100) for i in range(200)]
+    cut = {r.source: r for r in quality.thresholds(spark.createDataFrame(plain + logs + prose, schema)).collect()}
+    assert cut["prose"].repeats_hi < 250 and cut["logs"].repeats_hi > 450 and cut["prose"].dup_lines_hi < 300 < 450 < cut["logs"].dup_lines_hi
+    assert cut["prose"].repeats_hi < cut["none"].repeats_hi and cut["none"].dup_lines_hi is not None
+    # nothing above zero in the whole language: the least distance alone, and every row is kept
+    flat = [(*r[:1], "de", *r[2:]) for r in plain]
+    least = quality.thresholds(spark.createDataFrame(flat, schema)).first()
+    assert (least.repeats_hi, least.dup_lines_hi) == (100.0, 250.0)
+
+
 def test_sketch_error(spark):
     """Quantiles of the sketch are within ACCURACY of the true ones."""
     rng = np.random.default_rng(8)
