@@ -9,6 +9,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
+from millrace.operators.healing import MENU
 from millrace.operators.retrieval import RagAnswer, source_rows
 
 #: Fixed value: the port that scrapers of the pipeline expect.
@@ -88,9 +89,31 @@ class ChatClient:
     temperature: float = 0.2
     seconds: float = 60.0
 
-    def complete(self, system: str, user: str) -> str:
+    def complete(self, system: str, user: str, schema: dict | None = None) -> str:
+        """The answer's text; with a JSON schema the server is asked to give nothing but JSON that fits it."""
         messages = [{"role": "system", "content": system}, {"role": "user", "content": user}]
-        body = json.dumps({"model": self.model, "temperature": self.temperature, "messages": messages}).encode()
-        request = urllib.request.Request(self.url, body, {"Content-Type": "application/json", "Authorization": f"Bearer {self.key}"})
+        body = {"model": self.model, "temperature": self.temperature, "messages": messages}
+        if schema is not None:
+            body["response_format"] = {"type": "json_schema", "json_schema": {"name": "answer", "strict": True, "schema": schema}}
+        request = urllib.request.Request(self.url, json.dumps(body).encode(), {"Content-Type": "application/json", "Authorization": f"Bearer {self.key}"})
         with urllib.request.urlopen(request, timeout=self.seconds) as answer:
             return json.load(answer)["choices"][0]["message"]["content"]
+
+
+def menu_schema(field: str, *texts: str) -> dict:
+    """A JSON schema of objects with exactly these fields: ``field``, which is on the healer's menu, and strings."""
+    kinds = {field: {"type": "string", "enum": list(MENU)}} | {t: {"type": "string"} for t in texts}
+    return {"type": "object", "properties": kinds, "required": list(kinds), "additionalProperties": False}
+
+
+#: The fields of a decision on a failure.
+DECISION_SCHEMA = menu_schema("decision", "reason")
+
+
+def decision_call(client: ChatClient, instructions: str) -> Callable[[str, str], str]:
+    """What ``healing.decisions`` takes as ``llm_call``: a model asked for a decision under its schema.
+
+    The answer goes back as it came. The healer reads it on its own terms, so a server that
+    knows no schemas, fails or answers something else escalates.
+    """
+    return lambda kind, said: client.complete(instructions, f"{kind}: {said}", schema=DECISION_SCHEMA)

@@ -10,6 +10,7 @@ from types import SimpleNamespace
 import pytest
 
 from millrace import serving
+from millrace.operators import healing
 from millrace.operators.retrieval import RagAnswer
 
 
@@ -58,3 +59,26 @@ def test_chat_client():
     client = serving.ChatClient(f"http://127.0.0.1:{stub.server_port}/v1", "m")
     assert client.complete("be brief", "hello") == "m 0.2 be brief hello"
     stub.shutdown()
+
+
+def test_decisions_under_a_schema(spark):
+    """The schema is sent and obeyed by a server that knows it; one that fails, or strays from it, escalates."""
+    asked = []
+
+    def complete(body):
+        user = body["messages"][1]["content"]
+        asked.append((user, body["response_format"]["json_schema"]["schema"]))
+        if user.startswith("Down"):
+            raise KeyError(user)
+        menu = asked[-1][1]["properties"]["decision"]["enum"]
+        return {"choices": [{"message": {"content": json.dumps({"decision": "sing" if user.startswith("Stray") else menu[1], "reason": user})}}]}
+
+    stub = serving.serve({("POST", "/v1"): complete})
+    call = serving.decision_call(serving.ChatClient(f"http://127.0.0.1:{stub.server_port}/v1", "m"), "choose")
+    kinds = ["Odd", "Odd", "Stray", "Down", "KeyError"]
+    failed = spark.createDataFrame([(i, k, "m", 1) for i, k in enumerate(kinds)], "id long, error_type string, error_message string, attempt_count long")
+    got = {r.id: r.decision for r in healing.decisions(failed, llm_call=call).collect()}
+    stub.shutdown()
+    assert got == {0: "retry_with_failover", 1: "retry_with_failover", 2: "escalate", 3: "escalate", 4: "escalate"}
+    assert sorted(u for u, _ in asked) == ["Down: m", "Odd: m", "Stray: m"]  # each once, and none that the rules decide
+    assert all(s == serving.DECISION_SCHEMA and s["required"] == ["decision", "reason"] and s["additionalProperties"] is False for _, s in asked)
