@@ -173,9 +173,15 @@ def keep_quality(docs: DataFrame, *, text_col: str = "text", lang_col: str = "la
     """The input's rows that pass, columns as they were, whatever they are called.
 
     Texts are counted once for the sketches and once as rows stream by: writing them out in
-    between, or sending them to their verdicts, would cost more.
+    between, or sending them to their verdicts, would cost more. A batch on its way to Python
+    holds a text once where the column is a string, else beside it its string as well.
     """
-    names = [F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), F.col(text_col).cast("string").alias("text")]
-    cut = staged(thresholds(with_counts(docs.select(*names), "text").drop("text")), "thresholds")
-    rows = with_counts(docs.select(F.struct("*").alias("row"), *names), "text").drop("text")
-    return _judged(rows, cut).filter("kept").select("row.*")
+    text = F.col(text_col).cast("string")
+    groups = [F.col(lang_col).alias("lang"), F.col(source_col).alias("source")]
+    cut = staged(thresholds(with_counts(docs.select(*groups, text.alias("text")), "text").drop("text")), "thresholds")
+    names = [f"c{i}" for i in range(len(docs.columns))]  # any names, clashing ones as well, stand aside meanwhile
+    if text_col in docs.columns and isinstance(docs.schema[text_col].dataType, T.StringType):
+        rows = with_counts(docs.select("*", *groups).toDF(*names, "lang", "source"), names[docs.columns.index(text_col)])
+    else:
+        rows = with_counts(docs.select("*", *groups, text).toDF(*names, "lang", "source", "text"), "text").drop("text")
+    return _judged(rows, cut).filter("kept").select(*names).toDF(*docs.columns)
