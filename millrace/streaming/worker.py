@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, Row, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
@@ -21,6 +21,9 @@ from millrace.operators.telemetry import Telemetry
 from millrace.sources import remote, sinks
 from millrace.staging import Shelf, scratch, staged
 
+#: Groups that the keys of a ledger's stream share.
+BUCKETS = 4096
+
 
 def stream_lines(spark: SparkSession, path: str, *, files_per_batch: int = 1) -> DataFrame:
     """``raw, file`` of each line of the files that arrive under a folder, or are appended to a file on a web server."""
@@ -97,54 +100,72 @@ def dedup_loads(stream: DataFrame, path: str, *, order_col: str, text_col: str =
 
 
 class _Folded(StatefulProcessor):
-    """The ledger's state of one key, and a timer for what it waits for."""
+    """The ledger's states of one bucket of keys, column by column, and a timer for the first time that one of them waits for."""
 
-    STATE = "status string, attempts long, refused long, timer long"
+    STATE = "stage array<string>, input_hash array<string>, status array<string>, attempts array<long>, refused array<long>, timer array<long>"
+    OUT = "stage string, input_hash string, status string, attempt_count long, refused long, event string"
 
     def __init__(self, orphan_after: float | None):
-        self.orphan_after = orphan_after
+        self.orphan_after = None if orphan_after is None else int(orphan_after * 1000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle, self.state = handle, handle.getValueState("job", self.STATE)
-
-    def _wait(self, was: int | None, until: datetime | None) -> int | None:
-        """One timer a key: the earlier one goes, the next is set if there is something to wait for."""
-        if was is not None:
-            self.handle.deleteTimer(was)
-        if until is None:
-            return None
-        at = int(until.timestamp() * 1000)
-        self.handle.registerTimer(at)
-        return at
-
-    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
-        status, attempts, refused, timer = self.state.get() if self.state.exists() else (None, 0, 0, None)
-        until, moved = None, False
-        for r in sorted(rows, key=lambda r: (r.ts, r.seq)):
-            if (status is None and r.to_status == "pending") or r.to_status in TRANSITIONS.get(status, ()):
-                status, attempts, moved = r.to_status, attempts + (r.to_status == "running"), True
-                until = r.not_before if status == "retrying" else r.ts + timedelta(seconds=self.orphan_after) if status == "running" and self.orphan_after is not None else None
+        self.handle, self.state = handle, handle.getValueState("jobs", self.STATE)
+
+    def _held(self) -> dict[tuple, tuple]:
+        """(stage, input_hash) -> (status, attempts, refused, timer)."""
+        columns = self.state.get()
+        return {} if columns is None else {(s, h): tuple(x) for s, h, *x in zip(*columns, strict=True)}
+
+    @staticmethod
+    def _first(jobs: dict[tuple, tuple]) -> int | None:
+        return min((x[3] for x in jobs.values() if x[3] is not None), default=None)
+
+    def _keep(self, jobs: dict[tuple, tuple], was: int | None) -> None:
+        """One timer a bucket: what was set goes if another time is now the first."""
+        first = self._first(jobs)
+        if first != was:
+            if was is not None:
+                self.handle.deleteTimer(was)
+            if first is not None:
+                self.handle.registerTimer(first)
+        self.state.update(tuple(map(list, zip(*((*key, *x) for key, x in jobs.items()), strict=True))))
+
+    def _rows(self, jobs: dict[tuple, tuple], events: dict[tuple, str]) -> pd.DataFrame:
+        return pd.DataFrame([(*key, *jobs[key][:3], event) for key, event in events.items()], columns=["stage", "input_hash", "status", "attempt_count", "refused", "event"])
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        jobs = self._held()
+        was, steps = self._first(jobs), []
+        for part in rows:
+            steps.extend(zip(*(part[c].tolist() for c in ("at", "seq", "stage", "input_hash", "to_status", "not_before")), strict=True))
+        steps.sort(key=lambda x: x[:2])
+        for at, _, stage, input_hash, to, not_before in steps:
+            status, attempts, refused, timer = jobs.get((stage, input_hash), (None, 0, 0, None))
+            if (status is None and to == "pending") or to in TRANSITIONS.get(status, ()):
+                timer = not_before if to == "retrying" and not_before >= 0 else max(at // 1000 + self.orphan_after, 0) if to == "running" and self.orphan_after is not None else None
+                jobs[stage, input_hash] = to, attempts + (to == "running"), refused, timer
             else:
-                refused += 1
-        if moved:
-            timer = self._wait(timer, until)
-        self.state.update((status, attempts, refused, timer))
-        yield Row(stage=key[0], input_hash=key[1], status=status, attempt_count=attempts, refused=refused, event="changed")
-
-    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
-        status, attempts, refused, timer = self.state.get()
-        if timer != expiredTimerInfo.getExpiryTimeInMs():
+                jobs[stage, input_hash] = status, attempts, refused + 1, timer
+        self._keep(jobs, was)
+        yield self._rows(jobs, {x[2:4]: "changed" for x in steps})
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        jobs, expired = self._held(), expiredTimerInfo.getExpiryTimeInMs()
+        now = max(expired, timerValues.getCurrentProcessingTimeInMs())
+        events = {k: "due" if x[0] == "retrying" else "orphaned" for k, x in jobs.items() if x[3] is not None and x[3] <= now}
+        if not events:
             return
-        event = "due" if status == "retrying" else "orphaned"
-        status = "failed" if event == "orphaned" else status
-        self.state.update((status, attempts, refused, None))
-        yield Row(stage=key[0], input_hash=key[1], status=status, attempt_count=attempts, refused=refused, event=event)
+        for k, event in events.items():
+            status, attempts, refused, _ = jobs[k]
+            jobs[k] = "failed" if event == "orphaned" else status, attempts, refused, None
+        self._keep(jobs, None)  # Spark removes the timer that has expired
+        yield self._rows(jobs, events)
 
     def close(self) -> None:
         pass
 
 
-def ledger_stream(transitions: DataFrame, *, orphan_after: float | None = None) -> DataFrame:
+def ledger_stream(transitions: DataFrame, *, orphan_after: float | None = None, buckets: int = BUCKETS) -> DataFrame:
     """``stage, input_hash, status, attempt_count, refused, event``: a row for each key that a micro-batch touches, with its state from then on.
 
     ``transitions`` are rows of the ledger's log (stage, input_hash, seq, to_status, ts, not_before),
@@ -152,14 +173,22 @@ def ledger_stream(transitions: DataFrame, *, orphan_after: float | None = None)
     RocksDB, which the session is set to. ``event`` is ``changed``, or what a timer says: a retry is
     ``due`` once its ``not_before`` has passed, and a job that has been running for ``orphan_after``
     seconds is ``orphaned``: it fails here, so that a later end of it is refused.
+
+    Each call of the state's server costs a round trip, and each group an Arrow batch, so keys share
+    ``buckets`` groups by hash: a micro-batch pays for the buckets that it touches and reads and
+    writes these whole. Their number is fixed for a checkpoint; one for some thousand keys is right.
     """
     transitions.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    rows = transitions.select("stage", "input_hash", "seq", "to_status", "ts", "not_before")
-    out = "stage string, input_hash string, status string, attempt_count long, refused long, event string"
-    return rows.groupBy("stage", "input_hash").transformWithState(_Folded(orphan_after), out, "Update", "ProcessingTime")
+    bucket = F.pmod(F.xxhash64("stage", "input_hash"), F.lit(buckets)).cast("int").alias("bucket")
+    # numbers in place of times and nulls, which pandas holds as they are: a null time comes first, -1 is no time to wait for
+    least = F.lit(-(1 << 63)).cast("long")
+    at, seq = F.coalesce(F.unix_micros(F.col("ts").cast("timestamp")), least).alias("at"), F.coalesce(F.col("seq").cast("long"), least).alias("seq")
+    not_before = F.when(F.col("not_before").isNull(), -1).otherwise(F.greatest(F.unix_millis(F.col("not_before").cast("timestamp")), F.lit(0))).alias("not_before")
+    rows = transitions.select(bucket, "stage", "input_hash", seq, "to_status", at, not_before)
+    return rows.groupBy("bucket").transformWithStateInPandas(_Folded(orphan_after), _Folded.OUT, "Update", "ProcessingTime")
 
 
-def ledger_states(transitions: DataFrame, path: str, *, orphan_after: float | None = None) -> DataFrame:
+def ledger_states(transitions: DataFrame, path: str, *, orphan_after: float | None = None, buckets: int = BUCKETS) -> DataFrame:
     """Run ``ledger_stream`` on what is there, from the checkpoint below ``path`` on, and give every key's newest state.
 
     Timers that have expired speak up in batches that have transitions; without any the stream ends.
@@ -173,7 +202,7 @@ def ledger_states(transitions: DataFrame, path: str, *, orphan_after: float | No
     before = conf.get(idle)
     conf.set(idle, "false")  # else a stream with timers looks for expired ones for ever
     try:
-        run_batches(ledger_stream(transitions, orphan_after=orphan_after), keep, f"{path}/checkpoint", mode="update")
+        run_batches(ledger_stream(transitions, orphan_after=orphan_after, buckets=buckets), keep, f"{path}/checkpoint", mode="update")
     finally:
         conf.set(idle, before)
     kinds = "stage string, input_hash string, status string, attempt_count long, refused long, event string, batch long"

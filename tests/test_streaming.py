@@ -57,6 +57,20 @@ def test_ledger_stream_timers(spark, tmp_path):
     assert go() == {"due": ("retrying", "due"), "later": ("retrying", "changed"), "stuck": ("failed", "changed"), "fine": ("succeeded", "changed"), "new": ("pending", "changed")}
 
 
+def test_ledger_stream_keys_share_buckets(spark, tmp_path):
+    """Sixty keys lie in two groups of the state; each has its own state and wait, and a retry without a time waits for nothing."""
+    past, ahead = datetime(2024, 1, 1), datetime(2999, 1, 1)
+    step = lambda k, to, i, not_before=None: ("s", f"k{k}", i, to, past + timedelta(seconds=i), not_before)
+    wait = {0: past, 1: ahead, 2: None}
+    first = [step(k, to, i, wait[k % 3] if to == "retrying" else None) for k in range(60) for i, to in enumerate(["pending", "running", "failed", "retrying"])]
+    go = lambda: {(r.input_hash, r.status, r.attempt_count, r.refused, r.event) for r in worker.ledger_states(spark.readStream.schema(STEPS).parquet(str(tmp_path / "log")), str(tmp_path / "out"), buckets=2).collect()}
+    spark.createDataFrame(first, STEPS).coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
+    assert go() == {(f"k{k}", "retrying", 1, 0, "changed" if k % 3 else "due") for k in range(60)}
+    spark.createDataFrame([step(k, to, 9 + i) for k in range(0, 60, 7) for i, to in enumerate(["running", "pending"])], STEPS).coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
+    assert go() == {(f"k{k}", "retrying", 1, 0, "changed" if k % 3 else "due") if k % 7 else (f"k{k}", "running", 2, 1, "changed") for k in range(60)}
+    assert spark.read.format("statestore").option("stateVarName", "jobs").load(str(tmp_path / "out" / "checkpoint")).count() == 2
+
+
 def test_dedup_stream(spark, tmp_path):
     df = spark.createDataFrame([(t,) for t in "abcabca"], "text string")
     df.coalesce(1).write.parquet(str(tmp_path / "texts"))
