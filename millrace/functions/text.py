@@ -8,7 +8,7 @@ tag stays as text; ``clean_decode_first`` decodes, so it goes.
 from __future__ import annotations
 
 import html
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column
@@ -26,15 +26,28 @@ TAG = r"<[^>]+>"
 BRACKET_TAG = r"\[\[[^\]]*\]\]"
 
 
-@F.pandas_udf(T.StringType())
+#: A character reference as ``html.unescape`` takes it, closed by a semicolon or not.
+_REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def _unescape(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for s in parts:
-        yield s.map(html.unescape, na_action="ignore")
+        yield s.map(lambda found: [html.unescape(x) for x in found], na_action="ignore")
+
 
+def decode_entities(x: Column, names: Iterable[str] | None = None) -> Column:
+    """HTML entities decoded as by ``html.unescape``; with ``names`` these alone, and only where a semicolon closes them.
 
-def decode_entities(x: Column) -> Column:
-    """HTML entities decoded; Spark has no built-in, so an Arrow UDF works on what has an ``&`` at all."""
-    return F.when(F.contains(x, F.lit("&")), _unescape(x)).otherwise(x)
+    Spark has no built-in, so an Arrow UDF decodes the references. It runs on every row, whatever
+    conditions stand about it, so it is sent the references alone, and null where there are none;
+    the text about them stays in the JVM.
+    """
+    pattern = F.lit(_REFERENCE if names is None else f"&(?:{'|'.join(names)});")
+    found = F.when(F.contains(x, F.lit("&")), F.regexp_extract_all(x, pattern, F.lit(0)))
+    decoded = _unescape(F.when(F.size(found) > 0, found))
+    between = F.zip_with(F.split(x, pattern, -1), decoded, lambda text, ref: F.concat(text, F.coalesce(ref, F.lit(""))))
+    return F.when(decoded.isNotNull(), F.array_join(between, "")).otherwise(x)
 
 
 def normalize_whitespace(x: Column) -> Column:
@@ -46,16 +59,16 @@ def trim(x: Column) -> Column:
     return F.btrim(x, F.lit(SPACES))
 
 
-def strip_html(x: Column) -> Column:
-    return decode_entities(F.regexp_replace(x, TAG, " "))
+def strip_html(x: Column, names: Iterable[str] | None = None) -> Column:
+    return decode_entities(F.regexp_replace(x, TAG, " "), names)
 
 
-def clean_strip_first(x: Column) -> Column:
-    return normalize_whitespace(strip_html(x))
+def clean_strip_first(x: Column, names: Iterable[str] | None = None) -> Column:
+    return normalize_whitespace(strip_html(x, names))
 
 
-def clean_decode_first(x: Column) -> Column:
-    return normalize_whitespace(F.regexp_replace(F.regexp_replace(decode_entities(x), BRACKET_TAG, " "), TAG, " "))
+def clean_decode_first(x: Column, names: Iterable[str] | None = None) -> Column:
+    return normalize_whitespace(F.regexp_replace(F.regexp_replace(decode_entities(x, names), BRACKET_TAG, " "), TAG, " "))
 
 
 def content_hash(x: Column) -> Column:

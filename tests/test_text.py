@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import html
+import random
 import re
 
 import pytest
@@ -35,6 +37,30 @@ def test_clean_decode_first_removes_escaped_tags(spark):
     assert one(spark, X.clean_decode_first, "&lt;b&gt;hi [[VIDEOID:1]] there&lt;/b&gt;") == "hi there"
 
 
+def test_entities_are_those_of_html_unescape(spark):
+    """References closed or not, numeric, unknown, doubled and beside each other; none, empty and null."""
+    bits = ["&amp", ";", "&", "&lt;", "&ampx", "&notit;", "&#65", "&#x41;", "&#0;", "&#xD800;", "&#1;", "&#99999999;", "&nosuch;", "&copy;", "&amp;lt;", "&CounterClockwiseContourIntegral;", "a", " ", "é😀", "\n", "#", "\f", "&\u00e9;"]
+    rng = random.Random(3)
+    texts = [*bits, "", None, *("".join(rng.choices(bits, k=rng.randrange(1, 9))) for _ in range(400))]
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, x string").select("i", X.decode_entities(F.col("x")).alias("y")).collect()
+    assert {r.i: r.y for r in got} == {i: t if t is None else html.unescape(t) for i, t in enumerate(texts)}
+
+
+def test_named_entities_need_their_semicolon(spark):
+    """A page that is cut off within an entity keeps it, as the SQL of ``clean_html_pages`` has it."""
+    names = ("copy", "amp")
+    for given, expected in {"a &amp": "a &amp", "&ampx; &amp;amp; &copy;&copy": "&ampx; &amp; ©&copy", "&lt;b&gt; &amp": "&lt;b&gt; &amp"}.items():
+        assert one(spark, lambda x: X.clean_strip_first(x, names), given) == expected
+        assert one(spark, lambda x: X.clean_decode_first(x, names), given) == expected
+
+
+def test_python_sees_references_alone(spark):
+    """The UDF runs on every row, whatever stands about it, so its input is what was found, not the text."""
+    plan = spark.createDataFrame([("x",)], "x string").select(X.clean_strip_first(F.col("x")))._jdf.queryExecution().analyzed().toString()
+    calls = re.findall(r"_unescape\((.{0,40})", plan)
+    assert calls and all(x.startswith("CASE WHEN (size(") for x in calls)
+
+
 def test_filter_edges(spark):
     rows = [(1, None, "T", "a long enough text here"), (2, 5.0, "T", "too short"), (3, 4.0, "T", "<div class='x'><span>ok</span></div>"), (4, 0.0, "<b>Love</b> it", "exactly fifteen"), (5, 3.0, None, "fourteen chars")]
     kept = cleaning.clean_records(spark.createDataFrame(rows, "id int, rating double, title string, text string")).collect()
