@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 PLACES = 12
 #: Queries and corpus vectors of a block; a pair of blocks is a task's unit.
 QUERY_BLOCK, CORPUS_BLOCK = 16_384, 16_384
+#: Scores that a task holds at once, 4 MB of them.
+SCORES = 1 << 19
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -39,12 +41,21 @@ def literal_vector(values: list[float]) -> Column:
     return F.lit(np.asarray(values, float).tolist()).cast("array<double>")
 
 
-def best(queries: pd.DataFrame, corpus: pd.DataFrame, k: int, metric: str, at_once: int = 256) -> pd.DataFrame:
-    """``query_id, id, score`` of the best k of a block of the corpus for each query of a block, ties by id."""
-    matrix, x = (np.stack(t["v"].to_numpy()).astype(np.float64) for t in (queries, corpus))
-    if metric == "cosine":
-        matrix, x = (m / np.sqrt((m * m).sum(axis=1, keepdims=True)) for m in (matrix, x))
+def _matrix(vectors: pd.Series, unit: bool) -> np.ndarray:
+    m = np.stack(vectors.to_numpy()).astype(np.float64, copy=False)
+    if unit:
+        m /= np.sqrt(np.einsum("ij,ij->i", m, m))[:, None]
+    return m
+
+
+def best(queries: pd.DataFrame, corpus: pd.DataFrame, k: int, metric: str) -> pd.DataFrame:
+    """``query_id, id, score`` of the best k of a block of the corpus for each query of a block, ties by id.
+
+    As many queries at once as make SCORES scores: beside the two blocks a task holds a few arrays of that size.
+    """
+    matrix, x = (_matrix(t["v"], metric == "cosine") for t in (queries, corpus))
     ids, qids, parts = corpus["id"].to_numpy(), queries["query_id"].to_numpy(), []
+    at_once = max(1, SCORES // max(1, len(x)))
     for at in range(0, len(matrix), at_once):
         score = matrix[at : at + at_once] @ x.T
         value = 1 - score if metric == "cosine" else score
