@@ -17,7 +17,7 @@ from millrace.operators.cleaning import BATCH, batch_hashes, batched
 from millrace.operators.jobs import Jobs
 from millrace.schemas import EMBEDDING_DIM
 from millrace.sources.sinks import write_parquet
-from millrace.staging import staged
+from millrace.staging import BATCH_BYTES, staged
 
 
 class Embedder(Protocol):
@@ -36,7 +36,7 @@ class HashingEmbedder:
     def _place(self, word: str) -> int:
         """The word's place, from 1, with its sign."""
         if word not in self.places:
-            if len(self.places) >= 1_000_000:
+            if len(self.places) >= 100_000:
                 self.places.clear()
             h = int(hashlib.md5(word.encode()).hexdigest()[:15], 16)  # noqa: S324
             self.places[word] = (h // 2 % self.dim + 1) * (1 if h % 2 else -1)
@@ -86,11 +86,38 @@ def run_embedding(jobs: Jobs, reviews: DataFrame, embedder: Embedder, path: str,
     return done
 
 
+#: Texts, and characters unless one text has more, that the encoder of a column is given at once.
+TEXTS, CHARS = 256, 1 << 20
+
+
+def slices(texts: list[str], most: int = TEXTS, chars: int = CHARS) -> Iterator[list[str]]:
+    """Consecutive texts, as many at once as stay within both bounds."""
+    begin, held = 0, 0
+    for i, text in enumerate(texts):
+        if i > begin and (i - begin == most or held + len(text) > chars):
+            yield texts[begin:i]
+            begin, held = i, 0
+        held += len(text)
+    if begin < len(texts):
+        yield texts[begin:]
+
+
 def embed_column(df: DataFrame, embedder: Embedder, *, text_col: str = "text", out_col: str = "embedding") -> DataFrame:
+    """Texts (null: empty) with their vectors.
+
+    The session is set to send Python BATCH_BYTES at once: a batch's bound in rows alone would let
+    long texts fill its memory. A batch is encoded in :func:`slices`, and of each single-precision
+    arrays alone are kept.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
     @F.pandas_udf("array<float>")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in parts:
-            yield pd.Series(embedder.embed(s.fillna("").tolist()))
+            vectors: list[np.ndarray] = []
+            for texts in slices(s.fillna("").tolist()):
+                vectors.extend(np.asarray(embedder.embed(texts), np.float32))
+            yield pd.Series(vectors, dtype=object)
 
     return df.withColumn(out_col, run(text_col))
 

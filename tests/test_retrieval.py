@@ -1,12 +1,15 @@
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import Row
 
 from millrace.functions import vector
 from millrace.operators import evaluation, healing, index, ingest, retrieval, telemetry
-from millrace.operators.embedding import HashingEmbedder, embed_column, run_embedding
+from millrace.operators.embedding import CHARS, TEXTS, HashingEmbedder, embed_column, run_embedding, slices
 from millrace.operators.jobs import Jobs
 from millrace.operators.store import ParquetStore, run_load, search
 
@@ -170,3 +173,35 @@ def test_counters_see_one_beyond_the_limit(spark, tmp_path):
     meta = spark.createDataFrame([(1, "p", "Mouse", "")], "line_number long, parent_asin string, title string, main_category string")
     assert {(r.product_title, r.category) for r in ingest.run_ingest(jobs, reviews, meta, str(tmp_path / "r"), category="Things", limit=4).collect()} == {("Mouse", "Things")}
     assert [(j["job_name"], j["records_in"], j["records_out"]) for j in jobs.rows] == [("ingest:Things", 5, 2)]
+
+
+def test_scores_held_at_once(monkeypatch):
+    """A task's memory beside its blocks is bounded, and the best are those of a whole product, ties by id."""
+    rng = np.random.default_rng(4)
+    x, q = rng.integers(-2, 3, (6000, 8)).astype(float), rng.integers(-2, 3, (700, 8)).astype(float)
+    x[(x == 0).all(axis=1), 0] = q[(q == 0).all(axis=1), 0] = 1
+    corpus, queries = pd.DataFrame({"id": range(6000), "v": list(x)}), pd.DataFrame({"query_id": range(700), "v": list(q)})
+    tracemalloc.start()
+    got = vector.best(queries, corpus, 3, "cosine")
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30e6
+    distance = np.round(1 - (q / np.linalg.norm(q, axis=1)[:, None]) @ (x / np.linalg.norm(x, axis=1)[:, None]).T, vector.PLACES)
+    assert got["id"].tolist() == np.argsort(distance, axis=1, kind="stable")[:, :3].ravel().tolist()
+    monkeypatch.setattr(vector, "SCORES", 1)
+    assert vector.best(queries.head(9), corpus, 3, "cosine")["id"].tolist() == got["id"].tolist()[:27]
+
+
+def test_encoder_is_given_slices(spark):
+    """A column's encoder never gets a whole Arrow batch; texts keep their vectors."""
+    texts = [f"w{i} " * (1 + i % 5) for i in range(700)] + [None, "x" * (CHARS + 1), ""]
+
+    class Strict(HashingEmbedder):
+        def embed(self, texts):
+            assert len(texts) <= TEXTS and (len(texts) == 1 or sum(map(len, texts)) <= CHARS)
+            return super().embed(texts)
+
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string").coalesce(1)
+    got = {r.id: r.embedding for r in embed_column(df, Strict(16)).collect()}
+    assert [got[i] for i in range(len(texts))] == np.asarray(HashingEmbedder(16).embed([t or "" for t in texts]), np.float32).tolist()
+    assert [len(x) for x in slices(["ab"] * 5 + ["abcd"], 2, 3)] == [1] * 6 and list(slices([])) == []
